@@ -249,7 +249,7 @@ class KpiMeasure:
     """One output column of a period KPI: ``agg`` over a SQL expression."""
 
     name: str
-    agg: str  # avg | max | min | sum | count_if | sum_if_gt
+    agg: str  # avg | max | min | sum | isum | count_if | sum_if_gt
     expr: str
     arg: float | None = None
 
@@ -281,7 +281,7 @@ FLEET_DAILY_MEASURES: tuple[KpiMeasure, ...] = (
     KpiMeasure("daily_avg_vib", "avg", "avg_vibration_rms"),
     KpiMeasure("daily_max_vib", "max", "max_vibration_rms"),
     KpiMeasure("daily_utilization", "avg", "utilization_pct"),
-    KpiMeasure("daily_anomaly_count", "sum", "anomaly_count"),
+    KpiMeasure("daily_anomaly_count", "isum", "anomaly_count"),
     KpiMeasure("daily_avg_quality", "avg", "avg_quality_score"),
 )
 

@@ -68,18 +68,23 @@ def severity_rank(col: Column | str, order: tuple[str, ...]) -> Column:
     return expr
 
 
-def exact_sum(col: Column | str, scale: int = 4) -> Column:
+EXACT_SCALE = 6
+
+
+def exact_sum(col: Column | str, scale: int = EXACT_SCALE) -> Column:
     """Sum in fixed point (DECIMAL(38, scale)), returned as double.
 
     Floating-point sums depend on the order rows arrive in, i.e. on the
-    partitioning; summing decimals gives the same answer on every run and
-    cluster size, so a later ``round`` never flips on a tie.
+    partitioning and on shuffle fetch order; summing decimals gives the same
+    answer on every run and cluster size, so a later ``round`` never flips
+    on a tie. Inputs are rounded HALF_UP to ``scale`` decimals first.
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
 
 
-def exact_avg(col: Column | str, scale: int = 4) -> Column:
-    """Mean in fixed point (see :func:`exact_sum`), returned as double."""
+def exact_avg(col: Column | str, scale: int = EXACT_SCALE) -> Column:
+    """Mean in fixed point (see :func:`exact_sum`): the exact mean rounded
+    HALF_UP to ``scale + 4`` decimals, returned as double."""
     c = F.col(col) if isinstance(col, str) else col
     return F.avg(c.cast(f"decimal(38,{scale})")).cast("double")

@@ -13,14 +13,21 @@ from .. import config as C
 BROADCAST_MAX_ROWS = 200_000
 
 
+_SMALL: dict[tuple[int, int], bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
     The check reads at most ``max_rows + 1`` rows (a LIMIT, not a full
-    count), so it is cheap exactly when the answer is "broadcast".
+    count), so it is cheap exactly when the answer is "broadcast". The
+    answer is remembered per plan (``semanticHash``) for the session; it only
+    picks the join strategy, never changes a result.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    if key not in _SMALL:
+        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _SMALL[key] else df
 
 
 REGISTRY_COLS = ("model", "manufacturer", "site_location")

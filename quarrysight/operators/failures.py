@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.checks import exact_avg
 
 CALIBRATION_MEASURES = {
     "air": "air_temperature_k",
@@ -44,11 +45,11 @@ def failure_calibration(labels: DataFrame, as_of, flags: dict[str, str] | None =
     per_type = long.groupBy("flag").agg(
         F.count_if(hit).alias("failure_count"),
         F.count("*").alias("total_records"),
-        F.round(F.avg(on_hit("air")), 2).alias("avg_air_temp_k"),
-        F.round(F.avg(on_hit("proc")), 2).alias("avg_process_temp_k"),
-        F.round(F.avg(on_hit("rpm")), 2).alias("avg_rotational_speed_rpm"),
-        F.round(F.avg(on_hit("torque")), 2).alias("avg_torque_nm"),
-        F.round(F.avg(on_hit("wear")), 2).alias("avg_tool_wear_min"),
+        F.round(exact_avg(on_hit("air")), 2).alias("avg_air_temp_k"),
+        F.round(exact_avg(on_hit("proc")), 2).alias("avg_process_temp_k"),
+        F.round(exact_avg(on_hit("rpm")), 2).alias("avg_rotational_speed_rpm"),
+        F.round(exact_avg(on_hit("torque")), 2).alias("avg_torque_nm"),
+        F.round(exact_avg(on_hit("wear")), 2).alias("avg_tool_wear_min"),
         F.round(F.percentile_approx(on_hit("proc"), percentile, accuracy), 2).alias("temp_threshold_k"),
         F.round(F.percentile_approx(on_hit("torque"), percentile, accuracy), 2).alias("torque_threshold_nm"),
         F.round(F.percentile_approx(on_hit("wear"), percentile, accuracy), 2).alias("wear_threshold_min"),

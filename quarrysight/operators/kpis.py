@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import KpiMeasure, StatusGroups
+from ..functions.checks import exact_avg, exact_sum
 from ..functions.timestamps import truncate
 from ..functions.vectors import magnitude
 
@@ -25,18 +26,23 @@ def fleet_vibration_rms(type_col: str = "equipment_type") -> Column:
 
 
 def measure_column(m: KpiMeasure) -> Column:
+    """Sums and means accumulate in fixed point (``exact_sum``/``exact_avg``)
+    so KPIs are identical whatever the partitioning; min/max are exact."""
     x = F.expr(m.expr)
     if m.agg == "avg":
-        out = F.avg(x)
+        out = exact_avg(x)
     elif m.agg == "max":
         out = F.max(x)
     elif m.agg == "min":
         out = F.min(x)
     elif m.agg == "sum":
+        out = exact_sum(x)
+    elif m.agg == "isum":
+        # integer counts stay integer
         out = F.sum(x)
     elif m.agg == "sum_if_gt":
         # NULL, not 0, when no value passes (reference semantics)
-        out = F.sum(F.when(x > F.lit(m.arg), x))
+        out = exact_sum(F.when(x > F.lit(m.arg), x))
     elif m.agg == "count_if":
         out = F.count_if(x)
     else:
@@ -80,7 +86,7 @@ def hourly_kpis(
         *status_counts(status_col, status),
         *[measure_column(m) for m in measures],
         F.sum(F.when(F.col("is_anomaly"), 1).otherwise(0)).alias("anomaly_count"),
-        F.avg("quality_score").alias("avg_quality_score"),
+        exact_avg("quality_score").alias("avg_quality_score"),
     ]
     out = df.groupBy(*keys).agg(*aggs)
     return out.withColumn(

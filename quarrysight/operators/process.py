@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import scores as S
-from ..functions.checks import band_label
+from ..functions.checks import band_label, exact_avg
 from ..functions.timestamps import parse_timestamp
 
 AIR_FLOW_COLS = tuple(f"flotation_col_0{i}_air_flow" for i in range(1, C.FLOTATION_COLUMNS + 1))
@@ -57,15 +57,15 @@ def flotation_hourly_quality(silver: DataFrame, as_of: Column, ts_col: str = "re
         "avg_iron_concentrate_pct": "iron_concentrate_pct",
         "avg_silica_concentrate_pct": silica_col,
     }
-    aggs = [F.round(F.avg(src), 4).alias(name) for name, src in means.items()]
+    aggs = [F.round(exact_avg(src), 4).alias(name) for name, src in means.items()]
     aggs += [
         F.round(F.min(silica_col), 4).alias("min_silica_concentrate_pct"),
         F.round(F.max(silica_col), 4).alias("max_silica_concentrate_pct"),
         F.sum(F.when(F.col("silica_above_threshold"), 1).otherwise(0)).alias("silica_breach_count"),
         F.count("*").alias("total_readings"),
-        F.round(F.avg("avg_air_flow"), 4).alias("avg_air_flow"),
-        F.round(F.avg("avg_column_level"), 4).alias("avg_column_level"),
-        F.round(F.avg(ph_col), 4).alias("avg_ore_pulp_ph"),
+        F.round(exact_avg("avg_air_flow"), 4).alias("avg_air_flow"),
+        F.round(exact_avg("avg_column_level"), 4).alias("avg_column_level"),
+        F.round(exact_avg(ph_col), 4).alias("avg_ore_pulp_ph"),
     ]
     out = silver.groupBy(F.col(date_col).alias("score_date"), F.hour(ts_col).alias("score_hour")).agg(*aggs)
     out = out.withColumn("silica_breach_rate_pct",

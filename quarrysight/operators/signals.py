@@ -11,6 +11,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .. import config as C
 from ..functions import scores as S
 from ..functions import signals as G
+from ..functions.checks import exact_avg
 
 FEATURE_COLUMNS = (
     "experiment_id", "bearing_id", "measurement_index", "timestamp",
@@ -87,8 +88,8 @@ def bearing_features(bronze: DataFrame, as_of: Column, signal_col: str = "vibrat
 
 def bearing_health_by_unit(features: DataFrame, keys: tuple[str, ...] = ("experiment_id", "bearing_id")) -> DataFrame:
     return features.groupBy(*keys).agg(
-        F.round(F.avg("bearing_health_index"), 2).alias("avg_health"),
+        F.round(exact_avg("bearing_health_index"), 2).alias("avg_health"),
         F.round(F.min("bearing_health_index"), 2).alias("min_health"),
-        F.round(F.avg("rms_amplitude"), 6).alias("avg_rms"),
+        F.round(exact_avg("rms_amplitude"), 6).alias("avg_rms"),
         F.count("*").alias("measurements"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.checks import band_label, severity_rank
+from ..functions.checks import band_label, exact_avg, exact_sum, severity_rank
 from ..operators.quality import latest, quality_distribution
 
 
@@ -23,7 +23,7 @@ def availability_latest(health: DataFrame) -> DataFrame:                      #
 
 
 def avg_health_latest(health: DataFrame) -> DataFrame:                        # B1.3
-    return latest(health).agg(F.round(F.avg("health_score"), 1).alias("avg_health_score"))
+    return latest(health).agg(F.round(exact_avg("health_score"), 1).alias("avg_health_score"))
 
 
 def open_critical_alerts(alerts: DataFrame) -> DataFrame:                     # B1.4
@@ -38,7 +38,7 @@ def status_distribution_latest(health: DataFrame) -> DataFrame:               #
 
 def daily_health_trend(health: DataFrame) -> DataFrame:                       # B1.6
     return health.groupBy("score_date").agg(
-        F.round(F.avg("health_score"), 2).alias("avg_health_score"),
+        F.round(exact_avg("health_score"), 2).alias("avg_health_score"),
         F.round(F.min("health_score"), 2).alias("min_health_score"),
         F.round(F.max("health_score"), 2).alias("max_health_score"),
     ).orderBy("score_date")
@@ -46,7 +46,7 @@ def daily_health_trend(health: DataFrame) -> DataFrame:                       #
 
 def utilization_by_type(kpis: DataFrame) -> DataFrame:                        # B1.7
     return kpis.groupBy("kpi_date", "equipment_type").agg(
-        F.round(F.avg("utilization_pct"), 2).alias("avg_utilization_pct")).orderBy("kpi_date", "equipment_type")
+        F.round(exact_avg("utilization_pct"), 2).alias("avg_utilization_pct")).orderBy("kpi_date", "equipment_type")
 
 
 def daily_anomalies_by_severity(events: DataFrame) -> DataFrame:              # B1.8
@@ -56,7 +56,7 @@ def daily_anomalies_by_severity(events: DataFrame) -> DataFrame:              #
 
 def daily_payload(kpis: DataFrame, type_value: str = "haul_truck") -> DataFrame:  # B1.9
     return kpis.filter(F.col("equipment_type") == type_value).groupBy("kpi_date").agg(
-        F.round(F.sum("total_payload_tonnes"), 0).alias("total_payload_tonnes")).orderBy("kpi_date")
+        F.round(exact_sum("total_payload_tonnes"), 0).alias("total_payload_tonnes")).orderBy("kpi_date")
 
 
 # ---------------------------------------------------------- page 2: drill
@@ -130,8 +130,8 @@ def anomalies_by_unit_severity(events: DataFrame) -> DataFrame:               #
 def anomalies_by_sensor(events: DataFrame) -> DataFrame:                      # B3.3
     return events.groupBy("sensor_name").agg(
         F.count("*").alias("event_count"),
-        F.round(F.avg("sensor_value"), 2).alias("avg_sensor_value"),
-        F.round(F.avg("threshold_value"), 2).alias("threshold"),
+        F.round(exact_avg("sensor_value"), 2).alias("avg_sensor_value"),
+        F.round(exact_avg("threshold_value"), 2).alias("threshold"),
     ).orderBy(F.desc("event_count"))
 
 

@@ -27,16 +27,26 @@ def sid(*parts: str) -> str:
     return f"sha256(concat_ws('|', {inner}))"
 
 
-def exact_avg_sql(x: str) -> str:
-    """Spark's ``avg(CAST(x AS DECIMAL(38,4)))``: the exact mean rounded
-    HALF_UP to 8 decimals, computed with integers (DuckDB divides decimals
-    in floating point)."""
-    s = f"CAST(sum(CAST({x} AS DECIMAL(38,4))) * 10000 AS HUGEINT)"
-    n = f"CAST(count({x}) AS HUGEINT)"
-    return (f"(CASE WHEN {s} >= 0 THEN (2 * {s} * 10000 + {n}) // (2 * {n}) "
-            f"ELSE -((2 * (-{s}) * 10000 + {n}) // (2 * {n})) END) / 100000000.0")
+def xdec(x: str) -> str:
+    """Spark's ``CAST(double AS DECIMAL(38,6))``: HALF_UP on the decimal text."""
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), 6) AS DECIMAL(38,6))"
 
 
+def xsum(x: str) -> str:
+    """``functions.checks.exact_sum``: fixed-point sum, as double."""
+    return f"CAST(sum({xdec(x)}) AS DOUBLE)"
+
+
+def xavg(x: str) -> str:
+    """``functions.checks.exact_avg``: Spark's ``avg(DECIMAL(38,6))`` - the
+    exact mean rounded HALF_UP to 10 decimals - computed with integers
+    (DuckDB divides decimals in floating point)."""
+    s = f"CAST(sum({xdec(x)}) * 1000000 AS HUGEINT)"
+    n = f"CAST(count({xdec(x)}) AS HUGEINT)"
+    q = (f"CASE WHEN {s} >= 0 THEN (2 * {s} * 10000 + {n}) // (2 * {n}) "
+         f"ELSE -((2 * (-{s}) * 10000 + {n}) // (2 * {n})) END")
+    return f"(CASE WHEN {n} > 0 THEN CAST({q} AS DOUBLE) / 10000000000.0 END)"
+
 def viol(r: RangeRule) -> str:
     return f"({r.column} IS NOT NULL AND ({r.column} < {r.lo} OR {r.column} > {r.hi}))"
 
@@ -183,21 +193,21 @@ ev_kpi0 AS (
          CAST(sum(CASE WHEN operating_status IN ('click', 'purchase') THEN 1 ELSE 0 END) AS BIGINT) AS operating_readings,
          CAST(sum(CASE WHEN operating_status IN ('view') THEN 1 ELSE 0 END) AS BIGINT) AS idle_readings,
          CAST(sum(CASE WHEN contains(operating_status, 'error') THEN 1 ELSE 0 END) AS BIGINT) AS down_readings,
-         avg(value) AS avg_value, max(value) AS max_value, avg(k / 10) AS avg_k_tenths,
-         avg(value / 50) AS avg_vib, max(value / 50) AS max_vib,
-         sum(CASE WHEN value > 100.0 THEN value END) AS total_payload_tonnes,
+         {xavg("value")} AS avg_value, max(value) AS max_value, {xavg("k / 10")} AS avg_k_tenths,
+         {xavg("value / 50")} AS avg_vib, max(value / 50) AS max_vib,
+         {xsum("CASE WHEN value > 100.0 THEN value END")} AS total_payload_tonnes,
          CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
-         avg(quality_score) AS avg_quality_score
+         {xavg("quality_score")} AS avg_quality_score
   FROM ev_silver GROUP BY ALL),
 ev_kpi AS (
   SELECT *, {sr("operating_readings / total_readings * 100", 2)} AS utilization_pct FROM ev_kpi0),
 ev_daily AS (
   SELECT equipment_id, equipment_type, kpi_date, site_location,
-         avg(avg_value) AS daily_avg_temp, max(max_value) AS daily_max_temp,
-         avg(avg_k_tenths) AS daily_avg_oil_press, avg(avg_value) AS daily_avg_hyd_press,
-         avg(avg_vib) AS daily_avg_vib, max(max_vib) AS daily_max_vib,
-         avg(utilization_pct) AS daily_utilization, CAST(sum(anomaly_count) AS BIGINT) AS daily_anomaly_count,
-         avg(avg_quality_score) AS daily_avg_quality
+         {xavg("avg_value")} AS daily_avg_temp, max(max_value) AS daily_max_temp,
+         {xavg("avg_k_tenths")} AS daily_avg_oil_press, {xavg("avg_value")} AS daily_avg_hyd_press,
+         {xavg("avg_vib")} AS daily_avg_vib, max(max_vib) AS daily_max_vib,
+         {xavg("utilization_pct")} AS daily_utilization, CAST(sum(anomaly_count) AS BIGINT) AS daily_anomaly_count,
+         {xavg("avg_quality_score")} AS daily_avg_quality
   FROM ev_kpi GROUP BY ALL),
 ev_lim AS (
   SELECT d.*, r.max_engine_temp_c AS max_safe_temp FROM ev_daily d LEFT JOIN ev_reg r USING (equipment_id)),
@@ -275,7 +285,7 @@ EV_ROLLUP_COLS = [m.name for m in B.EV_ROLLUP]
 
 
 def r6(cols) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    return ", ".join(f"{sr(c, 6)} AS {c}" for c in cols)
 
 
 FLEET = f"""
@@ -283,7 +293,7 @@ fh AS (
   SELECT score_date, site_location, CAST(count(*) AS BIGINT) AS total_equipment,
          CAST(sum(CASE WHEN health_status != 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS active_equipment,
          CAST(sum(CASE WHEN health_status = 'critical' THEN 1 ELSE 0 END) AS BIGINT) AS down_equipment,
-         {exact_avg_sql("health_score")} AS avg_fleet_health_score
+         {xavg("health_score")} AS avg_fleet_health_score
   FROM ev_health GROUP BY ALL)"""
 
 
@@ -302,8 +312,8 @@ ac AS (
   FROM alert_site GROUP BY ALL),
 kd AS (
   SELECT kpi_date AS k_date, site_location AS k_site,
-         CAST(sum(CAST(total_payload_tonnes AS DECIMAL(38,4))) AS DOUBLE) AS total_payload_tonnes,
-         {exact_avg_sql("utilization_pct")} AS avg_utilization_pct, CAST(sum(anomaly_count) AS BIGINT) AS total_anomalies
+         {xsum("total_payload_tonnes")} AS total_payload_tonnes,
+         {xavg("utilization_pct")} AS avg_utilization_pct, CAST(sum(anomaly_count) AS BIGINT) AS total_anomalies
   FROM ev_kpi GROUP BY ALL),
 j AS (
   SELECT * FROM fh
@@ -317,8 +327,8 @@ ac AS (
          CAST(sum(CASE WHEN severity = 'warning' THEN 1 ELSE 0 END) AS BIGINT) AS warning_alerts
   FROM ev_alerts GROUP BY ALL),
 kd AS (
-  SELECT kpi_date AS k_date, CAST(sum(CAST(total_payload_tonnes AS DECIMAL(38,4))) AS DOUBLE) AS total_payload_tonnes,
-         {exact_avg_sql("utilization_pct")} AS avg_utilization_pct, CAST(sum(anomaly_count) AS BIGINT) AS total_anomalies
+  SELECT kpi_date AS k_date, {xsum("total_payload_tonnes")} AS total_payload_tonnes,
+         {xavg("utilization_pct")} AS avg_utilization_pct, CAST(sum(anomaly_count) AS BIGINT) AS total_anomalies
   FROM ev_kpi GROUP BY ALL),
 j AS (
   SELECT * FROM fh LEFT JOIN ac ON fh.score_date = ac.a_date LEFT JOIN kd ON fh.score_date = kd.k_date)"""
@@ -363,15 +373,15 @@ fl_silver AS (
   WHERE reading_timestamp IS NOT NULL),
 fl_q0 AS (
   SELECT reading_date AS score_date, CAST(hour(reading_timestamp) AS INTEGER) AS score_hour,
-         {sr("avg(iron_feed_pct)", 4)} AS avg_iron_feed_pct, {sr("avg(silica_feed_pct)", 4)} AS avg_silica_feed_pct,
-         {sr("avg(iron_concentrate_pct)", 4)} AS avg_iron_concentrate_pct,
-         {sr("avg(silica_concentrate_pct)", 4)} AS avg_silica_concentrate_pct,
+         {sr(xavg("iron_feed_pct"), 4)} AS avg_iron_feed_pct, {sr(xavg("silica_feed_pct"), 4)} AS avg_silica_feed_pct,
+         {sr(xavg("iron_concentrate_pct"), 4)} AS avg_iron_concentrate_pct,
+         {sr(xavg("silica_concentrate_pct"), 4)} AS avg_silica_concentrate_pct,
          {sr("min(silica_concentrate_pct)", 4)} AS min_silica_concentrate_pct,
          {sr("max(silica_concentrate_pct)", 4)} AS max_silica_concentrate_pct,
          CAST(sum(CASE WHEN silica_above_threshold THEN 1 ELSE 0 END) AS BIGINT) AS silica_breach_count,
          CAST(count(*) AS BIGINT) AS total_readings,
-         {sr("avg(avg_air_flow)", 4)} AS avg_air_flow, {sr("avg(avg_column_level)", 4)} AS avg_column_level,
-         {sr("avg(ore_pulp_ph)", 4)} AS avg_ore_pulp_ph
+         {sr(xavg("avg_air_flow"), 4)} AS avg_air_flow, {sr(xavg("avg_column_level"), 4)} AS avg_column_level,
+         {sr(xavg("ore_pulp_ph"), 4)} AS avg_ore_pulp_ph
   FROM fl_silver GROUP BY ALL),
 fl_q AS (
   SELECT *, {sr("100 - silica_breach_rate_pct * 0.5 - greatest(0, (avg_silica_concentrate_pct - 2.0) * 10.0)", 2)}
@@ -454,7 +464,7 @@ FROM li_ev GROUP BY 1, 2"""
 ORACLE["hourly_kpis"] = EV + f"""
 SELECT equipment_id, equipment_type, kpi_hour, kpi_date, site_location, total_readings, operating_readings,
        idle_readings, down_readings, {r6(EV_MEASURE_COLS)}, anomaly_count,
-       round(avg_quality_score, 6) AS avg_quality_score, utilization_pct
+       {sr("avg_quality_score", 6)} AS avg_quality_score, utilization_pct
 FROM ev_kpi"""
 
 ORACLE["daily_rollup"] = EV + f"""
@@ -517,7 +527,7 @@ SELECT CAST(b AS BIGINT) AS bronze_records, CAST(s AS BIGINT) AS silver_records,
 FROM cnt"""
 
 ORACLE["latency_stats"] = EV + f"""
-SELECT avg(lag) AS avg_lag_sec, max(lag) AS max_lag_sec, min(lag) AS min_lag_sec,
+SELECT {xavg("lag")} AS avg_lag_sec, max(lag) AS max_lag_sec, min(lag) AS min_lag_sec,
        quantile_disc(lag, {C.LATENCY_PERCENTILE}) AS p95_lag_sec
 FROM (SELECT (epoch_us(TIMESTAMP '{B.AS_OF_TEXT}') - epoch_us(ingestion_timestamp)) // 1000000 AS lag FROM ev_silver)"""
 
@@ -576,9 +586,9 @@ SELECT CASE flag WHEN 'quality' THEN '{B.LABEL_FLAGS["quality"]}' WHEN 'toxic' T
        {sr("p1", 2)} AS temp_threshold_k, {sr("p2", 2)} AS torque_threshold_nm, {sr("p3", 2)} AS wear_threshold_min
 FROM (
   SELECT flag, CAST(count(*) FILTER (WHERE hit = 1) AS BIGINT) AS failure_count, CAST(count(*) AS BIGINT) AS total_records,
-         avg(air) FILTER (WHERE hit = 1) AS a1, avg(proc) FILTER (WHERE hit = 1) AS a2,
-         avg(rpm) FILTER (WHERE hit = 1) AS a3, avg(torque) FILTER (WHERE hit = 1) AS a4,
-         avg(wear) FILTER (WHERE hit = 1) AS a5,
+         {xavg("CASE WHEN hit = 1 THEN air END")} AS a1, {xavg("CASE WHEN hit = 1 THEN proc END")} AS a2,
+         {xavg("CASE WHEN hit = 1 THEN rpm END")} AS a3, {xavg("CASE WHEN hit = 1 THEN torque END")} AS a4,
+         {xavg("CASE WHEN hit = 1 THEN wear END")} AS a5,
          quantile_disc(proc, {C.FAILURE_PERCENTILE}) FILTER (WHERE hit = 1) AS p1,
          quantile_disc(torque, {C.FAILURE_PERCENTILE}) FILTER (WHERE hit = 1) AS p2,
          quantile_disc(wear, {C.FAILURE_PERCENTILE}) FILTER (WHERE hit = 1) AS p3
@@ -601,8 +611,8 @@ SELECT measurement_index, CASE WHEN m2 > 0 THEN {sr("m4 / pow(m2, 2)", 6)} END A
        CASE WHEN m2 > 0 THEN {sr("m3 / pow(m2, 1.5)", 6)} END AS skewness FROM c"""
 
 ORACLE["bearing_health"] = with_(SIG) + f"""
-SELECT experiment_id, {sr("avg(bearing_health_index)", 2)} AS avg_health, {sr("min(bearing_health_index)", 2)} AS min_health,
-       {sr("avg(rms_amplitude)", 6)} AS avg_rms, CAST(count(*) AS BIGINT) AS measurements
+SELECT experiment_id, {sr(xavg("bearing_health_index"), 2)} AS avg_health, {sr("min(bearing_health_index)", 2)} AS min_health,
+       {sr(xavg("rms_amplitude"), 6)} AS avg_rms, CAST(count(*) AS BIGINT) AS measurements
 FROM sig3 GROUP BY experiment_id"""
 
 ORACLE["decimal_comma"] = """
@@ -626,10 +636,10 @@ WITH w AS (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, user_id,
          CAST(count(*) AS BIGINT) AS total_readings,
          CAST(sum(CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END) AS BIGINT) AS operating_readings,
-         avg(value) AS avg_value, max(value) AS max_value
+         {xavg("value")} AS avg_value, max(value) AS max_value
   FROM events GROUP BY 1, 2)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, user_id, total_readings, operating_readings,
-       {sr("operating_readings / total_readings * 100", 2)} AS utilization_pct, round(avg_value, 6) AS avg_value, max_value
+       {sr("operating_readings / total_readings * 100", 2)} AS utilization_pct, {sr("avg_value", 6)} AS avg_value, max_value
 FROM w
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
 
@@ -651,7 +661,7 @@ z AS (
   SELECT x.equipment_id, x.ts, x.value, s.mu, (x.value - s.mu) / s.sd AS z
   FROM x JOIN stats s ON x.equipment_id = s.equipment_id AND x.h = s.h WHERE s.sd > 0)
 SELECT equipment_id, ts AS event_timestamp, CASE WHEN abs(z) > 5.0 THEN 'critical' ELSE 'warning' END AS severity,
-       value AS sensor_value, round(mu, 6) AS baseline_mean, round(z, 6) AS z_score
+       value AS sensor_value, {sr("mu", 6)} AS baseline_mean, {sr("z", 6)} AS z_score
 FROM z WHERE abs(z) > 2.5"""
 
 ORACLE["rate_of_change"] = f"""

@@ -138,6 +138,32 @@ def read_registry_csv(spark: SparkSession, path: str, schema: StructType | None
     return df
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A layer table (parquet directory)."""
-    return spark.read.parquet(path)
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (file-system metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+# below this a table is too small for spreading its rows to pay off
+REBALANCE_MIN_BYTES = 1 << 20
+_REBALANCE: dict[tuple[str, int], bool] = {}
+
+
+def read_table(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """A layer table (parquet file or directory).
+
+    When the scan yields fewer input splits than ``min_partitions`` (default:
+    the session's parallelism) - a table stored as a single row group - and
+    the table is not tiny, the rows are spread round-robin so the per-row
+    work after the scan runs on every core. A large table already has more
+    splits than cores, so at scale this adds nothing: no shuffle, same plan.
+    """
+    df = spark.read.parquet(path)
+    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
+    key = (path, want)
+    if key not in _REBALANCE:
+        _REBALANCE[key] = (want > 1 and path_bytes(spark, path) >= REBALANCE_MIN_BYTES
+                           and df.rdd.getNumPartitions() < want)
+    return df.repartition(want) if _REBALANCE[key] else df

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.checks import exact_avg
+
 
 def hourly_window_kpis(stream: DataFrame, ts_col: str, unit_col: str, value_col: str, status_col: str,
                        operating: tuple[str, ...], watermark: str = "2 hours",
@@ -21,7 +23,7 @@ def hourly_window_kpis(stream: DataFrame, ts_col: str, unit_col: str, value_col:
     g = df.groupBy(F.window(ts_col, "1 hour").alias("w"), F.col(unit_col)).agg(
         F.count("*").alias("total_readings"),
         F.sum(F.when(F.col(status_col).isin(*operating), 1).otherwise(0)).alias("operating_readings"),
-        F.avg(value_col).alias("avg_value"),
+        exact_avg(value_col).alias("avg_value"),
         F.max(value_col).alias("max_value"),
     )
     return g.select(
