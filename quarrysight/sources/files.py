@@ -91,7 +91,8 @@ def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
     within its experiment, computed on the narrow (experiment, file) table
     and joined back, so no window carries signal arrays.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(root) \
+    # keyword form: ``text()`` resets ``wholetext`` to its default otherwise
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True) \
         .select(F.col("value"), F.col("_metadata.file_path").alias("path"))
     parts = F.split(F.col("path"), "/")
     exp_name = F.element_at(parts, -2)
@@ -104,11 +105,12 @@ def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
         (F.dense_rank().over(Window.partitionBy("experiment_id").orderBy("timestamp", "path")) - 1).cast("int"))
     lines = F.filter(F.split(F.col("value"), "\r?\n"), lambda l: F.length(F.trim(l)) > 0)
     rows = F.transform(lines, lambda l: F.split(F.trim(l), "\t"))
+    def column(b: int):
+        # a one-argument lambda: ``transform`` reads a second one as the index
+        return lambda r: F.get(r, b).try_cast("double")
+
     per_bearing = [
-        F.slice(
-            F.filter(F.transform(rows, lambda r, b=b: F.get(r, b).try_cast("double")), lambda x: x.isNotNull()),
-            1, max_samples,
-        )
+        F.slice(F.filter(F.transform(rows, column(b)), lambda x: x.isNotNull()), 1, max_samples)
         for b in range(bearings)
     ]
     sig = files.select(

@@ -79,4 +79,5 @@ def enforce_contract(df: DataFrame, c: Contract) -> tuple[DataFrame, DataFrame]:
 def assert_contract(df: DataFrame, c: Contract) -> DataFrame:
     """Strict form: the first violating row fails the job (``raise_error``)."""
     shaped, _ = enforce_contract(df, Contract(types=c.types, defaults=c.defaults))
-    return shaped.withColumn("_ok", F.when(_violation(c), F.raise_error(F.lit("table contract violated")))).drop("_ok")
+    # a predicate, not a projected column: a dropped column would be pruned
+    return shaped.filter(F.when(_violation(c), F.raise_error(F.lit("table contract violated"))).otherwise(F.lit(True)))
