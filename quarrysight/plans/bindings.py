@@ -684,3 +684,181 @@ QUERIES = {
     "spectral_features": q_spectral_features,
     "table_stats": q_table_stats,
 }
+
+
+# ======================================================== report queries
+def _li_quar(spark, sf_dir):
+    return CL.quarantine_records(li_raw(spark, sf_dir), as_of(), LI_SPEC)
+
+
+def q_total_units_latest(spark, sf_dir):                      # B1.1 / A12
+    return DB.total_units_latest(ev_health(spark, sf_dir))
+
+
+def q_availability_latest(spark, sf_dir):                     # B1.2
+    return DB.availability_latest(ev_health(spark, sf_dir))
+
+
+def q_avg_health_latest(spark, sf_dir):                       # B1.3
+    return DB.avg_health_latest(ev_health(spark, sf_dir))
+
+
+def q_open_critical_alerts(spark, sf_dir):                    # B1.4
+    return DB.open_critical_alerts(ev_alerts(spark, sf_dir))
+
+
+def q_status_distribution(spark, sf_dir):                     # B1.5
+    return DB.status_distribution_latest(ev_health(spark, sf_dir))
+
+
+def q_daily_health_trend(spark, sf_dir):                      # B1.6
+    return DB.daily_health_trend(ev_health(spark, sf_dir))
+
+
+def q_utilization_by_type(spark, sf_dir):                     # B1.7
+    return DB.utilization_by_type(li_kpis(spark, sf_dir))
+
+
+def q_daily_payload(spark, sf_dir):                           # B1.9
+    return DB.daily_payload(li_kpis(spark, sf_dir), "F")
+
+
+def q_score_history(spark, sf_dir):                           # B2.2
+    return DB.score_history(ev_health(spark, sf_dir))
+
+
+def q_kpi_trend_quantity(spark, sf_dir):                      # B2.4 form
+    return DB.hourly_trend(li_kpis(spark, sf_dir), "F", {"avg_quantity": ("avg_quantity", 2),
+                                                         "max_quantity": ("max_quantity", 2)}, "avg_quantity")
+
+
+def q_kpi_trend_rates(spark, sf_dir):                         # B2.5 form
+    return DB.hourly_trend(li_kpis(spark, sf_dir), "O", {"avg_discount_pct": ("avg_discount_pct", 3),
+                                                         "max_tax_pct": ("max_tax_pct", 3)}, "avg_discount_pct")
+
+
+def q_kpi_price_vs_quantity(spark, sf_dir):                   # B2.6 form
+    return DB.hourly_trend(li_kpis(spark, sf_dir), "O",
+                           {"avg_price_k": ("avg_price_k", 2), "avg_discount_pct": ("avg_discount_pct", 2),
+                            "avg_quantity": ("avg_quantity", 1)}, "avg_price_k",
+                           keys=("equipment_id", "kpi_hour"), order=("kpi_hour",))
+
+
+def q_kpi_trend_events(spark, sf_dir):                        # B2.7 form
+    return DB.hourly_trend(ev_kpis(spark, sf_dir), "user", {"avg_value": ("avg_value", 1),
+                                                            "avg_k_tenths": ("avg_k_tenths", 1)}, "avg_value")
+
+
+def q_open_alerts(spark, sf_dir):                             # B3.1
+    return DB.open_alerts(ev_alerts(spark, sf_dir))
+
+
+def q_anomalies_by_unit_severity(spark, sf_dir):              # B3.2
+    return DB.anomalies_by_unit_severity(li_events(spark, sf_dir))
+
+
+def q_anomalies_by_sensor(spark, sf_dir):                     # B3.3
+    return DB.anomalies_by_sensor(li_events(spark, sf_dir))
+
+
+def q_anomaly_timeline(spark, sf_dir):                        # B3.4
+    return DB.anomaly_timeline(li_events(spark, sf_dir))
+
+
+def q_alerts_by_unit_type(spark, sf_dir):                     # B3.5
+    return DB.alerts_by_unit_type(ev_alerts(spark, sf_dir))
+
+
+def q_row_counts(spark, sf_dir):                              # B4.1
+    raw = li_raw(spark, sf_dir)
+    h = materialize(spark, ev_health(spark, sf_dir))
+    return DB.row_counts({
+        "Bronze - Sensor Readings": raw,
+        "Silver - Cleaned Readings": li_silver(spark, sf_dir),
+        "Silver - Quarantine": CL.quarantine_records(raw, as_of(), LI_SPEC),
+        "Silver - Anomaly Events": li_events(spark, sf_dir),
+        "Gold - Hourly KPIs": ev_kpis(spark, sf_dir),
+        "Gold - Health Scores": h,
+        "Gold - Alerts": AL.all_alerts(h, as_of()),
+    })
+
+
+def q_layer_counts(spark, sf_dir):                            # M1
+    return QU.layer_counts(spark, {
+        "raw_sensor_readings": li_raw(spark, sf_dir),
+        "raw_flotation_readings": orders_flotation(spark, sf_dir),
+        "raw_maintenance_labels": labelled_records(spark, sf_dir),
+        "raw_bearing_vibration": None,       # not landed: reported as NULL
+    })
+
+
+def q_quarantine_reasons(spark, sf_dir):                      # B4.4
+    ev_q = CL.quarantine_records(ev_raw(spark, sf_dir), as_of(), EV_SPEC)
+    return DB.quarantine_reasons(_li_quar(spark, sf_dir).unionByName(ev_q))
+
+
+def q_rows_per_type(spark, sf_dir):                           # B4.6
+    return DB.rows_per_type(li_silver(spark, sf_dir))
+
+
+def q_rows_per_ingestion_day(spark, sf_dir):                  # B4.7
+    raw = ev_raw(spark, sf_dir).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+    return DB.rows_per_ingestion_day(raw)
+
+
+def q_silica_trend(spark, sf_dir):                            # B5.1
+    return DB.silica_trend(flotation_quality(spark, sf_dir), 500)
+
+
+def q_iron_vs_silica(spark, sf_dir):                          # B5.3
+    return DB.iron_vs_silica(flotation_quality(spark, sf_dir), 1000)
+
+
+def q_failure_types(spark, sf_dir):                           # B5.4
+    preds = FA.failure_calibration(labelled_records(spark, sf_dir), as_of(), flags=LABEL_FLAGS)
+    return DB.failure_types(preds)
+
+
+def q_active_alerts(spark, sf_dir):                           # M7
+    return QU.active_alerts(ev_alerts(spark, sf_dir))
+
+
+def q_critical_equipment(spark, sf_dir):                      # M9
+    return QU.critical_equipment(ev_health(spark, sf_dir))
+
+
+def q_status_counts(spark, sf_dir):                           # A10
+    return QU.count_by(li_silver(spark, sf_dir), "equipment_type", "operating_status", name="records")
+
+
+QUERIES.update({
+    "total_units_latest": q_total_units_latest,
+    "availability_latest": q_availability_latest,
+    "avg_health_latest": q_avg_health_latest,
+    "open_critical_alerts": q_open_critical_alerts,
+    "status_distribution": q_status_distribution,
+    "daily_health_trend": q_daily_health_trend,
+    "utilization_by_type": q_utilization_by_type,
+    "daily_payload": q_daily_payload,
+    "score_history": q_score_history,
+    "kpi_trend_quantity": q_kpi_trend_quantity,
+    "kpi_trend_rates": q_kpi_trend_rates,
+    "kpi_price_vs_quantity": q_kpi_price_vs_quantity,
+    "kpi_trend_events": q_kpi_trend_events,
+    "open_alerts": q_open_alerts,
+    "anomalies_by_unit_severity": q_anomalies_by_unit_severity,
+    "anomalies_by_sensor": q_anomalies_by_sensor,
+    "anomaly_timeline": q_anomaly_timeline,
+    "alerts_by_unit_type": q_alerts_by_unit_type,
+    "row_counts": q_row_counts,
+    "layer_counts": q_layer_counts,
+    "quarantine_reasons": q_quarantine_reasons,
+    "rows_per_type": q_rows_per_type,
+    "rows_per_ingestion_day": q_rows_per_ingestion_day,
+    "silica_trend": q_silica_trend,
+    "iron_vs_silica": q_iron_vs_silica,
+    "failure_types": q_failure_types,
+    "active_alerts": q_active_alerts,
+    "critical_equipment": q_critical_equipment,
+    "status_counts": q_status_counts,
+})

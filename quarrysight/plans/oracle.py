@@ -681,3 +681,147 @@ SELECT {sid("equipment_id", "kpi_date", "site_location", "'anomaly_frequency'")}
        'Equipment ' || equipment_id || ' flagged ' || CAST(daily_anomaly_count AS VARCHAR) || ' readings (limit 1).'
          AS description
 FROM ev_daily WHERE daily_anomaly_count > 1"""
+
+
+# ------------------------------------------------------------ report queries
+LI_KPI = f"""
+li_kpi0 AS (
+  SELECT equipment_id, equipment_type, date_trunc('day', reading_timestamp) AS kpi_hour,
+         CAST(reading_timestamp AS DATE) AS kpi_date, site_location,
+         CAST(count(*) AS BIGINT) AS total_readings,
+         CAST(sum(CASE WHEN operating_status IN ('N') THEN 1 ELSE 0 END) AS BIGINT) AS operating_readings,
+         CAST(sum(CASE WHEN operating_status IN ('A') THEN 1 ELSE 0 END) AS BIGINT) AS idle_readings,
+         CAST(sum(CASE WHEN contains(operating_status, 'R') THEN 1 ELSE 0 END) AS BIGINT) AS down_readings,
+         {xavg("l_quantity")} AS avg_quantity, max(l_quantity) AS max_quantity,
+         {xavg("l_discount * 100")} AS avg_discount_pct, {xavg("l_extendedprice / 1000")} AS avg_price_k,
+         max(l_tax * 100) AS max_tax_pct,
+         {xsum("CASE WHEN l_quantity > 10.0 THEN l_quantity END")} AS total_payload_tonnes,
+         CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
+         {xavg("quality_score")} AS avg_quality_score
+  FROM li_silver GROUP BY ALL),
+li_kpi AS (
+  SELECT *, {sr("operating_readings / total_readings * 100", 2)} AS utilization_pct FROM li_kpi0)"""
+
+LIK = with_(LI_SILVER, LI_KPI)
+EV_QUAR = """
+ev_quar AS (
+  SELECT equipment_id, equipment_type, "timestamp" AS raw_timestamp,
+         CASE WHEN parsed_ts IS NULL THEN 'invalid_timestamp' ELSE 'out_of_range_hard_limit' END AS quarantine_reason
+  FROM ev_p WHERE parsed_ts IS NULL OR hard_violation)"""
+
+ORACLE["total_units_latest"] = EV + f"""
+SELECT CAST(count(DISTINCT equipment_id) AS BIGINT) AS total_equipment FROM ev_health WHERE score_date = {LATEST}"""
+
+ORACLE["availability_latest"] = EV + f"""
+SELECT {sr("CAST(sum(CASE WHEN health_status != 'critical' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count(*)", 1)}
+         AS fleet_availability_pct
+FROM ev_health WHERE score_date = {LATEST}"""
+
+ORACLE["avg_health_latest"] = EV + f"""
+SELECT {sr(xavg("health_score"), 1)} AS avg_health_score FROM ev_health WHERE score_date = {LATEST}"""
+
+ORACLE["open_critical_alerts"] = EV + """
+SELECT CAST(count(*) AS BIGINT) AS critical_alerts FROM ev_alerts WHERE severity = 'critical' AND acknowledged = FALSE"""
+
+ORACLE["status_distribution"] = EV + f"""
+SELECT health_status, CAST(count(*) AS BIGINT) AS equipment_count FROM ev_health WHERE score_date = {LATEST}
+GROUP BY health_status"""
+
+ORACLE["daily_health_trend"] = EV + f"""
+SELECT score_date, {sr(xavg("health_score"), 2)} AS avg_health_score, {sr("min(health_score)", 2)} AS min_health_score,
+       {sr("max(health_score)", 2)} AS max_health_score
+FROM ev_health GROUP BY score_date"""
+
+ORACLE["utilization_by_type"] = LIK + f"""
+SELECT kpi_date, equipment_type, {sr(xavg("utilization_pct"), 2)} AS avg_utilization_pct FROM li_kpi GROUP BY 1, 2"""
+
+ORACLE["daily_payload"] = LIK + f"""
+SELECT kpi_date, {sr(xsum("total_payload_tonnes"), 0)} AS total_payload_tonnes FROM li_kpi
+WHERE equipment_type = 'F' GROUP BY kpi_date"""
+
+ORACLE["score_history"] = EV + "\nSELECT score_date, equipment_id, health_score FROM ev_health"
+
+ORACLE["kpi_trend_quantity"] = LIK + f"""
+SELECT kpi_hour, equipment_id, {sr("avg_quantity", 2)} AS avg_quantity, {sr("max_quantity", 2)} AS max_quantity
+FROM li_kpi WHERE equipment_type = 'F' AND avg_quantity IS NOT NULL"""
+
+ORACLE["kpi_trend_rates"] = LIK + f"""
+SELECT kpi_hour, equipment_id, {sr("avg_discount_pct", 3)} AS avg_discount_pct, {sr("max_tax_pct", 3)} AS max_tax_pct
+FROM li_kpi WHERE equipment_type = 'O' AND avg_discount_pct IS NOT NULL"""
+
+ORACLE["kpi_price_vs_quantity"] = LIK + f"""
+SELECT equipment_id, kpi_hour, {sr("avg_price_k", 2)} AS avg_price_k, {sr("avg_discount_pct", 2)} AS avg_discount_pct,
+       {sr("avg_quantity", 1)} AS avg_quantity
+FROM li_kpi WHERE equipment_type = 'O' AND avg_price_k IS NOT NULL"""
+
+ORACLE["kpi_trend_events"] = EV + f"""
+SELECT kpi_hour, equipment_id, {sr("avg_value", 1)} AS avg_value, {sr("avg_k_tenths", 1)} AS avg_k_tenths
+FROM ev_kpi WHERE equipment_type = 'user' AND avg_value IS NOT NULL"""
+
+ORACLE["open_alerts"] = EV + f"""
+SELECT alert_id, equipment_id, equipment_type, severity, alert_type, title, description, recommended_action,
+       {sr("health_score", 1)} AS health_score, TIMESTAMP '{B.AS_OF_TEXT}' AS alert_timestamp
+FROM ev_alerts WHERE acknowledged = FALSE"""
+
+ORACLE["anomalies_by_unit_severity"] = LIE + """
+SELECT equipment_id, severity, CAST(count(*) AS BIGINT) AS anomaly_count FROM li_ev GROUP BY 1, 2"""
+
+ORACLE["anomalies_by_sensor"] = LIE + f"""
+SELECT sensor_name, CAST(count(*) AS BIGINT) AS event_count, {sr(xavg("sensor_value"), 2)} AS avg_sensor_value,
+       {sr(xavg("threshold_value"), 2)} AS threshold
+FROM li_ev GROUP BY sensor_name"""
+
+ORACLE["anomaly_timeline"] = LIE + """
+SELECT CAST(event_timestamp AS DATE) AS event_date, equipment_id, CAST(count(*) AS BIGINT) AS anomaly_count
+FROM li_ev GROUP BY 1, 2"""
+
+ORACLE["alerts_by_unit_type"] = EV + """
+SELECT equipment_id, alert_type, CAST(count(*) AS BIGINT) AS alert_count FROM ev_alerts GROUP BY 1, 2"""
+
+ORACLE["row_counts"] = with_(LI_EVENTS, EV_BASE) + """
+SELECT 'Bronze - Sensor Readings' AS table_name, CAST(count(*) AS BIGINT) AS records FROM li_raw
+UNION ALL SELECT 'Silver - Cleaned Readings', CAST(count(*) AS BIGINT) FROM li_silver
+UNION ALL SELECT 'Silver - Quarantine', CAST(count(*) AS BIGINT) FROM li_quar
+UNION ALL SELECT 'Silver - Anomaly Events', CAST(count(*) AS BIGINT) FROM li_ev
+UNION ALL SELECT 'Gold - Hourly KPIs', CAST(count(*) AS BIGINT) FROM ev_kpi
+UNION ALL SELECT 'Gold - Health Scores', CAST(count(*) AS BIGINT) FROM ev_health
+UNION ALL SELECT 'Gold - Alerts', CAST(count(*) AS BIGINT) FROM ev_alerts"""
+
+ORACLE["layer_counts"] = """
+SELECT 'raw_sensor_readings' AS table_name, CAST(count(*) AS BIGINT) AS records FROM lineitem
+UNION ALL SELECT 'raw_flotation_readings', CAST(count(*) AS BIGINT) FROM orders
+UNION ALL SELECT 'raw_maintenance_labels', CAST(count(*) AS BIGINT) FROM labels
+UNION ALL SELECT 'raw_bearing_vibration', CAST(NULL AS BIGINT)"""
+
+ORACLE["quarantine_reasons"] = with_(LI_BASE, EV_BASE, EV_QUAR) + """
+SELECT quarantine_reason, CAST(count(*) AS BIGINT) AS records FROM (
+  SELECT quarantine_reason FROM li_quar UNION ALL SELECT quarantine_reason FROM ev_quar) GROUP BY 1"""
+
+ORACLE["rows_per_type"] = LI + """
+SELECT equipment_type, CAST(count(*) AS BIGINT) AS record_count FROM li_silver GROUP BY 1"""
+
+ORACLE["rows_per_ingestion_day"] = """
+SELECT CAST(ts AS DATE) AS ingestion_date, CAST(count(*) AS BIGINT) AS records_ingested FROM events GROUP BY 1"""
+
+ORACLE["silica_trend"] = with_(FLOT) + """
+SELECT score_date, score_hour, avg_silica_concentrate_pct, process_quality_score, silica_breach_rate_pct
+FROM fl_q ORDER BY score_date, score_hour LIMIT 500"""
+
+ORACLE["iron_vs_silica"] = with_(FLOT) + """
+SELECT avg_iron_concentrate_pct, avg_silica_concentrate_pct, process_quality_score
+FROM fl_q ORDER BY score_date, score_hour LIMIT 1000"""
+
+ORACLE["failure_types"] = "SELECT failure_type, failure_count, failure_rate_pct, temp_threshold_k, " \
+    "torque_threshold_nm, wear_threshold_min FROM (" + ORACLE["failure_calibration"] + ")"
+
+ORACLE["active_alerts"] = EV + """
+SELECT alert_id, equipment_id, severity, alert_type, title, recommended_action, health_score
+FROM ev_alerts WHERE acknowledged = FALSE"""
+
+ORACLE["critical_equipment"] = EV + """
+SELECT equipment_id, equipment_type, score_date, health_score, health_status, health_trend,
+       days_to_maintenance_estimate
+FROM ev_health WHERE health_status IN ('critical', 'warning')"""
+
+ORACLE["status_counts"] = LI + """
+SELECT equipment_type, operating_status, CAST(count(*) AS BIGINT) AS records FROM li_silver GROUP BY 1, 2"""
