@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 # A dimension side is broadcast only when it is proven to hold at most this
-# many rows; above it the join is left to the planner (sort-merge, or AQE's
-# runtime broadcast conversion when the shuffled side turns out small).
-BROADCAST_MAX_ROWS = 200_000
+# many rows (a registry row is ~100 bytes, so ~10 MB); above it the join is
+# left to the planner (sort-merge, or AQE's runtime broadcast conversion when
+# the shuffled side turns out small).
+BROADCAST_MAX_ROWS = 100_000
 
 
 _SMALL: dict[tuple[int, int], bool] = {}
@@ -19,14 +20,17 @@ _SMALL: dict[tuple[int, int], bool] = {}
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows (a LIMIT, not a full
-    count), so it is cheap exactly when the answer is "broadcast". The
-    answer is remembered per plan (``semanticHash``) for the session; it only
-    picks the join strategy, never changes a result.
+    The check takes at most ``max_rows + 1`` one-column rows with an
+    incremental take (``limit().collect()`` scans one partition, then more
+    only while rows are missing), so a huge table is not read end to end -
+    unlike ``limit().count()``, which runs the limit in every partition.
+    The answer is remembered per plan (``semanticHash``) for the session; it
+    only picks the join strategy, never changes a result.
     """
     key = (df.semanticHash(), max_rows)
     if key not in _SMALL:
-        _SMALL[key] = df.limit(max_rows + 1).count() <= max_rows
+        taken = df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()
+        _SMALL[key] = len(taken) <= max_rows
     return F.broadcast(df) if _SMALL[key] else df
 
 

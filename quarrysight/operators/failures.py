@@ -20,12 +20,14 @@ CALIBRATION_MEASURES = {
 def failure_calibration(labels: DataFrame, as_of, flags: dict[str, str] | None = None,
                         measures: dict[str, str] | None = None,
                         percentile: float = C.FAILURE_PERCENTILE,
-                        accuracy: int = C.PERCENTILE_ACCURACY) -> DataFrame:
+                        accuracy: int = 10000) -> DataFrame:
     """Per failure type with at least one record: count, share of all
     records, five means and three P90 thresholds.
 
     One ``unpivot`` of the flag columns + one ``groupBy`` replace a
-    filter-and-collect pass per failure type.
+    filter-and-collect pass per failure type. ``accuracy`` is the sketch
+    size of ``percentile_approx`` (Spark's default; its memory per group is
+    bounded by it, whatever the group size).
     """
     flags = flags or dict(C.FAILURE_TYPES)
     m = {**CALIBRATION_MEASURES, **(measures or {})}
