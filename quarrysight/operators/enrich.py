@@ -74,6 +74,9 @@ def enrich_with_registry(
 
 def join_limits(daily: DataFrame, registry: DataFrame, key: str = "equipment_id",
                 temp_col: str = "max_engine_temp_c", pressure_col: str = "max_oil_pressure_bar") -> DataFrame:
-    """Daily aggregates + the unit's safe limits (``max_safe_temp/pressure``)."""
-    reg = registry.select(key, F.col(temp_col).alias("max_safe_temp"), F.col(pressure_col).alias("max_safe_pressure"))
+    """Daily aggregates + the unit's safe limits (``max_safe_temp/pressure``);
+    a registry without a limit column yields NULL for it."""
+    def limit(c: str):
+        return F.col(c) if c in registry.columns else F.lit(None).cast("double")
+    reg = registry.select(key, limit(temp_col).alias("max_safe_temp"), limit(pressure_col).alias("max_safe_pressure"))
     return daily.join(bounded_broadcast(reg), on=key, how="left")

@@ -34,11 +34,13 @@ def component_scores(daily: DataFrame, p: HealthParams = C.HEALTH) -> DataFrame:
 
 
 def with_trend(scored: DataFrame, unit_col: str = "equipment_id", date_col: str = "kpi_date",
-               tie_cols: tuple[str, ...] = ("site_location",), p: HealthParams = C.HEALTH) -> DataFrame:
+               tie_cols: tuple[str, ...] = ("site_location", "equipment_type"), p: HealthParams = C.HEALTH) -> DataFrame:
     """``lag`` over the unit's previous available row (not calendar day).
 
     The window runs over the daily table - one row per unit-day(-site) -
     so its partitions are bounded by the number of days, not by readings.
+    ``tie_cols`` order rows of the same day (a unit seen at two sites or
+    under two types that day) so the result is deterministic.
     """
     w = Window.partitionBy(unit_col).orderBy(F.col(date_col), *[F.col(c).asc_nulls_first() for c in tie_cols])
     return (

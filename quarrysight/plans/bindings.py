@@ -246,8 +246,9 @@ def ev_daily(spark, sf_dir) -> DataFrame:
     return KP.daily_rollup(ev_kpis(spark, sf_dir), EV_ROLLUP, EV_DAILY_KEYS)
 
 
-def ev_health(spark, sf_dir) -> DataFrame:
-    limits = EN.join_limits(ev_daily(spark, sf_dir), ev_registry(spark, sf_dir))
+def ev_health(spark, sf_dir, kpis: DataFrame | None = None) -> DataFrame:
+    k = kpis if kpis is not None else ev_kpis(spark, sf_dir)
+    limits = EN.join_limits(KP.daily_rollup(k, EV_ROLLUP, EV_DAILY_KEYS), ev_registry(spark, sf_dir))
     return HE.health_scores(limits, as_of())
 
 
@@ -379,8 +380,9 @@ def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def _fleet(spark, sf_dir, per_site):
-    h = materialize(spark, ev_health(spark, sf_dir))
-    return FL.fleet_summary(h, AL.all_alerts(h, as_of()), ev_kpis(spark, sf_dir), as_of(), per_site=per_site) \
+    kpis = materialize(spark, ev_kpis(spark, sf_dir))
+    h = materialize(spark, ev_health(spark, sf_dir, kpis))
+    return FL.fleet_summary(h, AL.all_alerts(h, as_of()), kpis, as_of(), per_site=per_site) \
         .drop("calculated_at")
 
 
@@ -831,7 +833,14 @@ def q_status_counts(spark, sf_dir):                           # A10
     return QU.count_by(li_silver(spark, sf_dir), "equipment_type", "operating_status", name="records")
 
 
+def q_monthly_health(spark, sf_dir):
+    """Health per supplier and month: day KPIs rolled up to months."""
+    monthly = KP.daily_rollup(li_kpis(spark, sf_dir), LI_ROLLUP, grain="month")
+    return HE.health_scores(EN.join_limits(monthly, li_registry(spark, sf_dir)), as_of()).drop("calculated_at")
+
+
 QUERIES.update({
+    "monthly_health": q_monthly_health,
     "total_units_latest": q_total_units_latest,
     "availability_latest": q_availability_latest,
     "avg_health_latest": q_avg_health_latest,

@@ -23,9 +23,9 @@ shared storage (the cluster's checkpoint folder or a table location).
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -48,6 +48,7 @@ from ..streaming.ingest import ingest_json_stream
 @dataclass(frozen=True)
 class Layout:
     base: str
+    metrics: dict = field(default_factory=dict, compare=False)
 
     def path(self, layer: str, table: str) -> str:
         return os.path.join(self.base, layer, table)
@@ -97,7 +98,9 @@ def bronze(spark: SparkSession, lay: Layout, landing: str, as_of: Column) -> Non
 SILVER_CONTRACT = T.Contract(not_null=schemas.SILVER_NOT_NULL, ranges={"quality_score": (0.0, 1.0)})
 
 
-def silver(spark: SparkSession, lay: Layout, as_of: Column) -> None:
+def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
+    """Returns the stage counts, gathered while the tables are written
+    (``DataFrame.observe``), not by extra count jobs."""
     raw = _read(spark, lay.path("bronze", "raw_sensor_readings"), schemas.RAW_SENSOR_READINGS)
 
     # quarantine: append only records not already quarantined (rerun-safe)
@@ -108,17 +111,25 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> None:
     if _exists(spark, qpath):
         old = spark.read.parquet(qpath).select(F.sha2(F.concat_ws("|", "quarantine_reason", "raw_record"), 256).alias("_k"))
         new_q = new_q.join(old, "_k", "left_anti")
+    q_obs = Observation("quarantine")
+    new_q = new_q.observe(q_obs, F.count(F.lit(1)).alias("new_quarantined"))
     T.write_table(new_q.drop("_k"), qpath, "append")
 
     registry = spark.read.parquet(lay.path("silver", "equipment_registry"))
     enriched = EN.enrich_with_registry(CL.silver_readings(raw), registry, as_of)
     good, _bad = T.enforce_contract(enriched, SILVER_CONTRACT)
+    s_obs = Observation("silver")
+    good = good.observe(s_obs, F.count(F.lit(1)).alias("clean_readings"),
+                        F.count_if(F.col("is_anomaly")).alias("flagged_readings"))
     T.merge_upsert(spark, lay.path("silver", "cleaned_sensor_readings"), good,
                    ["equipment_id", "reading_timestamp"], "reading_date")
 
     readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings"))
-    events = AN.threshold_events(readings, C.FLEET_THRESHOLD_SPECS, as_of)
+    e_obs = Observation("events")
+    events = AN.threshold_events(readings, C.FLEET_THRESHOLD_SPECS, as_of).observe(
+        e_obs, F.count(F.lit(1)).alias("anomaly_events"))
     T.write_table(events, lay.path("silver", "anomaly_events"))
+    metrics = {**q_obs.get, **s_obs.get, **e_obs.get}
 
     flot_path = lay.path("bronze", "raw_flotation_readings")
     if _exists(spark, flot_path):
@@ -128,6 +139,7 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> None:
     if _exists(spark, bear_path):
         feats = SG.bearing_features(spark.read.parquet(bear_path), as_of)
         T.write_table(feats.select(*SG.FEATURE_COLUMNS), lay.path("silver", "bearing_features"))
+    return metrics
 
 
 # -------------------------------------------------------------------- gold
@@ -163,6 +175,6 @@ def gold(spark: SparkSession, lay: Layout, as_of: Column) -> None:
 def run_all(spark: SparkSession, base: str, landing: str, as_of: Column) -> Layout:
     lay = Layout(base)
     bronze(spark, lay, landing, as_of)
-    silver(spark, lay, as_of)
+    lay.metrics.update(silver(spark, lay, as_of))
     gold(spark, lay, as_of)
     return lay

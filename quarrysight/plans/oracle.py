@@ -231,7 +231,8 @@ ev_comp AS (
   FROM (SELECT *, {sr("temperature_score * 0.25 + pressure_score * 0.25 + vibration_score * 0.25 + performance_score * 0.25", 2)}
                   AS health_score FROM ev_comp0)),
 ev_trend0 AS (
-  SELECT *, lag(health_score) OVER (PARTITION BY equipment_id ORDER BY kpi_date, site_location NULLS FIRST)
+  SELECT *, lag(health_score) OVER (PARTITION BY equipment_id
+                                    ORDER BY kpi_date, site_location NULLS FIRST, equipment_type NULLS FIRST)
               AS health_score_prev_day
   FROM ev_comp),
 ev_trend AS (
@@ -825,3 +826,64 @@ FROM ev_health WHERE health_status IN ('critical', 'warning')"""
 
 ORACLE["status_counts"] = LI + """
 SELECT equipment_type, operating_status, CAST(count(*) AS BIGINT) AS records FROM li_silver GROUP BY 1, 2"""
+
+
+def health_chain_sql(p: str, kpi: str, reg: str, rollup: dict[str, str], date_expr: str) -> str:
+    """Roll-up -> limits -> component scores -> trend -> health rows, as CTEs
+    named ``{p}_daily`` ... ``{p}_health``."""
+    cols = ",\n         ".join(f"{expr} AS {name}" for name, expr in rollup.items())
+    return f"""
+{p}_daily AS (
+  SELECT equipment_id, equipment_type, {date_expr} AS kpi_date, site_location,
+         {cols}
+  FROM {kpi} GROUP BY ALL),
+{p}_lim AS (
+  SELECT d.*, r.max_engine_temp_c AS max_safe_temp FROM {p}_daily d LEFT JOIN {reg} r USING (equipment_id)),
+{p}_comp0 AS (
+  SELECT *,
+    CASE WHEN daily_max_temp IS NULL THEN 100.0 WHEN max_safe_temp IS NULL THEN 80.0
+         ELSE greatest(0.0, {sr("(1.0 - daily_max_temp / max_safe_temp) * 100", 2)}) END AS temperature_score,
+    CASE WHEN daily_avg_oil_press IS NULL AND daily_avg_hyd_press IS NULL THEN 80.0
+         WHEN daily_avg_oil_press IS NOT NULL
+           THEN greatest(0.0, least(100.0, {sr("daily_avg_oil_press / 5.5 * 100", 2)}))
+         ELSE greatest(0.0, least(100.0, {sr("(1.0 - abs(daily_avg_hyd_press - 280.0) / 280.0) * 100", 2)})) END
+      AS pressure_score,
+    CASE WHEN daily_max_vib IS NULL THEN 90.0 WHEN daily_max_vib > 15.0 THEN 10.0 WHEN daily_max_vib > 10.0 THEN 30.0
+         WHEN daily_max_vib > 7.0 THEN 60.0 ELSE {sr("100.0 - daily_max_vib * 5.0", 2)} END AS vibration_score,
+    {sr("daily_avg_quality * 50.0 + least(daily_utilization, 100.0) * 0.3 + greatest(0.0, 20.0 - daily_anomaly_count * 0.5)", 2)}
+      AS performance_score
+  FROM {p}_lim),
+{p}_comp AS (
+  SELECT *, CASE WHEN health_score < 20.0 THEN 'critical' WHEN health_score < 50.0 THEN 'warning'
+                 WHEN health_score < 70.0 THEN 'watch' ELSE 'normal' END AS health_status
+  FROM (SELECT *, {sr("temperature_score * 0.25 + pressure_score * 0.25 + vibration_score * 0.25 + performance_score * 0.25", 2)}
+                  AS health_score FROM {p}_comp0)),
+{p}_trend AS (
+  SELECT *, CASE WHEN health_score_prev_day IS NULL THEN 'stable'
+                 WHEN health_score - health_score_prev_day > 5.0 THEN 'improving'
+                 WHEN health_score - health_score_prev_day < -5.0 THEN 'degrading' ELSE 'stable' END AS health_trend
+  FROM (SELECT *, lag(health_score) OVER (PARTITION BY equipment_id
+                    ORDER BY kpi_date, site_location NULLS FIRST, equipment_type NULLS FIRST) AS health_score_prev_day
+        FROM {p}_comp)),
+{p}_health AS (
+  SELECT equipment_id, equipment_type, kpi_date AS score_date, site_location,
+         temperature_score, pressure_score, vibration_score, performance_score, health_score, health_status,
+         health_score_prev_day, health_trend,
+         CASE WHEN health_trend = 'degrading'
+              THEN CAST(greatest(1, CAST({sr("health_score / greatest(1.0, abs(health_score - health_score_prev_day))", 0)} AS INTEGER)) AS INTEGER)
+         END AS days_to_maintenance_estimate
+  FROM {p}_trend)"""
+
+
+LI_MONTH = health_chain_sql("lim", "li_kpi", "li_reg", {
+    "daily_avg_temp": xavg("avg_quantity"),
+    "daily_max_temp": "max(max_quantity)",
+    "daily_avg_oil_press": xavg("avg_discount_pct"),
+    "daily_avg_hyd_press": xavg("avg_price_k"),
+    "daily_max_vib": "max(max_tax_pct)",
+    "daily_utilization": xavg("utilization_pct"),
+    "daily_anomaly_count": "CAST(sum(anomaly_count) AS BIGINT)",
+    "daily_avg_quality": xavg("avg_quality_score"),
+}, "CAST(date_trunc('month', kpi_date) AS DATE)")
+
+ORACLE["monthly_health"] = with_(LI_SILVER, LI_KPI, LI_MONTH) + "\nSELECT * FROM lim_health"

@@ -77,6 +77,8 @@ def test_layers_end_to_end_and_rerun(spark, workdir):
     assert reasons == {C.REASON_BAD_TS: 3, C.REASON_HARD_LIMIT: 2}   # + the "not json" line
     assert silver.groupBy("equipment_id", "reading_timestamp").count().filter("count > 1").count() == 0
     assert rd("silver", "anomaly_events").count() == 11
+    assert lay.metrics["anomaly_events"] == 11 and lay.metrics["new_quarantined"] == n_quar
+    assert lay.metrics["clean_readings"] == n_silver and lay.metrics["flagged_readings"] == 3
     assert rd("gold", "hourly_equipment_kpis").schema["total_readings"].dataType.simpleString() == "int"
     assert rd("gold", "equipment_health_scores").count() > 0
     assert rd("gold", "fleet_summary_daily").count() > 0

@@ -116,3 +116,11 @@ def test_stream_ingest_is_incremental(spark, workdir):
     assert t.filter(F.col("source_file").endswith("b.json")).collect()[0].belt_speed_mps == 7.0
     batch = rescue_json(spark.read.text(landing), schemas.SENSOR_JSON).select("equipment_id", "belt_speed_mps")
     assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, t.select("equipment_id", "belt_speed_mps").collect()))
+
+
+def test_cluster_conf_sizes_partitions():
+    from quarrysight.session import cluster_conf
+    c = cluster_conf(100 << 40, 8000)          # 100 TB on 8,000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(c["spark.sql.shuffle.partitions"]) * (128 << 20) >= 100 << 40
+    assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "8"
