@@ -168,3 +168,27 @@ def rate_of_change_anomalies(readings: DataFrame, sensor: str, max_step: float,
         F.concat(F.lit(f"{sensor} changed by "), F.round("_step", 2).cast("string")).alias("description"),
         as_of.alias("detected_at"),
     )
+
+
+def _fleet_rule(sensor: str) -> ThresholdSpec:
+    return next(s for s in C.FLEET_THRESHOLD_SPECS if s.sensor_name == sensor)
+
+
+def engine_temp_anomalies(silver: DataFrame, as_of: Column) -> DataFrame:
+    """Haul trucks not idle, engine temperature against the unit's limit."""
+    return threshold_events(silver, (_fleet_rule("engine_temp_c"),), as_of)
+
+
+def vibration_anomalies(silver: DataFrame, as_of: Column) -> DataFrame:
+    """D3: running conveyors, x/y/z vibration magnitude."""
+    return threshold_events(silver, (_fleet_rule("vibration_rms"),), as_of)
+
+
+def crusher_vibration_anomalies(silver: DataFrame, as_of: Column) -> DataFrame:
+    """Crushing crushers, crusher vibration."""
+    return threshold_events(silver, (_fleet_rule("crusher_vibration_mms"),), as_of)
+
+
+def oil_temp_anomalies(silver: DataFrame, as_of: Column) -> DataFrame:
+    """Digging excavators, hydraulic oil temperature."""
+    return threshold_events(silver, (_fleet_rule("hydraulic_oil_temp_c"),), as_of)

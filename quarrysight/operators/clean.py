@@ -94,3 +94,20 @@ def silver_readings(df: DataFrame, spec: SilverSpec = C.FLEET_SILVER) -> DataFra
     good = passing_records(df, spec)
     flagged = flag_quality(good, spec.rules)
     return dedup_keep_best(flagged, [spec.unit_col, PARSED], spec)
+
+
+def split_bad_timestamps(df: DataFrame, as_of: Column, spec: SilverSpec = C.FLEET_SILVER) -> tuple[DataFrame, DataFrame]:
+    """(rows with a parsed timestamp, quarantine rows of the others)."""
+    parsed = with_parsed_timestamp(df, spec)
+    bad = quarantine_records(df, as_of, spec).filter(F.col("quarantine_reason") == C.REASON_BAD_TS)
+    return parsed.filter(F.col(PARSED).isNotNull()), bad
+
+
+def quarantine_hard_limits(df: DataFrame, as_of: Column, spec: SilverSpec = C.FLEET_SILVER) -> DataFrame:
+    """P5: quarantine rows of readings that parse but break a hard rule."""
+    return quarantine_records(df, as_of, spec).filter(F.col("quarantine_reason") == C.REASON_HARD_LIMIT)
+
+
+def drop_quarantined(df: DataFrame, spec: SilverSpec = C.FLEET_SILVER) -> DataFrame:
+    """The complement of both quarantine reasons (a filter, not EXCEPT)."""
+    return passing_records(df, spec)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.checks import band_label, exact_avg, exact_sum, severity_rank
-from ..operators.quality import latest, quality_distribution
+from ..operators.quality import distinct_units, latest, quality_distribution
 
 
 # ------------------------------------------------------------ page 1: fleet
 def total_units_latest(health: DataFrame) -> DataFrame:                       # B1.1
-    return latest(health).agg(F.countDistinct("equipment_id").alias("total_equipment"))
+    return distinct_units(latest(health))
 
 
 def availability_latest(health: DataFrame) -> DataFrame:                      # B1.2

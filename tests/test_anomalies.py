@@ -77,3 +77,19 @@ def test_rate_of_change_crosses_buckets(spark):
     out = AN.rate_of_change_anomalies(_series(spark, vals), "v", 30.0, as_of_col(), bucket="day").collect()
     assert len(out) == 1 and out[0].sensor_value == 50.0
     assert out[0].event_timestamp == dt.datetime(2024, 1, 2, 0, 0)
+
+
+def test_per_type_detectors_partition_the_events(spark):
+    silver = EN.enrich_with_registry(CL.silver_readings(bronze_df(spark)), registry_df(spark), as_of_col())
+    parts = [AN.engine_temp_anomalies, AN.vibration_anomalies, AN.crusher_vibration_anomalies, AN.oil_temp_anomalies]
+    counts = [fn(silver, as_of_col()).count() for fn in parts]
+    assert counts == [3, 2, 3, 3]
+    assert sum(counts) == _events(spark).count()
+
+
+def test_split_helpers(spark):
+    b = bronze_df(spark)
+    ok, bad = CL.split_bad_timestamps(b, as_of_col())
+    hard = CL.quarantine_hard_limits(b, as_of_col())
+    assert bad.count() == 2 and hard.count() == 2
+    assert CL.drop_quarantined(b).count() == ok.count() - 2
