@@ -69,22 +69,27 @@ def severity_rank(col: Column | str, order: tuple[str, ...]) -> Column:
 
 
 EXACT_SCALE = 6
+# inputs are DECIMAL(18, 6): |x| < 1e12, and Spark keeps such values as
+# compact longs (a 38-digit input would fall back to BigDecimal arithmetic)
+EXACT_PRECISION = 18
 
 
 def exact_sum(col: Column | str, scale: int = EXACT_SCALE) -> Column:
-    """Sum in fixed point (DECIMAL(38, scale)), returned as double.
+    """Sum in fixed point, returned as double.
 
     Floating-point sums depend on the order rows arrive in, i.e. on the
     partitioning and on shuffle fetch order; summing decimals gives the same
     answer on every run and cluster size, so a later ``round`` never flips
-    on a tie. Inputs are rounded HALF_UP to ``scale`` decimals first.
+    on a tie. Inputs are rounded HALF_UP to ``scale`` decimals and must be
+    below 1e12 in magnitude (a larger value fails the cast under ANSI mode
+    rather than being dropped).
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+    return F.sum(c.cast(f"decimal({EXACT_PRECISION},{scale})")).cast("double")
 
 
 def exact_avg(col: Column | str, scale: int = EXACT_SCALE) -> Column:
     """Mean in fixed point (see :func:`exact_sum`): the exact mean rounded
     HALF_UP to ``scale + 4`` decimals, returned as double."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.avg(c.cast(f"decimal(38,{scale})")).cast("double")
+    return F.avg(c.cast(f"decimal({EXACT_PRECISION},{scale})")).cast("double")
