@@ -56,3 +56,25 @@ def health_scores(daily_with_limits: DataFrame, as_of: Column, p: HealthParams =
     """Roll-up + limits -> the 14-column health table."""
     scored = with_trend(component_scores(daily_with_limits, p), date_col=date_col, p=p)
     return scored.withColumns({"calculated_at": as_of, "score_date": F.col(date_col)}).select(*HEALTH_COLUMNS)
+
+
+def health_scores_after(daily_with_limits: DataFrame, previous: DataFrame | None, as_of: Column,
+                        p: HealthParams = C.HEALTH, date_col: str = "kpi_date") -> DataFrame:
+    """Health rows for the days in ``daily_with_limits`` only (an incremental
+    recompute): the trend of each unit's first new day compares with the
+    unit's last row in ``previous`` (the stored health rows before those
+    days), found with one ``max_by`` per unit instead of re-reading history.
+    With ``previous=None`` this equals :func:`health_scores`."""
+    scored = component_scores(daily_with_limits, p).withColumn("_prior", F.lit(False))
+    if previous is not None:
+        order = F.struct("score_date", "site_location", "equipment_type")
+        last = previous.groupBy("equipment_id").agg(
+            F.max_by(F.struct("score_date", "site_location", "equipment_type", "health_score"), order).alias("_l"))
+        prior = last.select(
+            "equipment_id",
+            F.col("_l.score_date").alias(date_col), F.col("_l.site_location").alias("site_location"),
+            F.col("_l.equipment_type").alias("equipment_type"), F.col("_l.health_score").alias("health_score"),
+            F.lit(True).alias("_prior"))
+        scored = scored.unionByName(prior, allowMissingColumns=True)
+    out = with_trend(scored, date_col=date_col, p=p).filter(~F.col("_prior"))
+    return out.withColumns({"calculated_at": as_of, "score_date": F.col(date_col)}).select(*HEALTH_COLUMNS)

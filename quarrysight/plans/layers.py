@@ -13,11 +13,15 @@ Folder layout under ``base``::
     gold/flotation_quality_scores     gold/failure_predictions
 
 Each stage reads the previous layer's files, so stages can run as separate
-jobs and a failed stage is rerun from durable input. Every write is
-idempotent: bronze sensor ingest is checkpointed (a file is ingested once),
-silver readings are upserted by key, quarantine rows are appended only when
-new, gold tables are recomputed and overwritten. ``base`` should be on
-shared storage (the cluster's checkpoint folder or a table location).
+jobs and a failed stage is rerun from durable input. The run is incremental
+and idempotent: bronze sensor ingest is checkpointed (a file is ingested
+once); silver takes only bronze rows past the last run's ingestion
+high-water mark and upserts them by key; quarantine rows are appended only
+when new; events and the sensor gold tables are recomputed from the first
+touched reading day on (day-partitioned, older partitions untouched; the
+health trend carries each unit's last stored row). The high-water mark is
+advanced after gold, so a failed run is rerun as a whole. ``base`` should be
+on shared storage (the cluster's checkpoint folder or a table location).
 """
 
 from __future__ import annotations
@@ -98,10 +102,30 @@ def bronze(spark: SparkSession, lay: Layout, landing: str, as_of: Column) -> Non
 SILVER_CONTRACT = T.Contract(not_null=schemas.SILVER_NOT_NULL, ranges={"quality_score": (0.0, 1.0)})
 
 
+def _state(spark: SparkSession, lay: Layout):
+    """Bronze ingestion high-water mark of the last completed run (or None)."""
+    path = lay.path("_state", "silver")
+    if not _exists(spark, path):
+        return None
+    return spark.read.parquet(path).agg(F.max("hwm")).first()[0]
+
+
 def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
-    """Returns the stage counts, gathered while the tables are written
-    (``DataFrame.observe``), not by extra count jobs."""
+    """Process the bronze rows ingested after the last run's high-water mark.
+
+    Returns the stage counts - gathered while the tables are written
+    (``DataFrame.observe``), not by extra count jobs - plus ``since``, the
+    first reading date the batch touched (None when nothing is new) and
+    ``hwm``, the batch's ingestion high-water mark.
+    """
     raw = _read(spark, lay.path("bronze", "raw_sensor_readings"), schemas.RAW_SENSOR_READINGS)
+    hwm = _state(spark, lay)
+    if hwm is not None:
+        # ingestion_date is the bronze partition column: prunes old folders
+        raw = raw.filter((F.col("ingestion_date") >= F.to_date(F.lit(hwm)))
+                         & (F.col("ingestion_timestamp") > F.lit(hwm)))
+    b_obs = Observation("batch")
+    raw = raw.observe(b_obs, F.max("ingestion_timestamp").alias("hwm"))
 
     # quarantine: append only records not already quarantined (rerun-safe)
     quarantine = CL.quarantine_records(raw, as_of)
@@ -120,16 +144,23 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     good, _bad = T.enforce_contract(enriched, SILVER_CONTRACT)
     s_obs = Observation("silver")
     good = good.observe(s_obs, F.count(F.lit(1)).alias("clean_readings"),
-                        F.count_if(F.col("is_anomaly")).alias("flagged_readings"))
+                        F.count_if(F.col("is_anomaly")).alias("flagged_readings"),
+                        F.min("reading_date").alias("since"))
     T.merge_upsert(spark, lay.path("silver", "cleaned_sensor_readings"), good,
                    ["equipment_id", "reading_timestamp"], "reading_date")
-
-    readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings"))
-    e_obs = Observation("events")
-    events = AN.threshold_events(readings, C.FLEET_THRESHOLD_SPECS, as_of).observe(
-        e_obs, F.count(F.lit(1)).alias("anomaly_events"))
-    T.write_table(events, lay.path("silver", "anomaly_events"))
-    metrics = {**q_obs.get, **s_obs.get, **e_obs.get}
+    metrics = {**q_obs.get, **s_obs.get, "hwm": b_obs.get.get("hwm")}
+    since = metrics["since"]
+
+    if since is not None:
+        # threshold events are per reading: recompute the touched days only
+        readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")) \
+            .filter(F.col("reading_date") >= F.lit(since))
+        e_obs = Observation("events")
+        events = AN.threshold_events(readings, C.FLEET_THRESHOLD_SPECS, as_of) \
+            .withColumn("event_date", F.to_date("event_timestamp")) \
+            .observe(e_obs, F.count(F.lit(1)).alias("anomaly_events"))
+        T.replace_partitions_from(spark, events, lay.path("silver", "anomaly_events"), "event_date", since)
+        metrics.update(e_obs.get)
 
     flot_path = lay.path("bronze", "raw_flotation_readings")
     if _exists(spark, flot_path):
@@ -147,20 +178,33 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
 KPI_CONTRACT = T.Contract(types=schemas.HOURLY_KPI_TYPES, not_null=schemas.HOURLY_KPI_NOT_NULL)
 
 
-def gold(spark: SparkSession, lay: Layout, as_of: Column) -> None:
-    readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings"))
-    kpis, _ = T.enforce_contract(KP.hourly_kpis(readings), KPI_CONTRACT)
-    T.write_table(kpis, lay.path("gold", "hourly_equipment_kpis"), "overwrite", ("kpi_date",))
-
-    kpis = spark.read.parquet(lay.path("gold", "hourly_equipment_kpis"))
-    registry = spark.read.parquet(lay.path("silver", "equipment_registry"))
-    health = HE.health_scores(EN.join_limits(KP.daily_rollup(kpis), registry), as_of)
-    T.write_table(health, lay.path("gold", "equipment_health_scores"), "overwrite", ("score_date",))
-
-    health = spark.read.parquet(lay.path("gold", "equipment_health_scores"))
-    T.write_table(AL.all_alerts(health, as_of), lay.path("gold", "maintenance_alerts"))
-    alerts = spark.read.parquet(lay.path("gold", "maintenance_alerts"))
-    T.write_table(FL.fleet_summary(health, alerts, kpis, as_of), lay.path("gold", "fleet_summary_daily"))
+def gold(spark: SparkSession, lay: Layout, as_of: Column, since=None) -> None:
+    """Recompute the gold tables from day ``since`` on (None: nothing new in
+    silver, the sensor tables are left as they are). Each table is partitioned
+    by its day column and only partitions >= ``since`` are replaced, so a run
+    costs the new days, not the whole history."""
+    if since is not None:
+        day = F.lit(since)
+        readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")).filter(F.col("reading_date") >= day)
+        kpis, _ = T.enforce_contract(KP.hourly_kpis(readings), KPI_CONTRACT)
+        T.replace_partitions_from(spark, kpis, lay.path("gold", "hourly_equipment_kpis"), "kpi_date", since)
+
+        kpis = spark.read.schema(kpis.schema).parquet(lay.path("gold", "hourly_equipment_kpis")) \
+            .filter(F.col("kpi_date") >= day)
+        registry = spark.read.parquet(lay.path("silver", "equipment_registry"))
+        hpath = lay.path("gold", "equipment_health_scores")
+        previous = spark.read.parquet(hpath).filter(F.col("score_date") < day) if _exists(spark, hpath) else None
+        health = HE.health_scores_after(EN.join_limits(KP.daily_rollup(kpis), registry), previous, as_of)
+        T.replace_partitions_from(spark, health, hpath, "score_date", since)
+
+        health = spark.read.schema(health.schema).parquet(hpath).filter(F.col("score_date") >= day)
+        new_alerts = AL.all_alerts(health, as_of)
+        apath = lay.path("gold", "maintenance_alerts")
+        T.replace_partitions_from(spark, new_alerts, apath, "alert_date", since)
+        # read back with the known schema: a day range without alerts leaves no files
+        alerts = spark.read.schema(new_alerts.schema).parquet(apath).filter(F.col("alert_date") >= day)
+        T.replace_partitions_from(spark, FL.fleet_summary(health, alerts, kpis, as_of),
+                                  lay.path("gold", "fleet_summary_daily"), "summary_date", since)
 
     flot = lay.path("silver", "cleaned_flotation_readings")
     if _exists(spark, flot):
@@ -173,8 +217,14 @@ def gold(spark: SparkSession, lay: Layout, as_of: Column) -> None:
 
 
 def run_all(spark: SparkSession, base: str, landing: str, as_of: Column) -> Layout:
+    """bronze -> silver (new bronze rows only) -> gold (touched days only);
+    the high-water mark is advanced last, so a failed run is simply rerun."""
     lay = Layout(base)
     bronze(spark, lay, landing, as_of)
-    lay.metrics.update(silver(spark, lay, as_of))
-    gold(spark, lay, as_of)
+    m = silver(spark, lay, as_of)
+    lay.metrics.update(m)
+    gold(spark, lay, as_of, m.get("since"))
+    if m.get("hwm") is not None:
+        spark.createDataFrame([(m["hwm"],)], "hwm timestamp").write.mode("append") \
+            .parquet(lay.path("_state", "silver"))
     return lay

@@ -46,7 +46,37 @@ def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[
     merged = upsert_rows(target, updates, keys, better)
     staging = staging or path.rstrip("/") + "__staging"
     write_table(merged, staging, "overwrite", (partition_col,))
-    write_table(spark.read.parquet(staging), path, "overwrite", (partition_col,))
+    # known schema: an empty update batch leaves no files in staging, and the
+    # dynamic overwrite below then replaces nothing
+    write_table(spark.read.schema(merged.schema).parquet(staging), path, "overwrite", (partition_col,))
+
+
+def drop_partitions_from(spark: SparkSession, path: str, col: str, since) -> int:
+    """Delete the ``col=<value>`` partition folders with value >= ``since``
+    (ISO dates compare as text). File-system metadata only; returns the
+    number removed."""
+    if not path_exists(spark, path):
+        return 0
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix, bound, n = f"{col}=", str(since), 0
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and name[len(prefix):] >= bound:
+            fs.delete(st.getPath(), True)
+            n += 1
+    return n
+
+
+def replace_partitions_from(spark: SparkSession, df: DataFrame, path: str, col: str, since) -> None:
+    """Replace every ``col`` partition from ``since`` on with ``df``.
+
+    Unlike a dynamic overwrite this also clears a partition that has no rows
+    any more. Not atomic: a caller reruns the whole step after a failure
+    (the layered run advances its high-water mark only at the end)."""
+    drop_partitions_from(spark, path, col, since)
+    df.write.mode("append").partitionBy(col).parquet(path)
 
 
 @dataclass(frozen=True)

@@ -124,3 +124,20 @@ def test_fleet_totals_repeat_per_site_unless_per_site(spark):
     assert per["S1"].critical_alerts == 1 and per["S2"].critical_alerts == 0
     assert per["S2"].total_payload_tonnes == 50.0
     assert fleet["S1"].fleet_availability_pct == 0.0 and fleet["S2"].fleet_availability_pct == 100.0
+
+
+def test_incremental_health_equals_full(spark):
+    d = dt.date
+    rows = [("U", "t", d(2024, 1, day), "S", float(t), 100.0, 5.5, None, 1.0, 1.0, 100.0, f)
+            for day, t, f in ((1, 10.0, 0), (2, 40.0, 10), (3, 90.0, 40), (4, 20.0, 0))]
+    rows += [("V", "t", d(2024, 1, 1), None, 50.0, 100.0, 2.0, None, 8.0, 0.7, 50.0, 3)]
+    full = sorted(map(tuple, _health_rows(spark, rows).collect()))
+    cols = ("equipment_id string, equipment_type string, kpi_date date, site_location string, daily_max_temp double, "
+            "max_safe_temp double, daily_avg_oil_press double, daily_avg_hyd_press double, daily_max_vib double, "
+            "daily_avg_quality double, daily_utilization double, daily_anomaly_count long")
+    old = _health_rows(spark, [r for r in rows if r[2] < d(2024, 1, 3)])
+    new_days = spark.createDataFrame([r for r in rows if r[2] >= d(2024, 1, 3)], cols)
+    inc = HE.health_scores_after(new_days, old, as_of_col())
+    merged = sorted(map(tuple, old.collect())) + sorted(map(tuple, inc.collect()))
+    assert sorted(merged) == full
+    assert [r.health_trend for r in sorted(inc.collect(), key=lambda r: r.score_date)] == ["degrading", "improving"]
