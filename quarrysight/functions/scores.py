@@ -18,12 +18,13 @@ def clamp(x: Column, lo: float, hi: float) -> Column:
 
 
 def temperature_score(max_temp: Column | str, limit: Column | str, p: HealthParams = C.HEALTH) -> Column:
-    """Margin to the limit in percent, floored at 0 (no upper clamp)."""
+    """Margin to the limit in percent, floored at 0 (no upper clamp). A zero
+    limit scores 0 instead of failing the job with a division error."""
     t, lim = _c(max_temp), _c(limit)
     return (
         F.when(t.isNull(), F.lit(p.temp_when_no_reading))
         .when(lim.isNull(), F.lit(p.temp_when_no_limit))
-        .otherwise(F.greatest(F.lit(0.0), F.round((F.lit(1.0) - t / lim) * 100, 2)))
+        .otherwise(F.greatest(F.lit(0.0), F.round((F.lit(1.0) - F.try_divide(t, lim)) * 100, 2)))
     )
 
 

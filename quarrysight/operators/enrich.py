@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
 
 # A dimension side is broadcast only when it is proven to hold at most this
 # many rows (a registry row is ~100 bytes, so ~10 MB); above it the join is

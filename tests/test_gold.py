@@ -141,3 +141,7 @@ def test_incremental_health_equals_full(spark):
     merged = sorted(map(tuple, old.collect())) + sorted(map(tuple, inc.collect()))
     assert sorted(merged) == full
     assert [r.health_trend for r in sorted(inc.collect(), key=lambda r: r.score_date)] == ["degrading", "improving"]
+
+
+def test_zero_limit_does_not_fail(spark):
+    assert _one(spark, S.temperature_score("t", "l"), "t double, l double", [(50.0, 0.0)]) == [0.0]
