@@ -127,11 +127,14 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     b_obs = Observation("batch")
     raw = raw.observe(b_obs, F.max("ingestion_timestamp").alias("hwm"))
 
-    # quarantine: append only records not already quarantined (rerun-safe)
+    # quarantine: one row per (reason, record), appended only when new
+    # (rerun-safe). Copies of one bad message are collapsed first - a
+    # map-side partial dedup - so a storm of identical copies never meets
+    # the anti-join as one hot key.
     quarantine = CL.quarantine_records(raw, as_of)
     qpath = lay.path("silver", "quarantine_records")
     key = F.sha2(F.concat_ws("|", "quarantine_reason", "raw_record"), 256)
-    new_q = quarantine.withColumn("_k", key)
+    new_q = quarantine.withColumn("_k", key).dropDuplicates(["_k"])
     if _exists(spark, qpath):
         old = spark.read.parquet(qpath).select(F.sha2(F.concat_ws("|", "quarantine_reason", "raw_record"), 256).alias("_k"))
         new_q = new_q.join(old, "_k", "left_anti")
