@@ -163,9 +163,12 @@ def read_table(spark: SparkSession, path: str, min_partitions: int | None = None
     splits than cores, so at scale this adds nothing: no shuffle, same plan.
     """
     df = spark.read.parquet(path)
-    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    key = (path, want)
-    if key not in _REBALANCE:
-        _REBALANCE[key] = (want > 1 and path_bytes(spark, path) >= REBALANCE_MIN_BYTES
-                           and df.rdd.getNumPartitions() < want)
+    try:
+        want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
+        key = (path, want)
+        if key not in _REBALANCE:
+            _REBALANCE[key] = (want > 1 and path_bytes(spark, path) >= REBALANCE_MIN_BYTES
+                               and df.rdd.getNumPartitions() < want)
+    except Exception:  # no JVM-side context (e.g. a Spark Connect session): plain scan
+        return df
     return df.repartition(want) if _REBALANCE[key] else df
