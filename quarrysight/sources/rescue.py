@@ -21,12 +21,12 @@ def rescue_json(lines: DataFrame, schema: StructType, value_col: str = "value")
     names = [f.name for f in schema.fields]
     known = F.array(*[F.lit(n) for n in names])
     tmp = lines.withColumns({"_p": parsed, "_m": raw})
-    # a key is rescued when it is unknown, or known but its typed value is
-    # NULL while the raw text is not
+    # a non-null value is rescued when its key is unknown, or when the key is
+    # known but the typed value came out NULL (wrong type); JSON nulls never are
     typed = F.create_map(*[x for n in names for x in (F.lit(n), F.col("_p")[n].cast("string"))])
     bad = F.map_filter(
         F.col("_m"),
-        lambda k, val: (~F.array_contains(known, k)) | (val.isNotNull() & F.element_at(typed, k).isNull()),
+        lambda k, val: val.isNotNull() & ((~F.array_contains(known, k)) | F.element_at(typed, k).isNull()),
     )
     rescued = (
         F.when(F.col("_m").isNull() & v.isNotNull() & (F.length(F.trim(v)) > 0), v)
