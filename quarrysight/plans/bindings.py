@@ -253,7 +253,16 @@ def ev_health(spark, sf_dir, kpis: DataFrame | None = None) -> DataFrame:
 
 
 def ev_alerts(spark, sf_dir) -> DataFrame:
-    return AL.all_alerts(ev_health(spark, sf_dir), as_of())
+    # two branches (health + trend alerts) read health: share one copy
+    return AL.all_alerts(ev_health_shared(spark, sf_dir), as_of())
+
+
+def ev_health_shared(spark, sf_dir) -> DataFrame:
+    """Health written once (checkpoint) for queries that read it more than
+    once - latest-day filters with a scalar subquery, semi-joins, unions -
+    so the silver -> KPI -> health chain is not recomputed per use."""
+    kpis = materialize(spark, ev_kpis(spark, sf_dir))
+    return materialize(spark, ev_health(spark, sf_dir, kpis))
 
 
 # ================================================================ queries
@@ -395,15 +404,15 @@ def q_fleet_summary_per_site(spark, sf_dir):
 
 
 def q_latest_scorecard(spark, sf_dir):
-    return DB.latest_scorecard(ev_health(spark, sf_dir))
+    return DB.latest_scorecard(ev_health_shared(spark, sf_dir))
 
 
 def q_component_breakdown(spark, sf_dir):
-    return DB.component_breakdown(ev_health(spark, sf_dir))
+    return DB.component_breakdown(ev_health_shared(spark, sf_dir))
 
 
 def q_degrading_history(spark, sf_dir):
-    return QU.degrading_history(ev_health(spark, sf_dir))
+    return QU.degrading_history(ev_health_shared(spark, sf_dir))
 
 
 def q_topn_anomalies(spark, sf_dir):
@@ -543,7 +552,7 @@ def q_freshness(spark, sf_dir):
 def q_recommendations(spark, sf_dir):
     raw = li_raw(spark, sf_dir)
     metrics = QU.conversion_metrics(raw, li_silver(spark, sf_dir), CL.quarantine_records(raw, as_of(), LI_SPEC))
-    h = materialize(spark, ev_health(spark, sf_dir))
+    h = ev_health_shared(spark, sf_dir)
     return QU.recommendations(metrics, h, AL.all_alerts(h, as_of()))
 
 
@@ -697,15 +706,15 @@ def _li_quar(spark, sf_dir):
 
 
 def q_total_units_latest(spark, sf_dir):                      # B1.1 / A12
-    return DB.total_units_latest(ev_health(spark, sf_dir))
+    return DB.total_units_latest(ev_health_shared(spark, sf_dir))
 
 
 def q_availability_latest(spark, sf_dir):                     # B1.2
-    return DB.availability_latest(ev_health(spark, sf_dir))
+    return DB.availability_latest(ev_health_shared(spark, sf_dir))
 
 
 def q_avg_health_latest(spark, sf_dir):                       # B1.3
-    return DB.avg_health_latest(ev_health(spark, sf_dir))
+    return DB.avg_health_latest(ev_health_shared(spark, sf_dir))
 
 
 def q_open_critical_alerts(spark, sf_dir):                    # B1.4
@@ -713,7 +722,7 @@ def q_open_critical_alerts(spark, sf_dir):                    # B1.4
 
 
 def q_status_distribution(spark, sf_dir):                     # B1.5
-    return DB.status_distribution_latest(ev_health(spark, sf_dir))
+    return DB.status_distribution_latest(ev_health_shared(spark, sf_dir))
 
 
 def q_daily_health_trend(spark, sf_dir):                      # B1.6
@@ -776,13 +785,15 @@ def q_alerts_by_unit_type(spark, sf_dir):                     # B3.5
 
 def q_row_counts(spark, sf_dir):                              # B4.1
     raw = li_raw(spark, sf_dir)
-    h = materialize(spark, ev_health(spark, sf_dir))
+    silver = materialize(spark, li_silver(spark, sf_dir))
+    kpis = materialize(spark, ev_kpis(spark, sf_dir))
+    h = materialize(spark, ev_health(spark, sf_dir, kpis))
     return DB.row_counts({
         "Bronze - Sensor Readings": raw,
-        "Silver - Cleaned Readings": li_silver(spark, sf_dir),
+        "Silver - Cleaned Readings": silver,
         "Silver - Quarantine": CL.quarantine_records(raw, as_of(), LI_SPEC),
-        "Silver - Anomaly Events": li_events(spark, sf_dir),
-        "Gold - Hourly KPIs": ev_kpis(spark, sf_dir),
+        "Silver - Anomaly Events": AN.threshold_events(silver, LI_THRESHOLDS, as_of()),
+        "Gold - Hourly KPIs": kpis,
         "Gold - Health Scores": h,
         "Gold - Alerts": AL.all_alerts(h, as_of()),
     })
