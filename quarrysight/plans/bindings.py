@@ -839,6 +839,10 @@ def q_active_alerts(spark, sf_dir):                           # M7
     return QU.active_alerts(ev_alerts(spark, sf_dir))
 
 
+def q_latest_health(spark, sf_dir):                           # M3
+    return QU.latest_health(ev_health_shared(spark, sf_dir))
+
+
 def q_critical_equipment(spark, sf_dir):                      # M9
     return QU.critical_equipment(ev_health(spark, sf_dir))
 
@@ -882,6 +886,7 @@ QUERIES.update({
     "iron_vs_silica": q_iron_vs_silica,
     "failure_types": q_failure_types,
     "active_alerts": q_active_alerts,
+    "latest_health": q_latest_health,
     "critical_equipment": q_critical_equipment,
     "status_counts": q_status_counts,
 })

@@ -887,3 +887,8 @@ LI_MONTH = health_chain_sql("lim", "li_kpi", "li_reg", {
 }, "CAST(date_trunc('month', kpi_date) AS DATE)")
 
 ORACLE["monthly_health"] = with_(LI_SILVER, LI_KPI, LI_MONTH) + "\nSELECT * FROM lim_health"
+
+ORACLE["latest_health"] = EV + f"""
+SELECT equipment_id, equipment_type, health_score, health_status, health_trend, days_to_maintenance_estimate,
+       temperature_score, pressure_score, vibration_score, performance_score
+FROM ev_health WHERE score_date = {LATEST}"""
