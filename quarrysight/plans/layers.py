@@ -46,7 +46,7 @@ from ..operators import process as PR
 from ..operators import signals as SG
 from ..sources import files as SF
 from ..sources import tables as T
-from ..streaming.ingest import ingest_json_stream
+from ..streaming.ingest import ingest_csv_stream, ingest_json_stream
 
 
 @dataclass(frozen=True)
@@ -73,20 +73,23 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
 # ------------------------------------------------------------------ bronze
 
 def bronze(spark: SparkSession, lay: Layout, landing: str, as_of: Column) -> None:
-    """Ingest whatever is landed: sensor JSON (incremental), flotation and
-    label CSVs, vibration files; a missing folder skips its branch."""
+    """Ingest whatever is landed: sensor JSON, flotation and label CSVs as
+    incremental file streams (each file once), vibration files and the
+    registry as batch reads; a missing folder skips its branch."""
     sensors = os.path.join(landing, "sensors")
     if _exists(spark, sensors):
         ingest_json_stream(spark, sensors, lay.path("bronze", "raw_sensor_readings"),
                            os.path.join(lay.checkpoints, "bronze_sensors"))
     flot = os.path.join(landing, "flotation")
     if _exists(spark, flot):
-        T.write_table(SF.read_flotation_csv(spark, flot, as_of), lay.path("bronze", "raw_flotation_readings"),
-                      "overwrite", ("ingestion_date",))
+        ingest_csv_stream(spark, flot, lay.path("bronze", "raw_flotation_readings"),
+                          os.path.join(lay.checkpoints, "bronze_flotation"),
+                          ["date", *C.FLOTATION_HEADER_MAP], lambda df, src, ts: SF.flotation_bronze(df, src, ts))
     labels = os.path.join(landing, "maintenance")
     if _exists(spark, labels):
-        T.write_table(SF.read_label_csv(spark, labels, as_of), lay.path("bronze", "raw_maintenance_labels"),
-                      "overwrite", ("ingestion_date",))
+        ingest_csv_stream(spark, labels, lay.path("bronze", "raw_maintenance_labels"),
+                          os.path.join(lay.checkpoints, "bronze_labels"),
+                          list(C.LABEL_HEADER_MAP), lambda df, src, ts: SF.label_bronze(df, src, ts))
     bearing = os.path.join(landing, "bearing")
     if _exists(spark, bearing):
         T.write_table(SF.read_vibration_files(spark, bearing, as_of), lay.path("bronze", "raw_bearing_vibration"),

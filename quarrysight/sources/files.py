@@ -64,20 +64,31 @@ def with_ingest_metadata(df: DataFrame, as_of: Column, source: Column | str | No
     return df.withColumns(cols)
 
 
-def read_flotation_csv(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
-    """Flotation CSV: strings -> decimal-comma doubles -> contract names."""
-    raw = read_csv_strings(spark, path).withColumn("source_file", F.col("_metadata.file_path"))
+def flotation_bronze(raw: DataFrame, source: Column, as_of: Column) -> DataFrame:
+    """Flotation rows as read (all strings) -> decimal-comma doubles ->
+    contract names -> ingest metadata. Row-wise: batch or stream."""
+    raw = raw.withColumn("source_file", source)
     renamed = rename_columns(decimal_comma_to_double(raw, skip=("date", "source_file")), C.FLOTATION_HEADER_MAP)
     return with_ingest_metadata(renamed, as_of, F.col("source_file"))
 
 
-def read_label_csv(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
-    raw = read_csv_strings(spark, path).withColumn("source_file", F.col("_metadata.file_path"))
-    raw = rename_columns(raw, C.LABEL_HEADER_MAP)
+def label_bronze(raw: DataFrame, source: Column, as_of: Column) -> DataFrame:
+    """Maintenance-label rows as read -> contract names -> typed -> metadata."""
+    raw = rename_columns(raw.withColumn("source_file", source), C.LABEL_HEADER_MAP)
     types = {**{c: "double" for c in C.LABEL_DOUBLE_COLUMNS}, **{c: "int" for c in C.LABEL_INT_COLUMNS}}
     return with_ingest_metadata(cast_columns(raw, types), as_of, F.col("source_file"))
 
 
+def read_flotation_csv(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
+    """Flotation CSV (batch): strings -> decimal-comma doubles -> contract names."""
+    return flotation_bronze(read_csv_strings(spark, path), F.col("_metadata.file_path"), as_of)
+
+
+def read_label_csv(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
+    """Maintenance-label CSV (batch)."""
+    return label_bronze(read_csv_strings(spark, path), F.col("_metadata.file_path"), as_of)
+
+
 def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
                          experiments: dict[str, int] = C.EXPERIMENT_IDS,
                          max_samples: int = C.MAX_SIGNAL_SAMPLES,

@@ -56,3 +56,24 @@ def stream_parquet_once(spark: SparkSession, source_dir: str, schema: StructType
     q = (df.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(table_path))
     q.awaitTermination()
+
+
+def string_schema(names) -> StructType:
+    """All-string schema for header CSVs (no inference, as in the batch readers)."""
+    from pyspark.sql.types import StringType, StructField
+    return StructType([StructField(n, StringType()) for n in names])
+
+
+def ingest_csv_stream(spark: SparkSession, landing: str, table_path: str, checkpoint: str, header: list[str],
+                      transform, delimiter: str = ",", partition_by: tuple[str, ...] = ("ingestion_date",)) -> None:
+    """Append new header-CSV files of ``landing`` to a parquet table: every
+    column read as string, header names checked against ``header``,
+    ``transform(df, source_file_col, ingest_ts_col)`` applied row-wise, one
+    ``availableNow`` drain, awaited. A rerun on the same checkpoint adds
+    nothing; a new file adds only its rows."""
+    df = (spark.readStream.option("header", "true").option("enforceSchema", "false")
+          .option("delimiter", delimiter).schema(string_schema(header)).csv(landing))
+    out = transform(df, F.col("_metadata.file_path"), F.current_timestamp())
+    q = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+         .partitionBy(*partition_by).trigger(availableNow=True).start(table_path))
+    q.awaitTermination()

@@ -95,6 +95,9 @@ def test_layers_end_to_end_and_rerun(spark, workdir):
     assert rd("bronze", "raw_sensor_readings").count() == bronze.count()
     assert rd("silver", "cleaned_sensor_readings").count() == n_silver
     assert rd("silver", "quarantine_records").count() == n_quar
+    assert rd("bronze", "raw_flotation_readings").count() == 3      # CSV files ingested once
+    assert rd("bronze", "raw_maintenance_labels").count() == 10
+    assert rd("silver", "cleaned_flotation_readings").count() == 2
 
     # a better copy of a flagged reading replaces it; an equal one does not
     fix = sensor_cases()[6].copy()          # tire 49 -> quality 0.7
