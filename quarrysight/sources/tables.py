@@ -25,11 +25,15 @@ def upsert_rows(target: DataFrame, updates: DataFrame, keys: list[str], better:
 
     Tagged union + ``row_number`` per key (partial WindowGroupLimit before
     the shuffle). Updates are de-duplicated by the caller (silver does).
+    Schemas may differ (a column added upstream): the union is by name and
+    a column missing on one side is NULL there, like an append with schema
+    merging.
     """
-    t = target.select(*updates.columns).withColumn("_src", F.lit(0))
+    t = target.withColumn("_src", F.lit(0))
     u = updates.withColumn("_src", F.lit(1))
     w = Window.partitionBy(*keys).orderBy(F.col(better).desc_nulls_last(), F.col("_src").asc())
-    return t.unionByName(u).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+    merged = t.unionByName(u, allowMissingColumns=True)
+    return merged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
 
 
 def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
@@ -42,7 +46,7 @@ def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[
         write_table(updates, path, "overwrite", (partition_col,))
         return
     touched = updates.select(partition_col).distinct()
-    target = spark.read.parquet(path).join(touched, partition_col, "left_semi")
+    target = spark.read.option("mergeSchema", "true").parquet(path).join(touched, partition_col, "left_semi")
     merged = upsert_rows(target, updates, keys, better)
     staging = staging or path.rstrip("/") + "__staging"
     write_table(merged, staging, "overwrite", (partition_col,))

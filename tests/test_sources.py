@@ -124,3 +124,12 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) % 8000 == 0
     assert int(c["spark.sql.shuffle.partitions"]) * (128 << 20) >= 100 << 40
     assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_upsert_accepts_a_new_column(spark):
+    target = _tbl(spark, [("a", 1, 0.7, "old")])
+    updates = _tbl(spark, [("a", 1, 1.0, "new"), ("b", 1, 0.4, "new")]).withColumn("extra", F.lit(5))
+    out = {r.k: (r.v, r.extra) for r in T.upsert_rows(target, updates, ["k", "ts"]).collect()}
+    assert out == {"a": ("new", 5), "b": ("new", 5)}
+    kept = {r.k: r.extra for r in T.upsert_rows(updates, target, ["k", "ts"]).collect()}
+    assert kept == {"a": 5, "b": 5}
