@@ -121,7 +121,11 @@ LI_ROLLUP = (
 
 
 def li_raw(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return li_readings(table(spark, sf_dir, "lineitem"))
+
+
+def li_readings(li: DataFrame) -> DataFrame:
+    """lineitem rows as landed readings (batch or stream)."""
     return li.select(
         F.col("l_suppkey").cast("string").alias("equipment_id"),
         F.col("l_linestatus").alias("equipment_type"),
@@ -644,6 +648,21 @@ def q_stream_hourly_window(spark, sf_dir):
                     "utilization_pct", F.round("avg_value", 6).alias("avg_value"), "max_value")
 
 
+def q_stream_silver(spark, sf_dir):
+    """The lineitem file as a reading stream through the streaming silver
+    stage (parse, hard rules, flags, de-duplication inside a watermark). The
+    keys kept are deterministic; which copy of a key survives is not, so only
+    keys are returned."""
+    from ..streaming.ingest import stream_parquet_once
+    from ..streaming.windows import stream_silver
+    run = os.path.join(shared_dir(spark), f"stream-silver-{uuid.uuid4().hex}")
+    schema = table(spark, sf_dir, "lineitem").schema
+    stream_parquet_once(spark, sf_dir, schema, os.path.join(run, "table"), os.path.join(run, "checkpoint"),
+                        lambda df: stream_silver(li_readings(df), LI_SPEC, "2 hours"), glob="lineitem.parquet")
+    out = spark.read.parquet(os.path.join(run, "table"))
+    return out.select("equipment_id", F.col(CL.PARSED).cast("timestamp_ntz").alias("reading_timestamp"))
+
+
 # ================================================================ registry
 QUERIES = {
     # silver
@@ -690,6 +709,7 @@ QUERIES = {
     # streaming
     "stream_ingest": q_stream_ingest,
     "stream_hourly_window": q_stream_hourly_window,
+    "stream_silver": q_stream_silver,
     # extensions (ours)
     "zscore_anomalies": q_zscore_anomalies,
     "rate_of_change": q_rate_of_change,

@@ -892,3 +892,6 @@ ORACLE["latest_health"] = EV + f"""
 SELECT equipment_id, equipment_type, health_score, health_status, health_trend, days_to_maintenance_estimate,
        temperature_score, pressure_score, vibration_score, performance_score
 FROM ev_health WHERE score_date = {LATEST}"""
+
+ORACLE["stream_silver"] = with_(LI_BASE) + """
+SELECT DISTINCT equipment_id, parsed_ts AS reading_timestamp FROM li_flag"""

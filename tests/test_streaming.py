@@ -30,3 +30,20 @@ def test_window_kpis_emit_closed_windows_and_dedup(spark, workdir):
     assert [r.total_readings for r in got] == [2, 2, 2]
     assert [r.avg_value for r in got] == [0.0, 1.0, 2.0]
     assert all(r.utilization_pct == 100.0 for r in got)
+
+
+def test_stream_silver_drops_copies_and_hard_breaches(spark, workdir):
+    from quarrysight import schemas
+    from quarrysight.streaming.windows import stream_silver
+    from tests.fixtures import bronze_df, sensor_cases
+
+    src = os.path.join(workdir, "bronze")
+    bronze_df(spark, sensor_cases()).write.parquet(src)
+    out = os.path.join(workdir, "silver")
+    stream_parquet_once(spark, src, schemas.RAW_SENSOR_READINGS, out, os.path.join(workdir, "ckpt2"),
+                        lambda s: stream_silver(s))
+    got = spark.read.parquet(out)
+    # 28 messages: 4 quarantined (2 bad timestamps, 151 C, NaN), 2 copies of 06:00 dropped
+    assert got.count() == 22
+    assert got.groupBy("equipment_id", "parsed_ts").count().filter("count > 1").count() == 0
+    assert {r.quality_score for r in got.filter(F.col("equipment_id") == "HT-001").collect()} == {1.0, 0.7, 0.4, 0.1}
