@@ -137,7 +137,8 @@ def li_readings(li: DataFrame) -> DataFrame:
 
 def li_registry(spark, sf_dir) -> DataFrame:
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    return s.join(F.broadcast(n.select("n_nationkey", "n_name")), s["s_nationkey"] == n["n_nationkey"], "inner").select(
+    nat = EN.bounded_broadcast(n.select("n_nationkey", "n_name"))
+    return s.join(nat, s["s_nationkey"] == nat["n_nationkey"], "inner").select(
         F.col("s_suppkey").cast("string").alias("equipment_id"),
         F.col("s_name").alias("model"),
         F.col("n_name").alias("site_location"),
@@ -218,7 +219,8 @@ def ev_raw(spark, sf_dir) -> DataFrame:
 
 def ev_registry(spark, sf_dir) -> DataFrame:
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return c.join(F.broadcast(n.select("n_nationkey", "n_name")), c["c_nationkey"] == n["n_nationkey"], "inner").select(
+    nat = EN.bounded_broadcast(n.select("n_nationkey", "n_name"))
+    return c.join(nat, c["c_nationkey"] == nat["n_nationkey"], "inner").select(
         F.col("c_custkey").cast("string").alias("equipment_id"),
         F.col("c_name").alias("model"),
         F.col("c_mktsegment").alias("manufacturer"),
