@@ -105,9 +105,9 @@ def bronze(spark: SparkSession, lay: Layout, landing: str, as_of: Column) -> Non
 SILVER_CONTRACT = T.Contract(not_null=schemas.SILVER_NOT_NULL, ranges={"quality_score": (0.0, 1.0)})
 
 
-def _state(spark: SparkSession, lay: Layout):
+def _state(spark: SparkSession, lay: Layout, name: str = "silver"):
     """Bronze ingestion high-water mark of the last completed run (or None)."""
-    path = lay.path("_state", "silver")
+    path = lay.path("_state", name)
     if not _exists(spark, path):
         return None
     return spark.read.parquet(path).agg(F.max("hwm")).first()[0]
@@ -170,8 +170,7 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
 
     flot_path = lay.path("bronze", "raw_flotation_readings")
     if _exists(spark, flot_path):
-        T.write_table(PR.clean_flotation(spark.read.parquet(flot_path), as_of),
-                      lay.path("silver", "cleaned_flotation_readings"), "overwrite", ("reading_date",))
+        metrics.update(silver_flotation(spark, lay, as_of, flot_path))
     bear_path = lay.path("bronze", "raw_bearing_vibration")
     if _exists(spark, bear_path):
         feats = SG.bearing_features(spark.read.parquet(bear_path), as_of)
@@ -179,12 +178,38 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     return metrics
 
 
+def _after(df: DataFrame, hwm) -> DataFrame:
+    if hwm is None:
+        return df
+    return df.filter((F.col("ingestion_date") >= F.to_date(F.lit(hwm))) & (F.col("ingestion_timestamp") > F.lit(hwm)))
+
+
+def silver_flotation(spark: SparkSession, lay: Layout, as_of: Column, flot_path: str) -> dict:
+    """New flotation bronze rows -> cleaned rows appended once: each row
+    carries ``record_key`` (hash of its file and values) and rows whose key is
+    already in silver are skipped, so a rerun after a failure adds nothing.
+    Returns ``flot_since`` (first touched day) and ``flot_hwm``."""
+    raw = _after(spark.read.parquet(flot_path), _state(spark, lay, "flotation"))
+    obs = Observation("flotation")
+    raw = raw.observe(obs, F.max("ingestion_timestamp").alias("flot_hwm"))
+    value_cols = ["date", *schemas.FLOTATION_COLUMNS]
+    key = F.sha2(F.concat_ws("|", F.col("source_file"), F.to_json(F.struct(*value_cols))), 256)
+    cleaned = PR.clean_flotation(raw, as_of).withColumn("record_key", key).dropDuplicates(["record_key"])
+    spath = lay.path("silver", "cleaned_flotation_readings")
+    if _exists(spark, spath):
+        cleaned = cleaned.join(spark.read.parquet(spath).select("record_key"), "record_key", "left_anti")
+    s_obs = Observation("flotation_silver")
+    cleaned = cleaned.observe(s_obs, F.min("reading_date").alias("flot_since"))
+    cleaned.write.mode("append").partitionBy("reading_date").parquet(spath)
+    return {**obs.get, **s_obs.get}
+
+
 # -------------------------------------------------------------------- gold
 
 KPI_CONTRACT = T.Contract(types=schemas.HOURLY_KPI_TYPES, not_null=schemas.HOURLY_KPI_NOT_NULL)
 
 
-def gold(spark: SparkSession, lay: Layout, as_of: Column, since=None) -> None:
+def gold(spark: SparkSession, lay: Layout, as_of: Column, since=None, flot_since=None) -> None:
     """Recompute the gold tables from day ``since`` on (None: nothing new in
     silver, the sensor tables are left as they are). Each table is partitioned
     by its day column and only partitions >= ``since`` are replaced, so a run
@@ -213,9 +238,10 @@ def gold(spark: SparkSession, lay: Layout, as_of: Column, since=None) -> None:
                                   lay.path("gold", "fleet_summary_daily"), "summary_date", since)
 
     flot = lay.path("silver", "cleaned_flotation_readings")
-    if _exists(spark, flot):
-        T.write_table(PR.flotation_hourly_quality(spark.read.parquet(flot), as_of),
-                      lay.path("gold", "flotation_quality_scores"))
+    if flot_since is not None:
+        readings = spark.read.parquet(flot).filter(F.col("reading_date") >= F.lit(flot_since))
+        T.replace_partitions_from(spark, PR.flotation_hourly_quality(readings, as_of),
+                                  lay.path("gold", "flotation_quality_scores"), "score_date", flot_since)
     labels = lay.path("bronze", "raw_maintenance_labels")
     if _exists(spark, labels):
         T.write_table(FA.failure_calibration(spark.read.parquet(labels), as_of),
@@ -229,8 +255,8 @@ def run_all(spark: SparkSession, base: str, landing: str, as_of: Column) -> Layo
     bronze(spark, lay, landing, as_of)
     m = silver(spark, lay, as_of)
     lay.metrics.update(m)
-    gold(spark, lay, as_of, m.get("since"))
-    if m.get("hwm") is not None:
-        spark.createDataFrame([(m["hwm"],)], "hwm timestamp").write.mode("append") \
-            .parquet(lay.path("_state", "silver"))
+    gold(spark, lay, as_of, m.get("since"), m.get("flot_since"))
+    for name, mark in (("silver", m.get("hwm")), ("flotation", m.get("flot_hwm"))):
+        if mark is not None:
+            spark.createDataFrame([(mark,)], "hwm timestamp").write.mode("append").parquet(lay.path("_state", name))
     return lay

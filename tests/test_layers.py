@@ -103,6 +103,11 @@ def test_layers_end_to_end_and_rerun(spark, workdir):
     fix = sensor_cases()[6].copy()          # tire 49 -> quality 0.7
     fix["tire_pressure_psi"] = 100.0
     _write_sensors(os.path.join(landing, "sensors"), "day3.json", [fix])
+    headers = list(C.FLOTATION_HEADER_MAP)
+    with open(os.path.join(landing, "flotation", "plant2.csv"), "w") as fh:   # same hour + a new day
+        fh.write(",".join(["date"] + [f'"{h}"' for h in headers]) + "\n")
+        for d, silica in (("2017-03-10 01:45:00", "4,5"), ("2017-03-11 02:00:00", "1,0")):
+            fh.write(",".join([d] + ['"1,5"'] * (len(headers) - 1) + [f'"{silica}"']) + "\n")
     L.run_all(spark, base, landing, as_of_col())
     s2 = rd("silver", "cleaned_sensor_readings")
     assert s2.count() == n_silver
@@ -111,10 +116,12 @@ def test_layers_end_to_end_and_rerun(spark, workdir):
 
     # the incremental runs end where one full run over all landed files ends
     full = L.run_all(spark, os.path.join(workdir, "lake_full"), landing, as_of_col())
-    drop = {"bronze_ingestion_timestamp", "silver_processed_timestamp"}
+    drop = {"bronze_ingestion_timestamp", "silver_processed_timestamp", "ingestion_timestamp", "ingestion_date",
+            "record_key", "source_file"}
     for layer, t in (("silver", "cleaned_sensor_readings"), ("silver", "anomaly_events"),
                      ("gold", "hourly_equipment_kpis"), ("gold", "equipment_health_scores"),
-                     ("gold", "maintenance_alerts"), ("gold", "fleet_summary_daily")):
+                     ("gold", "maintenance_alerts"), ("gold", "fleet_summary_daily"),
+                     ("silver", "cleaned_flotation_readings"), ("gold", "flotation_quality_scores")):
         def rows(path):
             try:
                 df = spark.read.parquet(path)
