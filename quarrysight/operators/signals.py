@@ -46,11 +46,11 @@ def _spectrum(signals: pd.Series, rates: pd.Series) -> pd.DataFrame:
         mag = np.abs(spec)
         if n > 1 and mag[1:].size and mag[1:].max() > 0:
             k = int(np.argmax(mag[1:])) + 1
-            dom.append(round(float(k * float(rate) / n), 6))
+            dom.append(float(k * float(rate) / n))
         else:
             dom.append(0.0)
         full = np.fft.fft(x)
-        energy.append(round(float(np.sum(np.abs(full) ** 2) / n), 6))
+        energy.append(float(np.sum(np.abs(full) ** 2) / n))
     return pd.DataFrame({"dominant_frequency_hz": dom, "spectral_energy": energy})
 
 
@@ -78,8 +78,9 @@ def bearing_features(bronze: DataFrame, as_of: Column, signal_col: str = "vibrat
     if with_spectrum:
         rate = F.col(rate_col) if rate_col and rate_col in bronze.columns else F.lit(C.SAMPLE_RATE_HZ)
         df = df.withColumn("_spec", _spectrum(sig, rate.cast("double")))
-        df = df.withColumns({"dominant_frequency_hz": F.col("_spec.dominant_frequency_hz"),
-                             "spectral_energy": F.col("_spec.spectral_energy")}).drop("_spec")
+        # rounding stays in the JVM (HALF_UP, like every other rounded feature)
+        df = df.withColumns({"dominant_frequency_hz": F.round("_spec.dominant_frequency_hz", 6),
+                             "spectral_energy": F.round("_spec.spectral_energy", 6)}).drop("_spec")
     else:
         df = df.withColumns({"dominant_frequency_hz": F.lit(None).cast("double"),
                              "spectral_energy": F.lit(None).cast("double")})

@@ -895,3 +895,25 @@ FROM ev_health WHERE score_date = {LATEST}"""
 
 ORACLE["stream_silver"] = with_(LI_BASE) + """
 SELECT DISTINCT equipment_id, parsed_ts AS reading_timestamp FROM li_flag"""
+
+# direct DFT (DuckDB has no FFT): |X_k|^2 of the mean-removed signal for
+# k = 1..n/2, the largest bin wins; energy = sum |X_k|^2 / n = sum x^2 (Parseval)
+ORACLE["spectral_features"] = f"""
+WITH s AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+c AS (
+  SELECT vec_id, v, len(v) AS n, list_reduce(v, lambda a, b: a + b) / len(v) AS mu FROM s WHERE len(v) > 0),
+x AS (
+  SELECT vec_id, n, unnest(range(n)) AS j, unnest(v) AS val, mu FROM c),
+bins AS (
+  SELECT x.vec_id, x.n, k.k,
+         pow(sum((x.val - x.mu) * cos(2 * pi() * x.j * k.k / x.n)), 2)
+           + pow(sum((x.val - x.mu) * sin(2 * pi() * x.j * k.k / x.n)), 2) AS p
+  FROM x JOIN (SELECT unnest(range(1, 33)) AS k) k ON k.k <= x.n / 2
+  GROUP BY x.vec_id, x.n, k.k),
+dom AS (
+  SELECT vec_id, n, arg_max(k, p) AS k FROM bins GROUP BY vec_id, n)
+SELECT c.vec_id AS measurement_index, CAST(c.n AS INTEGER) AS sample_count,
+       {sr("d.k * 20480.0 / c.n", 6)} AS dominant_frequency_hz,
+       {sr("list_reduce(list_transform(c.v, lambda t: t * t), lambda a, b: a + b)", 6)} AS spectral_energy
+FROM c JOIN dom d ON c.vec_id = d.vec_id"""
