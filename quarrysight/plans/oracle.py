@@ -546,15 +546,16 @@ cnt AS (SELECT (SELECT count(*) FROM li_raw) AS b, (SELECT count(*) FROM li_quar
 rate AS (SELECT CASE WHEN b > 0 THEN {sr("q / b * 100", 2)} ELSE 0.0 END AS r FROM cnt),
 bad AS (SELECT equipment_id FROM ev_health WHERE score_date = {LATEST} AND health_status IN ('critical', 'warning')),
 crit AS (SELECT count(*) AS n FROM ev_alerts WHERE severity = 'critical' AND acknowledged = FALSE)
-SELECT 1 AS priority, 'Quarantine rate is ' || format('{{:,.2f}}', r)
+SELECT 1 AS priority, CAST(NULL AS VARCHAR) AS equipment_id, 'Quarantine rate is ' || format('{{:,.2f}}', r)
          || '%. Review quarantined records and investigate sensor calibration issues.' AS recommendation
 FROM rate WHERE r > {C.QUARANTINE_RATE_ALERT_PCT}
 UNION ALL
-SELECT 2, 'Equipment ' || string_agg(DISTINCT equipment_id, ', ' ORDER BY equipment_id)
+SELECT DISTINCT 2, equipment_id, 'Equipment ' || equipment_id
          || ' showing degrading health trends. Schedule proactive maintenance to prevent unplanned downtime.'
-FROM bad HAVING count(*) > 0
+FROM bad
 UNION ALL
-SELECT 3, CAST(n AS VARCHAR) || ' unacknowledged critical alerts. Immediate attention required.' FROM crit WHERE n > 0"""
+SELECT 3, NULL, CAST(n AS VARCHAR) || ' unacknowledged critical alerts. Immediate attention required.'
+FROM crit WHERE n > 0"""
 
 ORACLE["clean_flotation"] = with_(FLOT) + """
 SELECT o_orderkey, date, reading_timestamp, reading_date, avg_air_flow, avg_column_level, silica_above_threshold,
