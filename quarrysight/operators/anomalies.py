@@ -132,13 +132,14 @@ def zscore_anomalies(readings: DataFrame, sensor: str, as_of: Column, unit_col:
 
 def rate_of_change_anomalies(readings: DataFrame, sensor: str, max_step: float, as_of: Column,
                              unit_col: str = "equipment_id", type_col: str = "equipment_type",
-                             ts_col: str = "reading_timestamp", bucket: str = "day") -> DataFrame:
+                             ts_col: str = "reading_timestamp", bucket: str = "hour") -> DataFrame:
     """(Extension) |value - previous value of the unit| > ``max_step``.
 
     The previous value is found inside (unit, ``bucket``) windows; the first
     reading of a bucket takes the last reading of the unit's previous
-    non-empty bucket, found on a per-(unit, bucket) ``max_by`` table. A busy
-    unit is therefore split into time buckets instead of one window task.
+    non-empty bucket, found on a per-(unit, bucket) ``max_by`` table (a
+    partial aggregation). A busy unit is therefore split into hourly windows
+    instead of one window task; the result does not depend on ``bucket``.
     Ties on the timestamp are broken by the value, so the order is total.
     """
     b = F.date_trunc(bucket, F.col(ts_col)).cast("timestamp")
