@@ -52,3 +52,32 @@ def test_rescued_fields_are_exactly_the_misfits(spark, docs):
         assert (json.loads(res) if res else {}) == want
         if "x" in d and isinstance(d["x"], int):
             assert got[i].x == float(d["x"])
+
+
+def test_kpis_are_bit_identical_across_partitionings(spark):
+    import random
+    from pyspark.sql import functions as F
+    from quarrysight.operators import kpis as KP
+
+    rnd = random.Random(7)
+    rows = [(f"U{rnd.randrange(5)}", "conveyor", f"2024-01-01 {rnd.randrange(3):02d}:{rnd.randrange(60):02d}:00",
+             rnd.choice(["running", "idle", "stopped"]), rnd.uniform(0, 8) / 3, rnd.uniform(0, 400) / 7,
+             rnd.random() < 0.2, rnd.choice([1.0, 0.7, 0.4]))
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "equipment_id string, equipment_type string, ts string, operating_status string, "
+                                     "belt_speed_mps double, motor_current_amps double, is_anomaly boolean, "
+                                     "quality_score double") \
+        .withColumns({"reading_timestamp": F.col("ts").cast("timestamp"), "site_location": F.lit("S")})
+    from quarrysight.config import KpiMeasure
+    measures = (KpiMeasure("avg_belt", "avg", "belt_speed_mps"), KpiMeasure("sum_current", "sum", "motor_current_amps"))
+    results = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, seed in ((1, 1), (8, 2), (5, 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            shuffled = df.orderBy(F.rand(seed)).repartition(parts + 2)
+            k = KP.hourly_kpis(shuffled, measures, derived={})
+            results.append(sorted(map(tuple, k.drop("kpi_hour", "kpi_date").collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] == results[2]
