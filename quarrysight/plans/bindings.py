@@ -640,9 +640,7 @@ def q_stream_hourly_window(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
 
     def transform(df):
-        out = hourly_window_kpis(df, "ts", "user_id", "value", "event_type", EV_STATUS.operating, "2 hours")
-        return out.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
-                                "window_end": F.col("window_end").cast("timestamp_ntz")})
+        return hourly_window_kpis(df, "ts", "user_id", "value", "event_type", EV_STATUS.operating, "2 hours")
     stream_parquet_once(spark, sf_dir, schema, os.path.join(run, "table"), os.path.join(run, "checkpoint"),
                         transform, glob="events.parquet")
     k = spark.read.parquet(os.path.join(run, "table"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from ..functions.checks import exact_avg
 
@@ -13,10 +14,18 @@ def hourly_window_kpis(stream: DataFrame, ts_col: str, unit_col: str, value_col:
                        operating: tuple[str, ...], watermark: str = "2 hours",
                        dedup_keys: tuple[str, ...] | None = None) -> DataFrame:
     """Tumbling 1-hour windows per unit, emitted once the watermark passes
-    the window end (append mode). ``withWatermark`` needs a session-zone
-    TIMESTAMP, so an NTZ column is cast first. With ``dedup_keys`` repeated
-    messages are dropped inside the watermark
-    (``dropDuplicatesWithinWatermark``)."""
+    the window end (append mode). With ``dedup_keys`` repeated messages are
+    dropped inside the watermark (``dropDuplicatesWithinWatermark``).
+
+    ``withWatermark`` needs a TIMESTAMP. A wall-clock (NTZ) column is moved
+    to the instant that shows the same wall clock in UTC, so windows (aligned
+    to epoch hours) fall on its wall-clock hours whatever the session zone;
+    the window bounds are moved back and returned as NTZ.
+    """
+    ntz = isinstance(stream.schema[ts_col].dataType, TimestampNTZType)
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    if ntz:
+        stream = stream.withColumn(ts_col, F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), zone))
     df = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
     if dedup_keys:
         df = df.dropDuplicatesWithinWatermark(list(dedup_keys))
@@ -26,8 +35,11 @@ def hourly_window_kpis(stream: DataFrame, ts_col: str, unit_col: str, value_col:
         exact_avg(value_col).alias("avg_value"),
         F.max(value_col).alias("max_value"),
     )
+    def bound(c):
+        return F.to_utc_timestamp(c, zone).cast("timestamp_ntz") if ntz else c
+
     return g.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), unit_col,
+        bound(F.col("w.start")).alias("window_start"), bound(F.col("w.end")).alias("window_end"), unit_col,
         "total_readings", "operating_readings",
         F.round(F.col("operating_readings") / F.col("total_readings") * 100, 2).alias("utilization_pct"),
         "avg_value", "max_value",
