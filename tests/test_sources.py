@@ -133,3 +133,14 @@ def test_upsert_accepts_a_new_column(spark):
     assert out == {"a": ("new", 5), "b": ("new", 5)}
     kept = {r.k: r.extra for r in T.upsert_rows(updates, target, ["k", "ts"]).collect()}
     assert kept == {"a": 5, "b": 5}
+
+
+def test_table_stats_counts_files_and_bytes(spark, workdir):
+    from quarrysight.operators.quality import table_stats
+    path = os.path.join(workdir, "stats")
+    spark.range(1000).repartition(3).write.parquet(path)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    size_mb = round(sum(os.path.getsize(os.path.join(path, f)) for f in files) / (1024 * 1024), 2)
+    r = table_stats(spark, {"t": path}).collect()[0]
+    assert (r.table_name, r.num_files, r.size_mb) == ("t", len(files), size_mb)
+    assert r.last_modified is not None
