@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, rendezvous, url_reputation, warc_store
+from . import (chat_format, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
+               url_reputation, warc_store)
 from .common import scratch, table, written
 
 SHARDS = 24
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # fixed values: (verdict, host, path)
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -39,6 +41,19 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES)
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary(BYTE_BPE))
+    return token_files.read_documents(spark, path)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
@@ -57,9 +72,22 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_viterbi.encode_documents(docs, vocabulary(PIECES)).select(
+        "doc_id", "n_tokens", "ids_crc32", "round_trip", "ids")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quartile_digest.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
     "op4_urls": op4_urls,
+    "op5_tokens": op5_tokens,
     "op6_chat": op6_chat,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_fingerprints": op9_fingerprints,
 }
