@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
+from . import (chat_format, decontaminate, minhash_dedup, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
                url_reputation, warc_store)
 from .common import scratch, table, written
 
@@ -18,6 +18,10 @@ URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc_store.write_archive(table(spark, sf_dir, "pages"), path)
@@ -72,6 +76,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_viterbi.encode_documents(docs, vocabulary(PIECES)).select(
@@ -83,11 +91,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
     "op4_urls": op4_urls,
     "op5_tokens": op5_tokens,
     "op6_chat": op6_chat,
+    "op7_decontamination": op7_decontamination,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
 }
