@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_format, decontaminate, minhash_dedup, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
-               url_reputation, warc_store)
+               toxicity, url_reputation, warc_store)
 from .common import scratch, table, written
 
 SHARDS = 24
@@ -90,6 +90,16 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_warc": op2_warc,
@@ -100,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
+    "op10_toxicity": op10_toxicity,
 }
