@@ -6,11 +6,12 @@ one with the j-th of the other, so that G x H tables cost G and H groups, not
 their product. Texts that share a key are candidates; a link counts once the
 full sets confirm it.
 
-Large tables do not make all pairs. Texts with equal sets stand as one. First
-each bucket links its members to its smallest. What these links leave apart is
-then compared across components: by signature, block by block for large buckets,
-and only pairs whose signatures agree nearly enough (five standard errors) go to
-the full sets. Pairs already joined need no comparing.
+Large buckets do not make all pairs. Texts with equal sets stand as one. First
+each bucket links its members to its smallest, its centre. Texts that share a
+bucket share its centre, so what these links leave apart is then compared within
+each centre's members, on full sets and across components only; a large group
+goes out as pairs of blocks, each a bounded task that returns no more links than
+it has members. Members already joined need no comparing.
 
 With the groups below, a pair just at the threshold misses all tables with
 probability under 0.0004 (85 %) or 0.002 (80 %), falling fast above it.
@@ -38,8 +39,7 @@ from .components import components
 
 ROWS_A, ROWS_B = 2, 3                # MinHashes in a group of either collection
 GROUPS = {85: (7, 9), 80: (8, 10)}   # groups of either, by threshold in percent
-BLOCK = 512                          # members of a bucket compared at once
-ERRORS = 5                           # standard errors a signature may fall short
+BLOCK = 512                          # members of a group compared at once
 SLICE = 64                           # documents hashed at once
 
 _U = np.uint64
@@ -112,12 +112,12 @@ def _groups(sig: np.ndarray, g: int, h: int) -> tuple[np.ndarray, np.ndarray]:
     return a.view(np.int64), b.view(np.int64)
 
 
-SKETCH = "doc_id long, n long, digest binary, a array<long>, b array<long>, sig binary"
+SKETCH = "doc_id long, n long, digest binary, a array<long>, b array<long>"
 
 
 def sketches(docs: DataFrame, words: int, g: int, h: int) -> DataFrame:
-    """Per row: shingle count, 128-bit digest of the set, the two collections and
-    the signature; all but doc_id and n null for an empty set. No shuffle."""
+    """Per row: shingle count, 128-bit digest of the set and the two collections,
+    these null for an empty set. No shuffle."""
     keys = _constants(g * ROWS_A + h * ROWS_B, 1)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,17 +127,15 @@ def sketches(docs: DataFrame, words: int, g: int, h: int) -> DataFrame:
                 rows: list = []
                 for s in sets:
                     if len(s):
-                        sig = signature(s, keys)
                         rows.append((hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                     *_groups(sig, g, h), sig.tobytes()))
+                                     *_groups(signature(s, keys), g, h)))
                     else:
-                        rows.append((None, None, None, None))
+                        rows.append((None, None, None))
                 yield pa.record_batch({
                     "doc_id": piece.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
                     "digest": pa.array([r[0] for r in rows], pa.binary()),
                     "a": pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                    "b": pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                    "sig": pa.array([r[3] for r in rows], pa.binary())})
+                    "b": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
 
     return docs.mapInArrow(sketch, SKETCH)
 
@@ -172,51 +170,75 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return both.select("u", "v", "text_u", "text_v").mapInArrow(check, "u long, v long").distinct()
 
 
-def _bucket_pairs(rows: DataFrame, least: int) -> DataFrame:
-    """Pairs of different components in a bucket whose signatures agree in at
-    least ``least`` places. ``rows`` (key, n, u, component, sig); a bucket of more
-    than a block goes out as pairs of blocks, each a group of its own."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int")
+def _links_across(ids: list[int], comp: list[int], own: list[int], texts: list[str], words: int,
+                  percent: int) -> list[tuple[int, int]]:
+    """Links that join components among the rows of one block, or of two if
+    ``own`` has two values: then only those from one to the other."""
+    sets: list[np.ndarray] = []
+    for at in range(0, len(texts), SLICE):
+        sets += shingle_sets([t.encode() for t in texts[at:at + SLICE]], words)
+    sizes = np.array([len(s) for s in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    root, side = np.array(comp), np.array(own)
+    two = side.min() != side.max()
+    marked = np.zeros(codes.max() + 1, np.int64)
+    out = []
+    for i in range(len(ids)):
+        near = (root != root[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
+        if two:
+            near &= side != side[i]
+        else:
+            near[:i] = False
+        if not near.any():
+            continue
+        mine = codes[starts[i]:starts[i] + sizes[i]]
+        marked[mine] = 1
+        both = np.add.reduceat(marked[codes], starts)
+        marked[mine] = 0
+        for j in np.flatnonzero(near & (100 * both >= percent * (sizes + sizes[i] - both))).tolist():
+            if root[j] != root[i]:
+                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def _remaining(stars: DataFrame, placed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between members of a centre that ``placed`` (node, component) holds
+    apart. ``stars`` are (u, v), centre and member."""
+    rows = stars.join(placed, F.col("v") == F.col("node"), "left").select(
+        F.col("u").alias("key"), "v", F.coalesce("component", "v").alias("component"))
+    mixed = (
+        rows.groupBy(F.col("key").alias("_key")).agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .where("low < high").select("_key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    texts = docs.select(F.col("doc_id").alias("_id"), "text")
     out = (
-        rows.withColumn("blocks", blocks).withColumn("own", own)
+        rows.join(mixed, F.col("key") == F.col("_key")).join(texts, F.col("v") == F.col("_id"))
+        .withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                "own", "u", "component", "sig")
-        .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    )
-
-    def compare(group: list[tuple]) -> list[tuple[int, int]]:
-        own, ids, comp, sigs = zip(*group)
-        if min(comp) == max(comp):
-            return []
-        ids, comp, own = np.array(ids), np.array(comp), np.array(own)
-        sig = np.frombuffer(b"".join(sigs), np.uint32).reshape(len(ids), -1)
-        found = []
-        for i in range(len(ids) - 1):
-            rest = slice(i + 1, None)
-            # within one block all pairs, between two only those across
-            across = (own[rest] != own[i]) if own.min() != own.max() else True
-            near = ((sig[rest] == sig[i]).sum(axis=1) >= least) & (comp[rest] != comp[i]) & across
-            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in np.flatnonzero(near) + i + 1]
-        return found
+                "v", "component", "own", "text")
+        .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, group = None, []
 
-        def emit(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.record_batch({"u": pa.array([int(p) for p, _ in pairs], pa.int64()),
-                                    "v": pa.array([int(q) for _, q in pairs], pa.int64())})
+        def links() -> Iterator[pa.RecordBatch]:
+            ids, comp, own, text = zip(*group) if group else ((), (), (), ())
+            if len(set(comp)) > 1:
+                found = _links_across(list(ids), list(comp), list(own), list(text), words, percent)
+                yield pa.record_batch({"u": pa.array([p for p, _ in found], pa.int64()),
+                                       "v": pa.array([q for _, q in found], pa.int64())})
 
         for batch in batches:
-            for key, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, lo, hi) != at:
-                    if len(group) > 1 and (pairs := compare(group)):
-                        yield emit(pairs)
-                    at, group = (key, lo, hi), []
-                group.append(tuple(row))
-        if len(group) > 1 and (pairs := compare(group)):
-            yield emit(pairs)
+            for i in range(0, batch.num_rows, SLICE):
+                for key, lo, hi, *row in zip(*(c.to_pylist() for c in batch.slice(i, SLICE).columns)):
+                    if (key, lo, hi) != at:
+                        yield from links()
+                        at, group = (key, lo, hi), []
+                    group.append(row)
+        yield from links()
 
     return out.mapInArrow(scan, "u long, v long").distinct()
 
@@ -229,20 +251,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows = written(sketches(docs, words, g, h), "sketches")
     usable = rows.where("n > 0 and doc_id is not null")
     classes = written(
-        usable.groupBy("digest").agg(F.min("doc_id").alias("u"), *[F.first(c).alias(c) for c in ("a", "b", "sig")]),
+        usable.groupBy("digest").agg(F.min("doc_id").alias("u"), *[F.first(c).alias(c) for c in ("a", "b")]),
         "classes")
 
     keys = F.flatten(F.transform("a", lambda x, i: F.transform(
         "b", lambda y, j: F.xxhash64(x, y, i * F.lit(h) + j))))
     tables = classes.select("u", F.explode(keys).alias("key"))
     buckets = (
-        tables.groupBy(F.col("key").alias("_key")).agg(F.min("u").alias("low"), F.max("u").alias("high"),
-                                                       F.count("*").alias("n"))
-        .where("low < high").select("_key", "low", "n"))
-    shared = written(tables.join(buckets, F.col("key") == F.col("_key")).select("key", "n", "low", "u"), "buckets")
+        tables.groupBy(F.col("key").alias("_key")).agg(F.min("u").alias("low"), F.max("u").alias("high"))
+        .where("low < high").select("_key", "low"))
 
     # first each member against its bucket's smallest, then what that leaves apart
-    stars = written(shared.where("u != low").select(F.col("low").alias("u"), F.col("u").alias("v")).distinct(), "stars")
+    stars = written(
+        tables.join(buckets, F.col("key") == F.col("_key")).where("u != low")
+        .select(F.col("low").alias("u"), F.col("u").alias("v")).distinct(), "stars")
     links = written(confirmed(stars, docs, words, percent), "links")
     # one document with several texts holds their classes together
     several = (
@@ -256,18 +278,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = written(links.unionByName(tied), "links")
     first = components(links)
 
-    n_hashes = g * ROWS_A + h * ROWS_B
-    share = percent / 100
-    least = int(n_hashes * (share - ERRORS * (share * (1 - share) / n_hashes) ** 0.5))
-    placed = shared.join(first, F.col("u") == F.col("node"), "left").select(
-        "key", "n", "u", F.coalesce("component", "u").alias("component"))
-    mixed = (
-        placed.groupBy(F.col("key").alias("_key")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high").select("_key"))
-    apart = placed.join(mixed, F.col("key") == F.col("_key"), "left_semi")
-    sigs = classes.select(F.col("u").alias("_u"), "sig")
-    apart = apart.join(sigs, F.col("u") == F.col("_u")).select("key", "n", "u", "component", "sig")
-    more = written(confirmed(written(_bucket_pairs(apart, least), "pairs"), docs, words, percent), "links")
+    more = written(_remaining(stars, first, docs, words, percent), "links")
     final = components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 
     placed = classes.join(final, F.col("u") == F.col("node"), "left").select(
