@@ -35,7 +35,6 @@ FAR = 6                  # score of buckets three quartiles apart
 MOST_LENGTH = 60         # bounds of the header's part of the score
 MOST_RATIO = 15
 MOST_SCORE = BUCKETS * FAR + MOST_LENGTH + 2 * MOST_RATIO
-HEX = 2 + 2 + BUCKETS // 2
 
 _SALTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 

@@ -257,7 +257,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[s
     rows = one.select("id", "toxic", "size").join(evidence, "id", "left").select(
         "toxic", "size", "worst", "strong").toPandas()
     found = np.array([features(list(w) if w is not None else [], 0 if np.isnan(k) else int(k), size)
-                      for w, k, size in zip(rows["worst"], rows["strong"].astype(float), rows["size"])]).reshape(len(rows), -1)
+                      for w, k, size in zip(rows["worst"], rows["strong"].astype(float), rows["size"])])
     return shares, fit(found, rows["toxic"].to_numpy(float)) if len(rows) else no_model()
 
 
