@@ -93,6 +93,7 @@ FLOTATION_TS_PATTERNS: tuple[str, ...] = (
 # --- fixed values: quarantine reasons ---
 REASON_BAD_TS = "invalid_timestamp"
 REASON_HARD_LIMIT = "out_of_range_hard_limit"
+REASON_CONTRACT = "contract_violation"
 
 # --- fixed values: quality band labels (three label sets in the reference) ---
 QUALITY_BANDS_SILVER: tuple[Band, ...] = (

@@ -74,22 +74,27 @@ EXACT_SCALE = 6
 EXACT_PRECISION = 18
 
 
+def _fixed(c: Column, scale: int) -> Column:
+    """The value in fixed point, or NULL if that would lose it: NaN, infinity,
+    a magnitude of 1e12 or more, or digits that matter below ``scale``."""
+    d = c.try_cast(f"decimal({EXACT_PRECISION},{scale})")
+    return F.when(F.abs(c - d.cast("double")) <= F.abs(c) * F.lit(10.0 ** -scale), d)
+
+
+def _exact(agg, col: Column | str, scale: int) -> Column:
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    fixed = _fixed(c, scale)
+    return F.when(F.count(fixed) == F.count(c), agg(fixed).cast("double")).otherwise(agg(c))
+
+
 def exact_sum(col: Column | str, scale: int = EXACT_SCALE) -> Column:
-    """Sum in fixed point, returned as double.
-
-    Floating-point sums depend on the order rows arrive in, i.e. on the
-    partitioning and on shuffle fetch order; summing decimals gives the same
-    answer on every run and cluster size, so a later ``round`` never flips
-    on a tie. Inputs are rounded HALF_UP to ``scale`` decimals and must be
-    below 1e12 in magnitude (a larger value fails the cast under ANSI mode
-    rather than being dropped).
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(f"decimal({EXACT_PRECISION},{scale})")).cast("double")
+    """Sum as double. Where every value fits fixed point it is summed so, which
+    gives the same answer in any order of rows; else (NaN, infinity, very large
+    or very small values) it is the plain double sum."""
+    return _exact(F.sum, col, scale)
 
 
 def exact_avg(col: Column | str, scale: int = EXACT_SCALE) -> Column:
-    """Mean in fixed point (see :func:`exact_sum`): the exact mean rounded
-    HALF_UP to ``scale + 4`` decimals, returned as double."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.avg(c.cast(f"decimal({EXACT_PRECISION},{scale})")).cast("double")
+    """Mean as double, see :func:`exact_sum`; in fixed point rounded HALF_UP to
+    ``scale + 4`` decimals."""
+    return _exact(F.avg, col, scale)

@@ -1,3 +1 @@
-"""DataFrame -> DataFrame stages. None of them triggers an action, except
-``enrich.bounded_broadcast`` which reads at most ``max_rows + 1`` rows of a
-dimension table to prove its size before hinting a broadcast."""
+"""DataFrame -> DataFrame stages. None of them triggers an action."""

@@ -70,21 +70,25 @@ def completeness(cols: list[str]) -> Column:
     return total
 
 
-def dedup_keep_best(df: DataFrame, keys: list[str], spec: SilverSpec = C.FLEET_SILVER) -> DataFrame:
+def dedup_keep_best(df: DataFrame, keys: list[str], spec: SilverSpec = C.FLEET_SILVER,
+                    ties: tuple[str, ...] | None = None) -> DataFrame:
     """One row per key: best quality, then the more complete row, then the
-    earliest ingestion, then the source file, then a row hash, so the result
-    does not depend on partitioning.
+    smallest of the ``ties`` columns; by default the earliest ingestion, the
+    source file and a row hash, so the result does not depend on partitioning.
 
     Catalyst plans ``row_number() = 1`` with a partial WindowGroupLimit before
     the shuffle, so a key with many copies is cut down map-side.
     """
     measure_cols = list(spec.completeness_cols or [r.column for r in spec.rules])
     order = [F.col("quality_score").desc(), completeness(measure_cols).desc()]
-    if spec.ingest_ts_col and spec.ingest_ts_col in df.columns:
+    if ties is not None:
+        order += [F.col(c).asc() for c in ties]
+    elif spec.ingest_ts_col and spec.ingest_ts_col in df.columns:
         order.append(F.col(spec.ingest_ts_col).asc_nulls_last())
-    if spec.source_col and spec.source_col in df.columns:
+    if ties is None and spec.source_col and spec.source_col in df.columns:
         order.append(F.col(spec.source_col).asc_nulls_last())
-    order.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
+    if ties is None:
+        order.append(F.xxhash64(*[F.col(c) for c in df.columns]).asc())
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 

@@ -1,4 +1,5 @@
-"""Registry enrichment (left joins to a dimension table)."""
+"""Registry enrichment (left joins to a dimension table). How to join is left
+to the planner: a small registry is broadcast by its size, a large one shuffled."""
 
 from __future__ import annotations
 
@@ -6,33 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# A dimension side is broadcast only when it is proven to hold at most this
-# many rows (a registry row is ~100 bytes, so ~10 MB); above it the join is
-# left to the planner (sort-merge, or AQE's runtime broadcast conversion when
-# the shuffled side turns out small).
-BROADCAST_MAX_ROWS = 100_000
-
-
-_SMALL: dict[tuple[int, int], bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    The check takes at most ``max_rows + 1`` one-column rows with an
-    incremental take (``limit().collect()`` scans one partition, then more
-    only while rows are missing), so a huge table is not read end to end -
-    unlike ``limit().count()``, which runs the limit in every partition.
-    The answer is remembered per plan (``semanticHash``) for the session; it
-    only picks the join strategy, never changes a result.
-    """
-    key = (df.semanticHash(), max_rows)
-    if key not in _SMALL:
-        taken = df.select(F.lit(1).alias("_one")).limit(max_rows + 1).collect()
-        _SMALL[key] = len(taken) <= max_rows
-    return F.broadcast(df) if _SMALL[key] else df
-
-
 REGISTRY_COLS = ("model", "manufacturer", "site_location")
 LIMIT_COLS = ("max_engine_temp_c", "max_oil_pressure_bar", "max_payload_tonnes")
 
@@ -55,7 +29,7 @@ def enrich_with_registry(
         *[F.col(c) for c in registry_cols],
         *[F.col(c).alias(f"_reg_{c}") for c in limit_cols],
     )
-    joined = readings.join(bounded_broadcast(reg), on=key, how="left")
+    joined = readings.join(reg, on=key, how="left")
     ingest = F.col("ingestion_timestamp") if "ingestion_timestamp" in readings.columns else F.lit(None).cast("timestamp")
     out = joined.withColumns(
         {
@@ -78,4 +52,4 @@ def join_limits(daily: DataFrame, registry: DataFrame, key: str = "equipment_id"
     def limit(c: str):
         return F.col(c) if c in registry.columns else F.lit(None).cast("double")
     reg = registry.select(key, limit(temp_col).alias("max_safe_temp"), limit(pressure_col).alias("max_safe_pressure"))
-    return daily.join(bounded_broadcast(reg), on=key, how="left")
+    return daily.join(reg, on=key, how="left")

@@ -21,7 +21,6 @@ Run-time columns (``calculated_at`` etc.) take the fixed ``AS_OF`` instant.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,17 +52,8 @@ def as_of() -> Column:
     return F.lit(AS_OF_TEXT).cast("timestamp_ntz")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The benchmark table (read-only input): one scan definition per
-    session, so repeated queries do not list and read footers again."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = SF.read_table(spark, path)
-    return _TABLES[key]
+    return SF.read_table(spark, os.path.join(sf_dir, f"{name}.parquet"))
 
 
 # =========================================================== lineitem fleet
@@ -137,7 +127,7 @@ def li_readings(li: DataFrame) -> DataFrame:
 
 def li_registry(spark, sf_dir) -> DataFrame:
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    nat = EN.bounded_broadcast(n.select("n_nationkey", "n_name"))
+    nat = n.select("n_nationkey", "n_name")
     return s.join(nat, s["s_nationkey"] == nat["n_nationkey"], "inner").select(
         F.col("s_suppkey").cast("string").alias("equipment_id"),
         F.col("s_name").alias("model"),
@@ -147,11 +137,8 @@ def li_registry(spark, sf_dir) -> DataFrame:
 
 
 def _li_dedup(df: DataFrame) -> DataFrame:
-    # explicit tie columns first: the oracle cannot reproduce xxhash64
-    from pyspark.sql import Window
-    order = [F.col("quality_score").desc(), CL.completeness(list(LI_SENSORS)).desc(), *[F.col(c).asc() for c in LI_TIES]]
-    w = Window.partitionBy("equipment_id", CL.PARSED).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    # explicit tie columns: the oracle cannot reproduce xxhash64
+    return CL.dedup_keep_best(df, ["equipment_id", CL.PARSED], LI_SPEC, ties=LI_TIES)
 
 
 def li_flagged(spark, sf_dir) -> DataFrame:
@@ -219,7 +206,7 @@ def ev_raw(spark, sf_dir) -> DataFrame:
 
 def ev_registry(spark, sf_dir) -> DataFrame:
     c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    nat = EN.bounded_broadcast(n.select("n_nationkey", "n_name"))
+    nat = n.select("n_nationkey", "n_name")
     return c.join(nat, c["c_nationkey"] == nat["n_nationkey"], "inner").select(
         F.col("c_custkey").cast("string").alias("equipment_id"),
         F.col("c_name").alias("model"),
@@ -232,11 +219,7 @@ def ev_registry(spark, sf_dir) -> DataFrame:
 
 
 def _ev_dedup(df: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-    order = [F.col("quality_score").desc(), CL.completeness(["value", "k"]).desc(),
-             F.col("ingestion_timestamp").asc(), F.col("event_id").asc()]
-    w = Window.partitionBy("equipment_id", CL.PARSED).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return CL.dedup_keep_best(df, ["equipment_id", CL.PARSED], EV_SPEC, ties=("ingestion_timestamp", "event_id"))
 
 
 def ev_silver(spark, sf_dir) -> DataFrame:
@@ -386,12 +369,12 @@ def q_trend_alerts(spark, sf_dir):
 
 
 def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back,
-    cutting its lineage: a table used by several branches of one plan is
-    computed once, and a lost executor re-reads it instead of recomputing
-    the chain behind it."""
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and read it back: a
+    table used by several branches of one plan is computed once, a lost
+    executor re-reads it, and its size and columns are known to the planner."""
+    path = os.path.join(shared_dir(spark), f"layer-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _fleet(spark, sf_dir, per_site):
@@ -503,14 +486,14 @@ def q_failure_calibration(spark, sf_dir):
     return FA.failure_calibration(labelled_records(spark, sf_dir), as_of(), flags=LABEL_FLAGS).drop("calculated_at")
 
 
-def embedding_signals(spark, sf_dir, n: int = 32) -> DataFrame:
+def embedding_signals(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("label").alias("experiment_id"),
         F.lit(1).alias("bearing_id"),
         F.col("vec_id").alias("measurement_index"),
         F.col("vec_id").cast("string").alias("timestamp"),
-        F.transform(F.slice("embedding", 1, n), lambda x: x.cast("double")).alias("vibration_signal"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("vibration_signal"),
         F.lit(C.SAMPLE_RATE_HZ).alias("sample_rate_hz"),
     )
 
@@ -532,7 +515,7 @@ def q_bearing_health(spark, sf_dir):
 
 
 def q_spectral_features(spark, sf_dir):
-    f = SG.bearing_features(embedding_signals(spark, sf_dir, 64), as_of(), with_moments=False, with_spectrum=True)
+    f = SG.bearing_features(embedding_signals(spark, sf_dir), as_of(), with_moments=False, with_spectrum=True)
     return f.select("measurement_index", "sample_count", "dominant_frequency_hz", "spectral_energy")
 
 
@@ -541,10 +524,8 @@ def q_decimal_comma(spark, sf_dir):
     plain = F.replace(F.col("o_totalprice").cast("string"), F.lit("."), F.lit(","))
     grouped = F.translate(F.format_number("o_totalprice", 2), ",.", ".,")
     df = o.select("o_orderkey", plain.alias("price_text"), grouped.alias("price_grouped_text"))
-    conv = SF.decimal_comma_to_double(df, skip=("o_orderkey",))
-    return df.select("o_orderkey", "price_text", "price_grouped_text").join(
-        conv.select("o_orderkey", F.col("price_text").alias("price"), F.col("price_grouped_text").alias("price_grouped")),
-        "o_orderkey")
+    df = df.withColumns({"price": F.col("price_text"), "price_grouped": F.col("price_grouped_text")})
+    return SF.decimal_comma_to_double(df, skip=("o_orderkey", "price_text", "price_grouped_text"))
 
 
 def q_freshness(spark, sf_dir):
@@ -604,18 +585,10 @@ def q_table_stats(spark, sf_dir):
 # ------------------------------------------------------------- streaming
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); set to a
-    fresh temporary folder only when the session has none (local tests)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's own checkpoint settings apply
-        sc = None
-    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    """The folder all executors share, ``spark.checkpoint.dir``; it must be set."""
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="quarrysight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return d
 
 

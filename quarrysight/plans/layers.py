@@ -92,8 +92,8 @@ def bronze(spark: SparkSession, lay: Layout, landing: str, as_of: Column) -> Non
                           list(C.LABEL_HEADER_MAP), lambda df, src, ts: SF.label_bronze(df, src, ts))
     bearing = os.path.join(landing, "bearing")
     if _exists(spark, bearing):
-        T.write_table(SF.read_vibration_files(spark, bearing, as_of), lay.path("bronze", "raw_bearing_vibration"),
-                      "overwrite", ("ingestion_date",))
+        # the files are read whole each time, so the whole table is replaced
+        T.write_table(SF.read_vibration_files(spark, bearing, as_of), lay.path("bronze", "raw_bearing_vibration"))
     registry = os.path.join(landing, "registry")
     if _exists(spark, registry):
         reg = SF.read_registry_csv(spark, registry, as_of_date=F.to_date(as_of))
@@ -130,24 +130,20 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     b_obs = Observation("batch")
     raw = raw.observe(b_obs, F.max("ingestion_timestamp").alias("hwm"))
 
-    # quarantine: one row per (reason, record), appended only when new
-    # (rerun-safe). Copies of one bad message are collapsed first - a
-    # map-side partial dedup - so a storm of identical copies never meets
-    # the anti-join as one hot key.
-    quarantine = CL.quarantine_records(raw, as_of)
-    qpath = lay.path("silver", "quarantine_records")
-    key = F.sha2(F.concat_ws("|", "quarantine_reason", "raw_record"), 256)
-    new_q = quarantine.withColumn("_k", key).dropDuplicates(["_k"])
-    if _exists(spark, qpath):
-        old = spark.read.parquet(qpath).select(F.sha2(F.concat_ws("|", "quarantine_reason", "raw_record"), 256).alias("_k"))
-        new_q = new_q.join(old, "_k", "left_anti")
-    q_obs = Observation("quarantine")
-    new_q = new_q.observe(q_obs, F.count(F.lit(1)).alias("new_quarantined"))
-    T.write_table(new_q.drop("_k"), qpath, "append")
-
+    # one partition per batch (its lower high-water mark): a rerun overwrites
+    # it, so repeated messages are all kept and none is written twice
+    batch = _batch_id(hwm)
     registry = spark.read.parquet(lay.path("silver", "equipment_registry"))
     enriched = EN.enrich_with_registry(CL.silver_readings(raw), registry, as_of)
-    good, _bad = T.enforce_contract(enriched, SILVER_CONTRACT)
+    # written once: the good rows, the bad ones and the merge all read it
+    staged = lay.path("_batch", "silver")
+    T.write_table(enriched, staged)
+    good, bad = T.enforce_contract(spark.read.schema(enriched.schema).parquet(staged), SILVER_CONTRACT)
+    q_obs = Observation("quarantine")
+    quarantine = CL.quarantine_records(raw, as_of).unionByName(_violators(bad, as_of)) \
+        .observe(q_obs, F.count(F.lit(1)).alias("new_quarantined"))
+    T.write_table(quarantine.withColumn("batch_id", F.lit(batch)), lay.path("silver", "quarantine_records"),
+                  "overwrite", ("batch_id",))
     s_obs = Observation("silver")
     good = good.observe(s_obs, F.count(F.lit(1)).alias("clean_readings"),
                         F.count_if(F.col("is_anomaly")).alias("flagged_readings"),
@@ -178,6 +174,20 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     return metrics
 
 
+def _batch_id(hwm) -> str:
+    return "start" if hwm is None else f"after-{hwm:%Y%m%dT%H%M%S%f}"
+
+
+def _violators(bad: DataFrame, as_of: Column) -> DataFrame:
+    """Quarantine rows of readings that break the table contract."""
+    return bad.select(
+        "equipment_id", "equipment_type",
+        F.col("reading_timestamp").cast("string").alias("raw_timestamp"),
+        F.lit(C.REASON_CONTRACT).alias("quarantine_reason"),
+        F.to_json(F.struct(*bad.columns)).alias("raw_record"),
+        as_of.alias("quarantined_at"))
+
+
 def _after(df: DataFrame, hwm) -> DataFrame:
     if hwm is None:
         return df
@@ -185,22 +195,20 @@ def _after(df: DataFrame, hwm) -> DataFrame:
 
 
 def silver_flotation(spark: SparkSession, lay: Layout, as_of: Column, flot_path: str) -> dict:
-    """New flotation bronze rows -> cleaned rows appended once: each row
-    carries ``record_key`` (hash of its file and values) and rows whose key is
-    already in silver are skipped, so a rerun after a failure adds nothing.
-    Returns ``flot_since`` (first touched day) and ``flot_hwm``."""
-    raw = _after(spark.read.parquet(flot_path), _state(spark, lay, "flotation"))
+    """New flotation bronze rows -> cleaned rows, one ``batch_id`` partition per
+    batch: a rerun after a failure overwrites it, and repeated readings (the
+    date column is hourly) are all kept. Returns ``flot_since`` (first touched
+    day) and ``flot_hwm``."""
+    hwm = _state(spark, lay, "flotation")
+    raw = _after(spark.read.parquet(flot_path), hwm)
     obs = Observation("flotation")
     raw = raw.observe(obs, F.max("ingestion_timestamp").alias("flot_hwm"))
     value_cols = ["date", *schemas.FLOTATION_COLUMNS]
     key = F.sha2(F.concat_ws("|", F.col("source_file"), F.to_json(F.struct(*value_cols))), 256)
-    cleaned = PR.clean_flotation(raw, as_of).withColumn("record_key", key).dropDuplicates(["record_key"])
-    spath = lay.path("silver", "cleaned_flotation_readings")
-    if _exists(spark, spath):
-        cleaned = cleaned.join(spark.read.parquet(spath).select("record_key"), "record_key", "left_anti")
     s_obs = Observation("flotation_silver")
-    cleaned = cleaned.observe(s_obs, F.min("reading_date").alias("flot_since"))
-    cleaned.write.mode("append").partitionBy("reading_date").parquet(spath)
+    cleaned = PR.clean_flotation(raw, as_of).withColumn("record_key", key) \
+        .observe(s_obs, F.min("reading_date").alias("flot_since")).withColumn("batch_id", F.lit(_batch_id(hwm)))
+    T.write_table(cleaned, lay.path("silver", "cleaned_flotation_readings"), "overwrite", ("batch_id", "reading_date"))
     return {**obs.get, **s_obs.get}
 
 
@@ -217,7 +225,8 @@ def gold(spark: SparkSession, lay: Layout, as_of: Column, since=None, flot_since
     if since is not None:
         day = F.lit(since)
         readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")).filter(F.col("reading_date") >= day)
-        kpis, _ = T.enforce_contract(KP.hourly_kpis(readings), KPI_CONTRACT)
+        kpis, broken = T.enforce_contract(KP.hourly_kpis(readings), KPI_CONTRACT)
+        T.write_table(broken, lay.path("gold", "kpi_contract_violations"))
         T.replace_partitions_from(spark, kpis, lay.path("gold", "hourly_equipment_kpis"), "kpi_date", since)
 
         kpis = spark.read.schema(kpis.schema).parquet(lay.path("gold", "hourly_equipment_kpis")) \

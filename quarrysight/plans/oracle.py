@@ -396,7 +396,7 @@ PROC_ELSE = [b.label for b in C.PROCESS_BANDS if b.lower is None][0]
 SIG = f"""
 sig AS (
   SELECT label AS experiment_id, vec_id AS measurement_index,
-         list_transform(embedding[1:32], lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings),
+         list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS s FROM embeddings),
 sig1 AS (
   SELECT *, len(s) AS sample_count,
          {sr("sqrt(list_reduce(list_transform(s, lambda x: x * x), lambda a, b: a + b) / len(s))", 6)} AS rms_amplitude,

@@ -25,8 +25,6 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
-        # explicit broadcasts are size-checked by operators.enrich.bounded_broadcast;
-        # this is the planner's own estimate-based limit for everything else
         "spark.sql.autoBroadcastJoinThreshold": "10m",
     }
 

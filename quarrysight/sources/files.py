@@ -91,14 +91,14 @@ def read_label_csv(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
 
 def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
                          experiments: dict[str, int] = C.EXPERIMENT_IDS,
-                         max_samples: int = C.MAX_SIGNAL_SAMPLES,
+                         max_samples: int | None = None,
                          bearings: int = C.BEARINGS_PER_FILE) -> DataFrame:
     """``<root>/<experiment dir>/<file>``, one tab-separated file per
     measurement, one column per bearing.
 
     Each file is read whole (``wholetext``) so its sample order is kept;
-    lines are split, every sample ``try_cast`` (bad ones dropped), the first
-    ``max_samples`` kept. ``measurement_index`` is the rank of the file name
+    lines are split, every sample ``try_cast`` (bad ones dropped), all kept,
+    or the first ``max_samples`` if that is given. ``measurement_index`` is the rank of the file name
     within its experiment, computed on the narrow (experiment, file) table
     and joined back, so no window carries signal arrays.
     """
@@ -121,9 +121,11 @@ def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
         return lambda r: F.get(r, b).try_cast("double")
 
     per_bearing = [
-        F.slice(F.filter(F.transform(rows, column(b)), lambda x: x.isNotNull()), 1, max_samples)
+        F.filter(F.transform(rows, column(b)), lambda x: x.isNotNull())
         for b in range(bearings)
     ]
+    if max_samples is not None:
+        per_bearing = [F.slice(x, 1, max_samples) for x in per_bearing]
     sig = files.select(
         "experiment_id", "timestamp", "path",
         F.posexplode(F.array(*per_bearing)).alias("bearing_pos", "vibration_signal"),
@@ -151,35 +153,7 @@ def read_registry_csv(spark: SparkSession, path: str, schema: StructType | None
     return df
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under ``path`` (file-system metadata, no data read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-# below this a table is too small for spreading its rows to pay off
-REBALANCE_MIN_BYTES = 1 << 20
-_REBALANCE: dict[tuple[str, int], bool] = {}
-
-
-def read_table(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """A layer table (parquet file or directory).
-
-    When the scan yields fewer input splits than ``min_partitions`` (default:
-    the session's parallelism) - a table stored as a single row group - and
-    the table is not tiny, the rows are spread round-robin so the per-row
-    work after the scan runs on every core. A large table already has more
-    splits than cores, so at scale this adds nothing: no shuffle, same plan.
-    """
-    df = spark.read.parquet(path)
-    try:
-        want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-        key = (path, want)
-        if key not in _REBALANCE:
-            _REBALANCE[key] = (want > 1 and path_bytes(spark, path) >= REBALANCE_MIN_BYTES
-                               and df.rdd.getNumPartitions() < want)
-    except Exception:  # no JVM-side context (e.g. a Spark Connect session): plain scan
-        return df
-    return df.repartition(want) if _REBALANCE[key] else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A layer table (parquet file or directory). Its splits follow
+    ``spark.sql.files.maxPartitionBytes`` and ``minPartitionNum``."""
+    return spark.read.parquet(path)

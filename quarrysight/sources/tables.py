@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,23 +37,41 @@ def upsert_rows(target: DataFrame, updates: DataFrame, keys: list[str], better:
     return merged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own (staging, run folders)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                  partition_col: str, better: str = "quality_score", staging: str | None = None) -> None:
     """T2 on storage: rewrite only the ``partition_col`` partitions the
-    updates touch. The merged rows are first written to ``staging`` (a
-    sibling folder) and then swapped in, so the job never reads and
-    overwrites the same files in one plan. First load = empty target."""
+    updates touch. First load = empty target.
+
+    The batch is written once, to a staging folder of this run alone, and so
+    are the merged rows before they are swapped in: nothing of an earlier run
+    can come back, and no plan reads and overwrites the same files. Only the
+    touched partitions of the target are opened (a list of partition values,
+    one per day touched); their schemas are merged, as a column may have been
+    added upstream."""
     if not path_exists(spark, path):
         write_table(updates, path, "overwrite", (partition_col,))
         return
-    touched = updates.select(partition_col).distinct()
-    target = spark.read.option("mergeSchema", "true").parquet(path).join(touched, partition_col, "left_semi")
-    merged = upsert_rows(target, updates, keys, better)
-    staging = staging or path.rstrip("/") + "__staging"
-    write_table(merged, staging, "overwrite", (partition_col,))
-    # known schema: an empty update batch leaves no files in staging, and the
-    # dynamic overwrite below then replaces nothing
-    write_table(spark.read.schema(merged.schema).parquet(staging), path, "overwrite", (partition_col,))
+    run = f"{(staging or path.rstrip('/') + '__staging').rstrip('/')}/{uuid.uuid4().hex}"
+    write_table(updates, f"{run}/batch")
+    batch = spark.read.schema(updates.schema).parquet(f"{run}/batch")
+    touched = [r[0] for r in batch.select(F.col(partition_col).cast("string")).distinct().collect()]
+    folders = [f"{path.rstrip('/')}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in touched]
+    there = [f for f in folders if path_exists(spark, f)]
+    if there:
+        target = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*there)
+        target = target.withColumn(partition_col, F.col(partition_col).cast(updates.schema[partition_col].dataType))
+        merged = upsert_rows(target, batch, keys, better)
+    else:
+        merged = batch
+    write_table(merged, f"{run}/merged")
+    write_table(spark.read.schema(merged.schema).parquet(f"{run}/merged"), path, "overwrite", (partition_col,))
+    delete_path(spark, run)
 
 
 def drop_partitions_from(spark: SparkSession, path: str, col: str, since) -> int:

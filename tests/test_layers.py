@@ -117,7 +117,7 @@ def test_layers_end_to_end_and_rerun(spark, workdir):
     # the incremental runs end where one full run over all landed files ends
     full = L.run_all(spark, os.path.join(workdir, "lake_full"), landing, as_of_col())
     drop = {"bronze_ingestion_timestamp", "silver_processed_timestamp", "ingestion_timestamp", "ingestion_date",
-            "record_key", "source_file"}
+            "record_key", "source_file", "batch_id"}
     for layer, t in (("silver", "cleaned_sensor_readings"), ("silver", "anomaly_events"),
                      ("gold", "hourly_equipment_kpis"), ("gold", "equipment_health_scores"),
                      ("gold", "maintenance_alerts"), ("gold", "fleet_summary_daily"),
