@@ -160,6 +160,42 @@ ALERT_ACTION_CRITICAL = "Immediate inspection required. Consider taking equipmen
 ALERT_ACTION_WARNING = "Schedule maintenance within the next shift cycle."
 ALERT_ACTION_TREND = "Monitor closely. Plan maintenance if trend continues."
 
+
+@dataclass(frozen=True)
+class AlertRule:
+    """When a row raises an alert, and its texts (``operators.alerts.fill``)."""
+
+    alert_type: str
+    when: str
+    severity: str       # SQL expression
+    title: str
+    description: str
+    action: str         # SQL expression
+
+
+# --- fixed values: alert rules and their texts ---
+HEALTH_ALERT = AlertRule(
+    "health_score", "health_status IN ('critical', 'warning')", "health_status",
+    "{equipment_id} health score: {health_score:1}",
+    "Equipment {equipment_id} at {site_location} has health score {health_score:1} ({health_status}). "
+    "Trend: {health_trend}[. Est. days to failure: {days_to_maintenance_estimate}]",
+    f"IF(health_status = 'critical', '{ALERT_ACTION_CRITICAL}', '{ALERT_ACTION_WARNING}')")
+TREND_ALERT = AlertRule(
+    "trend", "health_trend = 'degrading' AND health_status = 'watch'", "'watch'",
+    "{equipment_id} degrading trend detected",
+    "Equipment {equipment_id} health score dropped from {health_score_prev_day:1} to {health_score:1} over 24 hours.",
+    f"'{ALERT_ACTION_TREND}'")
+FREQUENCY_ALERT = AlertRule(
+    "anomaly_frequency", "daily_anomaly_count > CAST(max_flags AS DOUBLE)", "'warning'",
+    "{equipment_id} frequent anomalies",
+    "Equipment {equipment_id} flagged {daily_anomaly_count} readings (limit {max_flags}).",
+    f"'{ALERT_ACTION_TREND}'")
+THRESHOLD_ALERT = AlertRule(
+    "threshold", "n_events > 0", "'critical'",
+    "{equipment_id} {sensor_name} over its limit",
+    "Equipment {equipment_id} had {n_events} critical {sensor_name} readings, the highest {worst_value:1}.",
+    f"'{ALERT_ACTION_CRITICAL}'")
+
 # --- fixed values: flotation ---
 SILICA_BREACH_PCT = 3.0
 # silica <= bound -> score; NULL -> 0.5; above the last bound -> 0.2

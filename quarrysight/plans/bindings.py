@@ -21,6 +21,8 @@ Run-time columns (``calculated_at`` etc.) take the fixed ``AS_OF`` instant.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -525,7 +527,8 @@ def q_decimal_comma(spark, sf_dir):
     grouped = F.translate(F.format_number("o_totalprice", 2), ",.", ".,")
     df = o.select("o_orderkey", plain.alias("price_text"), grouped.alias("price_grouped_text"))
     df = df.withColumns({"price": F.col("price_text"), "price_grouped": F.col("price_grouped_text")})
-    return SF.decimal_comma_to_double(df, skip=("o_orderkey", "price_text", "price_grouped_text"))
+    out = SF.decimal_comma_to_double(df, skip=("o_orderkey", "price_text", "price_grouped_text"))
+    return out.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
 def q_freshness(spark, sf_dir):
@@ -560,6 +563,15 @@ def q_rate_of_change(spark, sf_dir):
     return r.select("equipment_id", "event_timestamp", "severity", "sensor_value", "description")
 
 
+def q_threshold_alerts(spark, sf_dir):
+    silver = li_silver(spark, sf_dir)
+    events = AN.threshold_events(silver, LI_THRESHOLDS, as_of()).withColumn("event_date", F.to_date("event_timestamp"))
+    sites = li_registry(spark, sf_dir).select("equipment_id", "site_location")
+    a = AL.threshold_alerts(events.join(sites, "equipment_id", "left"), as_of())
+    return a.select("equipment_id", "equipment_type", "site_location", "alert_date", "severity", "alert_type", "title",
+                    "description", "recommended_action")
+
+
 def q_anomaly_frequency_alerts(spark, sf_dir):
     a = AL.anomaly_frequency_alerts(ev_daily(spark, sf_dir), as_of(), max_flags=1)
     return a.select("alert_id", "equipment_id", "alert_date", "severity", "alert_type", "title", "description")
@@ -585,10 +597,14 @@ def q_table_stats(spark, sf_dir):
 # ------------------------------------------------------------- streaming
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, ``spark.checkpoint.dir``; it must be set."""
+    """The folder all executors share, ``spark.checkpoint.dir``. Only a local
+    master may go without; it gets a folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="quarrysight-")
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
@@ -687,6 +703,7 @@ QUERIES = {
     "zscore_anomalies": q_zscore_anomalies,
     "rate_of_change": q_rate_of_change,
     "anomaly_frequency_alerts": q_anomaly_frequency_alerts,
+    "threshold_alerts": q_threshold_alerts,
     # rows-only
     "spectral_features": q_spectral_features,
     "table_stats": q_table_stats,

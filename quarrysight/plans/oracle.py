@@ -918,3 +918,13 @@ SELECT c.vec_id AS measurement_index, CAST(c.n AS INTEGER) AS sample_count,
        {sr("d.k * 20480.0 / c.n", 6)} AS dominant_frequency_hz,
        {sr("list_reduce(list_transform(c.v, lambda t: t * t), lambda a, b: a + b)", 6)} AS spectral_energy
 FROM c JOIN dom d ON c.vec_id = d.vec_id"""
+
+ORACLE["threshold_alerts"] = LIE + f"""
+SELECT equipment_id, equipment_type, site_location, alert_date, 'critical' AS severity, 'threshold' AS alert_type,
+       equipment_id || ' ' || sensor_name || ' over its limit' AS title,
+       'Equipment ' || equipment_id || ' had ' || n || ' critical ' || sensor_name || ' readings, the highest ' ||
+         CAST({sr("worst", 1)} AS VARCHAR) || '.' AS description,
+       'Immediate inspection required. Consider taking equipment offline.' AS recommended_action
+FROM (SELECT e.equipment_id, e.equipment_type, r.site_location, CAST(e.event_timestamp AS DATE) AS alert_date, sensor_name,
+             count(*) AS n, max(sensor_value) AS worst
+      FROM li_ev e LEFT JOIN li_reg r USING (equipment_id) WHERE severity = 'critical' GROUP BY ALL)"""

@@ -65,3 +65,25 @@ def test_whole_vibration_signals(spark, workdir):
     assert {r[0] for r in df.select(F.size("vibration_signal")).collect()} == {3000}
     cut = SF.read_vibration_files(spark, workdir, as_of_col(), experiments={"1st_test": 1}, bearings=4, max_samples=10)
     assert {r[0] for r in cut.select(F.size("vibration_signal")).collect()} == {10}
+
+
+def test_alerts_count_at_each_site_of_a_unit(spark):
+    import datetime as dt
+
+    from quarrysight.operators import alerts as AL
+    from quarrysight.operators import fleet as FL
+    d = dt.date(2024, 1, 1)
+    health = spark.createDataFrame(
+        [("U", "t", d, "S1", 10.0, "critical", "stable", None, None), ("U", "t", d, "S2", 30.0, "warning", "stable", 5, None),
+         ("V", "t", d, None, 90.0, "normal", "stable", None, 80.0)],
+        "equipment_id string, equipment_type string, score_date date, site_location string, health_score double, "
+        "health_status string, health_trend string, days_to_maintenance_estimate int, health_score_prev_day double")
+    kpis = spark.createDataFrame([(d, "S1", 100.0, 50.0, 3)],
+                                 "kpi_date date, site_location string, total_payload_tonnes double, utilization_pct double, "
+                                 "anomaly_count int")
+    alerts = AL.all_alerts(health, as_of_col())
+    texts = {r.site_location: r.description for r in alerts.collect()}
+    assert texts["S1"].endswith("Trend: stable") and texts["S2"].endswith("Trend: stable. Est. days to failure: 5")
+    rows = {r.site_location: r for r in FL.fleet_summary(health, alerts, kpis, as_of_col(), per_site=True).collect()}
+    assert [(rows[s].critical_alerts, rows[s].warning_alerts) for s in ("S1", "S2", None)] == [(1, 0), (0, 1), (0, 0)]
+    assert rows["S1"].total_anomalies == 3 and rows["S2"].total_anomalies == 0
