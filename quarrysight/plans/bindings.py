@@ -620,36 +620,34 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(os.path.join(run, "table"))
 
 
-def q_stream_hourly_window(spark, sf_dir):
-    """Hourly tumbling-window KPIs of the events stream under a 2-hour
-    watermark; append mode emits the windows the watermark has closed."""
-    from ..streaming.ingest import stream_parquet_once
-    from ..streaming.windows import hourly_window_kpis
+def q_stream_hourly_window(spark, sf_dir, files_per_trigger=None, glob="events.parquet"):
+    """Hourly KPIs of the events stream: every micro-batch adds its partial
+    aggregates, the totals cover all windows."""
+    from ..streaming import tables as ST
     run = os.path.join(shared_dir(spark), f"stream-window-{uuid.uuid4().hex}")
-    schema = table(spark, sf_dir, "events").schema
-
-    def transform(df):
-        return hourly_window_kpis(df, "ts", "user_id", "value", "event_type", EV_STATUS.operating, "2 hours")
-    stream_parquet_once(spark, sf_dir, schema, os.path.join(run, "table"), os.path.join(run, "checkpoint"),
-                        transform, glob="events.parquet")
-    k = spark.read.parquet(os.path.join(run, "table"))
-    return k.select("window_start", "window_end", "user_id", "total_readings", "operating_readings",
-                    "utilization_pct", F.round("avg_value", 6).alias("avg_value"), "max_value")
+    stream = ST.read_files(spark, sf_dir, table(spark, sf_dir, glob.split(".")[0]).schema, glob, files_per_trigger)
+    ST.drain(stream, ST.add_partials(os.path.join(run, "table"), lambda b: ST.window_partials(
+        b, "ts", "user_id", "value", "event_type", EV_STATUS.operating)), os.path.join(run, "checkpoint"))
+    k = ST.window_totals(spark.read.parquet(os.path.join(run, "table")), "user_id")
+    return k.withColumn("avg_value", F.round("avg_value", 6))
 
 
-def q_stream_silver(spark, sf_dir):
-    """The lineitem file as a reading stream through the streaming silver
-    stage (parse, hard rules, flags, de-duplication inside a watermark). The
-    keys kept are deterministic; which copy of a key survives is not, so only
-    keys are returned."""
-    from ..streaming.ingest import stream_parquet_once
-    from ..streaming.windows import stream_silver
+def q_stream_silver(spark, sf_dir, files_per_trigger=None, glob="lineitem.parquet"):
+    """The lineitem file as a reading stream through the silver stage (parse,
+    hard rules, flags) into a table of the best row per key."""
+    from ..streaming import tables as ST
     run = os.path.join(shared_dir(spark), f"stream-silver-{uuid.uuid4().hex}")
-    schema = table(spark, sf_dir, "lineitem").schema
-    stream_parquet_once(spark, sf_dir, schema, os.path.join(run, "table"), os.path.join(run, "checkpoint"),
-                        lambda df: stream_silver(li_readings(df), LI_SPEC, "2 hours"), glob="lineitem.parquet")
-    out = spark.read.parquet(os.path.join(run, "table"))
-    return out.select("equipment_id", F.col(CL.PARSED).cast("timestamp_ntz").alias("reading_timestamp"))
+    stream = ST.read_files(spark, sf_dir, table(spark, sf_dir, glob.split(".")[0]).schema, glob, files_per_trigger)
+
+    def prepare(batch):
+        flagged = CL.flag_quality(CL.passing_records(li_readings(batch), LI_SPEC), LI_RULES)
+        return flagged.withColumn("reading_month", F.date_format(CL.PARSED, "yyyy-MM"))
+
+    ST.drain(stream, ST.keep_best(os.path.join(run, "table"), prepare, _li_dedup, "reading_month"),
+             os.path.join(run, "checkpoint"))
+    return spark.read.parquet(os.path.join(run, "table")).select(
+        "equipment_id", F.col(CL.PARSED).alias("reading_timestamp"), "l_orderkey", "l_linenumber", "l_partkey",
+        "quality_score", F.array_join("anomaly_reasons", "|").alias("reasons"))
 
 
 # ================================================================ registry

@@ -642,8 +642,7 @@ WITH w AS (
   FROM events GROUP BY 1, 2)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, user_id, total_readings, operating_readings,
        {sr("operating_readings / total_readings * 100", 2)} AS utilization_pct, {sr("avg_value", 6)} AS avg_value, max_value
-FROM w
-WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+FROM w"""
 
 ORACLE["zscore_anomalies"] = f"""
 WITH x AS (
@@ -894,8 +893,9 @@ SELECT equipment_id, equipment_type, health_score, health_status, health_trend,
        temperature_score, pressure_score, vibration_score, performance_score
 FROM ev_health WHERE score_date = {LATEST}"""
 
-ORACLE["stream_silver"] = with_(LI_BASE) + """
-SELECT DISTINCT equipment_id, parsed_ts AS reading_timestamp FROM li_flag"""
+ORACLE["stream_silver"] = with_(LI_BASE, f"li_dedup AS {li_dedup()}") + """
+SELECT equipment_id, parsed_ts AS reading_timestamp, l_orderkey, l_linenumber, l_partkey, quality_score, reasons
+FROM li_dedup"""
 
 # direct DFT (DuckDB has no FFT): |X_k|^2 of the mean-removed signal for
 # k = 1..n/2, the largest bin wins; energy = sum |X_k|^2 / n = sum x^2 (Parseval)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,17 +46,28 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                  partition_col: str, better: str = "quality_score", staging: str | None = None) -> None:
-    """T2 on storage: rewrite only the ``partition_col`` partitions the
-    updates touch. First load = empty target.
+    """T2 on storage: :func:`upsert_rows` on the ``partition_col`` partitions
+    the updates touch. First load = empty target."""
+    _merge(spark, path, updates, lambda t, u: upsert_rows(t, u, keys, better), partition_col, staging)
 
-    The batch is written once, to a staging folder of this run alone, and so
+
+def merge_best(spark: SparkSession, path: str, updates: DataFrame, best: Callable[[DataFrame], DataFrame],
+               partition_col: str, staging: str | None = None) -> None:
+    """Like :func:`merge_upsert`, with ``best`` picking among stored and new
+    rows; of a first load too."""
+    _merge(spark, path, updates, lambda t, u: best(u if t is None else t.unionByName(u, allowMissingColumns=True)),
+           partition_col, staging, first=True)
+
+
+def _merge(spark: SparkSession, path: str, updates: DataFrame, merge: Callable, partition_col: str,
+           staging: str | None, first: bool = False) -> None:
+    """The batch is written once, to a staging folder of this run alone, and so
     are the merged rows before they are swapped in: nothing of an earlier run
     can come back, and no plan reads and overwrites the same files. Only the
-    touched partitions of the target are opened (a list of partition values,
-    one per day touched); their schemas are merged, as a column may have been
-    added upstream."""
+    touched partitions of the target are opened (a list of partition values);
+    their schemas are merged, as a column may have been added upstream."""
     if not path_exists(spark, path):
-        write_table(updates, path, "overwrite", (partition_col,))
+        write_table(merge(None, updates) if first else updates, path, "overwrite", (partition_col,))
         return
     run = f"{(staging or path.rstrip('/') + '__staging').rstrip('/')}/{uuid.uuid4().hex}"
     write_table(updates, f"{run}/batch")
@@ -66,9 +78,9 @@ def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[
     if there:
         target = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*there)
         target = target.withColumn(partition_col, F.col(partition_col).cast(updates.schema[partition_col].dataType))
-        merged = upsert_rows(target, batch, keys, better)
+        merged = merge(target, batch)
     else:
-        merged = batch
+        merged = merge(None, batch) if first else batch
     write_table(merged, f"{run}/merged")
     write_table(spark.read.schema(merged.schema).parquet(f"{run}/merged"), path, "overwrite", (partition_col,))
     delete_path(spark, run)

@@ -33,13 +33,14 @@ def json_lines_stream(spark: SparkSession, landing: str, schema: StructType = sc
 def ingest_json_stream(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                        schema: StructType = schemas.SENSOR_JSON, partition_by: tuple[str, ...] = ("ingestion_date",)) -> int:
     """Append new landed files to a parquet table; returns the number of
-    micro-batches run. A rerun on the same checkpoint adds nothing."""
+    micro-batches committed to the checkpoint so far. A rerun on the same checkpoint adds nothing."""
     df = json_lines_stream(spark, landing, schema)
     q = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy(*partition_by)
          .trigger(availableNow=True).start(table_path))
     q.awaitTermination()
-    return len(q.recentProgress)
+    last = q.lastProgress
+    return int(last["batchId"]) + 1 if last else 0
 
 
 def stream_parquet_once(spark: SparkSession, source_dir: str, schema: StructType, table_path: str,

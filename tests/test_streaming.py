@@ -47,3 +47,24 @@ def test_stream_silver_drops_copies_and_hard_breaches(spark, workdir):
     assert got.count() == 22
     assert got.groupBy("equipment_id", "parsed_ts").count().filter("count > 1").count() == 0
     assert {r.quality_score for r in got.filter(F.col("equipment_id") == "HT-001").collect()} == {1.0, 0.7, 0.4, 0.1}
+
+
+def test_stream_tables_do_not_depend_on_batches(spark, workdir):
+    from quarrysight.plans import bindings as B
+    sf = "/root/testdata/sf0.001"
+    for name, query in (("lineitem", B.q_stream_silver), ("events", B.q_stream_hourly_window)):
+        folder = os.path.join(workdir, name)
+        # two files in an order of their own, so that each holds late rows
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(2).write.parquet(os.path.join(folder, name + ".parquet"))
+        parts = os.path.join(folder, name + ".parquet")
+        one = sorted(map(str, query(spark, sf).collect()))
+        table = B.table
+        try:
+            B.table = lambda s, d, n: table(s, sf, name)
+            many = sorted(map(str, query(spark, parts, files_per_trigger=1, glob="*.parquet").collect()))
+        finally:
+            B.table = table
+        assert many == one
+        if name == "events":
+            total = query(spark, sf).agg(F.sum("total_readings")).first()[0]
+            assert total == spark.read.parquet(f"{sf}/events.parquet").count()
