@@ -641,9 +641,9 @@ def q_stream_silver(spark, sf_dir, files_per_trigger=None, glob="lineitem.parque
 
     def prepare(batch):
         flagged = CL.flag_quality(CL.passing_records(li_readings(batch), LI_SPEC), LI_RULES)
-        return flagged.withColumn("reading_month", F.date_format(CL.PARSED, "yyyy-MM"))
+        return flagged.withColumn("reading_year", F.date_format(CL.PARSED, "yyyy"))
 
-    ST.drain(stream, ST.keep_best(os.path.join(run, "table"), prepare, _li_dedup, "reading_month"),
+    ST.drain(stream, ST.keep_best(os.path.join(run, "table"), prepare, _li_dedup, "reading_year"),
              os.path.join(run, "checkpoint"))
     return spark.read.parquet(os.path.join(run, "table")).select(
         "equipment_id", F.col(CL.PARSED).alias("reading_timestamp"), "l_orderkey", "l_linenumber", "l_partkey",
