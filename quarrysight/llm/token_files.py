@@ -18,16 +18,14 @@ strings inside a text are ordinary text.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -35,21 +33,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import text_or_empty
+from .word_codes import WordCodes, blocks
 
 SEQUENCE = 2048         # ids in a sequence
 BATCH = 64              # sequences in a record batch
-CACHE = 1_200_000       # words whose ids a worker keeps at most
-LONG_WORD = 64          # longer words are not kept
 JOINED = 256            # new words tokenized in a call
-SLICE = 128             # documents tokenized at once
 MANIFEST = "part int, file string, index string, n_docs long, n_ids long"
 
 # Where the byte-level pre-tokenizer always splits, pieces tokenize alike alone and
 # in the text: before a single space between two other characters, and between a
 # letter or number and a full stop or comma. Marks stand for what is not a word:
 COMMA, STOP, LINE, FIRST = "\x01", "\x02", "\x03", "\x04"
-_MARK = re.compile("[\x01-\x04]")
-_UNSAFE = re.compile("[\\W_] [\x01\x02]")    # a mark after what it may join with
+MARKED = {COMMA: ",", STOP: ".", LINE: "\n", FIRST: ""}
+_OWN = "[\x01-\x04]"                              # a text with these goes whole
+_UNSAFE = "[^A-Za-z0-9À-ÖØ-öø-ɏ] [\x01\x02]"      # a mark after what it may join with
 
 
 class WordTokenizer:
@@ -64,66 +61,53 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.codes = WordCodes(self._learn)
+        # a byte that no merge touches tells joined words apart, if there is one
+        mark = self._alone(["a\x00 a"])[0]
+        first, rest = self._alone(["a", " a"])
+        self.mark = (np.frombuffer(mark, self.dtype)[len(first) // self.dtype.itemsize]
+                     if len(mark) == len(first) + len(rest) + self.dtype.itemsize else None)
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _joined(self, words: list[str]) -> list[bytes]:
-        """ids of words after a space, many to a call and told apart by offsets."""
+        """ids of words after a space, many to a call and told apart by a zero
+        byte after each, which joins nothing before it."""
+        if self.mark is None:
+            return self._alone([" " + w for w in words])
+        some = ["".join(f" {w}\x00" for w in words[at:at + JOINED]) for at in range(0, len(words), JOINED)]
         got = []
-        for at in range(0, len(words), JOINED):
-            some = words[at:at + JOINED]
-            e = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+        for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
             ids = np.array(e.ids, self.dtype)
-            # a word begins at the space before it
-            starts = np.cumsum([0, *[len(w) + 1 for w in some[:-1]]])
-            cut = np.searchsorted([o[0] for o in e.offsets], starts).tolist()
-            got += [ids[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(ids)])]
+            at = 0
+            for end in np.flatnonzero(ids == self.mark).tolist():
+                got.append(ids[at:end].tobytes())
+                at = end + 1
         return got
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        marked = [w for w in words if w[0] in "\x01\x02\x03\x04"]
-        plain = [w for w in words if w[0] not in "\x01\x02\x03\x04"]
-        text = {COMMA: ",", STOP: ".", LINE: "\n", FIRST: ""}
+    def _learn(self, words: list[str]) -> list[bytes | None]:
+        safe = [w for w in words if w and w == w.strip() and w not in (FIRST, LINE)]
+        alone = [w for w in safe if w[0] in MARKED or "\x00" in w]
+        plain = [w for w in safe if not (w[0] in MARKED or "\x00" in w)]
         got = dict(zip(plain, self._joined(plain)))
-        got.update(zip(marked, self._alone([text[w[0]] + w[1:] for w in marked])))
-        return got
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        if _MARK.search(text):
-            return [""]                       # not safe: tokenized whole
-        marked = text.replace(".\n", " \x02 \x03").replace(". ", " \x02 ").replace(", ", " \x01 ")
-        if _UNSAFE.search(marked):
-            marked = text
-        return (FIRST + marked).split(" ")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE:
-            self.known = {}
-        known = self.known
-        cut = [self._words(t) for t in texts]
-        words = [w for doc in cut for w in doc]
-        ends = list(accumulate(map(len, cut)))
-        ids = list(map(known.get, words))
-        missing = [i for i, v in enumerate(ids) if v is None]
-        new = {words[i] for i in missing}
-        odd = {w for w in new if not w or w != w.strip() or w in (FIRST, LINE)}
-        new -= odd
-        known.update(self._learn(list(new)))
-        whole = set()
-        for i in missing:
-            if words[i] in odd:
-                whole.add(bisect_right(ends, i))
-            else:
-                ids[i] = known[words[i]]
-        for w in new:
-            if len(w) > LONG_WORD:
-                del known[w]
-        alone = dict(zip(sorted(whole), self._alone([texts[d] for d in sorted(whole)])))
-        return [alone[d] if d in alone else b"".join(ids[end - len(cut[d]):end]) for d, end in enumerate(ends)]
+        got.update(zip(alone, self._alone([MARKED[w[0]] + w[1:] if w[0] in MARKED else " " + w for w in alone])))
+        return [got.get(w) for w in words]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        own = pc.match_substring_regex(texts, _OWN)
+        marked = texts
+        for text, mark in ((".\n", f" {STOP} {LINE}"), (". ", f" {STOP} "), (", ", f" {COMMA} ")):
+            marked = pc.replace_substring(marked, text, mark)
+        marked = pc.if_else(pc.match_substring_regex(marked, _UNSAFE), texts, marked)
+        # an empty first word is not safe, so such a text is left over
+        marked = pc.if_else(own, "", pc.binary_join_element_wise(FIRST, marked, ""))
+        ids = self.codes.encode(marked)
+        whole = [i for i, v in enumerate(ids) if v is None]
+        for i, v in zip(whole, self._alone([texts[i].as_py() for i in whole])):
+            ids[i] = v
+        return ids
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}   # one per worker process and file
@@ -197,7 +181,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         end = np.array([end_id], tok.dtype).tobytes()
         name = f"{path}/files/{uuid.uuid4().hex}"   # a repeated task takes new names
         for batch in batches:
-            for part in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+            for part in blocks(batch, 1):
                 if files is None:
                     fs, base = _open(f"{path}/files")
                     fs.create_dir(base, recursive=True)
@@ -205,7 +189,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
                     sink = fs.open_output_stream(at)
                     files = _SequenceFile(f"{name}.ids.arrow", tok.dtype), pa.ipc.new_file(sink, INDEX), sink
                 first, sizes = [], []
-                for ids in tok.encode(part.column(1).to_pylist()):
+                for ids in tok.encode(part.column(1)):
                     files[0].add(ids + end)
                     first.append(n_ids)
                     sizes.append(len(ids) // tok.dtype.itemsize + 1)
