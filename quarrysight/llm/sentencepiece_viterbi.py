@@ -23,18 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .word_codes import WordCodes, blocks
+
 SPACE = "▁"
-CACHE = 400_000        # parts whose ids a worker keeps at most
-LONG_PART = 48         # longer parts are not kept
-SLICE = 256            # documents encoded at once
 UNKNOWN_PENALTY = 10.0  # below the lowest score
 
-_PART = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-
-
 class PieceModel:
     """Vocabulary of a SentencePiece model file: automaton and decoder."""
 
@@ -64,7 +61,11 @@ class PieceModel:
         self.automaton.make_automaton()
         # a piece with a space mark after another character forbids cutting there
         self.crossing = any(re.search(f"[^{SPACE}]{SPACE}", self.pieces[i]) for i in usable)
-        self.known: dict[str, bytes] = {}
+        self.codes = WordCodes(self._learn)
+        # what a piece decodes to alone; only bytes of longer characters need their neighbours
+        self.spaced = pa.array([chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else p.replace(SPACE, " ")
+                                for i, p in enumerate(self.pieces)], pa.string())
+        self.plain = np.array([self.byte_of.get(i, 0) < 128 and i not in self.hidden for i in range(n)])
 
     def viterbi(self, part: str) -> list[int]:
         """Ids of the best path over one string of marked text."""
@@ -119,27 +120,20 @@ class PieceModel:
                 out.extend(self.viterbi(piece.replace(" ", SPACE)))
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
-            self.known = {}
-        known, out = self.known, []
-        for text in texts:
-            if not text:
-                out.append(np.empty(0, np.int32))
-                continue
-            if SPACE in text or self.crossing:
-                out.append(np.array(self.marked(text), np.int32))
-                continue
-            # a part is a word and the space before it; the text's first space is added
-            if "  " in text or text[0] == " " or text[-1] == " ":
-                words = [p[1:] for p in _PART.findall(SPACE + text.replace(" ", SPACE))]
+    def _learn(self, words: list[str]) -> list[bytes | None]:
+        """ids of words after a space; an empty word is one of several spaces."""
+        return [np.array(self.viterbi(SPACE + w), np.int32).tobytes() if w and SPACE not in w else None for w in words]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        # a part is a word and the space before it; the text's first space is added
+        ids = [None] * len(texts) if self.crossing else self.codes.encode(texts)
+        out = []
+        for i, got in enumerate(ids):
+            if got is None:
+                text = texts[i].as_py()
+                out.append(np.array(self.marked(text) if text else [], np.int32))
             else:
-                words = text.split(" ")
-            for w in set(words).difference(known):
-                known[w] = np.array(self.viterbi(SPACE + w), np.int32).tobytes()
-            out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32))
-            for w in [w for w in words if len(w) > LONG_PART]:
-                known.pop(w, None)
+                out.append(np.frombuffer(got, np.int32))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -162,15 +156,20 @@ class PieceModel:
         text = "".join(out)
         return text[1:] if text.startswith(" ") else text
 
-    def decode_plain(self, ids: np.ndarray) -> str:
-        """``decode``, quicker where no byte or control piece occurs."""
-        got = list(map(self.pieces.__getitem__, ids.tolist()))
-        if not got:
-            return ""
-        text = "".join(got)
-        if "<" in text:           # perhaps a byte or control piece
-            return self.decode(ids.tolist())
-        return text.replace(SPACE, " ")[1:] if text[0] == SPACE else text.replace(SPACE, " ")
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of many id lists (``ends`` cut ``flat``): pieces are joined by
+        Arrow's kernels; lists with byte or control pieces by ``decode``."""
+        pieces = self.spaced.take(pa.array(flat, pa.int32()))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces), "")
+        text = pc.if_else(pc.starts_with(joined, " "), pc.utf8_slice_codeunits(joined, 1), joined)
+        odd = np.searchsorted(ends, np.flatnonzero(~self.plain[flat]), "right") - 1
+        rows = sorted(set(odd.tolist()))
+        if not rows:
+            return text
+        mask = np.zeros(len(ends) - 1, bool)
+        mask[rows] = True
+        return pc.replace_with_mask(text, pa.array(mask), pa.array(
+            [self.decode(flat[ends[i]:ends[i + 1]].tolist()) for i in rows], pa.string()))
 
 
 _MODELS: dict[str, PieceModel] = {}   # one per worker process and file
@@ -198,15 +197,16 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:
-            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
-                texts = [t or "" for t in piece.column(piece.schema.get_field_index(text_col)).to_pylist()]
+            for piece in blocks(batch, batch.schema.get_field_index(text_col)):
+                texts = piece.column(piece.schema.get_field_index(text_col)).fill_null("")
                 ids = m.encode(texts)
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                ends = np.cumsum([0, *map(len, ids)])
+                flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
                 columns = [*piece.columns,
-                           pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else [], pa.int32())),
-                           pa.array([len(i) for i in ids], pa.int64()),
+                           pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+                           pa.array(np.diff(ends), pa.int64()),
                            pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()),
-                           pa.array([m.decode_plain(i) == t for i, t in zip(ids, texts)], pa.bool_())]
+                           pc.equal(m.decode_all(flat, ends), texts)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*piece.schema.names, *NEW])
 
     return docs.mapInArrow(encode, schema)
