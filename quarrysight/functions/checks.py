@@ -74,23 +74,28 @@ EXACT_SCALE = 6
 EXACT_PRECISION = 18
 
 
-def _fixed(c: Column, scale: int) -> Column:
-    """The value in fixed point, or NULL if that would lose it: NaN, infinity,
-    a magnitude of 1e12 or more, or digits that matter below ``scale``."""
-    d = c.try_cast(f"decimal({EXACT_PRECISION},{scale})")
-    return F.when(F.abs(c - d.cast("double")) <= F.abs(c) * F.lit(10.0 ** -scale), d)
+def fixed_point(c: Column, scale: int = EXACT_SCALE) -> Column:
+    """The value in fixed point; NULL for NaN, infinity and 1e12 or more."""
+    return c.try_cast(f"decimal({EXACT_PRECISION},{scale})")
+
+
+def keeps_digits(n_fixed: Column, n: Column, largest: Column, scale: int = EXACT_SCALE) -> Column:
+    """Whether fixed point serves a group: all its values have one, and the
+    largest magnitude is not so small that the scale would cut it short."""
+    return (n_fixed == n) & ((largest >= 5000 * 10.0 ** -scale) | (largest == 0) | largest.isNull())
 
 
 def _exact(agg, col: Column | str, scale: int) -> Column:
     c = (F.col(col) if isinstance(col, str) else col).cast("double")
-    fixed = _fixed(c, scale)
-    return F.when(F.count(fixed) == F.count(c), agg(fixed).cast("double")).otherwise(agg(c))
+    fixed = fixed_point(c, scale)
+    good = keeps_digits(F.count(fixed), F.count(c), F.max(F.abs(c)), scale)
+    return F.when(good, agg(fixed).cast("double")).otherwise(agg(c))
 
 
 def exact_sum(col: Column | str, scale: int = EXACT_SCALE) -> Column:
-    """Sum as double. Where every value fits fixed point it is summed so, which
+    """Sum as double. A group whose values fit fixed point is summed so, which
     gives the same answer in any order of rows; else (NaN, infinity, very large
-    or very small values) it is the plain double sum."""
+    values, or none but very small ones) it is the plain double sum."""
     return _exact(F.sum, col, scale)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.checks import EXACT_PRECISION, EXACT_SCALE, _fixed
+from ..functions.checks import EXACT_PRECISION, EXACT_SCALE, fixed_point, keeps_digits
 from ..sources import tables as T
 
 
@@ -46,12 +46,12 @@ def window_partials(df: DataFrame, ts_col: str, unit_col: str, value_col: str, s
                     operating: tuple[str, ...]) -> DataFrame:
     """What rows add to their (hour, unit): counts, sums and the highest value."""
     value = F.col(value_col).cast("double")
-    fixed = _fixed(value, EXACT_SCALE)
+    fixed = fixed_point(value)
     return df.groupBy(F.date_trunc("hour", F.col(ts_col)).cast("timestamp_ntz").alias("window_start"), F.col(unit_col)).agg(
         F.count("*").alias("n"), F.count_if(F.col(status_col).isin(*operating)).alias("n_operating"),
         F.count(value).alias("n_value"), F.count(fixed).alias("n_fixed"),
         F.sum(fixed).cast(f"decimal(38,{EXACT_SCALE})").alias("sum_fixed"), F.sum(value).alias("sum_value"),
-        F.max(value_col).alias("max_value"))
+        F.max(F.abs(value)).alias("largest"), F.max(value_col).alias("max_value"))
 
 
 def add_partials(path: str, make: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -66,8 +66,8 @@ def window_totals(partials: DataFrame, unit_col: str) -> DataFrame:
     """Hourly KPIs of all windows from the partial aggregates of all batches."""
     total = partials.groupBy("window_start", unit_col).agg(
         *[F.sum(c).alias(c) for c in ("n", "n_operating", "n_value", "n_fixed", "sum_fixed", "sum_value")],
-        F.max("max_value").alias("max_value"))
-    mean = F.when(F.col("n_fixed") == F.col("n_value"),
+        F.max("largest").alias("largest"), F.max("max_value").alias("max_value"))
+    mean = F.when(keeps_digits(F.col("n_fixed"), F.col("n_value"), F.col("largest")),
                   (F.col("sum_fixed").cast(f"decimal({EXACT_PRECISION + 10},{EXACT_SCALE})")
                    / F.col("n_value").cast("decimal(10,0)")).cast(f"decimal(38,{EXACT_SCALE + 4})").cast("double")
                   ).otherwise(F.col("sum_value") / F.col("n_value"))
