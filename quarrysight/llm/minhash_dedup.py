@@ -40,7 +40,8 @@ from .components import components
 ROWS_A, ROWS_B = 2, 3                # MinHashes in a group of either collection
 GROUPS = {85: (7, 9), 80: (8, 10)}   # groups of either, by threshold in percent
 BLOCK = 512                          # members of a group compared at once
-SLICE = 64                           # documents hashed at once
+SLICE = 64                           # documents hashed at once, and at most
+HASHED = 1 << 19                     # so many bytes of text, or one text
 
 _U = np.uint64
 
@@ -62,6 +63,9 @@ _PLACE = _constants(64, 7)
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each UTF-8 text. A word's hash
     sums mixed (byte, place) values, so no word is cut and none is looped over."""
+    if len(texts) > 1 and sum(map(len, texts)) > HASHED:
+        half = len(texts) // 2
+        return shingle_sets(texts[:half], words) + shingle_sets(texts[half:], words)
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     raw = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * 32
     letter = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
+from .word_codes import blocks
 
 MAX_LABELLED = 200_000   # labelled rows learned from, about
 BASE = 0.02              # share of a word without any evidence
@@ -48,6 +49,7 @@ WORST = 3                # words that a score looks at
 HINGES = (1.0, 2.5, 4.0)  # log odds where the worst word's weight may change
 CACHE = 200_000          # tokens a worker keeps, twice at most
 SLICE = 128              # documents handled at once
+COUNTED = 1 << 19        # bytes of text whose characters are counted at once, or one text
 
 # fixed values: the alphabet, and what symbols may stand for
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáãåæçéèêëíìîïñóòôöõøœúùûüýÿß"
@@ -82,7 +84,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES ** 3, np.int64)
         for batch in batches:
-            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+            for piece in blocks(batch, 0, COUNTED):
                 text = "\n".join(["", *piece.column(0).to_pylist(), ""]).lower()
                 points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
                 c = _TABLE[np.minimum(points, 0x250)]
