@@ -22,8 +22,9 @@ are never cut.
 Defined cases: null text is empty; a text without a known word or beginning has
 the regression's score of no evidence; a doc_id with several label rows is toxic if one is; labels that
 are null or of absent documents are not used; without labels every score is BASE;
-texts that share most words weigh once per label; an empty table gives no
-rows; other columns are not read.
+labelled texts with the same set of words and as many distinct tokens weigh once
+per label, all others each; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -209,12 +210,9 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[dict[s
         docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"))
         .join(F.broadcast(known), F.col("doc_id") == F.col("_id"))     # MAX_LABELLED rows of two numbers
         .select("doc_id", "toxic", "text").mapInArrow(words, "doc_id long, toxic int, size long, words array<string>"))
-    # near copies share the smallest hash of their longer words: each weighs once
-    long_words = F.filter("words", lambda w: F.length(w) > 5)
-    marked = read.withColumn("mark", F.coalesce(
-        F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("words")))
-    once = marked.groupBy("mark", "toxic").agg(F.min_by(F.struct("words", "size"), "doc_id").alias("doc"))
-    one = written(once.select(F.monotonically_increasing_id().alias("id"), "toxic", "doc.words", "doc.size"), "labelled")
+    # rows that are equal in all that is learned from them weigh once
+    once = read.select("toxic", "words", "size").distinct()
+    one = written(once.select(F.monotonically_increasing_id().alias("id"), "toxic", "words", "size"), "labelled")
     n, t = one.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = (t + 1) / (n + 2)
     counts = written(

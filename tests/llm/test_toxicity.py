@@ -99,3 +99,16 @@ def test_empty_and_no_labels(spark):
     assert T.score_documents(empty(spark), labels).count() == 0
     (r,) = T.score_documents(awkward(spark, ["some text"]), labels).collect()
     assert abs(r.score - T.BASE) < 1e-9
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    # all share their only long word
+    bad, good = ["zab", "zcd", "zef", "zgh", "zij", "zkl"], ["yab", "ycd", "yef", "ygh", "yij", "ykl"]
+    texts = [f"together {w}" for w in bad + good]
+    labels = [(i, int(i < len(bad))) for i in range(len(texts))]
+    model = T.character_model(np.zeros((T.CLASSES,) * 3))
+    shares, _ = T.learn(awkward(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"), model)
+    assert {w for w in shares if w[0] == "z"} == set(bad)
+    # a copy adds nothing
+    more = spark.createDataFrame(labels + [(len(texts), 1)], "doc_id long, toxic int")
+    assert T.learn(awkward(spark, [*texts, "Together ZAB"]), more, model)[0] == shares
