@@ -55,3 +55,12 @@ def utf8(col: str | Column) -> Column:
 
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
+
+
+KEY = "_row_key"
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with a hash of doc_id and text: rows that agree in both share it,
+    rows that share a doc_id only, or have none, do not."""
+    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").cast("long"), text_or_empty("text")))

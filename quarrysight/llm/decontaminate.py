@@ -1,19 +1,21 @@
-"""Benchmark decontamination by SimHash windows (built-in expressions only).
+"""Benchmark decontamination by exact item-sized windows (built-in expressions only).
 
 A benchmark item is the bag of its five-word shingles (words: lower-case runs of
 letters and digits). A document leaks an item if a window of the item's size has
 a weighted Jaccard similarity (sum of smaller over sum of larger shingle counts)
-of 0.8 or more with it.
-
-1. A window of that similarity shares shingles with the item, so document
-   positions are joined to the items' shingles first; each hit places an
-   item-sized window where the item would lie. Nothing else can pass step 3.
-2. Each window and item gets a 64-bit SimHash of its weighted shingles. The bits
-   are cut into RADIUS + 1 blocks: fingerprints within RADIUS agree in one block
-   at least, so a join on block and value, within one window size, finds them all.
-   At similarity 0.8 a bit differs with probability 0.15; more than RADIUS of 64
-   differ in about one window of 10,000.
-3. The exact weighted similarity verifies each candidate.
+of 0.8 or more with it. Every window is judged, by exact counts:
+
+1. Of an item of T shingles such a window holds ceil(0.8 T) at least, so it holds
+   one of any T - ceil(0.8 T) + 1 of them. These are the item's shingles that are
+   rarest among the items; texts without one of them are no candidates.
+2. In a candidate, each place of one of the item's shingles adds one to the shared
+   count of a range of windows: those that hold it, but not yet as many earlier
+   places of that shingle as the item has of it. Summing where the ranges begin and
+   end gives the shared count of all windows, in whatever order the parts lie.
+3. Windows of one text have one size, so the largest count is the best similarity.
+
+``simhash`` gives 64-bit fingerprints of bags, cut into RADIUS + 1 blocks by a
+caller who wants an index of them; ``leaks`` does without, so it misses nothing.
 
 Defined cases: null text has no words; an item of fewer than five words is one
 shingle of all its words, an item without words matches nothing; equal rows give
@@ -24,10 +26,10 @@ texts are never cut; empty tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import KEY, text_or_empty, with_key, written
 
 WORDS = 5
 SHARE = (4, 5)      # least similarity, as a fraction
@@ -56,16 +58,6 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _block(fingerprint: Column, b: int) -> Column:
-    lo, hi = b * BITS // (RADIUS + 1), (b + 1) * BITS // (RADIUS + 1)
-    return F.shiftrightunsigned(fingerprint, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
-
-
-def _blocks(fingerprint: Column) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(b).alias("b"), _block(fingerprint, b).alias("x"))
-                               for b in range(RADIUS + 1)]))
-
-
 def simhash(bags: DataFrame, keys: list[str]) -> DataFrame:
     """``bags`` (keys, hash, c) to (keys, total, fingerprint). Two bit counters
     share a long, so that 32 sums make 64 bits."""
@@ -85,9 +77,9 @@ def simhash(bags: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "total", fingerprint.alias("fingerprint"))
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row for each document (doc_id, text) and item (item_id, text) it leaks:
-    doc_id, item_id, start_word, similarity."""
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row for each distinct row of ``docs`` and item it leaks: key, doc_id,
+    item_id, start_word, similarity."""
     bench = written(
         with_shingles(items.select("item_id", text_or_empty("text").alias("text")), 1)
         .select("item_id", F.xxhash64("item_id", "words").alias("item"), F.size("words").alias("len"), "words")
@@ -95,72 +87,81 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = sorted(r[0] for r in bench.select(F.least("len", F.lit(WORDS))).distinct().collect())
     if not sizes:
         sizes = [WORDS]
-    bags, anchors = None, None
-    raw = docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"))
-    raw = raw.withColumn("key", F.xxhash64("doc_id", "text"))
+    bags = None
     for m in sizes:
         of_size = bench.where(f"len >= {WORDS}" if m == WORDS else f"len = {m}")
         runs = F.transform(F.sequence(F.lit(0), F.col("len") - m),
                            lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(m)]))
-        at = of_size.select("item", "len", F.posexplode(runs).alias("at", "hash"))
-        bag = at.groupBy("item", "len", "hash").agg(F.count("*").alias("c"))
+        bag = (of_size.select("item", "len", F.explode(runs).alias("hash"))
+               .groupBy("item", "len", "hash").agg(F.count("*").alias("c")).withColumn("m", F.lit(m)))
         bags = bag if bags is None else bags.unionByName(bag)
-        places = _small(written(at.select("len", "at", F.col("hash").alias("_hash")).distinct(), "places"))
-        hits = (
-            with_shingles(raw, m).select("key", F.posexplode_outer("shingles").alias("pos", "hash"))
-            .join(places, F.col("hash") == F.col("_hash"))
-            .select("key", "len", (F.col("pos") - F.col("at")).alias("start")))
-        anchors = hits if anchors is None else anchors.unionByName(hits)
-    bags = written(bags, "bags")
-
-    # where the windows lie; their documents are read again, and only these
-    starts = written(anchors.distinct(), "starts")
-    found = _small(starts.select(F.col("key").alias("_key")).distinct())
-    hit = raw.join(found, F.col("key") == F.col("_key"), "left_semi").dropDuplicates(["key"])
-    parts = None
+    bags = written(bags.withColumn("size", (F.col("len") - F.col("m") + 1).cast("long")), "bags")
+
+    # ceil(share * size), in integers
+    need = F.expr(f"({SHARE[0]} * size + {SHARE[1] - 1}) div {SHARE[1]}")
+    common = bags.groupBy("m", F.col("hash").alias("_hash")).agg(F.count("*").alias("items"))
+    rarest = Window.partitionBy("item").orderBy("items", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    probes = written(
+        bags.join(common.withColumnRenamed("m", "_m"), (F.col("m") == F.col("_m")) & (F.col("hash") == F.col("_hash")))
+        .withColumn("_before", F.coalesce(F.sum("c").over(rarest), F.lit(0)))
+        .where(F.col("_before") <= F.col("size") - need)
+        .select("m", F.col("hash").alias("_hash"), F.col("item").alias("_item")), "probes")
+    raw = with_key(docs.select("doc_id", "text")).select(
+        F.col("doc_id").cast("long"), text_or_empty("text").alias("text"), F.col(KEY).alias("key"))
+    candidates = None
     for m in sizes:
-        fit = starts.where(f"len >= {WORDS}" if m == WORDS else f"len = {m}").withColumnRenamed("key", "_key")
-        place = F.greatest(F.lit(0), F.least("start", F.size("words") - F.col("len")))
         some = (
-            with_shingles(hit, m).join(fit, F.col("key") == F.col("_key"))
-            .select("key", "doc_id", "len", place.alias("start"), "shingles")
-            .select("key", "doc_id", "len", "start",
-                    F.slice("shingles", F.col("start") + 1, F.greatest(F.lit(1), F.col("len") - (m - 1))).alias("bag"))
-        )
-        parts = some if parts is None else parts.unionByName(some)
-    # windows moved to a document's ends may fall together
-    parts = parts.dropDuplicates(["key", "len", "start"])
-    window = ["key", "doc_id", "len", "start"]
-    shingles = written(
-        parts.select(*window, F.explode_outer("bag").alias("hash")).where("hash is not null").groupBy(*window, "hash").agg(F.count("*").alias("c")),
-        "windows")
-
-    prints = simhash(shingles, window).select(*window, "total", "fingerprint", _blocks(F.col("fingerprint")).alias("_x"))
-    wanted = simhash(bags, ["item", "len"]).select(
-        "item", F.col("len").alias("_len"), F.col("total").alias("item_total"),
-        F.col("fingerprint").alias("item_print"), _blocks(F.col("fingerprint")).alias("_y"))
-    near = (
-        prints.join(wanted, (F.col("len") == F.col("_len")) & (F.col("_x.b") == F.col("_y.b"))
-                    & (F.col("_x.x") == F.col("_y.x")))
-        .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select(*window, "total", "item", "item_total").distinct())
-
-    left, right = F.lit(SHARE[0]), F.lit(SHARE[1])
-    mine = shingles.select(F.col("key").alias("_key"), F.col("len").alias("_len"), F.col("start").alias("_start"), "hash", "c")
-    theirs = bags.select(F.col("item").alias("_item"), F.col("hash").alias("_hash"), F.col("c").alias("_c"))
-    same = (
-        near.join(mine, (F.col("key") == F.col("_key")) & (F.col("len") == F.col("_len")) & (F.col("start") == F.col("_start")))
-        .join(theirs, (F.col("item") == F.col("_item")) & (F.col("hash") == F.col("_hash")))
-        .groupBy("key", "doc_id", "start", "item", "total", "item_total")
-        .agg(F.sum(F.least("c", "_c")).alias("both"))
-        .withColumn("either", F.col("total") + F.col("item_total") - F.col("both"))
-        .where(right * F.col("both") >= left * F.col("either"))
-        .withColumn("similarity", F.col("both") / F.col("either")))
-    best = same.groupBy("key", "doc_id", "item").agg(
-        F.max(F.struct("similarity", (-F.col("start")).alias("_back"))).alias("_best"))
+            with_shingles(raw, m).select("key", F.explode_outer(F.array_distinct("shingles")).alias("hash"))
+            .join(_small(probes.where(F.col("m") == m)), F.col("hash") == F.col("_hash"))
+            .select(F.lit(m).alias("m"), F.col("key").alias("_key"), "_item"))
+        candidates = some if candidates is None else candidates.unionByName(some)
+    candidates = written(candidates.distinct(), "candidates")
+
+    # the candidates are read again, and only these
+    found = _small(candidates.select("_key").distinct())
+    hit = raw.join(found, F.col("key") == F.col("_key"), "left_semi").dropDuplicates(["key"])
+    ranges = None
+    for m in sizes:
+        places = (
+            with_shingles(hit, m).select("key", "doc_id", F.size("words").alias("n"), F.posexplode_outer("shingles").alias("pos", "hash"))
+            .where("hash is not null").groupBy("key", "doc_id", "n", "hash")
+            .agg(F.sort_array(F.collect_list("pos")).alias("at")))
+        both = (
+            places.join(candidates.where(F.col("m") == m).select("_key", "_item"), F.col("key") == F.col("_key"))
+            .join(_small(bags.where(F.col("m") == m).select(
+                F.col("item"), F.col("hash").alias("_hash"), "c", "len", "size")),
+                (F.col("_item") == F.col("item")) & (F.col("hash") == F.col("_hash"))))
+        # a text shorter than the item is one window
+        last = F.greatest(F.lit(0), F.col("n") - F.col("len"))
+        total = F.least(F.col("size"), F.col("n") - (m - 1)).cast("long")
+        each = both.select("key", "doc_id", "item", "size", total.alias("total"), last.alias("last"), F.explode(F.transform(
+            "at", lambda p, i: F.struct(
+                F.greatest(F.lit(0), p - F.col("size").cast("int") + 1, F.coalesce(
+                    F.when(i >= F.col("c"), F.get("at", (i - F.col("c")).cast("int"))) + 1, F.lit(0))).alias("lo"),
+                F.least(p, last).alias("hi")))).alias("_r")).where("_r.lo <= _r.hi")
+        ranges = each if ranges is None else ranges.unionByName(each)
+    pair = ["key", "doc_id", "item", "size", "total"]
+    steps = (
+        ranges.select(*pair, F.explode(F.array(
+            F.struct(F.col("_r.lo").alias("start"), F.lit(1).alias("d")),
+            F.struct((F.col("_r.hi") + 1).alias("start"), F.lit(-1).alias("d")))).alias("_s"))
+        .groupBy(*pair, F.col("_s.start").alias("start")).agg(F.sum("_s.d").alias("d")))
+    so_far = Window.partitionBy("key", "item").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        steps.withColumn("both", F.sum("d").over(so_far))
+        .withColumn("either", F.col("total") + F.col("size") - F.col("both"))
+        .where(F.lit(SHARE[1]) * F.col("both") >= F.lit(SHARE[0]) * F.col("either"))
+        .groupBy("key", "doc_id", "item").agg(
+            F.max(F.struct((F.col("both") / F.col("either")).alias("similarity"), (-F.col("start")).alias("_back"))).alias("_best"))
+        .join(bench.select(F.col("item").alias("_item"), "item_id"), F.col("item") == F.col("_item"))
+        .select("key", "doc_id", "item_id", "_best"))
+
+
+def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row for each document (doc_id, text) and item (item_id, text) it leaks:
+    doc_id, item_id, start_word, similarity."""
     return (
-        best.join(bench.select(F.col("item").alias("_item"), "item_id"), F.col("item") == F.col("_item"))
-        .groupBy("doc_id", "item_id").agg(F.max("_best").alias("_best"))
+        _found(docs, items).groupBy("doc_id", "item_id").agg(F.max("_best").alias("_best"))
         .select("doc_id", "item_id", (-F.col("_best._back")).alias("start_word"), F.col("_best.similarity").alias("similarity")))
 
 

@@ -88,3 +88,24 @@ def test_simhash_against_a_loop(spark):
 def test_empty(spark):
     assert D.leaks(empty(spark), items_of(spark, ["a b c d e f"])).count() == 0
     assert D.leaks(awkward(spark, ["a b c d e f"]), items_of(spark, [])).count() == 0
+
+
+def test_reordered_parts_against_every_window(spark):
+    rng = random.Random(9)
+    item = [f"i{k}" for k in range(100)]
+    rest = [f"r{k}" for k in range(300)]
+    twice = "a b c d e f g a b c d e f g h k l m n o".split()
+    items = [" ".join(item), " ".join(twice), " ".join(item[:30]), "one two"]
+    docs = [" ".join(rest[:150] + item[50:] + item[:50] + rest[150:])]
+    for n in range(30):
+        x = rng.choice([item, twice, item[:30]])
+        at = sorted(rng.sample(range(1, len(x)), rng.randint(1, 2)))
+        parts = [x[i:j] for i, j in zip([0, *at], [*at, len(x)])]
+        rng.shuffle(parts)
+        around = rest[:rng.randint(0, 40)]
+        docs.append(" ".join(around + [w for p in parts for w in p] + around))
+    docs += [" ".join(twice * 3), " ".join(twice[:14] * 5), "two one two one two"]
+    df = awkward(spark, docs)
+    got = {(r.doc_id, r.item_id): r for r in D.leaks(df, items_of(spark, items)).collect()}
+    assert set(got) == brute([(r.doc_id, r.text) for r in df.collect()], items)
+    assert got[0, 0].start_word == 150 and abs(got[0, 0].similarity - 92 / 100) < 1e-9
