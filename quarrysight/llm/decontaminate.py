@@ -166,6 +166,16 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose document leaks an item."""
-    bad = written(leaks(docs, items).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """``docs`` without the documents that leak an item: the rows of a doc_id go
+    together, a row with null doc_id by its own text."""
+    who = F.coalesce(F.col("doc_id").cast("long"), KEY)
+    bad = written(_found(docs, items).select(
+        F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", "key").alias("_leak")).distinct(), "leaks")
+    return with_key(docs).join(
+        bad, (F.col("doc_id").isNull() == F.col("_none")) & (who == F.col("_leak")), "left_anti").drop(KEY)
+
+
+def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose own text leaks an item."""
+    bad = written(_found(docs, items).select(F.col("key").alias("_leak")).distinct(), "leaks")
+    return with_key(docs).join(bad, F.col(KEY) == F.col("_leak"), "left_anti").drop(KEY)

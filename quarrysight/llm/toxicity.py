@@ -30,7 +30,7 @@ read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -331,23 +331,47 @@ class Scorer:
 _SCORERS: dict[int, Scorer] = {}   # one per worker process and model
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score, predicted) per row of ``docs`` (doc_id, text), learned
-    from ``labels`` (doc_id, toxic). Scores use the text alone."""
+def _scoring(docs: DataFrame, labels: DataFrame) -> Callable[[list[str]], list[float]]:
+    """What scores texts in tasks, learned from ``docs`` and ``labels``."""
     sc = docs.sparkSession.sparkContext
     model = character_model(trigram_counts(docs))
     both = sc.broadcast((model, *learn(docs, labels, model)))
     number = both._jbroadcast.id()
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(texts: list[str]) -> list[float]:
         if number not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[number] = Scorer(*both.value)
+        return _SCORERS[number].scores(texts)
+
+    return scores
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, score, predicted) per row of ``docs`` (doc_id, text), learned
+    from ``labels`` (doc_id, toxic). Scores use the text alone."""
+    scores = _scoring(docs, labels)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
-                got = _SCORERS[number].scores(piece.column(1).to_pylist())
+                got = scores(piece.column(1).to_pylist())
                 yield pa.record_batch({"doc_id": piece.column(0), "score": pa.array(got, pa.float64()),
                                        "predicted": pa.array([int(s >= 0.5) for s in got], pa.int32())})
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text")).mapInArrow(
         score, "doc_id long, score double, predicted int")
+
+
+def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose own score does not reject them."""
+    scores = _scoring(docs, labels)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+                got = scores([t or "" for t in piece.column(at).to_pylist()])
+                yield piece.filter(pa.array([not s >= 0.5 for s in got], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

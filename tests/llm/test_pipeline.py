@@ -45,3 +45,33 @@ def test_queries_are_registered():
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
     assert set(ORACLE) <= set(names)
     assert all(len(inspect.signature(f).parameters) == 2 for f in queries.QUERIES.values())
+
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def sources(df):
+    return sorted(r.source for r in df.collect())
+
+
+def test_a_row_shares_no_fate_by_doc_id(spark, monkeypatch):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.length("text").desc()).first().text
+    docs = spark.createDataFrame([(None, item, "leak 1"), (None, "clean words", "a"), (7, item, "leak 2"), (7, "other clean words", "b"),
+                                  (None, None, "c")], SCHEMA)
+    assert sources(P.drop_benchmark_leaks(spark, docs, SF)) == ["a", "b", "c"]
+    kept = P.decontaminate.decontaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert sources(kept) == ["a", "c"]       # as documents: those of doc_id 7 go together
+
+    monkeypatch.setattr(toxicity, "_scoring", lambda docs, labels: lambda texts: [float("bad" in t) for t in texts])
+    docs = spark.createDataFrame([(None, "bad", "x"), (None, "good", "a"), (7, "bad", "x"), (7, "good", "b"), (8, None, "c")], SCHEMA)
+    out = P.drop_toxic(spark, docs, SF)
+    assert out.schema == docs.schema and sources(out) == ["a", "b", "c"]
+
+
+def test_one_row_of_each_group_of_copies(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other = text + " more", " ".join(f"v{i}" for i in range(60))
+    docs = spark.createDataFrame([(None, text, "copy"), (None, text, "copy"), (5, near, "a"), (5, other, "b"), (5, other, "b"),
+                                  (9, text, "copy"), (None, "", "c"), (None, "", "c"), (None, "alone here", "d"), (None, "alone here", "d")], SCHEMA)
+    out = P.drop_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns and sources(out) == ["a", "b", "c", "c", "d"]
