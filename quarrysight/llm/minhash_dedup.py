@@ -39,7 +39,8 @@ from .components import components
 
 ROWS_A, ROWS_B = 2, 3                # MinHashes in a group of either collection
 GROUPS = {85: (7, 9), 80: (8, 10)}   # groups of either, by threshold in percent
-BLOCK = 512                          # members of a group compared at once
+BLOCK = 512                          # texts of a group compared at once
+WORD = r"[^\x20\x09-\x0D]"          # what a text with words has
 SLICE = 64                           # documents hashed at once, and at most
 HASHED = 1 << 19                     # so many bytes of text, or one text
 
@@ -213,13 +214,21 @@ def _remaining(stars: DataFrame, placed: DataFrame, docs: DataFrame, words: int,
     rows = stars.join(placed, F.col("v") == F.col("node"), "left").select(
         F.col("u").alias("key"), "v", F.coalesce("component", "v").alias("component"))
     mixed = (
-        rows.groupBy(F.col("key").alias("_key")).agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .where("low < high").select("_key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    texts = docs.select(F.col("doc_id").alias("_id"), "text")
+        rows.groupBy(F.col("key").alias("_key")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high").select("_key"))
+    members = written(rows.join(mixed, F.col("key") == F.col("_key")).select("key", "v", "component"), "members")
+    # each text with words of a member once; a member may have several
+    texts = written(
+        docs.select(F.col("doc_id").alias("_id"), "text").where(F.col("text").rlike(WORD))
+        .join(members.select(F.col("v").alias("_v")).distinct(), F.col("_id") == F.col("_v"), "left_semi").distinct(),
+        "texts")
+    counts = texts.groupBy(F.col("_id").alias("_v")).agg(F.count("*").alias("n"))
+    sizes = (
+        members.join(counts, F.col("v") == F.col("_v")).groupBy(F.col("key").alias("_key"))
+        .agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")))
     out = (
-        rows.join(mixed, F.col("key") == F.col("_key")).join(texts, F.col("v") == F.col("_id"))
-        .withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
+        members.join(sizes, F.col("key") == F.col("_key")).join(texts, F.col("v") == F.col("_id"))
+        .withColumn("own", F.pmod(F.xxhash64("v", "text"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                 "v", "component", "own", "text")

@@ -121,3 +121,20 @@ def test_empty_and_only_empty_texts(spark):
     assert M.near_duplicates(empty(spark)).count() == 0
     assert got(awkward(spark, ["", None, ""]), 5, 80) == [(True, i, 0, i) for i in range(3)]
     assert len(np.unique(M._constants(50, 1))) == 50
+
+
+def test_empty_rows_of_a_repeated_doc_id_link_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "q r s t u v"), (2, ""), (3, "x y z w k"), (3, " \n"), (3, "")],
+                                 "doc_id long, text string")
+    stars = spark.createDataFrame([(1, 2), (1, 3)], "u long, v long")
+    placed = spark.createDataFrame([], "node long, component long")
+    assert M._remaining(stars, placed, docs, 3, 80).collect() == []
+
+
+def test_texts_of_one_member_are_dealt_over_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e"), (3, "t3 x0 y z w k"), (3, "")] + [(2, f"t{i} x{i} y z w k") for i in range(40)],
+                                 "doc_id long, text string")
+    stars = spark.createDataFrame([(1, 2), (1, 3)], "u long, v long")
+    placed = spark.createDataFrame([], "node long, component long")
+    monkeypatch.setattr(M, "BLOCK", 4)
+    assert [tuple(r) for r in M._remaining(stars, placed, docs, 2, 50).collect()] == [(2, 3)]
