@@ -259,7 +259,9 @@ def _remaining(stars: DataFrame, placed: DataFrame, docs: DataFrame, words: int,
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id
     (smallest doc_id reachable over links), kept (it is that document)."""
-    g, h = GROUPS.get(percent, GROUPS[80] if percent > 80 else (10, 14))
+    if percent < min(GROUPS):
+        raise ValueError(f"no groups are proven for a threshold under {min(GROUPS)} percent")
+    g, h = GROUPS.get(percent, GROUPS[80])
     docs = docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"))
     rows = written(sketches(docs, words, g, h), "sketches")
     usable = rows.where("n > 0 and doc_id is not null")

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from quarrysight.llm import components as C
 from quarrysight.llm import minhash_dedup as M
@@ -138,3 +139,8 @@ def test_texts_of_one_member_are_dealt_over_blocks(spark, monkeypatch):
     placed = spark.createDataFrame([], "node long, component long")
     monkeypatch.setattr(M, "BLOCK", 4)
     assert [tuple(r) for r in M._remaining(stars, placed, docs, 2, 50).collect()] == [(2, 3)]
+
+
+def test_a_threshold_without_proven_groups_is_refused():
+    with pytest.raises(ValueError):
+        M.near_duplicates(None, percent=79)
