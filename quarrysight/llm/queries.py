@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (chat_format, decontaminate, minhash_dedup, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
-               toxicity, url_reputation, warc_store)
+               toxicity, url_reputation, warc_store, whitening)
 from .common import scratch, table, written
 
 SHARDS = 24
@@ -100,6 +100,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_components(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_warc": op2_warc,
@@ -111,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op12_whitening": op12_whitening,
 }
