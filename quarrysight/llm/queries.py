@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, decontaminate, minhash_dedup, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
+from . import (chat_format, cross_alignment, decontaminate, minhash_dedup, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
                toxicity, url_reputation, warc_store, whitening)
 from .common import scratch, table, written
 
@@ -104,6 +104,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_components(table(spark, sf_dir, "embeddings"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_alignment.cross_align(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_warc": op2_warc,
@@ -116,4 +120,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
     "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
