@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_format, cross_alignment, decontaminate, minhash_dedup, quartile_digest, rendezvous, sentencepiece_viterbi, token_files,
-               toxicity, url_reputation, warc_store, whitening)
+from . import (chat_format, cross_alignment, decontaminate, jaccard_join, minhash_dedup, quartile_digest, rendezvous,
+               sentencepiece_viterbi, token_files, toxicity, url_reputation, warc_store, whitening)
 from .common import scratch, table, written
 
 SHARDS = 24
@@ -100,6 +100,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_components(table(spark, sf_dir, "embeddings"))
 
@@ -119,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_whitening": op12_whitening,
     "op13_alignment": op13_alignment,
 }
