@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,10 +62,39 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
-KEY = "_row_key"
+def row_key() -> Column:
+    """Hash of doc_id and text: rows that agree in both share it, rows that share a
+    doc_id only, or have none, do not."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_or_empty("text"))
 
 
-def with_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with a hash of doc_id and text: rows that agree in both share it,
-    rows that share a doc_id only, or have none, do not."""
-    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").cast("long"), text_or_empty("text")))
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_KEPT: dict[Any, Any] = {}
+
+
+def worker_keeps(name: Any, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between tasks under ``name``. It keeps one thing: a new
+    one takes the place of the last, so that an idle worker does not hold on to what an
+    earlier stage needed."""
+    if name not in _KEPT:
+        worker_drops()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def worker_drops() -> None:
+    """Give back what this worker keeps; for tasks that need nothing kept."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)

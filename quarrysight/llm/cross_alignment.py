@@ -44,13 +44,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, text_or_empty
+from .common import scratch, text_or_empty, worker_drops, worker_keeps
 from .word_codes import blocks
 
 JOINED = 1 << 14         # characters of new words tokenized in a call
 LONG_WORD = 256          # characters; a text with a longer word goes whole
-KEPT = 96 << 20          # bytes of words that a worker keeps
-BLOCK = 2 << 20          # bytes of text handled at once, or one text
+KEPT = 64 << 20          # bytes of words that a worker keeps
+BLOCK = 1 << 20          # bytes of text handled at once, or one text
 SPACE = "▁"
 
 
@@ -92,7 +92,8 @@ class Alignment:
         a, b = list(map(str, self.a.ids.tolist())), list(map(str, self.b.ids.tolist()))
         out, p, q = [], 0, 0
         for x, y in zip((i + 1).tolist(), (j + 1).tolist()):
-            out.append(f"{','.join(a[p:x])}|{','.join(b[q:y])}")
+            left = a[p] if x == p + 1 else ",".join(a[p:x])
+            out.append(f"{left}|{b[q] if y == q + 1 else ','.join(b[q:y])}")
             p, q = x, y
         return out
 
@@ -151,17 +152,17 @@ class Aligner:
         got = self.a.encode(" " + text, add_special_tokens=False)
         a = np.array(got.ids, np.int64)
         pieces = self.b.encode(text, return_type="proto").pieces
-        b = np.array([p.id for p in pieces], np.int64)
-        if (b"".join(map(self.a_bytes.__getitem__, got.ids)) != raw
-                or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != raw):
+        ids = [p.id for p in pieces]
+        if b"".join(map(self.a_bytes.__getitem__, got.ids)) != raw or b"".join(map(self.b_bytes.__getitem__, ids)) != raw:
             return Alignment(NOTHING, NOTHING)
+        b = np.array(ids, np.int64)
         place = self._bytes_at(" " + text, raw)
         spans = np.array(got.offsets, np.int64).reshape(-1, 2)
         if place is not None:
             spans = place[spans]
         a_ends = _placed(spans[:, 0], spans[:, 1], self.a_sizes[a])
         # spans of the text alone: one byte, or character, behind the space
-        spans = np.array([(p.begin, p.end) for p in pieces], np.int64).reshape(-1, 2) + 1
+        spans = np.array([[p.begin for p in pieces], [p.end for p in pieces]], np.int64).T + 1
         if not self.b_in_bytes and place is not None:
             spans = place[spans]
         spans[0, 0] = spans[0, 0] if spans[0, 0] == spans[0, 1] else 0
@@ -203,24 +204,28 @@ class Pairs:
 
 
 class _Column:
-    """Rows of varying length, one after the other."""
+    """Byte strings, one after the other."""
 
-    def __init__(self, dtype: type) -> None:
-        self.data, self.ends = np.empty(1 << 16, dtype), np.zeros(1 << 12, np.int64)
+    def __init__(self) -> None:
+        self.data, self.ends, self.rows = np.empty(1 << 16, np.uint8), np.zeros(1 << 12, np.int64), 0
 
-    def put(self, rows: int, used: int, flat: np.ndarray, sizes: np.ndarray) -> None:
+    def put(self, flat: bytes, sizes: np.ndarray) -> None:
+        used = int(self.ends[self.rows])
         while used + len(flat) > len(self.data):
-            self.data = np.concatenate([self.data, np.empty_like(self.data)])
-        while rows + len(sizes) >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.data[used:used + len(flat)] = flat
-        self.ends[rows + 1:rows + 1 + len(sizes)] = used + np.cumsum(sizes)
-
-    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The rows' values in a line, and where each begins in it (and the end)."""
-        sizes = self.ends[rows + 1] - self.ends[rows]
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        return self.data[np.repeat(self.ends[rows] - at[:-1], sizes) + np.arange(at[-1])], at
+            self.data = np.concatenate([self.data, np.empty(len(self.data) // 2, np.uint8)])
+        while self.rows + len(sizes) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(len(self.ends) // 2, np.int64)])
+        self.data[used:used + len(flat)] = np.frombuffer(flat, np.uint8)
+        self.ends[self.rows + 1:self.rows + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.rows += len(sizes)
+
+    def take(self, rows: np.ndarray, cut: np.ndarray) -> list[bytes]:
+        """The strings of ``rows``, joined within each stretch that ``cut`` makes of them."""
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), self.rows, [None, pa.py_buffer(self.ends), pa.py_buffer(self.data)])
+        got = column.take(pa.array(rows))
+        at = np.frombuffer(got.buffers()[1], np.int64)[got.offset:got.offset + len(got) + 1][cut].tolist()
+        line = memoryview(got.buffers()[2] or b"")
+        return [bytes(line[lo:hi]) for lo, hi in zip(at, at[1:])]
 
 
 class Words:
@@ -232,8 +237,8 @@ class Words:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.n = self.held = 0
-        self.text, self.links, self.sizes = _Column(np.uint8), _Column(np.int32), np.zeros((1 << 12, 2), np.int64)
+        self.held = 0
+        self.text, self.links, self.sizes = _Column(), _Column(), np.zeros((1 << 12, 2), np.int32)
 
     def _keep(self, words: list[str]) -> None:
         got = self.aligner.align(" ".join(words))
@@ -256,14 +261,13 @@ class Words:
         links = self.pairs.index(*got.links)
         sizes = np.diff(np.stack([np.searchsorted(got.a.ends, last) + 1, np.searchsorted(got.b.ends, last) + 1], 1),
                         axis=0, prepend=0)
-        self.text.put(self.n, int(self.text.ends[self.n]), np.frombuffer(b"".join(texts), np.uint8),
-                      np.array(list(map(len, texts)), np.int64))
-        self.links.put(self.n, int(self.links.ends[self.n]), links, np.diff(cut, prepend=0))
-        while self.n + len(words) > len(self.sizes):
+        first = self.text.rows
+        self.text.put(b"".join(texts), np.array(list(map(len, texts)), np.int64))
+        self.links.put(links.tobytes(), links.itemsize * np.diff(cut, prepend=0))
+        while first + len(words) > len(self.sizes):
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        self.sizes[self.n:self.n + len(words)] = sizes
-        self.known.update(zip(words, range(self.n, self.n + len(words))))
-        self.n += len(words)
+        self.sizes[first:first + len(words)] = sizes
+        self.known.update(zip(words, range(first, first + len(words))))
         self.held += sum(map(len, texts)) + links.nbytes + 170 * len(words) + int(raw.sum())
 
     def rows(self, words: list[str]) -> np.ndarray:
@@ -286,22 +290,9 @@ class Words:
         return np.array([self.known.get(w, -1) for w in words], np.int64)
 
 
-class _Worker:
-    """What a worker process keeps for one pair of tokenizers."""
-
-    now: tuple[tuple[str, str], Aligner, Words] | None = None
-
-    @classmethod
-    def of(cls, a_path: str, b_path: str, pairs: Pairs) -> tuple[Aligner, Words]:
-        if cls.now is None or cls.now[0] != (a_path, b_path):
-            aligner = Aligner(a_path, b_path)
-            cls.now = (a_path, b_path), aligner, Words(aligner, pairs)
-        return cls.now[1:]
-
-
-def aligned_texts(texts: pa.Array, aligner: Aligner, words: Words) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
-    """Of each text: its groups as ``a1,a2|b1;a3|b2``, its links as places in Pairs, and
-    how many tokens of A and B it has."""
+def aligned_texts(texts: pa.Array, aligner: Aligner, words: Words) -> tuple[list[bytes], list[bytes], np.ndarray]:
+    """Of each text: its groups as ``a1,a2|b1;a3|b2``, its links as places in Pairs (int32),
+    and how many tokens of A and B it has."""
     n = len(texts)
     lists = pc.split_pattern(texts, " ")
     cut = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -311,57 +302,59 @@ def aligned_texts(texts: pa.Array, aligner: Aligner, words: Words) -> tuple[list
     each = words.rows(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()] if aligner.by_word else np.full(cut[-1], -1)
     whole = np.unique(np.searchsorted(cut, np.flatnonzero(each < 0), "right") - 1)
     fine = np.maximum(each, 0)
-    if not words.n:
-        groups, links, sizes = [b""] * n, [np.empty(0, np.int32)] * n, np.zeros((n, 2), np.int64)
+    if not words.text.rows:
+        groups, links, sizes = [b""] * n, [b""] * n, np.zeros((n, 2), np.int64)
     else:
-        flat, at = words.text.take(fine)
-        line = memoryview(flat.tobytes())
-        places = at[cut].tolist()
-        groups = [bytes(line[lo:max(lo, hi - 1)]) for lo, hi in zip(places, places[1:])]
-        flat, at = words.links.take(fine)
-        places = at[cut].tolist()
-        links = [flat[lo:hi] for lo, hi in zip(places, places[1:])]
-        total = np.concatenate([[[0, 0]], np.cumsum(words.sizes[fine], axis=0)])
+        groups = [g[:-1] for g in words.text.take(fine, cut)]
+        links = words.links.take(fine, cut)
+        total = np.concatenate([[[0, 0]], np.cumsum(words.sizes[fine], axis=0, dtype=np.int64)])
         sizes = total[cut[1:]] - total[cut[:-1]]
     for i in whole.tolist():
         got = aligner.align(texts[i].as_py())
-        groups[i], links[i] = ";".join(got.groups()).encode(), words.pairs.index(*got.links)
+        groups[i], links[i] = ";".join(got.groups()).encode(), words.pairs.index(*got.links).tobytes()
         sizes[i] = len(got.a.ids), len(got.b.ids)
     return groups, links, sizes
 
 
-ALIGNED = "doc_id long, n_a long, n_b long, groups binary, links array<int>"
+ALIGNED = "doc_id long, n_a long, n_b long, groups binary, links binary"
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str, pairs: Pairs) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): numbers of tokens, the groups as text
-    (``a1,a2|b1;a3|b2``), and its links as places in ``pairs``. No shuffle."""
+    (``a1,a2|b1;a3|b2``), and its links as places in ``pairs`` (int32). No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(pairs)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, words = _Worker.of(a_path, b_path, shared.value)
+        words = worker_keeps(("words", a_path, b_path), lambda: Words(Aligner(a_path, b_path), shared.value))
+        aligner = words.aligner
         for batch in batches:
             for part in blocks(batch, 1, BLOCK):
                 groups, links, sizes = aligned_texts(part.column(1), aligner, words)
-                ends = np.cumsum([0, *map(len, links)]).astype(np.int32)
                 yield pa.record_batch({
                     "doc_id": part.column(0), "n_a": pa.array(sizes[:, 0]), "n_b": pa.array(sizes[:, 1]),
-                    "groups": pa.array(groups, pa.binary()),
-                    "links": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int32), *links]), pa.int32()))})
+                    "groups": pa.array(groups, pa.binary()), "links": pa.array(links, pa.binary())})
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text")).mapInArrow(align, ALIGNED)
 
 
+def _places(links: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All links of a column in a line, and where each row begins in it (and the end)."""
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(links).to_numpy(zero_copy_only=False))])
+    start = np.frombuffer(links.buffers()[1], np.int32)[links.offset]
+    return np.frombuffer(links.buffers()[2] or b"", np.uint8)[start:start + ends[-1]].view(np.int32), ends // 4
+
+
 def pair_counts(aligned: DataFrame, pairs: Pairs) -> np.ndarray:
     """How many links hold each pair. Every task adds up its own; the driver gets one
     number for each pair of the vocabularies, at most."""
     size = len(pairs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_drops()
         total = np.zeros(size, np.int64)
         for batch in batches:
             if batch.num_rows:
-                total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+                total += np.bincount(_places(batch.column(0))[0], minlength=size)
         some = np.flatnonzero(total)
         yield pa.record_batch({"pair": pa.array(some, pa.int32()), "n": pa.array(total[some], pa.int64())})
 
@@ -381,13 +374,12 @@ def with_link_counts(aligned: DataFrame, pairs: Pairs, counts: np.ndarray) -> Da
     links_at = aligned.columns.index("links")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_drops()
         counts, best = both.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = batch.column(links_at)
-            cut = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            flat = lists.flatten().to_numpy()
+            flat, cut = _places(batch.column(links_at))
             sums = [np.concatenate([[0], np.cumsum(v)]) for v in (best[flat].astype(np.int64), counts[flat])]
             yield pa.record_batch({
                 **{f.name: batch.column(i) for f, i in zip(kept, at)}, "n_links": pa.array(np.diff(cut), pa.int64()),
@@ -408,7 +400,7 @@ def cross_align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     aligner = Aligner(a_path, b_path)
     pairs = Pairs(aligner.a_bytes, aligner.b_bytes)
     once = align_documents(docs, a_path, b_path, pairs).select(
-        "doc_id", "n_a", "n_b", F.size("links").cast("long").alias("n_groups"),
+        "doc_id", "n_a", "n_b", (F.octet_length("links") / 4).cast("long").alias("n_groups"),
         groups_digest(F.col("groups")).alias("groups_sha256"), "links")
     path = scratch(docs.sparkSession, "aligned")
     once.write.option("compression", "zstd").parquet(path)

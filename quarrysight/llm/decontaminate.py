@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, text_or_empty, with_key, written
+from .common import free_name, row_key, text_or_empty, written
 
 WORDS = 5
 SHARE = (4, 5)      # least similarity, as a fraction
@@ -106,8 +106,7 @@ def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
         .withColumn("_before", F.coalesce(F.sum("c").over(rarest), F.lit(0)))
         .where(F.col("_before") <= F.col("size") - need)
         .select("m", F.col("hash").alias("_hash"), F.col("item").alias("_item")), "probes")
-    raw = with_key(docs.select("doc_id", "text")).select(
-        F.col("doc_id").cast("long"), text_or_empty("text").alias("text"), F.col(KEY).alias("key"))
+    raw = docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"), row_key().alias("key"))
     candidates = None
     for m in sizes:
         some = (
@@ -168,14 +167,20 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that leak an item: the rows of a doc_id go
     together, a row with null doc_id by its own text."""
-    who = F.coalesce(F.col("doc_id").cast("long"), KEY)
     bad = written(_found(docs, items).select(
-        F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", "key").alias("_leak")).distinct(), "leaks")
-    return with_key(docs).join(
-        bad, (F.col("doc_id").isNull() == F.col("_none")) & (who == F.col("_leak")), "left_anti").drop(KEY)
+        "doc_id", F.when(F.col("doc_id").isNull(), F.col("key")).alias("key")).distinct(), "leaks")
+    return _without(docs, bad, F.when(F.col("doc_id").isNull(), row_key()))
 
 
 def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the rows whose own text leaks an item."""
-    bad = written(_found(docs, items).select(F.col("key").alias("_leak")).distinct(), "leaks")
-    return with_key(docs).join(bad, F.col(KEY) == F.col("_leak"), "left_anti").drop(KEY)
+    return _without(docs, written(_found(docs, items).select("doc_id", "key").distinct(), "leaks"), row_key())
+
+
+def _without(docs: DataFrame, bad: DataFrame, key: Column) -> DataFrame:
+    """``docs`` without the rows that agree with one of ``bad`` in doc_id and ``key``. Their
+    columns may have any names."""
+    mine, their, doc = (free_name(docs, n) for n in ("_key", "_bad_key", "_bad_doc"))
+    bad = bad.select(F.col("doc_id").alias(doc), F.col("key").alias(their))
+    return docs.withColumn(mine, key).join(
+        bad, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & F.col(mine).eqNullSafe(F.col(their)), "left_anti").drop(mine)

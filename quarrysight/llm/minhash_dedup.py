@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import text_or_empty, worker_drops, written
 from .components import components
 
 ROWS_A, ROWS_B = 2, 3                # MinHashes in a group of either collection
@@ -126,6 +126,7 @@ def sketches(docs: DataFrame, words: int, g: int, h: int) -> DataFrame:
     keys = _constants(g * ROWS_A + h * ROWS_B, 1)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_drops()
         for batch in batches:
             for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
                 sets = shingle_sets([t.encode() for t in piece.column(1).to_pylist()], words)

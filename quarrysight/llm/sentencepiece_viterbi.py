@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import worker_keeps
 from .word_codes import WordCodes, blocks
 
 SPACE = "▁"
@@ -67,18 +69,18 @@ class PieceModel:
                                 for i, p in enumerate(self.pieces)], pa.string())
         self.plain = np.array([self.byte_of.get(i, 0) < 128 and i not in self.hidden for i in range(n)])
 
-    def viterbi(self, part: str) -> list[int]:
+    def viterbi(self, part: str) -> array:
         """Ids of the best path over one string of marked text."""
         n = len(part)
         floor = self.floor
-        best: list[float] = [0.0] * (n + 1)
-        back: list[tuple[int, int] | None] = [None] * (n + 1)
+        # 16 bytes a character: best score, last piece and its length (0: none yet)
+        best, sizes, pieces = array("d", bytes(8 * (n + 1))), array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
         now, single = 0, True    # position being relaxed; whether a piece of one character ends there
 
         def unknown(at: int) -> None:
             value = best[at - 1] + floor
-            if back[at] is None or value > best[at]:
-                best[at], back[at] = value, (at - 1, -1)
+            if not sizes[at] or value > best[at]:
+                best[at], sizes[at], pieces[at] = value, 1, -1
 
         # matches come by end position, at each the longest first along the output links
         for last, (size, score, piece) in self.automaton.iter(part):
@@ -89,18 +91,18 @@ class PieceModel:
                     unknown(at)
                 now, single = last + 1, False
             value = best[now - size] + score
-            if back[now] is None or value > best[now]:
-                best[now], back[now] = value, (now - size, piece)
+            if not sizes[now] or value > best[now]:
+                best[now], sizes[now], pieces[now] = value, size, piece
             if size == 1:
                 single = True
         if not single:
             unknown(now)
         for at in range(now + 1, n + 1):
             unknown(at)
-        out: list[int] = []
+        out = array("i")
         at = n
         while at:
-            start, piece = back[at]
+            start, piece = at - sizes[at], pieces[at]
             if piece >= 0:
                 out.append(piece)
             elif self.has_bytes:
@@ -172,13 +174,8 @@ class PieceModel:
             [self.decode(flat[ends[i]:ends[i + 1]].tolist()) for i in rows], pa.string()))
 
 
-_MODELS: dict[str, PieceModel] = {}   # one per worker process and file
-
-
 def model(path: str) -> PieceModel:
-    if path not in _MODELS:
-        _MODELS[path] = PieceModel(path)
-    return _MODELS[path]
+    return worker_keeps(("pieces", path), lambda: PieceModel(path))
 
 
 NEW = ("ids", "n_tokens", "ids_crc32", "round_trip")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_or_empty
+from .common import text_or_empty, worker_keeps
 from .word_codes import WordCodes, blocks
 
 SEQUENCE = 2048         # ids in a sequence
@@ -110,13 +110,8 @@ class WordTokenizer:
         return ids
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}   # one per worker process and file
-
-
 def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    return worker_keeps(("tokenizer", path), lambda: WordTokenizer(path))
 
 
 def _open(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -280,7 +275,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    # a given number of partitions is not folded: as many tasks read as there are files
     return (
-        files.select("file", "index", "base").repartition("file")
+        files.select("file", "index", "base").repartition(max(1, manifest.count()), "file")
         .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import text_or_empty, worker_keeps, written
 from .word_codes import blocks
 
 MAX_LABELLED = 200_000   # labelled rows learned from, about
@@ -328,9 +328,6 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[int, Scorer] = {}   # one per worker process and model
-
-
 def _scoring(docs: DataFrame, labels: DataFrame) -> Callable[[list[str]], list[float]]:
     """What scores texts in tasks, learned from ``docs`` and ``labels``."""
     sc = docs.sparkSession.sparkContext
@@ -339,10 +336,7 @@ def _scoring(docs: DataFrame, labels: DataFrame) -> Callable[[list[str]], list[f
     number = both._jbroadcast.id()
 
     def scores(texts: list[str]) -> list[float]:
-        if number not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[number] = Scorer(*both.value)
-        return _SCORERS[number].scores(texts)
+        return worker_keeps(("scorer", number), lambda: Scorer(*both.value)).scores(texts)
 
     return scores
 

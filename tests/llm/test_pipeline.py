@@ -42,7 +42,7 @@ def test_null_ids_pass(spark):
 
 def test_queries_are_registered():
     names = list(queries.QUERIES)
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(ORACLE) <= set(names)
     assert all(len(inspect.signature(f).parameters) == 2 for f in queries.QUERIES.values())
 
@@ -75,3 +75,33 @@ def test_one_row_of_each_group_of_copies(spark):
                                   (9, text, "copy"), (None, "", "c"), (None, "", "c"), (None, "alone here", "d"), (None, "alone here", "d")], SCHEMA)
     out = P.drop_near_duplicates(spark, docs, SF)
     assert out.columns == docs.columns and sources(out) == ["a", "b", "c", "c", "d"]
+
+
+def test_columns_may_have_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.length("text").desc()).first().text
+    names = ["_row_key", "_row", "_copy", "_leak", "_key", "_bad_key", "_bad_doc", "_kept", "_of", "component_id", "rank", "_ROW_"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` long" for n in names)
+    rows = [(1, text), (2, text + " x"), (3, item), (4, "all clean here"), (None, None)]
+    docs = spark.createDataFrame([(i, t, *range(k * 100, k * 100 + len(names))) for k, (i, t) in enumerate(rows)], schema)
+
+    def left(df):
+        assert df.columns == docs.columns
+        return sorted(tuple(r)[2:] for r in df.collect())
+
+    own = [tuple(range(k * 100, k * 100 + len(names))) for k in range(len(rows))]
+    assert left(P.drop_near_duplicates(spark, docs, SF)) == [own[0], *own[2:]]
+    assert left(P.drop_benchmark_leaks(spark, docs, SF)) == [*own[:2], *own[3:]]
+    assert left(P.decontaminate.decontaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))) == [*own[:2], *own[3:]]
+    assert left(P.drop_toxic(spark, docs, SF)) == own
+
+
+def test_a_worker_keeps_one_thing():
+    from quarrysight.llm import common
+
+    made = []
+    for name in ("a", "a", "b", "a"):
+        common.worker_keeps(name, lambda: made.append(name) or len(made))
+    assert made == ["a", "b", "a"] and list(common._KEPT) == ["a"]
+    common.worker_drops()
+    assert not common._KEPT

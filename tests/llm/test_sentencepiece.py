@@ -54,7 +54,7 @@ def test_against_a_plain_viterbi():
 
     ids = {p: i for i, p in enumerate(MODEL.pieces) if i >= 259}
     for t in ["▁then▁the", "▁日本語", "▁x😀y", "▁▁▁a", "▁internationalization", "▁ð"]:
-        got = MODEL.viterbi(t)
+        got = MODEL.viterbi(t).tolist()
         plain = [i for i in got if i not in MODEL.byte_of]
         unknown = sum(c not in ids for c in t)
         value = sum(score[MODEL.pieces[i]] for i in plain) + unknown * MODEL.floor
@@ -64,7 +64,7 @@ def test_against_a_plain_viterbi():
 def test_parts_do_not_change_the_path():
     for t in ["then the end", "a  b", "the cat " * 50]:
         (whole,) = MODEL.encode(pa.array([t]))
-        assert whole.tolist() == MODEL.viterbi((" " + t).replace(" ", V.SPACE))
+        assert whole.tolist() == MODEL.viterbi((" " + t).replace(" ", V.SPACE)).tolist()
 
 
 def test_documents_round_trip(spark):
@@ -83,3 +83,14 @@ def test_clashing_columns_and_bad_ids(spark):
     (r,) = V.encode_documents(df, PATH).collect()
     assert r.n_tokens == len(r.ids) > 0
     assert MODEL.decode([MODEL.byte_id[0xFF]]) == "�" and MODEL.decode([]) == "" and MODEL.decode([1, 2]) == ""
+
+
+def test_long_runs_take_few_bytes_a_character():
+    import tracemalloc
+
+    run = "中文字abc" * 50_000
+    tracemalloc.start()
+    ids = MODEL.viterbi(run)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert MODEL.decode(ids) == run and peak < 30 * len(run)

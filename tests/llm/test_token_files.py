@@ -6,6 +6,7 @@ import public_tokenizers as P
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarrysight.llm import token_files as T
@@ -78,3 +79,16 @@ def test_sequences_are_equal_and_masked(spark, workdir):
 def test_empty(spark, workdir):
     T.write_token_files(empty(spark), workdir + "/t", PATH)
     assert T.read_documents(spark, workdir + "/t").count() == 0
+
+
+def test_files_are_read_by_several_tasks(spark, workdir):
+    docs = awkward(spark, [f"text {i} " * 50 for i in range(600)])
+    n = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # small files
+    try:
+        T.write_token_files(docs, workdir + "/t", PATH)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", n)
+    files = spark.read.parquet(workdir + "/t/manifest").count()
+    tasks = T.read_documents(spark, workdir + "/t").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert files > 2 and tasks >= files // 2
