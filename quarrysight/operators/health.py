@@ -58,23 +58,27 @@ def health_scores(daily_with_limits: DataFrame, as_of: Column, p: HealthParams =
     return scored.withColumns({"calculated_at": as_of, "score_date": F.col(date_col)}).select(*HEALTH_COLUMNS)
 
 
-def health_scores_after(daily_with_limits: DataFrame, previous: DataFrame | None, as_of: Column,
-                        p: HealthParams = C.HEALTH, date_col: str = "kpi_date") -> DataFrame:
-    """Health rows for the days in ``daily_with_limits`` only (an incremental
-    recompute): the trend of each unit's first new day compares with the
-    unit's last row in ``previous`` (the stored health rows before those
-    days), found with one ``max_by`` per unit instead of re-reading history.
-    With ``previous=None`` this equals :func:`health_scores`."""
-    scored = component_scores(daily_with_limits, p).withColumn("_prior", F.lit(False))
-    if previous is not None:
-        order = F.struct("score_date", "site_location", "equipment_type")
-        last = previous.groupBy("equipment_id").agg(
-            F.max_by(F.struct("score_date", "site_location", "equipment_type", "health_score"), order).alias("_l"))
-        prior = last.select(
-            "equipment_id",
-            F.col("_l.score_date").alias(date_col), F.col("_l.site_location").alias("site_location"),
-            F.col("_l.equipment_type").alias("equipment_type"), F.col("_l.health_score").alias("health_score"),
-            F.lit(True).alias("_prior"))
-        scored = scored.unionByName(prior, allowMissingColumns=True)
-    out = with_trend(scored, date_col=date_col, p=p).filter(~F.col("_prior"))
-    return out.withColumns({"calculated_at": as_of, "score_date": F.col(date_col)}).select(*HEALTH_COLUMNS)
+STORED = "_stored"
+
+
+def health_scores_touching(daily_with_limits: DataFrame, stored: DataFrame | None, as_of: Column,
+                           p: HealthParams = C.HEALTH, date_col: str = "kpi_date") -> DataFrame:
+    """What changes in the health table if the days in ``daily_with_limits`` are computed
+    anew, whichever days these are: their rows, and those of ``stored`` (rows of all other
+    days) whose unit's previous row is now another one. ``_stored`` tells them apart.
+
+    One window over the unit's days finds both a new row's predecessor among the stored
+    rows and a new row's successor. Only units with new rows are looked at, and of stored
+    rows only what the trend needs. Without ``stored`` this is :func:`health_scores`."""
+    scored = component_scores(daily_with_limits, p).withColumns({"score_date": F.col(date_col), "calculated_at": as_of})
+    new = scored.select(*[c for c in HEALTH_COLUMNS if c in scored.columns], F.lit(False).alias(STORED))
+    if stored is not None:
+        units = scored.select(F.col("equipment_id").alias("_unit")).distinct()
+        old = (stored.select(*HEALTH_COLUMNS, F.lit(True).alias(STORED))
+               .join(units, F.col("equipment_id") == F.col("_unit"), "left_semi"))
+        new = new.unionByName(old, allowMissingColumns=True)
+    else:
+        new = new.withColumn("health_score_prev_day", F.lit(None).cast("double"))
+    was = new.withColumn("_was", F.col("health_score_prev_day"))
+    out = with_trend(was, date_col="score_date", p=p)
+    return out.where(~F.col(STORED) | ~F.col("_was").eqNullSafe(F.col("health_score_prev_day"))).select(*HEALTH_COLUMNS, STORED)

@@ -8,7 +8,7 @@ import os
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from .. import config as C
 from ..operators import clean as CL
@@ -75,18 +75,20 @@ def q_registry_csv(spark, sf_dir):
 
 def q_stored_upsert(spark, sf_dir):
     """T1, T2 on storage: closed lines are loaded, then open lines merged in,
-    then one year of closed lines again, which must change nothing."""
+    then one year of closed lines again, which must change nothing. The
+    partition is an hour (the one a month begins with), whose text needs
+    escaping in a folder's name."""
     path = os.path.join(_run(spark, "upsert"), "table")
-    f = B.li_flagged(spark, sf_dir).withColumn("reading_year", F.date_format(CL.PARSED, "yyyy"))
+    f = B.li_flagged(spark, sf_dir).withColumn("reading_hour", F.date_trunc("month", CL.PARSED).cast("timestamp_ntz"))
 
     def load(status: str, name: str):
         return B._li_dedup(f.filter(F.col("equipment_type") == status)).withColumn("load", F.lit(name))
 
     keys = ["equipment_id", CL.PARSED]
-    T.merge_upsert(spark, path, load("F", "target"), keys, "reading_year")
-    T.merge_upsert(spark, path, load("O", "update"), keys, "reading_year")
-    T.merge_upsert(spark, path, load("F", "again").filter("reading_year = '1994'"), keys, "reading_year")
-    return spark.read.parquet(path).select(
+    T.merge_upsert(spark, path, load("F", "target"), keys, "reading_hour")
+    T.merge_upsert(spark, path, load("O", "update"), keys, "reading_hour")
+    T.merge_upsert(spark, path, load("F", "again").filter("year(reading_hour) = 1994"), keys, "reading_hour")
+    return T.read_partitioned(spark, path, {"reading_hour": TimestampNTZType()}).select(
         "equipment_id", F.col(CL.PARSED).alias("reading_timestamp"), "l_orderkey", "l_linenumber", "quality_score", "load")
 
 

@@ -17,11 +17,13 @@ jobs and a failed stage is rerun from durable input. The run is incremental
 and idempotent: bronze sensor ingest is checkpointed (a file is ingested
 once); silver takes only bronze rows past the last run's ingestion
 high-water mark and upserts them by key; quarantine rows are appended only
-when new; events and the sensor gold tables are recomputed from the first
-touched reading day on (day-partitioned, older partitions untouched; the
-health trend carries each unit's last stored row). The high-water mark is
-advanced after gold, so a failed run is rerun as a whole. ``base`` should be
-on shared storage (the cluster's checkpoint folder or a table location).
+when new; events and the sensor gold tables are recomputed for the days the
+batch touched, and for the days on which a unit's health trend now compares
+with another row (its next stored day); all other day partitions stay as they
+are. Partitions are written beside the table and then swapped in
+(``sources/tables.replace_partitions``), so a crash loses nothing. The high-water
+mark is advanced after gold, so a failed run is rerun as a whole. ``base`` should
+be on shared storage (the cluster's checkpoint folder or a table location).
 """
 
 from __future__ import annotations
@@ -117,9 +119,9 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     """Process the bronze rows ingested after the last run's high-water mark.
 
     Returns the stage counts - gathered while the tables are written
-    (``DataFrame.observe``), not by extra count jobs - plus ``since``, the
-    first reading date the batch touched (None when nothing is new) and
-    ``hwm``, the batch's ingestion high-water mark.
+    (``DataFrame.observe``), not by extra count jobs - plus ``days``, the
+    reading dates the batch touched, and ``hwm``, the batch's ingestion
+    high-water mark.
     """
     raw = _read(spark, lay.path("bronze", "raw_sensor_readings"), schemas.RAW_SENSOR_READINGS)
     hwm = _state(spark, lay)
@@ -146,23 +148,19 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
                   "overwrite", ("batch_id",))
     s_obs = Observation("silver")
     good = good.observe(s_obs, F.count(F.lit(1)).alias("clean_readings"),
-                        F.count_if(F.col("is_anomaly")).alias("flagged_readings"),
-                        F.min("reading_date").alias("since"))
+                        F.count_if(F.col("is_anomaly")).alias("flagged_readings"))
     T.merge_upsert(spark, lay.path("silver", "cleaned_sensor_readings"), good,
                    ["equipment_id", "reading_timestamp"], "reading_date")
-    metrics = {**q_obs.get, **s_obs.get, "hwm": b_obs.get.get("hwm")}
-    since = metrics["since"]
+    metrics = {**q_obs.get, **s_obs.get, "hwm": b_obs.get.get("hwm"), "days": _days(good, "reading_date")}
 
-    if since is not None:
+    if metrics["days"]:
         # threshold events are per reading: recompute the touched days only
-        readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")) \
-            .filter(F.col("reading_date") >= F.lit(since))
-        e_obs = Observation("events")
+        readings = _of_days(spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")), "reading_date", metrics["days"])
         events = AN.threshold_events(readings, C.FLEET_THRESHOLD_SPECS, as_of) \
-            .withColumn("event_date", F.to_date("event_timestamp")) \
-            .observe(e_obs, F.count(F.lit(1)).alias("anomaly_events"))
-        T.replace_partitions_from(spark, events, lay.path("silver", "anomaly_events"), "event_date", since)
-        metrics.update(e_obs.get)
+            .withColumn("event_date", F.to_date("event_timestamp"))
+        T.replace_days(spark, events, lay.path("silver", "anomaly_events"), "event_date", metrics["days"])
+        stored = spark.read.schema(events.schema).parquet(lay.path("silver", "anomaly_events"))
+        metrics["anomaly_events"] = _of_days(stored, "event_date", metrics["days"]).count()
 
     flot_path = lay.path("bronze", "raw_flotation_readings")
     if _exists(spark, flot_path):
@@ -174,6 +172,16 @@ def silver(spark: SparkSession, lay: Layout, as_of: Column) -> dict:
     return metrics
 
 
+def _days(df: DataFrame, col: str) -> list:
+    """The days of ``df``: partition values, so no more than a table has folders."""
+    return sorted(r[0] for r in df.select(col).distinct().collect() if r[0] is not None)
+
+
+def _of_days(df: DataFrame, col: str, days: list) -> DataFrame:
+    """The rows of some day partitions; the others are pruned."""
+    return df.where(F.col(col).isin([F.lit(d) for d in days]) if days else F.lit(False))
+
+
 def _batch_id(hwm) -> str:
     return "start" if hwm is None else f"after-{hwm:%Y%m%dT%H%M%S%f}"
 
@@ -197,19 +205,20 @@ def _after(df: DataFrame, hwm) -> DataFrame:
 def silver_flotation(spark: SparkSession, lay: Layout, as_of: Column, flot_path: str) -> dict:
     """New flotation bronze rows -> cleaned rows, one ``batch_id`` partition per
     batch: a rerun after a failure overwrites it, and repeated readings (the
-    date column is hourly) are all kept. Returns ``flot_since`` (first touched
-    day) and ``flot_hwm``."""
+    date column is hourly) are all kept. Returns ``flot_days`` (the touched
+    days) and ``flot_hwm``."""
     hwm = _state(spark, lay, "flotation")
     raw = _after(spark.read.parquet(flot_path), hwm)
     obs = Observation("flotation")
     raw = raw.observe(obs, F.max("ingestion_timestamp").alias("flot_hwm"))
     value_cols = ["date", *schemas.FLOTATION_COLUMNS]
     key = F.sha2(F.concat_ws("|", F.col("source_file"), F.to_json(F.struct(*value_cols))), 256)
-    s_obs = Observation("flotation_silver")
-    cleaned = PR.clean_flotation(raw, as_of).withColumn("record_key", key) \
-        .observe(s_obs, F.min("reading_date").alias("flot_since")).withColumn("batch_id", F.lit(_batch_id(hwm)))
-    T.write_table(cleaned, lay.path("silver", "cleaned_flotation_readings"), "overwrite", ("batch_id", "reading_date"))
-    return {**obs.get, **s_obs.get}
+    batch, path = _batch_id(hwm), lay.path("silver", "cleaned_flotation_readings")
+    cleaned = PR.clean_flotation(raw, as_of).withColumn("record_key", key).withColumn("batch_id", F.lit(batch))
+    T.write_table(cleaned, path, "overwrite", ("batch_id", "reading_date"))
+    # written without rows there is nothing to read
+    own = spark.read.schema(cleaned.schema).parquet(path).where(F.col("batch_id") == batch)
+    return {**obs.get, "flot_days": _days(own, "reading_date")}
 
 
 # -------------------------------------------------------------------- gold
@@ -217,46 +226,72 @@ def silver_flotation(spark: SparkSession, lay: Layout, as_of: Column, flot_path:
 KPI_CONTRACT = T.Contract(types=schemas.HOURLY_KPI_TYPES, not_null=schemas.HOURLY_KPI_NOT_NULL)
 
 
-def gold(spark: SparkSession, lay: Layout, as_of: Column, since=None, flot_since=None) -> None:
-    """Recompute the gold tables from day ``since`` on (None: nothing new in
-    silver, the sensor tables are left as they are). Each table is partitioned
-    by its day column and only partitions >= ``since`` are replaced, so a run
-    costs the new days, not the whole history."""
-    if since is not None:
-        day = F.lit(since)
-        readings = spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")).filter(F.col("reading_date") >= day)
+def gold(spark: SparkSession, lay: Layout, as_of: Column, days: list = (), flot_days: list = ()) -> None:
+    """Recompute the gold tables for the touched ``days``, and health, alerts and fleet
+    also for the days on which a unit's trend changes with them. Each table is partitioned
+    by its day column and only these partitions are replaced, so a run costs the days it
+    touches, not the history after them."""
+    if days:
+        readings = _of_days(spark.read.parquet(lay.path("silver", "cleaned_sensor_readings")), "reading_date", days)
         kpis, broken = T.enforce_contract(KP.hourly_kpis(readings), KPI_CONTRACT)
-        T.write_table(broken, lay.path("gold", "kpi_contract_violations"))
-        T.replace_partitions_from(spark, kpis, lay.path("gold", "hourly_equipment_kpis"), "kpi_date", since)
+        kpath = lay.path("gold", "hourly_equipment_kpis")
+        T.replace_days(spark, broken, lay.path("gold", "kpi_contract_violations"), "kpi_date", days)
+        T.replace_days(spark, kpis, kpath, "kpi_date", days)
 
-        kpis = spark.read.schema(kpis.schema).parquet(lay.path("gold", "hourly_equipment_kpis")) \
-            .filter(F.col("kpi_date") >= day)
+        kpis = spark.read.schema(kpis.schema).parquet(kpath)
         registry = spark.read.parquet(lay.path("silver", "equipment_registry"))
-        hpath = lay.path("gold", "equipment_health_scores")
-        previous = spark.read.parquet(hpath).filter(F.col("score_date") < day) if _exists(spark, hpath) else None
-        health = HE.health_scores_after(EN.join_limits(KP.daily_rollup(kpis), registry), previous, as_of)
-        T.replace_partitions_from(spark, health, hpath, "score_date", since)
+        daily = EN.join_limits(KP.daily_rollup(_of_days(kpis, "kpi_date", days)), registry)
+        health, more = _health(spark, lay, daily, as_of, days)
+        days = sorted({*days, *more})
 
-        health = spark.read.schema(health.schema).parquet(hpath).filter(F.col("score_date") >= day)
+        health, kpis = _of_days(health, "score_date", days), _of_days(kpis, "kpi_date", days)
         new_alerts = AL.all_alerts(health, as_of)
         apath = lay.path("gold", "maintenance_alerts")
-        T.replace_partitions_from(spark, new_alerts, apath, "alert_date", since)
-        # read back with the known schema: a day range without alerts leaves no files
-        alerts = spark.read.schema(new_alerts.schema).parquet(apath).filter(F.col("alert_date") >= day)
-        T.replace_partitions_from(spark, FL.fleet_summary(health, alerts, kpis, as_of),
-                                  lay.path("gold", "fleet_summary_daily"), "summary_date", since)
+        T.replace_days(spark, new_alerts, apath, "alert_date", days)
+        # read back with the known schema: a day without alerts leaves no files
+        alerts = _of_days(spark.read.schema(new_alerts.schema).parquet(apath), "alert_date", days)
+        T.replace_days(spark, FL.fleet_summary(health, alerts, kpis, as_of), lay.path("gold", "fleet_summary_daily"),
+                       "summary_date", days)
 
     flot = lay.path("silver", "cleaned_flotation_readings")
-    if flot_since is not None:
-        readings = spark.read.parquet(flot).filter(F.col("reading_date") >= F.lit(flot_since))
-        T.replace_partitions_from(spark, PR.flotation_hourly_quality(readings, as_of),
-                                  lay.path("gold", "flotation_quality_scores"), "score_date", flot_since)
+    if flot_days:
+        readings = _of_days(spark.read.parquet(flot), "reading_date", flot_days)
+        T.replace_days(spark, PR.flotation_hourly_quality(readings, as_of), lay.path("gold", "flotation_quality_scores"),
+                       "score_date", flot_days)
     labels = lay.path("bronze", "raw_maintenance_labels")
     if _exists(spark, labels):
         T.write_table(FA.failure_calibration(spark.read.parquet(labels), as_of),
                       lay.path("gold", "failure_predictions"))
 
 
+HEALTH_KEY = ("equipment_id", "equipment_type", "score_date", "site_location")
+
+
+def _health(spark: SparkSession, lay: Layout, daily: DataFrame, as_of: Column, days: list) -> tuple[DataFrame, list]:
+    """Replace the health rows of ``days`` and those whose trend follows them; the table,
+    and the further days that changed. A day that only some units change keeps the other
+    units' rows."""
+    path = lay.path("gold", "equipment_health_scores")
+    T.finish_swaps(spark, path)
+    stored = None
+    if _exists(spark, path):
+        schema = HE.health_scores(daily, as_of).schema
+        stored = spark.read.schema(schema).parquet(path).where(~F.col("score_date").isin([F.lit(d) for d in days]))
+    changes = HE.health_scores_touching(daily, stored, as_of)
+    staged = lay.path("_batch", "health")
+    T.write_table(changes, staged)
+    changes = spark.read.schema(changes.schema).parquet(staged)
+    rows, more = changes.drop(HE.STORED), _days(changes.where(HE.STORED), "score_date")
+    if more:
+        done = changes.where(HE.STORED).select(*[F.col(c).alias(f"_{c}") for c in HEALTH_KEY])
+        same = F.lit(True)
+        for c in HEALTH_KEY:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        rows = rows.unionByName(_of_days(stored, "score_date", more).join(done, same, "left_anti"))
+    T.replace_days(spark, rows, path, "score_date", [*days, *more])
+    return spark.read.schema(rows.schema).parquet(path), more
+
+
 def run_all(spark: SparkSession, base: str, landing: str, as_of: Column) -> Layout:
     """bronze -> silver (new bronze rows only) -> gold (touched days only);
     the high-water mark is advanced last, so a failed run is simply rerun."""
@@ -264,7 +299,7 @@ def run_all(spark: SparkSession, base: str, landing: str, as_of: Column) -> Layo
     bronze(spark, lay, landing, as_of)
     m = silver(spark, lay, as_of)
     lay.metrics.update(m)
-    gold(spark, lay, as_of, m.get("since"), m.get("flot_since"))
+    gold(spark, lay, as_of, m["days"], m.get("flot_days", []))
     for name, mark in (("silver", m.get("hwm")), ("flotation", m.get("flot_hwm"))):
         if mark is not None:
             spark.createDataFrame([(mark,)], "hwm timestamp").write.mode("append").parquet(lay.path("_state", name))

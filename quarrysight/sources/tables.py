@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from .files import path_exists
 
@@ -38,10 +39,109 @@ def upsert_rows(target: DataFrame, updates: DataFrame, keys: list[str], better:
     return merged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
 
 
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of this library's own (staging, run folders)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
+def read_partitioned(spark: SparkSession, path: str, partitions: dict[str, DataType]) -> DataFrame:
+    """A partitioned table as it was written: partition columns get the given types, so
+    that ``007`` stays a text; columns that only some files have are in the schema."""
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    wanted = StructType([StructField(f.name, partitions.get(f.name, f.dataType)) for f in found.fields])
+    return spark.read.schema(wanted).parquet(path)
+
+
+# ------------------------------------------------------ write, then swap
+
+STAGING = "__staging"
+READY = "READY"
+
+
+def _staging(path: str, staging: str | None = None) -> str:
+    return (staging or path.rstrip("/") + STAGING).rstrip("/")
+
+
+def _leaves(spark: SparkSession, root: str) -> list[str]:
+    """Partition folders below ``root``, as Spark named them, relative to it."""
+    fs, found, todo = _fs(spark, root), [], [""]
+    while todo:
+        at = todo.pop()
+        deeper = [at + st.getPath().getName() for st in fs.listStatus(_path(spark, f"{root}/{at}"))
+                  if st.isDirectory() and "=" in st.getPath().getName()]
+        todo += [d + "/" for d in deeper]
+        if at and not deeper:
+            found.append(at.rstrip("/"))
+    return sorted(found)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs = _fs(spark, target)
+    fs.mkdirs(_path(spark, target).getParent())
+    if not fs.rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def _swap(spark: SparkSession, run: str, path: str) -> None:
+    """Put a ready run's partitions in the place of the table's: two renames each. What
+    was done before an interruption is not done again."""
+    fs = _fs(spark, path)
+    fs.mkdirs(_path(spark, path))
+    gone = [r[0] for r in spark.read.text(f"{run}/{READY}").collect() if r[0]]
+    for part in [*_leaves(spark, f"{run}/new"), *gone]:
+        new, now, old = f"{run}/new/{part}", f"{path}/{part}", f"{run}/old/{part}"
+        if fs.exists(_path(spark, now)) and not fs.exists(_path(spark, old)):
+            _rename(spark, now, old)
+        if fs.exists(_path(spark, new)):
+            _rename(spark, new, now)
+    fs.delete(_path(spark, run), True)
+
+
+def finish_swaps(spark: SparkSession, path: str, staging: str | None = None) -> int:
+    """Finish what interrupted writers of ``path`` had ready; a run that was not ready is
+    none of the table's and stays unread. Every writer here does this first."""
+    root, n = _staging(path, staging), 0
+    if not path_exists(spark, root):
+        return 0
+    for st in _fs(spark, root).listStatus(_path(spark, root)):
+        run = f"{root}/{st.getPath().getName()}"
+        if path_exists(spark, f"{run}/{READY}/_SUCCESS"):
+            _swap(spark, run, path.rstrip("/"))
+            n += 1
+    return n
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...], gone: list[str] = (),
+                       staging: str | None = None, run: str | None = None) -> None:
+    """Replace the ``by`` partitions that ``df`` has rows for, and remove the folders
+    ``gone`` that it has none for. All is written beside the table before any of it is
+    touched, ``df`` may read the table itself, and an interruption at any point loses
+    nothing: before the run is ready the table is as it was, after that
+    :func:`finish_swaps` completes it. A reader between two renames may miss a partition.
+
+    Folders are only listed and renamed, never named here, so partition values may hold
+    anything; Spark stores an empty text as NULL. The rebalance lets Spark cut large
+    partitions into several files and put small ones together."""
+    finish_swaps(spark, path, staging)
+    run = run or f"{_staging(path, staging)}/{uuid.uuid4().hex}"
+    df.hint("rebalance", *by).write.partitionBy(*by).parquet(f"{run}/new")
+    made = set(_leaves(spark, f"{run}/new"))
+    spark.createDataFrame([(g,) for g in gone if g not in made], "value string").coalesce(1).write.text(f"{run}/{READY}")
+    _swap(spark, run, path.rstrip("/"))
+
+
+def replace_days(spark: SparkSession, df: DataFrame, path: str, col: str, days: list) -> None:
+    """Replace the date partitions ``days`` with the rows of ``df``, which has no others; a
+    day without rows any more goes."""
+    replace_partitions(spark, df, path, (col,), [f"{col}={d.isoformat()}" for d in days])
 
 
 def merge_upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
@@ -61,57 +161,32 @@ def merge_best(spark: SparkSession, path: str, updates: DataFrame, best: Callabl
 
 def _merge(spark: SparkSession, path: str, updates: DataFrame, merge: Callable, partition_col: str,
            staging: str | None, first: bool = False) -> None:
-    """The batch is written once, to a staging folder of this run alone, and so
-    are the merged rows before they are swapped in: nothing of an earlier run
-    can come back, and no plan reads and overwrites the same files. Only the
-    touched partitions of the target are opened (a list of partition values);
-    their schemas are merged, as a column may have been added upstream."""
-    if not path_exists(spark, path):
-        write_table(merge(None, updates) if first else updates, path, "overwrite", (partition_col,))
-        return
-    run = f"{(staging or path.rstrip('/') + '__staging').rstrip('/')}/{uuid.uuid4().hex}"
+    """The batch is written once, to a folder of this run alone. The target is one read of
+    the table under a predicate on the partition column, which Spark prunes by; its values
+    are compared as texts of the column's own type, so any value will do. The list of
+    touched partitions is of the size of the table's own list of folders. What is merged
+    is swapped in by :func:`replace_partitions`."""
+    finish_swaps(spark, path, staging)
+    kind = updates.schema[partition_col].dataType
+    if isinstance(kind, StringType):
+        # Spark stores an empty text as NULL: they are one partition
+        updates = updates.withColumn(partition_col, F.nullif(F.col(partition_col), F.lit("")))
+    run = f"{_staging(path, staging)}/{uuid.uuid4().hex}"
     write_table(updates, f"{run}/batch")
     batch = spark.read.schema(updates.schema).parquet(f"{run}/batch")
-    touched = [r[0] for r in batch.select(F.col(partition_col).cast("string")).distinct().collect()]
-    folders = [f"{path.rstrip('/')}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for v in touched]
-    there = [f for f in folders if path_exists(spark, f)]
-    if there:
-        target = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*there)
-        target = target.withColumn(partition_col, F.col(partition_col).cast(updates.schema[partition_col].dataType))
-        merged = merge(target, batch)
-    else:
+    target = None
+    if path_exists(spark, path) and _leaves(spark, path.rstrip("/")):
+        value = F.col(partition_col).cast("string")
+        touched = [r[0] for r in batch.select(value).distinct().collect()]
+        there = value.isin([v for v in touched if v is not None])
+        if None in touched:
+            there = F.coalesce(there, F.lit(False)) | value.isNull()
+        target = read_partitioned(spark, path, {partition_col: kind}).where(there)
+    if target is None:
         merged = merge(None, batch) if first else batch
-    write_table(merged, f"{run}/merged")
-    write_table(spark.read.schema(merged.schema).parquet(f"{run}/merged"), path, "overwrite", (partition_col,))
-    delete_path(spark, run)
-
-
-def drop_partitions_from(spark: SparkSession, path: str, col: str, since) -> int:
-    """Delete the ``col=<value>`` partition folders with value >= ``since``
-    (ISO dates compare as text). File-system metadata only; returns the
-    number removed."""
-    if not path_exists(spark, path):
-        return 0
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    prefix, bound, n = f"{col}=", str(since), 0
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix) and name[len(prefix):] >= bound:
-            fs.delete(st.getPath(), True)
-            n += 1
-    return n
-
-
-def replace_partitions_from(spark: SparkSession, df: DataFrame, path: str, col: str, since) -> None:
-    """Replace every ``col`` partition from ``since`` on with ``df``.
-
-    Unlike a dynamic overwrite this also clears a partition that has no rows
-    any more. Not atomic: a caller reruns the whole step after a failure
-    (the layered run advances its high-water mark only at the end)."""
-    drop_partitions_from(spark, path, col, since)
-    df.write.mode("append").partitionBy(col).parquet(path)
+    else:
+        merged = merge(target, batch)
+    replace_partitions(spark, merged, path, (partition_col,), staging=staging, run=run)
 
 
 @dataclass(frozen=True)

@@ -137,11 +137,22 @@ def test_incremental_health_equals_full(spark):
             "daily_avg_quality double, daily_utilization double, daily_anomaly_count long")
     old = _health_rows(spark, [r for r in rows if r[2] < d(2024, 1, 3)])
     new_days = spark.createDataFrame([r for r in rows if r[2] >= d(2024, 1, 3)], cols)
-    inc = HE.health_scores_after(new_days, old, as_of_col())
+    out = HE.health_scores_touching(new_days, old, as_of_col())
+    assert out.where("_stored").isEmpty()          # nothing follows the new days
+    inc = out.drop("_stored")
     merged = sorted(map(tuple, old.collect())) + sorted(map(tuple, inc.collect()))
     assert sorted(merged) == full
     assert [r.health_trend for r in sorted(inc.collect(), key=lambda r: r.score_date)] == ["degrading", "improving"]
 
+    # any set of days in any order: what is stored and does not change is not returned
+    for late in ({1}, {2}, {1, 3}, {2, 4}):
+        old = _health_rows(spark, [r for r in rows if r[2].day not in late])
+        out = HE.health_scores_touching(spark.createDataFrame([r for r in rows if r[2].day in late], cols), old, as_of_col())
+        again = {(r.equipment_id, r.score_date): tuple(r)[:-1] for r in out.collect()}
+        kept = [tuple(r) for r in old.collect() if (r.equipment_id, r.score_date) not in again]
+        assert sorted(kept + list(again.values())) == full
+        assert {d.day for (_, d), r in again.items()} <= late | {day + 1 for day in late}
+
 
 def test_zero_limit_does_not_fail(spark):
     assert _one(spark, S.temperature_score("t", "l"), "t double, l double", [(50.0, 0.0)]) == [0.0]

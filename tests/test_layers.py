@@ -130,3 +130,105 @@ def test_layers_end_to_end_and_rerun(spark, workdir):
             cols = sorted(c for c in df.columns if c not in drop)
             return sorted(map(str, df.select(cols).collect()))
         assert rows(lay.path(layer, t)) == rows(full.path(layer, t)), (layer, t)
+
+
+TABLES = (("silver", "anomaly_events"), ("gold", "hourly_equipment_kpis"), ("gold", "equipment_health_scores"),
+          ("gold", "maintenance_alerts"), ("gold", "fleet_summary_daily"), ("gold", "kpi_contract_violations"))
+
+
+def _files(path):
+    return {os.path.relpath(os.path.join(d, f), path): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def _days_with_new_files(before, after):
+    return sorted({f.split("/")[0].split("=")[1] for f in after if before.get(f) != after[f]})
+
+
+def _contents(spark, lay, layer, t):
+    try:
+        df = spark.read.parquet(lay.path(layer, t))
+    except AnalysisException:
+        return []
+    return sorted(map(str, df.select(sorted(c for c in df.columns if c not in (
+        "bronze_ingestion_timestamp", "silver_processed_timestamp"))).collect()))
+
+
+def _daily_landing(landing, units, days):
+    rows = [dict(equipment_id=u, equipment_type="haul_truck", timestamp=f"{d}T{h:02d}:00:00", operating_status="loaded",
+                 engine_temp_c=80.0 + 5 * k + h, payload_tonnes=100.0)
+            for k, u in enumerate(units) for d in days for h in (20, 21)]
+    _write_sensors(os.path.join(landing, "sensors"), f"{days[0]}-{'-'.join(units)}.json", rows)
+
+
+def test_a_late_reading_touches_its_day_and_the_next(spark, workdir):
+    landing, base = os.path.join(workdir, "landing"), os.path.join(workdir, "lake")
+    _landing(landing)
+    os.remove(os.path.join(landing, "sensors", "day1.json"))
+    os.remove(os.path.join(landing, "sensors", "day2.json"))
+    _daily_landing(landing, ["HT-001", "HT-002"], ["2024-09-01", "2024-09-02", "2024-09-03"])
+    lay = L.run_all(spark, base, landing, as_of_col())
+    health = lay.path("gold", "equipment_health_scores")
+    before = {t: _files(lay.path(*t)) for t in TABLES if os.path.exists(lay.path(*t))}
+
+    # one unit's readings of 1970: that day, and that unit's next stored day
+    _daily_landing(landing, ["HT-001"], ["1970-01-01"])
+    L.run_all(spark, base, landing, as_of_col())
+    assert _days_with_new_files(before["gold", "equipment_health_scores"], _files(health)) == ["1970-01-01", "2024-09-01"]
+    assert _days_with_new_files(before["gold", "hourly_equipment_kpis"],
+                                _files(lay.path("gold", "hourly_equipment_kpis"))) == ["1970-01-01"]
+    first = {r.equipment_id: r for r in spark.read.parquet(health).where("score_date = '2024-09-01'").collect()}
+    assert first["HT-001"].health_score_prev_day is not None and first["HT-002"].health_score_prev_day is None
+
+    # between two stored days, and a unit that was not there before
+    _daily_landing(landing, ["HT-002", "HT-003"], ["2024-01-05"])
+    L.run_all(spark, base, landing, as_of_col())
+    full = L.run_all(spark, os.path.join(workdir, "full"), landing, as_of_col())
+    for layer, t in TABLES:
+        assert _contents(spark, lay, layer, t) == _contents(spark, full, layer, t), t
+
+
+def test_a_crash_between_write_and_swap(spark, workdir, monkeypatch):
+    from quarrysight.sources import tables as T
+    landing, base = os.path.join(workdir, "landing"), os.path.join(workdir, "lake")
+    _landing(landing)
+    lay = L.run_all(spark, base, landing, as_of_col())
+    _daily_landing(landing, ["HT-001"], ["2024-08-30", "2024-09-01"])
+    plain, n = T._rename, [0]
+
+    def breaks(*args):
+        n[0] += 1
+        if n[0] == 9:
+            raise OSError("lost")
+        plain(*args)
+
+    monkeypatch.setattr(T, "_rename", breaks)
+    try:
+        L.run_all(spark, base, landing, as_of_col())
+        raise AssertionError("the run was not interrupted")
+    except OSError:
+        pass
+    monkeypatch.setattr(T, "_rename", plain)
+    L.run_all(spark, base, landing, as_of_col())
+    full = L.run_all(spark, os.path.join(workdir, "full"), landing, as_of_col())
+    for layer, t in (("silver", "cleaned_sensor_readings"), *TABLES):
+        def rows(x):
+            return [r for r in _contents(spark, x, layer, t)]
+        assert len(rows(lay)) == len(rows(full)), t
+        if t != "cleaned_sensor_readings":
+            assert rows(lay) == rows(full), t
+
+
+def test_violators_of_earlier_runs_stay(spark, workdir, monkeypatch):
+    landing, base = os.path.join(workdir, "landing"), os.path.join(workdir, "lake")
+    _landing(landing)
+    # readings without a type have no KPI row that keeps the contract
+    monkeypatch.setattr(L, "KPI_CONTRACT", L.T.Contract(types=L.KPI_CONTRACT.types, not_null=L.KPI_CONTRACT.not_null,
+                                                        ranges={"total_readings": (0, 1)}))
+    lay = L.run_all(spark, base, landing, as_of_col())
+    path = lay.path("gold", "kpi_contract_violations")
+    n = spark.read.parquet(path).count()
+    assert n > 0
+    _daily_landing(landing, ["HT-001"], ["2024-12-24"])
+    L.run_all(spark, base, landing, as_of_col())
+    assert spark.read.parquet(path).count() >= n

@@ -92,5 +92,5 @@ def test_every_copy_of_a_bad_message_is_quarantined(spark, workdir):
     registry_df(spark).write.parquet(lay.path("silver", "equipment_registry"))
     for _ in range(2):      # a rerun of the same batch adds nothing
         m = L.silver(spark, lay, as_of_col())
-        assert m["new_quarantined"] == 50 and m["since"] is None
+        assert m["new_quarantined"] == 50 and m["days"] == []
         assert spark.read.parquet(lay.path("silver", "quarantine_records")).count() == 50
