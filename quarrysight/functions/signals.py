@@ -21,6 +21,11 @@ def signal_peak(sig: Column | str, digits: int = 6) -> Column:
     return F.round(F.array_max(F.transform(_c(sig), lambda x: F.abs(x))), digits)
 
 
+def signal_energy(sig: Column | str) -> Column:
+    """Sum of the squared samples."""
+    return F.aggregate(_c(sig), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+
+
 def crest_factor(peak: Column | str, rms: Column | str, digits: int = 4) -> Column:
     return F.when(_c(rms) > 0, F.round(_c(peak) / _c(rms), digits)).otherwise(F.lit(0.0))
 

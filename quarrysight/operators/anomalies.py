@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import ThresholdSpec
+from ..functions import moments as M
 from ..functions.text import stable_id
 
 EVENT_COLUMNS = (
@@ -90,27 +91,25 @@ def zscore_anomalies(readings: DataFrame, sensor: str, as_of: Column, unit_col:
     """(Extension) z-score of each reading against the unit's readings of the
     preceding ``baseline_hours`` whole hours.
 
-    Skew-safe: the baseline is built from per-(unit, hour) partial sums
-    (a map-side-combined ``groupBy``), rolled over hours with a window on that
-    small table, and joined back on (unit, hour). No window ever spans all
-    raw readings of one unit.
+    Skew-safe: the baseline is built from per-(unit, hour) moments (a
+    map-side-combined ``groupBy``), of which a window on that small table
+    collects the preceding hours, at most ``baseline_hours``, and merges them
+    pair by pair in time order; joined back on (unit, hour). No window ever
+    spans all raw readings of one unit, and large values lose no digits
+    (``functions/moments.py``).
     """
     hour = F.date_trunc("hour", F.col(ts_col)).cast("timestamp")
     x = readings.select(unit_col, type_col, ts_col, F.col(sensor).cast("double").alias("_x"), hour.alias("_h"))
     hourly = (x.filter(F.col("_x").isNotNull())
-              .groupBy(unit_col, "_h")
-              .agg(F.count("*").alias("_n"), F.sum("_x").alias("_s1"), F.sum(F.col("_x") * F.col("_x")).alias("_s2")))
+              .groupBy(unit_col, "_h").agg(*M.moment_sums(F.col("_x"))).select(unit_col, "_h", M.moments().alias("_m")))
     w = (Window.partitionBy(unit_col).orderBy(F.col("_h").cast("long"))
          .rangeBetween(-baseline_hours * 3600, -1))
-    base = hourly.select(
-        unit_col, "_h",
-        F.sum("_n").over(w).alias("bn"), F.sum("_s1").over(w).alias("b1"), F.sum("_s2").over(w).alias("b2"),
-    )
-    mean = F.col("b1") / F.col("bn")
-    var = (F.col("b2") - F.col("b1") * F.col("b1") / F.col("bn")) / (F.col("bn") - 1)
-    stats = base.filter(F.col("bn") >= min_count).select(
-        unit_col, "_h", mean.alias("_mean"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("_std"))
-    z = (F.col("_x") - F.col("_mean")) / F.col("_std")
+    # the window's rows come in the order of their hours
+    base = hourly.select(unit_col, "_h", F.collect_list("_m").over(w).alias("_before")).select(
+        unit_col, "_h", M.merged(F.col("_before")).alias("_b"))
+    stats = base.filter(F.col("_b.n") >= min_count).select(
+        unit_col, "_h", "_b", M.mean(F.col("_b")).alias("_mean"), M.std(F.col("_b")).alias("_std"))
+    z = M.distance(F.col("_x"), F.col("_b")) / F.col("_std")
     scored = x.join(stats, [unit_col, "_h"], "inner").filter(F.col("_std") > 0).withColumn("_z", z)
     hits = scored.filter(F.abs(F.col("_z")) > z_threshold)
     return hits.select(

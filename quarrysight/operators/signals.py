@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from .. import config as C
 from ..functions import scores as S
@@ -19,39 +20,28 @@ FEATURE_COLUMNS = (
     "dominant_frequency_hz", "spectral_energy", "bearing_health_index", "sample_count", "processed_at",
 )
 
-_SPECTRUM = StructType([
-    StructField("dominant_frequency_hz", DoubleType()),
-    StructField("spectral_energy", DoubleType()),
-])
+MATRIX = 1 << 20     # samples transformed at once, or one signal
 
 
-@F.pandas_udf(_SPECTRUM)
-def _spectrum(signals: pd.Series, rates: pd.Series) -> pd.DataFrame:
-    """(Extension) FFT features of one Arrow batch of signals.
-
-    dominant frequency = frequency of the largest |rfft| bin of the
-    mean-removed signal (DC excluded); spectral energy = sum |X_k|^2 / n over
-    the full spectrum (equals sum x^2 by Parseval). Signals are bounded
-    (<= 2048 samples), so a batch is small.
-    """
-    dom, energy = [], []
-    for sig, rate in zip(signals, rates):
-        if sig is None or len(sig) == 0:
-            dom.append(None)
-            energy.append(None)
-            continue
-        x = np.asarray(sig, dtype=np.float64)
-        n = x.size
-        spec = np.fft.rfft(x - x.mean())
-        mag = np.abs(spec)
-        if n > 1 and mag[1:].size and mag[1:].max() > 0:
-            k = int(np.argmax(mag[1:])) + 1
-            dom.append(float(k * float(rate) / n))
-        else:
-            dom.append(0.0)
-        full = np.fft.fft(x)
-        energy.append(float(np.sum(np.abs(full) ** 2) / n))
-    return pd.DataFrame({"dominant_frequency_hz": dom, "spectral_energy": energy})
+@F.arrow_udf(DoubleType())
+def dominant_frequency(signals: pa.Array, rates: pa.Array) -> pa.Array:
+    """(Extension) Frequency of the largest bin of the mean-removed signal (DC left out; 0
+    if there is none). The signals of one length are the rows of a matrix and are
+    transformed together; NULL signals, rates and samples give NULL."""
+    sizes = pc.list_value_length(signals).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    flat = signals.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    rate = rates.to_numpy(zero_copy_only=False).astype(np.float64)
+    out = np.full(len(sizes), np.nan)
+    for n in np.unique(sizes[sizes > 0]).tolist():
+        of_size = np.flatnonzero(sizes == n)
+        for rows in np.array_split(of_size, -(-len(of_size) * n // MATRIX)):
+            x = flat[starts[rows][:, None] + np.arange(n)]
+            bins = np.abs(np.fft.rfft(x - x.mean(axis=1, keepdims=True), axis=1))
+            bins[:, 0] = 0.0
+            top = bins.argmax(axis=1)
+            out[rows] = np.where(np.isnan(x).any(axis=1), np.nan, np.where(bins.max(axis=1) > 0, top * rate[rows] / n, 0.0))
+    return pa.array(out, from_pandas=True)
 
 
 def bearing_features(bronze: DataFrame, as_of: Column, signal_col: str = "vibration_signal",
@@ -59,8 +49,9 @@ def bearing_features(bronze: DataFrame, as_of: Column, signal_col: str = "vibrat
                      rate_col: str | None = "sample_rate_hz") -> DataFrame:
     """Time-domain features with JVM higher-order functions; empty signals
     are dropped first (no division by zero). ``kurtosis``/``skewness``
-    (ours) use central moments; the spectrum (ours) is an Arrow pandas UDF
-    and is opt-in because it leaves the JVM."""
+    (ours) use central moments. The spectrum (ours) is opt-in: the dominant
+    frequency leaves the JVM in Arrow batches; the energy, which is the sum of
+    the squared samples by Parseval, does not."""
     sig = F.col(signal_col)
     df = bronze.filter(F.size(sig) > 0)
     df = df.withColumns({
@@ -77,10 +68,9 @@ def bearing_features(bronze: DataFrame, as_of: Column, signal_col: str = "vibrat
         df = df.withColumns({"kurtosis": F.lit(None).cast("double"), "skewness": F.lit(None).cast("double")})
     if with_spectrum:
         rate = F.col(rate_col) if rate_col and rate_col in bronze.columns else F.lit(C.SAMPLE_RATE_HZ)
-        df = df.withColumn("_spec", _spectrum(sig, rate.cast("double")))
         # rounding stays in the JVM (HALF_UP, like every other rounded feature)
-        df = df.withColumns({"dominant_frequency_hz": F.round("_spec.dominant_frequency_hz", 6),
-                             "spectral_energy": F.round("_spec.spectral_energy", 6)}).drop("_spec")
+        df = df.withColumns({"dominant_frequency_hz": F.round(dominant_frequency(sig, rate.cast("double")), 6),
+                             "spectral_energy": F.round(G.signal_energy(sig), 6)})
     else:
         df = df.withColumns({"dominant_frequency_hz": F.lit(None).cast("double"),
                              "spectral_energy": F.lit(None).cast("double")})

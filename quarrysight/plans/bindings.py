@@ -21,8 +21,6 @@ Run-time columns (``calculated_at`` etc.) take the fixed ``AS_OF`` instant.
 from __future__ import annotations
 
 import os
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +40,9 @@ from ..operators import process as PR
 from ..operators import quality as QU
 from ..operators import signals as SG
 from ..sources import files as SF
+from ..sources import scratch as SC
 from ..sources.rescue import rescue_json
+from ..sources.scratch import shared_dir
 from ..sources.tables import upsert_rows
 from . import dashboard as DB
 
@@ -371,12 +371,7 @@ def q_trend_alerts(spark, sf_dir):
 
 
 def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back: a
-    table used by several branches of one plan is computed once, a lost
-    executor re-reads it, and its size and columns are known to the planner."""
-    path = os.path.join(shared_dir(spark), f"layer-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return SC.materialize(df)
 
 
 def _fleet(spark, sf_dir, per_site):
@@ -591,23 +586,12 @@ def q_rescue_json(spark, sf_dir):
 
 def q_table_stats(spark, sf_dir):
     names = ("lineitem", "orders", "events", "supplier", "customer")
-    return QU.table_stats(spark, {n: os.path.join(sf_dir, f"{n}.parquet") for n in names})
+    return QU.table_stats(spark, {n: os.path.join(sf_dir, f"{n}.parquet") for n in names}).select(
+        "table_name", "size_mb", "num_files", F.unix_seconds("last_modified").alias("last_modified_s"))
 
 
 # ------------------------------------------------------------- streaming
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, ``spark.checkpoint.dir``. Only a local
-    master may go without; it gets a folder of its own."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="quarrysight-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
-
-
 def q_stream_ingest(spark, sf_dir):
     """Incremental ingest of the events file with ``availableNow`` into a
     parquet table under the shared folder; returns the ingested table."""
@@ -650,6 +634,22 @@ def q_stream_silver(spark, sf_dir, files_per_trigger=None, glob="lineitem.parque
         "quality_score", F.array_join("anomaly_reasons", "|").alias("reasons"))
 
 
+def q_stream_keyed_state(spark, sf_dir, files_per_trigger=None, glob="lineitem.parquet"):
+    """The same stream into a log of best copies, with keyed state instead of
+    a merge of the touched years; the log is read as the table it stands for."""
+    from ..streaming import state as SS
+    from ..streaming import tables as ST
+    run = os.path.join(shared_dir(spark), f"stream-state-{uuid.uuid4().hex}")
+    stream = ST.read_files(spark, sf_dir, table(spark, sf_dir, glob.split(".")[0]).schema, glob, files_per_trigger)
+    flagged = CL.flag_quality(CL.passing_records(li_readings(stream), LI_SPEC), LI_RULES)
+    order = [-F.col("quality_score"), -CL.completeness(list(LI_SENSORS)), *[F.col(c) for c in LI_TIES]]
+    SS.write_best_copies(spark, flagged, os.path.join(run, "log"), ["equipment_id", CL.PARSED], order,
+                         os.path.join(run, "checkpoint"))
+    return SS.best_rows(spark.read.parquet(os.path.join(run, "log")), _li_dedup).select(
+        "equipment_id", F.col(CL.PARSED).alias("reading_timestamp"), "l_orderkey", "l_linenumber", "l_partkey",
+        "quality_score", F.array_join("anomaly_reasons", "|").alias("reasons"))
+
+
 # ================================================================ registry
 QUERIES = {
     # silver
@@ -697,6 +697,7 @@ QUERIES = {
     "stream_ingest": q_stream_ingest,
     "stream_hourly_window": q_stream_hourly_window,
     "stream_silver": q_stream_silver,
+    "stream_keyed_state": q_stream_keyed_state,
     # extensions (ours)
     "zscore_anomalies": q_zscore_anomalies,
     "rate_of_change": q_rate_of_change,

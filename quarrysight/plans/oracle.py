@@ -647,24 +647,35 @@ FROM w"""
 ORACLE["zscore_anomalies"] = f"""
 WITH x AS (
   SELECT CAST(user_id AS VARCHAR) AS equipment_id, ts, value, date_trunc('hour', ts) AS h FROM events),
+units AS (
+  SELECT equipment_id, h, CAST(round(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,18)), 6) * 1000000 AS HUGEINT) AS u FROM x
+  WHERE value IS NOT NULL),
 hourly AS (
-  SELECT equipment_id, h, count(*) AS n, sum(value) AS s1, sum(value * value) AS s2 FROM x
-  WHERE value IS NOT NULL GROUP BY 1, 2),
+  SELECT equipment_id, h, CAST(count(*) AS HUGEINT) AS n, sum(u) AS s1, sum(u * u) AS s2 FROM units GROUP BY 1, 2),
 base AS (
   SELECT equipment_id, h,
-         sum(n) OVER w AS bn, sum(s1) OVER w AS b1, sum(s2) OVER w AS b2
+         CAST(sum(n) OVER w AS HUGEINT) AS bn, CAST(sum(s1) OVER w AS HUGEINT) AS b1, CAST(sum(s2) OVER w AS HUGEINT) AS b2
   FROM hourly
   WINDOW w AS (PARTITION BY equipment_id ORDER BY epoch(h) RANGE BETWEEN {168 * 3600} PRECEDING AND 1 PRECEDING)),
 stats AS (
-  SELECT equipment_id, h, b1 / bn AS mu, sqrt(greatest((b2 - b1 * b1 / bn) / (bn - 1), 0.0)) AS sd
+  -- whole numbers: n times the value less the sum, over n times the deviation
+  SELECT equipment_id, h, bn, b1, CAST(b1 AS DOUBLE) / CAST(bn AS DOUBLE) / 1000000 AS mu,
+         sqrt(CAST(bn * b2 - b1 * b1 AS DOUBLE) * CAST(bn AS DOUBLE) / CAST(bn - 1 AS DOUBLE)) AS nsd
   FROM base WHERE bn >= 3),
 z AS (
-  SELECT x.equipment_id, x.ts, x.value, s.mu, (x.value - s.mu) / s.sd AS z
-  FROM x JOIN stats s ON x.equipment_id = s.equipment_id AND x.h = s.h WHERE s.sd > 0)
+  SELECT x.equipment_id, x.ts, x.value, s.mu,
+         CAST(s.bn * CAST(round(CAST(CAST(x.value AS VARCHAR) AS DECIMAL(38,18)), 6) * 1000000 AS HUGEINT) - s.b1 AS DOUBLE) / s.nsd AS z
+  FROM x JOIN stats s ON x.equipment_id = s.equipment_id AND x.h = s.h WHERE s.nsd > 0)
 SELECT equipment_id, ts AS event_timestamp, CASE WHEN abs(z) > 5.0 THEN 'critical' ELSE 'warning' END AS severity,
        value AS sensor_value, {sr("mu", 6)} AS baseline_mean, {sr("z", 6)} AS z_score
 FROM z WHERE abs(z) > 2.5"""
 
+# the files of the gate's own folder
+ORACLE["table_stats"] = " UNION ALL ".join(f"""
+SELECT '{t}' AS table_name, {sr("sum(size) / 1048576.0", 2)} AS size_mb, CAST(count(*) AS BIGINT) AS num_files,
+       CAST(floor(epoch(max(last_modified))) AS BIGINT) AS last_modified_s
+FROM read_blob('/root/testdata/sf0.01/{t}.parquet')""" for t in ("lineitem", "orders", "events", "supplier", "customer"))
+
 ORACLE["rate_of_change"] = f"""
 WITH x AS (
   SELECT CAST(user_id AS VARCHAR) AS equipment_id, ts, value,
@@ -928,3 +939,5 @@ SELECT equipment_id, equipment_type, site_location, alert_date, 'critical' AS se
 FROM (SELECT e.equipment_id, e.equipment_type, r.site_location, CAST(e.event_timestamp AS DATE) AS alert_date, sensor_name,
              count(*) AS n, max(sensor_value) AS worst
       FROM li_ev e LEFT JOIN li_reg r USING (equipment_id) WHERE severity = 'critical' GROUP BY ALL)"""
+
+ORACLE["stream_keyed_state"] = ORACLE["stream_silver"]

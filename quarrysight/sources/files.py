@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import config as C
 from ..functions.text import decimal_comma_to_double as _dc
+from ..operators.ranks import gapless_rank
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -99,8 +104,9 @@ def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
     Each file is read whole (``wholetext``) so its sample order is kept;
     lines are split, every sample ``try_cast`` (bad ones dropped), all kept,
     or the first ``max_samples`` if that is given. ``measurement_index`` is the rank of the file name
-    within its experiment, computed on the narrow (experiment, file) table
-    and joined back, so no window carries signal arrays.
+    within its experiment: ``operators/ranks.gapless_rank`` over the narrow
+    (experiment, file) table, joined back, so no window carries signals or
+    holds an experiment's files.
     """
     # keyword form: ``text()`` resets ``wholetext`` to its default otherwise
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True) \
@@ -111,9 +117,8 @@ def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
     mapping = F.create_map(*[x for k, v in experiments.items() for x in (F.lit(k), F.lit(v))])
     files = files.withColumns({"experiment_id": mapping[exp_name].cast("int"), "timestamp": fname}) \
         .filter(F.col("experiment_id").isNotNull())
-    idx = files.select("experiment_id", "timestamp", "path").withColumn(
-        "measurement_index",
-        (F.dense_rank().over(Window.partitionBy("experiment_id").orderBy("timestamp", "path")) - 1).cast("int"))
+    idx = gapless_rank(files.select("experiment_id", "timestamp", "path"), ["experiment_id"], ["timestamp", "path"],
+                       "measurement_index").withColumn("measurement_index", F.col("measurement_index").cast("int"))
     lines = F.filter(F.split(F.col("value"), "\r?\n"), lambda l: F.length(F.trim(l)) > 0)
     rows = F.transform(lines, lambda l: F.split(F.trim(l), "\t"))
     def column(b: int):
@@ -140,6 +145,23 @@ def read_vibration_files(spark: SparkSession, root: str, as_of: Column,
     return with_ingest_metadata(out, as_of, F.col("source_file"))
 
 
+def write_text_files(files: DataFrame, root: str) -> int:
+    """One file per row of ``files`` (path below ``root``, text), written by the tasks; a
+    task that runs again writes the same files. The number of files."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pa.fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+        for batch in batches:
+            for path, text in zip(*(c.to_pylist() for c in batch.columns)):
+                at = f"{base}/{path}"
+                fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(at) as out:
+                    out.write((text or "").encode())
+            yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64())})
+
+    return files.select("path", "text").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def read_registry_csv(spark: SparkSession, path: str, schema: StructType | None = None,
                       maintenance_days_ago: int = 30, as_of_date: Column | None = None) -> DataFrame:
     """Registry CSV with declared schema; ``last_maintenance_date`` is

@@ -15,9 +15,9 @@ from ..functions.checks import EXACT_PRECISION, EXACT_SCALE, fixed_point, keeps_
 from ..sources import tables as T
 
 
-def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Run ``write(batch, batch_id)`` over all input there is, and wait."""
-    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    q = (stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 

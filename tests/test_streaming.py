@@ -68,3 +68,69 @@ def test_stream_tables_do_not_depend_on_batches(spark, workdir):
         if name == "events":
             total = query(spark, sf).agg(F.sum("total_readings")).first()[0]
             assert total == spark.read.parquet(f"{sf}/events.parquet").count()
+
+
+STATE = "k string, q double, tie long, day string, seen timestamp"
+
+
+def _best(df):
+    from pyspark.sql import Window
+    w = Window.partitionBy("k").orderBy(F.col("q").desc(), F.col("tie"))
+    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def test_keyed_state_gives_the_batch_table(spark, workdir):
+    """One and several files a trigger, a restart, and copies that come after the state
+    has let their key go."""
+    import random
+
+    from quarrysight.streaming import state as SS
+    from quarrysight.streaming import tables as ST
+    rng = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    files = [[(f"k{rng.randrange(40)}", rng.choice([0.1, 0.4, 0.7, 1.0]), rng.randrange(1000), f"d{rng.randrange(3)}",
+               t0 + dt.timedelta(days=4 * f)) for _ in range(60)] for f in range(4)]
+    src, order = os.path.join(workdir, "src"), [-F.col("q"), F.col("tie")]
+    whole = _best(spark.createDataFrame([r for rows in files for r in rows], STATE))
+    want = sorted(tuple(r)[:4] for r in whole.collect())
+
+    def run(name, per_trigger):
+        stream = ST.read_files(spark, src, whole.schema, files_per_trigger=per_trigger)
+        SS.write_best_copies(spark, stream, os.path.join(workdir, name, "log"), ["k"], order,
+                             os.path.join(workdir, name, "checkpoint"), keep="7 days", seen=F.col("seen"))
+
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, STATE).coalesce(1).write.mode("append").parquet(src)
+        if k in (1, 3):          # the second run takes up the first one's state
+            run("resumed", 1)
+    run("whole", None)
+    for name in ("resumed", "whole"):
+        log = spark.read.parquet(os.path.join(workdir, name, "log"))
+        assert sorted(tuple(r)[:4] for r in SS.best_rows(log, _best).select("k", "q", "tie", "day").collect()) == want
+        assert log.count() <= 240
+    # one batch writes each key at most once for each period
+    log = spark.read.parquet(os.path.join(workdir, "whole", "log"))
+    assert log.groupBy("k").count().where("count > 3").isEmpty()
+    SS.compact(spark, os.path.join(workdir, "resumed", "log"), os.path.join(workdir, "table"), _best, "day")
+    got = _best(spark.read.parquet(os.path.join(workdir, "table")).select("k", "q", "tie", "day", "seen"))
+    assert sorted(tuple(r)[:4] for r in got.collect()) == want
+
+
+def test_the_state_lets_keys_go(spark, workdir):
+    from quarrysight.streaming import state as SS
+    from quarrysight.streaming import tables as ST
+    src = os.path.join(workdir, "src")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [[(f"k{f}-{i}", 1.0, 0, "d", t0 + dt.timedelta(days=20 * f)) for i in range(30)] for f in range(4)]
+    for r in rows:
+        spark.createDataFrame(r, STATE).coalesce(1).write.mode("append").parquet(src)
+    spark.conf.set(SS.PROVIDER, SS.ROCKSDB)
+    try:
+        stream = ST.read_files(spark, src, spark.createDataFrame([], STATE).schema, files_per_trigger=1)
+        q = (SS.best_copies(stream, ["k"], [-F.col("q")], "7 days", F.col("seen")).writeStream.outputMode("update")
+             .format("noop").option("checkpointLocation", os.path.join(workdir, "c")).trigger(availableNow=True).start())
+        q.awaitTermination()
+        kept = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    finally:
+        spark.conf.unset(SS.PROVIDER)
+    assert max(kept) <= 60 and kept[-1] <= 30        # of 120 keys
