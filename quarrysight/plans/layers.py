@@ -40,12 +40,12 @@ from ..operators import alerts as AL
 from ..operators import anomalies as AN
 from ..operators import clean as CL
 from ..operators import enrich as EN
-from ..operators import failures as FA
 from ..operators import fleet as FL
 from ..operators import health as HE
 from ..operators import kpis as KP
 from ..operators import process as PR
 from ..operators import signals as SG
+from ..operators import sketches as SK
 from ..sources import files as SF
 from ..sources import tables as T
 from ..streaming.ingest import ingest_csv_stream, ingest_json_stream
@@ -226,7 +226,7 @@ def silver_flotation(spark: SparkSession, lay: Layout, as_of: Column, flot_path:
 KPI_CONTRACT = T.Contract(types=schemas.HOURLY_KPI_TYPES, not_null=schemas.HOURLY_KPI_NOT_NULL)
 
 
-def gold(spark: SparkSession, lay: Layout, as_of: Column, days: list = (), flot_days: list = ()) -> None:
+def gold(spark: SparkSession, lay: Layout, as_of: Column, days: list = (), flot_days: list = ()) -> dict:
     """Recompute the gold tables for the touched ``days``, and health, alerts and fleet
     also for the days on which a unit's trend changes with them. Each table is partitioned
     by its day column and only these partitions are replaced, so a run costs the days it
@@ -258,10 +258,23 @@ def gold(spark: SparkSession, lay: Layout, as_of: Column, days: list = (), flot_
         readings = _of_days(spark.read.parquet(flot), "reading_date", flot_days)
         T.replace_days(spark, PR.flotation_hourly_quality(readings, as_of), lay.path("gold", "flotation_quality_scores"),
                        "score_date", flot_days)
-    labels = lay.path("bronze", "raw_maintenance_labels")
-    if _exists(spark, labels):
-        T.write_table(FA.failure_calibration(spark.read.parquet(labels), as_of),
-                      lay.path("gold", "failure_predictions"))
+    return {"labels_hwm": _failures(spark, lay, as_of)}
+
+
+def _failures(spark: SparkSession, lay: Layout, as_of: Column):
+    """Calibration from the stored aggregates of all label batches and the new batch, whose
+    high-water mark is returned (None: nothing new); no label is read twice."""
+    path, partials = lay.path("bronze", "raw_maintenance_labels"), lay.path("gold", "failure_partials")
+    if not _exists(spark, path):
+        return None
+    hwm = _state(spark, lay, "labels")
+    new = _after(spark.read.parquet(path), hwm)
+    mark = new.agg(F.max("ingestion_timestamp")).first()[0]
+    if mark is not None:
+        batch = SK.calibration_partials(new).withColumn("batch_id", F.lit(_batch_id(hwm)))
+        T.write_table(batch, partials, "overwrite", ("batch_id",))
+        T.write_table(SK.calibration_from(spark.read.schema(batch.schema).parquet(partials), as_of), lay.path("gold", "failure_predictions"))
+    return mark
 
 
 HEALTH_KEY = ("equipment_id", "equipment_type", "score_date", "site_location")
@@ -299,8 +312,8 @@ def run_all(spark: SparkSession, base: str, landing: str, as_of: Column) -> Layo
     bronze(spark, lay, landing, as_of)
     m = silver(spark, lay, as_of)
     lay.metrics.update(m)
-    gold(spark, lay, as_of, m["days"], m.get("flot_days", []))
-    for name, mark in (("silver", m.get("hwm")), ("flotation", m.get("flot_hwm"))):
+    m.update(gold(spark, lay, as_of, m["days"], m.get("flot_days", [])))
+    for name, mark in (("silver", m.get("hwm")), ("flotation", m.get("flot_hwm")), ("labels", m["labels_hwm"])):
         if mark is not None:
             spark.createDataFrame([(mark,)], "hwm timestamp").write.mode("append").parquet(lay.path("_state", name))
     return lay

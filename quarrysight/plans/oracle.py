@@ -941,3 +941,10 @@ FROM (SELECT e.equipment_id, e.equipment_type, r.site_location, CAST(e.event_tim
       FROM li_ev e LEFT JOIN li_reg r USING (equipment_id) WHERE severity = 'critical' GROUP BY ALL)"""
 
 ORACLE["stream_keyed_state"] = ORACLE["stream_silver"]
+
+ORACLE["kept_calibration"] = f"""
+SELECT failure_type, failure_count, total_records, failure_rate_pct, avg_air_temp_k, avg_torque_nm, avg_tool_wear_min,
+       TRUE AS temp_rank_ok, TRUE AS wear_rank_ok
+FROM ({ORACLE["failure_calibration"]})"""
+ORACLE["kept_latency"] = f"""
+SELECT avg_lag_sec, max_lag_sec, min_lag_sec, TRUE AS p95_rank_ok FROM ({ORACLE["latency_stats"]})"""
