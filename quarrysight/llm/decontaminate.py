@@ -1,41 +1,58 @@
-"""Benchmark decontamination by exact item-sized windows (built-in expressions only).
+"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact check.
 
 A benchmark item is the bag of its five-word shingles (words: lower-case runs of
 letters and digits). A document leaks an item if a window of the item's size has
 a weighted Jaccard similarity (sum of smaller over sum of larger shingle counts)
-of 0.8 or more with it. Every window is judged, by exact counts:
+of 0.8 or more with it.
 
-1. Of an item of T shingles such a window holds ceil(0.8 T) at least, so it holds
-   one of any T - ceil(0.8 T) + 1 of them. These are the item's shingles that are
-   rarest among the items; texts without one of them are no candidates.
-2. In a candidate, each place of one of the item's shingles adds one to the shared
-   count of a range of windows: those that hold it, but not yet as many earlier
-   places of that shingle as the item has of it. Summing where the ranges begin and
-   end gives the shared count of all windows, in whatever order the parts lie.
-3. Windows of one text have one size, so the largest count is the best similarity.
+1. Every item has a 64-bit SimHash: a bit is set if it is in more than half of the
+   item's shingles. Running bit counters over a text give the SimHash of every window
+   of every item size.
+2. The items of a size are indexed by the eight bytes of their fingerprints. If two
+   fingerprints differ in RADIUS bits, at most 15, one of the bytes differs in one bit
+   at most: windows without such a byte are passed over, the others' distance is
+   taken. All fingerprints within RADIUS are found.
+3. A window within RADIUS is checked on its exact weighted shingles.
+4. For the texts and items found, running counts of shared shingles judge every
+   window by exact counts: each place of one of the item's shingles adds one to the
+   shared count of a range of windows, those that hold it, but not yet as many
+   earlier places of that shingle as the item has of it. The largest count is the
+   best similarity.
 
-``simhash`` gives 64-bit fingerprints of bags, cut into RADIUS + 1 blocks by a
-caller who wants an index of them; ``leaks`` does without, so it misses nothing.
+Step 1 needs 64 counters for every window and size, which expressions cannot run at a
+bearable cost (see the README for figures); it is Arrow in tasks, the rest is native.
+A window of similarity 0.8 has a distance of about 10, so RADIUS loses few such windows
+and next to none above. ``exact=True`` finds the texts without fingerprints, by the
+items' rarest shingles (a window of T shingles holds ceil(0.8 T) of the item's, so one
+of any T - ceil(0.8 T) + 1 of them) and misses none; it is what recall is measured by.
+
+Items are taken ITEM_ROWS shingles at a time, so what goes to the tasks is bounded.
 
 Defined cases: null text has no words; an item of fewer than five words is one
-shingle of all its words, an item without words matches nothing; equal rows give
-one result; rows that share a doc_id are checked each on its own text; a null
-doc_id is reported as null; of equally similar windows the first is reported;
-texts are never cut; empty tables give no rows; other columns are not read.
+shingle of all its words, an item without words matches nothing; a text shorter than
+an item is one window; equal rows give one result; rows that share a doc_id are checked
+each on its own text; a null doc_id is reported as null; of equally similar windows the
+first is reported; texts are never cut; empty tables give no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, row_key, text_or_empty, written
+from .common import free_name, row_key, text_or_empty, worker_drops, written
 
 WORDS = 5
 SHARE = (4, 5)      # least similarity, as a fraction
-RADIUS = 20
 BITS = 64
-BROADCAST_ROWS = 1_000_000   # of at most 40 bytes: a larger side is shuffled
+RADIUS = 15         # of the eight bytes one then differs in one bit at most
+ITEM_ROWS = 1 << 21  # shingles of items looked for in one pass over the documents
+CHUNK = 1 << 14     # windows of a size fingerprinted at once
 
 
 def with_shingles(df: DataFrame, size: int) -> DataFrame:
@@ -53,11 +70,6 @@ def with_shingles(df: DataFrame, size: int) -> DataFrame:
     ).otherwise(F.array().cast("array<bigint>")))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if the counted rows are few, else leave the join to Spark."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def simhash(bags: DataFrame, keys: list[str]) -> DataFrame:
     """``bags`` (keys, hash, c) to (keys, total, fingerprint). Two bit counters
     share a long, so that 32 sums make 64 bits."""
@@ -77,7 +89,135 @@ def simhash(bags: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "total", fingerprint.alias("fingerprint"))
 
 
-def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+class _Items:
+    """Items of one shingle length, by size: fingerprints, their bytes' neighbourhoods, bags."""
+
+    def __init__(self, fingerprints: dict[int, tuple[int, int]], bags: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
+        self.by_size: dict[int, list[int]] = {}
+        for item, (total, _) in sorted(fingerprints.items()):
+            self.by_size.setdefault(total, []).append(item)
+        self.bags = bags
+        self.prints = {t: np.array([fingerprints[i][1] & (1 << BITS) - 1 for i in some], np.uint64) for t, some in self.by_size.items()}
+        near = [0, *[1 << k for k in range(8)]]
+        self.marks = {}
+        for t, prints in self.prints.items():
+            self.marks[t] = np.zeros((8, 256), bool)
+            for at, column in enumerate(prints.view(np.uint8).reshape(-1, 8).T):
+                for flip in near:
+                    self.marks[t][at, column ^ flip] = True
+
+    def leaked(self, item: int, window: np.ndarray, size: int) -> bool:
+        """Whether a window's weighted Jaccard with an item of ``size`` shingles is SHARE or more."""
+        hashes, counts = self.bags[item]
+        at = np.minimum(np.searchsorted(hashes, window), len(hashes) - 1)
+        both = int(np.minimum(np.bincount(at[hashes[at] == window], minlength=len(hashes)), counts).sum())
+        return SHARE[1] * both >= SHARE[0] * (size + len(window) - both)
+
+    def found(self, packed: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(item, windows within RADIUS) of fingerprints given as rows of eight bytes."""
+        marks = self.marks[size]
+        some = np.flatnonzero(np.logical_or.reduce([marks[k][packed[:, k]] for k in range(8)]))
+        prints = np.ascontiguousarray(packed[some]).view(np.uint64).ravel()
+        for item, own in zip(self.by_size[size], self.prints[size]):
+            near = some[np.bitwise_count(prints ^ own) <= RADIUS]
+            if len(near):
+                yield item, near
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+
+def leaked_items(hashes: np.ndarray, ends: np.ndarray, items: _Items) -> set[tuple[int, int]]:
+    """(text, item) of texts whose shingles stand one after the other in ``hashes`` and
+    end at ``ends``: every window is fingerprinted, those near an item are checked."""
+    out: set[tuple[int, int]] = set()
+    if not len(hashes) or not items.by_size:
+        return out
+    starts = np.concatenate([[0], ends[:-1]])
+    own_end = np.repeat(ends, ends - starts)
+    text = np.repeat(np.arange(len(ends)), ends - starts)
+    longest = max(items.by_size)
+    kind = np.int16 if CHUNK + longest < 1 << 15 else np.int32
+    for at in range(0, len(hashes), CHUNK):
+        part = hashes[at:at + CHUNK + longest - 1]
+        sums = np.zeros((len(part) + 1, BITS), kind)
+        np.cumsum(_bits(part), axis=0, dtype=kind, out=sums[1:])
+        for size in items.by_size:
+            n = min(CHUNK, len(part) - size + 1)
+            if n <= 0:
+                continue
+            packed = np.packbits(sums[size:size + n] - sums[:n] > size // 2, axis=1, bitorder="little")
+            for item, near in items.found(packed, size):
+                for p in (near + at).tolist():
+                    if p + size <= own_end[p] and (int(text[p]), item) not in out and items.leaked(item, hashes[p:p + size], size):
+                        out.add((int(text[p]), item))
+    for i in np.flatnonzero((ends - starts < longest) & (ends > starts)).tolist():
+        window = hashes[starts[i]:ends[i]]
+        packed = np.packbits(2 * _bits(window).sum(axis=0, dtype=np.int64) > len(window), bitorder="little").reshape(1, 8)
+        for size in items.by_size:
+            if len(window) < size and SHARE[1] * len(window) >= SHARE[0] * size:
+                out.update((i, item) for item, _ in items.found(packed, size) if items.leaked(item, window, size))
+    return out
+
+
+def _near_items(raw: DataFrame, bags: DataFrame, sizes: list[int]) -> DataFrame:
+    """(m, _key, _item) of texts with a window near an item and like it."""
+    spark = raw.sparkSession
+    prints = written(simhash(bags, ["m", "item"]), "fingerprints")
+    passes = max(1, -(-bags.count() // ITEM_ROWS))
+    out = None
+    for k in range(passes):
+        for m in sizes:
+            mine = (F.col("m") == m) & (F.pmod("item", F.lit(passes)) == k)
+            rows = bags.where(mine).select("item", "hash", "c").toPandas()        # about ITEM_ROWS
+            own = {r["item"]: (r["total"], r["fingerprint"]) for r in prints.where(mine).toLocalIterator()}
+            if not own:
+                continue
+            rows["hash"] = rows["hash"].to_numpy(np.int64).view(np.uint64)
+            rows = rows.sort_values(["item", "hash"])
+            grouped = {int(i): (g["hash"].to_numpy(np.uint64), g["c"].to_numpy(np.int64)) for i, g in rows.groupby("item")}
+            shared = spark.sparkContext.broadcast(_Items(own, grouped))
+
+            def find(batches: Iterator[pa.RecordBatch], shared=shared, m=m) -> Iterator[pa.RecordBatch]:
+                worker_drops()
+                for batch in batches:
+                    lists = batch.column(1)
+                    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
+                    hashes = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)).view(np.uint64)
+                    hits = sorted(leaked_items(hashes, ends, shared.value))
+                    yield pa.record_batch({
+                        "m": pa.array(np.full(len(hits), m), pa.int32()),
+                        "_key": batch.column(0).take(pa.array([t for t, _ in hits], pa.int64())),
+                        "_item": pa.array([i for _, i in hits], pa.int64())})
+
+            found = with_shingles(raw, m).select("key", "shingles").mapInArrow(find, "m int, _key long, _item long")
+            out = found if out is None else out.unionByName(found)
+    return out if out is not None else spark.createDataFrame([], "m int, _key long, _item long")
+
+
+def _rare_items(raw: DataFrame, bags: DataFrame, sizes: list[int]) -> DataFrame:
+    """(m, _key, _item) of texts with one of an item's rarest shingles: a superset of all leaks."""
+    # ceil(share * size), in integers
+    need = F.expr(f"({SHARE[0]} * size + {SHARE[1] - 1}) div {SHARE[1]}")
+    common = bags.groupBy("m", F.col("hash").alias("_hash")).agg(F.count("*").alias("items"))
+    rarest = Window.partitionBy("item").orderBy("items", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    probes = written(
+        bags.join(common.withColumnRenamed("m", "_m"), (F.col("m") == F.col("_m")) & (F.col("hash") == F.col("_hash")))
+        .withColumn("_before", F.coalesce(F.sum("c").over(rarest), F.lit(0)))
+        .where(F.col("_before") <= F.col("size") - need)
+        .select("m", F.col("hash").alias("_hash"), F.col("item").alias("_item")), "probes")
+    out = None
+    for m in sizes:
+        some = (
+            with_shingles(raw, m).select("key", F.explode_outer(F.array_distinct("shingles")).alias("hash"))
+            .join(probes.where(F.col("m") == m), F.col("hash") == F.col("_hash"))
+            .select(F.lit(m).alias("m"), F.col("key").alias("_key"), "_item"))
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
+def _found(docs: DataFrame, items: DataFrame, exact: bool = False) -> DataFrame:
     """One row for each distinct row of ``docs`` and item it leaks: key, doc_id,
     item_id, start_word, similarity."""
     bench = written(
@@ -97,27 +237,11 @@ def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
         bags = bag if bags is None else bags.unionByName(bag)
     bags = written(bags.withColumn("size", (F.col("len") - F.col("m") + 1).cast("long")), "bags")
 
-    # ceil(share * size), in integers
-    need = F.expr(f"({SHARE[0]} * size + {SHARE[1] - 1}) div {SHARE[1]}")
-    common = bags.groupBy("m", F.col("hash").alias("_hash")).agg(F.count("*").alias("items"))
-    rarest = Window.partitionBy("item").orderBy("items", "hash").rowsBetween(Window.unboundedPreceding, -1)
-    probes = written(
-        bags.join(common.withColumnRenamed("m", "_m"), (F.col("m") == F.col("_m")) & (F.col("hash") == F.col("_hash")))
-        .withColumn("_before", F.coalesce(F.sum("c").over(rarest), F.lit(0)))
-        .where(F.col("_before") <= F.col("size") - need)
-        .select("m", F.col("hash").alias("_hash"), F.col("item").alias("_item")), "probes")
     raw = docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"), row_key().alias("key"))
-    candidates = None
-    for m in sizes:
-        some = (
-            with_shingles(raw, m).select("key", F.explode_outer(F.array_distinct("shingles")).alias("hash"))
-            .join(_small(probes.where(F.col("m") == m)), F.col("hash") == F.col("_hash"))
-            .select(F.lit(m).alias("m"), F.col("key").alias("_key"), "_item"))
-        candidates = some if candidates is None else candidates.unionByName(some)
-    candidates = written(candidates.distinct(), "candidates")
+    candidates = written((_rare_items if exact else _near_items)(raw, bags, sizes).distinct(), "candidates")
 
     # the candidates are read again, and only these
-    found = _small(candidates.select("_key").distinct())
+    found = candidates.select("_key").distinct()
     hit = raw.join(found, F.col("key") == F.col("_key"), "left_semi").dropDuplicates(["key"])
     ranges = None
     for m in sizes:
@@ -127,8 +251,7 @@ def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list("pos")).alias("at")))
         both = (
             places.join(candidates.where(F.col("m") == m).select("_key", "_item"), F.col("key") == F.col("_key"))
-            .join(_small(bags.where(F.col("m") == m).select(
-                F.col("item"), F.col("hash").alias("_hash"), "c", "len", "size")),
+            .join(bags.where(F.col("m") == m).select(F.col("item"), F.col("hash").alias("_hash"), "c", "len", "size"),
                 (F.col("_item") == F.col("item")) & (F.col("hash") == F.col("_hash"))))
         # a text shorter than the item is one window
         last = F.greatest(F.lit(0), F.col("n") - F.col("len"))
@@ -156,18 +279,18 @@ def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
         .select("key", "doc_id", "item_id", "_best"))
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, exact: bool = False) -> DataFrame:
     """One row for each document (doc_id, text) and item (item_id, text) it leaks:
     doc_id, item_id, start_word, similarity."""
     return (
-        _found(docs, items).groupBy("doc_id", "item_id").agg(F.max("_best").alias("_best"))
+        _found(docs, items, exact).groupBy("doc_id", "item_id").agg(F.max("_best").alias("_best"))
         .select("doc_id", "item_id", (-F.col("_best._back")).alias("start_word"), F.col("_best.similarity").alias("similarity")))
 
 
-def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+def decontaminated(docs: DataFrame, items: DataFrame, exact: bool = False) -> DataFrame:
     """``docs`` without the documents that leak an item: the rows of a doc_id go
     together, a row with null doc_id by its own text."""
-    bad = written(_found(docs, items).select(
+    bad = written(_found(docs, items, exact).select(
         "doc_id", F.when(F.col("doc_id").isNull(), F.col("key")).alias("key")).distinct(), "leaks")
     return _without(docs, bad, F.when(F.col("doc_id").isNull(), row_key()))
 
