@@ -73,7 +73,7 @@ def test_a_hot_list_makes_no_square_of_pairs(spark, monkeypatch):
 
     monkeypatch.setattr(J, "compared", spy)
     passage = " ".join(f"p{i}" for i in range(103))
-    rows = [(k, passage + " " + " ".join(f"u{k}-{i}" for i in range(12))) for k in range(400)]
+    rows = [(k, passage + " " + " ".join(f"u{k}-{i}" for i in range(12))) for k in range(700)]
     out = J.jaccard_components(awkward(spark, rows), 4, 85).collect()
     assert all(r.component_id == r.doc_id and r.n_shingles == 112 for r in out)
     assert sum(compared) < 8 * len(rows)
