@@ -100,6 +100,22 @@ def silver_readings(df: DataFrame, spec: SilverSpec = C.FLEET_SILVER) -> DataFra
     return dedup_keep_best(flagged, [spec.unit_col, PARSED], spec)
 
 
+def stage_counts(df: DataFrame, spec: SilverSpec = C.FLEET_SILVER, rescued_col: str = "_rescued_data") -> DataFrame:
+    """One row: how many records came, stay after quarantine and de-duplication, are
+    quarantined, and were rescued. One scan, one parse and one shuffle of the keys; a key's
+    copies are combined before it."""
+    rescued = F.count_if(F.col(rescued_col).isNotNull()) if rescued_col in df.columns else F.lit(0)
+    good = F.count_if(F.col(PARSED).isNotNull() & ~F.col(_HARD))
+    keys = _routed(df, spec).groupBy(spec.unit_col, PARSED).agg(
+        F.count("*").alias("_all"), good.alias("_good"), rescued.cast("bigint").alias("_rescued"))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    return keys.agg(total(F.col("_all")).alias("bronze_records"), F.count_if(F.col("_good") > 0).alias("silver_records"),
+                    total(F.col("_all") - F.col("_good")).alias("quarantined_records"), total(F.col("_rescued")).alias("rescued_records"))
+
+
 def split_bad_timestamps(df: DataFrame, as_of: Column, spec: SilverSpec = C.FLEET_SILVER) -> tuple[DataFrame, DataFrame]:
     """(rows with a parsed timestamp, quarantine rows of the others)."""
     parsed = with_parsed_timestamp(df, spec)

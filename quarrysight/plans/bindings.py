@@ -266,7 +266,7 @@ def q_range_flags(spark, sf_dir):
 
 
 def q_quality_distribution(spark, sf_dir):
-    return QU.quality_distribution(li_silver(spark, sf_dir), C.QUALITY_BANDS_DASHBOARD)
+    return QU.quality_distribution(_li_dedup(li_flagged(spark, sf_dir)), C.QUALITY_BANDS_DASHBOARD)
 
 
 def q_quarantine_split(spark, sf_dir):
@@ -407,12 +407,12 @@ def q_topn_anomalies(spark, sf_dir):
 
 def q_funnel_counts(spark, sf_dir):
     raw = li_raw(spark, sf_dir)
-    return DB.funnel(raw, li_silver(spark, sf_dir), CL.quarantine_records(raw, as_of(), LI_SPEC))
+    return DB.funnel_of(CL.stage_counts(raw, LI_SPEC))
 
 
 def q_conversion_metrics(spark, sf_dir):
     raw = li_raw(spark, sf_dir)
-    return QU.conversion_metrics(raw, li_silver(spark, sf_dir), CL.quarantine_records(raw, as_of(), LI_SPEC))
+    return QU.with_rates(CL.stage_counts(raw, LI_SPEC))
 
 
 def q_latency_stats(spark, sf_dir):
@@ -535,8 +535,7 @@ def q_freshness(spark, sf_dir):
 
 
 def q_recommendations(spark, sf_dir):
-    raw = li_raw(spark, sf_dir)
-    metrics = QU.conversion_metrics(raw, li_silver(spark, sf_dir), CL.quarantine_records(raw, as_of(), LI_SPEC))
+    metrics = QU.with_rates(CL.stage_counts(li_raw(spark, sf_dir), LI_SPEC))
     h = ev_health_shared(spark, sf_dir)
     return QU.recommendations(metrics, h, AL.all_alerts(h, as_of()))
 
@@ -823,7 +822,7 @@ def q_quarantine_reasons(spark, sf_dir):                      # B4.4
 
 
 def q_rows_per_type(spark, sf_dir):                           # B4.6
-    return DB.rows_per_type(li_silver(spark, sf_dir))
+    return DB.rows_per_type(_li_dedup(li_flagged(spark, sf_dir)))
 
 
 def q_rows_per_ingestion_day(spark, sf_dir):                  # B4.7

@@ -160,6 +160,12 @@ def funnel(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame) -> DataF
     return r.withColumnRenamed("table_name", "stage")
 
 
+def funnel_of(counts: DataFrame) -> DataFrame:                                # B4.2
+    """The funnel's rows from ``clean.stage_counts``."""
+    stages = {"Bronze Input": "bronze_records", "Silver Output": "silver_records", "Quarantined": "quarantined_records"}
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(k).alias("stage"), F.col(c).alias("records")) for k, c in stages.items()])))
+
+
 def quality_bands(silver: DataFrame) -> DataFrame:                            # B4.3
     return quality_distribution(silver, C.QUALITY_BANDS_DASHBOARD).orderBy("quality_band")
 
