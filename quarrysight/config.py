@@ -268,7 +268,6 @@ PERCENTILE_ACCURACY = 1_000_000
 
 # --- fixed values: bearing vibration files ---
 EXPERIMENT_IDS: dict[str, int] = {"1st_test": 1, "2nd_test": 2, "3rd_test": 3}
-MAX_SIGNAL_SAMPLES = 2048
 SAMPLE_RATE_HZ = 20480
 BEARINGS_PER_FILE = 4
 # bearing health: 100 - rms_penalty*rms - max(0, (crest - knee) * crest_penalty)
@@ -278,6 +277,12 @@ CREST_PENALTY = 5.0
 
 # --- fixed values: monitoring ---
 QUARANTINE_RATE_ALERT_PCT = 1.0
+# --- fixed values: advice by kind, in order of priority ---
+ADVICE: dict[str, str] = {
+    "quarantine": "Quarantine rate is {rate}%. Review quarantined records and investigate sensor calibration issues.",
+    "units": "Equipment {equipment_id} showing degrading health trends. Schedule proactive maintenance to prevent unplanned downtime.",
+    "alerts": "{n} unacknowledged critical alerts. Immediate attention required.",
+}
 LATENCY_PERCENTILE = 0.95
 
 

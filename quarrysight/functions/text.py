@@ -19,8 +19,3 @@ def stable_id(*cols: Column | str) -> Column:
     """
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\\N")) for c in cols]
     return F.sha2(F.concat_ws("|", *parts), 256)
-
-
-def record_json(*cols: str) -> Column:
-    """Whole record (or the given columns) as a JSON string; NULL fields drop."""
-    return F.to_json(F.struct(*cols)) if cols else F.to_json(F.struct("*"))

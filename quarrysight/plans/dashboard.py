@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.checks import band_label, exact_avg, exact_sum, severity_rank
+from ..functions.checks import exact_avg, exact_sum, severity_rank
 from ..operators.quality import distinct_units, latest, quality_distribution
 
 
@@ -203,11 +203,6 @@ def silica_trend(quality: DataFrame, n: int = 500) -> DataFrame:              #
         "silica_breach_rate_pct").limit(n)
 
 
-def process_bands(quality: DataFrame) -> DataFrame:                           # B5.2
-    return quality.groupBy(band_label("process_quality_score", C.PROCESS_BANDS).alias("quality_band")) \
-        .agg(F.count("*").alias("hours")).orderBy("quality_band")
-
-
 def iron_vs_silica(quality: DataFrame, n: int = 1000) -> DataFrame:           # B5.3
     return quality.orderBy("score_date", "score_hour").select(
         "avg_iron_concentrate_pct", "avg_silica_concentrate_pct", "process_quality_score").limit(n)
