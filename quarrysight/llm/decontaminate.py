@@ -1,32 +1,30 @@
-"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact check.
+"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact check
+(built-in expressions only).
 
 A benchmark item is the bag of its five-word shingles (words: lower-case runs of
 letters and digits). A document leaks an item if a window of the item's size has
 a weighted Jaccard similarity (sum of smaller over sum of larger shingle counts)
 of 0.8 or more with it.
 
-1. Every item has a 64-bit SimHash: a bit is set if it is in more than half of the
-   item's shingles. Running bit counters over a text give the SimHash of every window
-   of every item size.
-2. The items of a size are indexed by the eight bytes of their fingerprints. If two
-   fingerprints differ in RADIUS bits, at most 15, one of the bytes differs in one bit
-   at most: windows without such a byte are passed over, the others' distance is
-   taken. All fingerprints within RADIUS are found.
-3. A window within RADIUS is checked on its exact weighted shingles.
-4. For the texts and items found, running counts of shared shingles judge every
-   window by exact counts: each place of one of the item's shingles adds one to the
-   shared count of a range of windows, those that hold it, but not yet as many
-   earlier places of that shingle as the item has of it. The largest count is the
-   best similarity.
-
-Step 1 needs 64 counters for every window and size, which expressions cannot run at a
-bearable cost (see the README for figures); it is Arrow in tasks, the rest is native.
-A window of similarity 0.8 has a distance of about 10, so RADIUS loses few such windows
-and next to none above. ``exact=True`` finds the texts without fingerprints, by the
-items' rarest shingles (a window of T shingles holds ceil(0.8 T) of the item's, so one
-of any T - ceil(0.8 T) + 1 of them) and misses none; it is what recall is measured by.
+1. Of an item of T shingles such a window holds ceil(0.8 T) at least, so it holds one of
+   any T - ceil(0.8 T) + 1 of them. Texts without one of the item's rarest so many
+   shingles cannot leak it; only the others are fingerprinted, for the sizes of these items.
+2. A fingerprint has 63 bits, each set if it is in more than half of a bag's shingles. Seven
+   counters share a long, so that nine sums make all bits. Items have one fingerprint,
+   texts one for every window of these sizes.
+3. Multi-index search: a fingerprint is cut into nine blocks of seven bits. If two differ in
+   RADIUS bits, 17 at most, one of the blocks differs in one bit at most. Items are listed by
+   size, block and the block's values within one bit, windows look up their nine
+   blocks, and what meets is kept if the whole distance is within RADIUS. So all
+   fingerprints within RADIUS are found.
+4. For the texts and items found, running counts judge every window on its exact weighted
+   shingles: each place of one of the item's shingles adds one to the shared count of a
+   range of windows, those that hold it, but not yet as many earlier places of that
+   shingle as the item has of it. The largest count is the best similarity.
 
-Items are taken ITEM_ROWS shingles at a time, so what goes to the tasks is bounded.
+A window of similarity 0.8 has a distance of about 10, so RADIUS loses few such windows
+and next to none above. ``exact=True`` leaves out steps 2 and 3 and misses none; recall is
+measured by it. The items' lists go to every task, those of ITEMS items at a time.
 
 Defined cases: null text has no words; an item of fewer than five words is one
 shingle of all its words, an item without words matches nothing; a text shorter than
@@ -38,21 +36,16 @@ read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, row_key, text_or_empty, worker_drops, written
+from .common import free_name, row_key, text_or_empty, written
 
 WORDS = 5
 SHARE = (4, 5)      # least similarity, as a fraction
-BITS = 64
-RADIUS = 15         # of the eight bytes one then differs in one bit at most
-ITEM_ROWS = 1 << 21  # shingles of items looked for in one pass over the documents
-CHUNK = 1 << 14     # windows of a size fingerprinted at once
+BITS, BLOCK = 63, 7
+RADIUS = 15         # of nine blocks one then differs in one bit at most
+ITEMS = 10_000      # items looked up in one pass; 72 short rows each
 
 
 def with_shingles(df: DataFrame, size: int) -> DataFrame:
@@ -70,130 +63,94 @@ def with_shingles(df: DataFrame, size: int) -> DataFrame:
     ).otherwise(F.array().cast("array<bigint>")))
 
 
-def simhash(bags: DataFrame, keys: list[str]) -> DataFrame:
-    """``bags`` (keys, hash, c) to (keys, total, fingerprint). Two bit counters
-    share a long, so that 32 sums make 64 bits."""
-    half = BITS // 2
-
-    def bit(k: int) -> Column:
-        return F.shiftrightunsigned("hash", k).bitwiseAND(F.lit(1))
-
-    sums = [F.sum(F.col("c") * (bit(k) + F.shiftleft(bit(k + half), 32))).alias(f"s{k}") for k in range(half)]
-    low = (1 << 32) - 1
-    fingerprint = F.lit(0).cast("long")
-    for k in range(half):
-        for at, count in ((k, F.col(f"s{k}").bitwiseAND(F.lit(low))), (k + half, F.shiftrightunsigned(f"s{k}", 32))):
-            fingerprint = fingerprint.bitwiseOR(F.when(2 * count > F.col("total"), F.shiftleft(F.lit(1).cast("long"), at))
-                                                .otherwise(F.lit(0).cast("long")))
-    return bags.groupBy(*keys).agg(F.sum("c").alias("total"), *sums).select(
-        *keys, "total", fingerprint.alias("fingerprint"))
-
-
-class _Items:
-    """Items of one shingle length, by size: fingerprints, their bytes' neighbourhoods, bags."""
-
-    def __init__(self, fingerprints: dict[int, tuple[int, int]], bags: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
-        self.by_size: dict[int, list[int]] = {}
-        for item, (total, _) in sorted(fingerprints.items()):
-            self.by_size.setdefault(total, []).append(item)
-        self.bags = bags
-        self.prints = {t: np.array([fingerprints[i][1] & (1 << BITS) - 1 for i in some], np.uint64) for t, some in self.by_size.items()}
-        near = [0, *[1 << k for k in range(8)]]
-        self.marks = {}
-        for t, prints in self.prints.items():
-            self.marks[t] = np.zeros((8, 256), bool)
-            for at, column in enumerate(prints.view(np.uint8).reshape(-1, 8).T):
-                for flip in near:
-                    self.marks[t][at, column ^ flip] = True
-
-    def leaked(self, item: int, window: np.ndarray, size: int) -> bool:
-        """Whether a window's weighted Jaccard with an item of ``size`` shingles is SHARE or more."""
-        hashes, counts = self.bags[item]
-        at = np.minimum(np.searchsorted(hashes, window), len(hashes) - 1)
-        both = int(np.minimum(np.bincount(at[hashes[at] == window], minlength=len(hashes)), counts).sum())
-        return SHARE[1] * both >= SHARE[0] * (size + len(window) - both)
-
-    def found(self, packed: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(item, windows within RADIUS) of fingerprints given as rows of eight bytes."""
-        marks = self.marks[size]
-        some = np.flatnonzero(np.logical_or.reduce([marks[k][packed[:, k]] for k in range(8)]))
-        prints = np.ascontiguousarray(packed[some]).view(np.uint64).ravel()
-        for item, own in zip(self.by_size[size], self.prints[size]):
-            near = some[np.bitwise_count(prints ^ own) <= RADIUS]
-            if len(near):
-                yield item, near
-
-
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-
-
-def leaked_items(hashes: np.ndarray, ends: np.ndarray, items: _Items) -> set[tuple[int, int]]:
-    """(text, item) of texts whose shingles stand one after the other in ``hashes`` and
-    end at ``ends``: every window is fingerprinted, those near an item are checked."""
-    out: set[tuple[int, int]] = set()
-    if not len(hashes) or not items.by_size:
+def lane_width(longest: int) -> int:
+    """Bits of a counter: wide enough for bags of so many shingles, and 63 bits in all."""
+    if longest >= 1 << 20:
+        raise ValueError("an item has over a million shingles")
+    return 9 if longest < 1 << 8 else 21
+
+
+def fingerprint(shingles: Column, width: int) -> Column:
+    """63-bit SimHash of an array of hashes, repeated ones counted as often. The k-th sum
+    holds the counters of bits k, k + width, ...; a constant added to all lanes carries into
+    a lane's top bit if its count is more than half."""
+    lanes = BITS // width
+    ones = sum(1 << width * j for j in range(lanes))
+    top = ones << width - 1
+
+    def lit(x: int) -> Column:
+        return F.lit(x).cast("long")
+
+    def add(sums: Column, h: Column) -> Column:
+        return F.struct(*[(sums[f"s{k}"] + F.shiftrightunsigned(h, k).bitwiseAND(lit(ones))).alias(f"s{k}") for k in range(width)])
+
+    sums = F.aggregate(shingles, F.struct(*[lit(0).alias(f"s{k}") for k in range(width)]), add)
+    half = F.floor(F.size(shingles) / 2).cast("long")
+
+    def bits(s: Column) -> Column:
+        out = lit(0)
+        for k in range(width):
+            over = s[f"s{k}"] + (lit((1 << width - 1) - 1) - half) * lit(ones)
+            out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(over.bitwiseAND(lit(top)), width - 1), k))
         return out
-    starts = np.concatenate([[0], ends[:-1]])
-    own_end = np.repeat(ends, ends - starts)
-    text = np.repeat(np.arange(len(ends)), ends - starts)
-    longest = max(items.by_size)
-    kind = np.int16 if CHUNK + longest < 1 << 15 else np.int32
-    for at in range(0, len(hashes), CHUNK):
-        part = hashes[at:at + CHUNK + longest - 1]
-        sums = np.zeros((len(part) + 1, BITS), kind)
-        np.cumsum(_bits(part), axis=0, dtype=kind, out=sums[1:])
-        for size in items.by_size:
-            n = min(CHUNK, len(part) - size + 1)
-            if n <= 0:
-                continue
-            packed = np.packbits(sums[size:size + n] - sums[:n] > size // 2, axis=1, bitorder="little")
-            for item, near in items.found(packed, size):
-                for p in (near + at).tolist():
-                    if p + size <= own_end[p] and (int(text[p]), item) not in out and items.leaked(item, hashes[p:p + size], size):
-                        out.add((int(text[p]), item))
-    for i in np.flatnonzero((ends - starts < longest) & (ends > starts)).tolist():
-        window = hashes[starts[i]:ends[i]]
-        packed = np.packbits(2 * _bits(window).sum(axis=0, dtype=np.int64) > len(window), bitorder="little").reshape(1, 8)
-        for size in items.by_size:
-            if len(window) < size and SHARE[1] * len(window) >= SHARE[0] * size:
-                out.update((i, item) for item, _ in items.found(packed, size) if items.leaked(item, window, size))
-    return out
 
+    # a one-element array names the sums, so that they are made once
+    return F.element_at(F.transform(F.array(sums), bits), 1)
+
+
+def blocks(print_: Column) -> Column:
+    """The values of the nine blocks."""
+    return F.array(*[F.shiftrightunsigned(print_, BLOCK * b).bitwiseAND(F.lit((1 << BLOCK) - 1).cast("long")) for b in range(BITS // BLOCK)])
 
-def _near_items(raw: DataFrame, bags: DataFrame, sizes: list[int]) -> DataFrame:
-    """(m, _key, _item) of texts with a window near an item and like it."""
-    spark = raw.sparkSession
-    prints = written(simhash(bags, ["m", "item"]), "fingerprints")
-    passes = max(1, -(-bags.count() // ITEM_ROWS))
+
+def block_lists(prints: DataFrame) -> DataFrame:
+    """Items (m, size, item, print) by block and each value within one bit of theirs."""
+    flips = F.array(*[F.lit(x).cast("long") for x in (0, *[1 << i for i in range(BLOCK)])])
+    return (
+        prints.select("m", "size", "item", "print", F.posexplode(blocks(F.col("print"))).alias("block", "own"))
+        .select("m", "size", "item", "print", "block", "own", F.explode(flips).alias("flip"))
+        .select(F.col("m").alias("_m"), F.col("size").alias("_size"), "item", F.col("print").alias("_print"),
+                F.col("block").alias("_block"), F.col("own").bitwiseXOR(F.col("flip")).alias("_value")))
+
+
+def within_radius(windows: DataFrame, prints: DataFrame) -> DataFrame:
+    """(m, key, item) of windows (m, key, size, print) and items (m, size, item, print) of
+    the same size whose fingerprints differ in RADIUS bits at most."""
+    asked = windows.distinct().select("m", "key", "size", "print", F.posexplode(blocks(F.col("print"))).alias("block", "value"))
+    passes = max(1, -(-prints.count() // ITEMS))
     out = None
     for k in range(passes):
-        for m in sizes:
-            mine = (F.col("m") == m) & (F.pmod("item", F.lit(passes)) == k)
-            rows = bags.where(mine).select("item", "hash", "c").toPandas()        # about ITEM_ROWS
-            own = {r["item"]: (r["total"], r["fingerprint"]) for r in prints.where(mine).toLocalIterator()}
-            if not own:
-                continue
-            rows["hash"] = rows["hash"].to_numpy(np.int64).view(np.uint64)
-            rows = rows.sort_values(["item", "hash"])
-            grouped = {int(i): (g["hash"].to_numpy(np.uint64), g["c"].to_numpy(np.int64)) for i, g in rows.groupby("item")}
-            shared = spark.sparkContext.broadcast(_Items(own, grouped))
-
-            def find(batches: Iterator[pa.RecordBatch], shared=shared, m=m) -> Iterator[pa.RecordBatch]:
-                worker_drops()
-                for batch in batches:
-                    lists = batch.column(1)
-                    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
-                    hashes = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)).view(np.uint64)
-                    hits = sorted(leaked_items(hashes, ends, shared.value))
-                    yield pa.record_batch({
-                        "m": pa.array(np.full(len(hits), m), pa.int32()),
-                        "_key": batch.column(0).take(pa.array([t for t, _ in hits], pa.int64())),
-                        "_item": pa.array([i for _, i in hits], pa.int64())})
-
-            found = with_shingles(raw, m).select("key", "shingles").mapInArrow(find, "m int, _key long, _item long")
-            out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame([], "m int, _key long, _item long")
+        lists = F.broadcast(block_lists(prints.where(F.pmod("item", F.lit(passes)) == k)))     # about ITEMS items
+        met = (
+            asked.join(lists, (F.col("m") == F.col("_m")) & (F.col("size") == F.col("_size")) & (F.col("block") == F.col("_block"))
+                       & (F.col("value") == F.col("_value")))
+            .where(F.bit_count(F.col("print").bitwiseXOR(F.col("_print"))) <= RADIUS).select("m", "key", "item"))
+        out = met if out is None else out.unionByName(met)
+    return out.distinct()
+
+
+def _near_items(raw: DataFrame, rare: DataFrame, prints: DataFrame, width: int, sizes: list[int]) -> DataFrame:
+    """Those of ``rare`` (m, _key, _item) whose text has a window within RADIUS of the item."""
+    rare = written(rare.distinct(), "rare")
+    wanted = written(
+        rare.join(prints.select("item", "size"), F.col("_item") == F.col("item")).select("m", "_key", "size").distinct(), "wanted")
+    texts = raw.join(rare.select(F.col("_key").alias("_k")).distinct(), F.col("key") == F.col("_k"), "left_semi").dropDuplicates(["key"])
+    windows = None
+    for m in sizes:
+        some = (
+            with_shingles(texts.select("key", "text"), m).select("key", "shingles")
+            .join(wanted.where(F.col("m") == m), F.col("key") == F.col("_key")).where(F.size("shingles") > 0)
+            .select("m", "key", F.col("size").cast("int").alias("size"), "shingles"))
+        last = F.greatest(F.lit(0), F.size("shingles") - F.col("size"))
+        some = some.withColumn("prints", F.transform(
+            F.sequence(F.lit(0), last), lambda p: fingerprint(F.slice("shingles", p + 1, F.col("size")), width)))
+        some = some.select("m", "key", F.col("size").cast("long").alias("size"), F.explode_outer("prints").alias("print")).where("print is not null")
+        windows = some if windows is None else windows.unionByName(some)
+    met = within_radius(windows, prints)
+    # a text may only leak items that it shares a rare shingle with
+    return met.join(rare.select(F.col("m").alias("_m"), "_key", "_item"),
+                    (F.col("m") == F.col("_m")) & (F.col("key") == F.col("_key")) & (F.col("item") == F.col("_item")), "left_semi") \
+        .select("m", F.col("key").alias("_key"), F.col("item").alias("_item"))
 
 
 def _rare_items(raw: DataFrame, bags: DataFrame, sizes: list[int]) -> DataFrame:
@@ -227,18 +184,26 @@ def _found(docs: DataFrame, items: DataFrame, exact: bool = False) -> DataFrame:
     sizes = sorted(r[0] for r in bench.select(F.least("len", F.lit(WORDS))).distinct().collect())
     if not sizes:
         sizes = [WORDS]
-    bags = None
+    bags = prints = None
+    width = lane_width(bench.agg(F.coalesce(F.max("len"), F.lit(0))).first()[0])
     for m in sizes:
         of_size = bench.where(f"len >= {WORDS}" if m == WORDS else f"len = {m}")
         runs = F.transform(F.sequence(F.lit(0), F.col("len") - m),
                            lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(m)]))
+        own = of_size.select(F.lit(m).alias("m"), "item", runs.alias("runs")).select(
+            "m", "item", F.size("runs").cast("long").alias("size"), fingerprint(F.col("runs"), width).alias("print"))
+        prints = own if prints is None else prints.unionByName(own)
         bag = (of_size.select("item", "len", F.explode(runs).alias("hash"))
                .groupBy("item", "len", "hash").agg(F.count("*").alias("c")).withColumn("m", F.lit(m)))
         bags = bag if bags is None else bags.unionByName(bag)
     bags = written(bags.withColumn("size", (F.col("len") - F.col("m") + 1).cast("long")), "bags")
+    prints = written(prints, "fingerprints")
 
     raw = docs.select(F.col("doc_id").cast("long"), text_or_empty("text").alias("text"), row_key().alias("key"))
-    candidates = written((_rare_items if exact else _near_items)(raw, bags, sizes).distinct(), "candidates")
+    rare = _rare_items(raw, bags, sizes)
+    if not exact:
+        rare = _near_items(raw, rare, prints, width, sizes)
+    candidates = written(rare.distinct(), "candidates")
 
     # the candidates are read again, and only these
     found = candidates.select("_key").distinct()

@@ -2,7 +2,8 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from quarrysight.llm import decontaminate as D
 
@@ -74,33 +75,36 @@ def test_against_every_window(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in df.collect() if r.doc_id not in flagged)
 
 
-def test_all_fingerprints_within_the_radius_are_found():
-    rng = np.random.default_rng(0)
-    own = {i: (7, int(rng.integers(0, 1 << 62)) * 3 % (1 << 64)) for i in range(40)}
-    items = D._Items(own, {})
+def simhash(hashes):
+    return sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("width", [9, 21])
+def test_fingerprints_against_a_loop(spark, width):
+    rng = random.Random(1)
+    rows = [(k, [rng.getrandbits(64) - (1 << 63) for _ in range(n)]) for k, n in enumerate((1, 2, 3, 30, 128, 255))]
+    rows.append((9, [-1] * 255))
+    rows.append((10, [rows[3][1][0]] * 4 + rows[3][1][:3]))
+    df = spark.createDataFrame(rows, "k long, h array<long>")
+    got = {r.k: r.f for r in df.select("k", D.fingerprint(F.col("h"), width).alias("f")).collect()}
+    assert got == {k: simhash(h) for k, h in rows}
+    assert [D.lane_width(n) for n in (0, 255, 256, (1 << 20) - 1)] == [9, 9, 21, 21]
+
+
+def test_all_fingerprints_within_the_radius_are_found(spark, monkeypatch):
+    rng = random.Random(0)
+    monkeypatch.setattr(D, "ITEMS", 16)        # three passes
+    own = [rng.getrandbits(63) for _ in range(40)]
     windows = []
     for n in range(400):
-        f = own[n % 40][1]
-        for bit in rng.choice(64, n % (D.RADIUS + 3), replace=False).tolist():
+        f = own[n % 40]
+        for bit in rng.sample(range(63), n % (D.RADIUS + 3)):
             f ^= 1 << bit
         windows.append(f)
-    packed = np.array(windows, np.uint64).view(np.uint8).reshape(-1, 8)
-    got = {(i, int(w)) for i, near in items.found(packed, 7) for w in near}
-    assert got == {(i, w) for i, (_, f) in own.items() for w, x in enumerate(windows) if (f ^ x).bit_count() <= D.RADIUS}
-
-
-def test_windows_have_the_simhash_of_their_bag(monkeypatch):
-    rng = random.Random(6)
-    monkeypatch.setattr(D, "CHUNK", 13)
-    texts = [[rng.getrandbits(64) for _ in range(n)] for n in (40, 3, 0, 12, 90)]
-    items, bags = {}, {}
-    for k, (t, at, n) in enumerate([(0, 5, 12), (4, 70, 20), (4, 0, 12), (3, 0, 12), (1, 0, 3)]):
-        bag = Counter(texts[t][at:at + n])
-        bits = sum(1 << b for b in range(64) if 2 * sum(c for h, c in bag.items() if h >> b & 1) > n)
-        items[k] = (n, bits)
-        bags[k] = (np.array(sorted(bag), np.uint64), np.array([bag[h] for h in sorted(bag)]))
-    got = D.leaked_items(np.array([h for t in texts for h in t], np.uint64), np.cumsum([len(t) for t in texts]), D._Items(items, bags))
-    assert got == {(0, 0), (4, 1), (4, 2), (3, 3), (1, 4)}
+    w = spark.createDataFrame([(5, k, 7 if k % 50 else 8, f) for k, f in enumerate(windows)], "m int, key long, size long, print long")
+    items = spark.createDataFrame([(5, 7, i, f) for i, f in enumerate(own)], "m int, size long, item long, print long")
+    got = {(r.key, r.item) for r in D.within_radius(w, items).collect()}
+    assert got == {(k, i) for i, f in enumerate(own) for k, x in enumerate(windows) if (f ^ x).bit_count() <= D.RADIUS and k % 50}
 
 
 def test_recall_on_the_given_tables(spark):
@@ -110,17 +114,6 @@ def test_recall_on_the_given_tables(spark):
     assert near <= exact and len(near) >= 0.9 * len(exact) > 0
 
 
-def test_simhash_against_a_loop(spark):
-    rng = random.Random(1)
-    rows = [(k, rng.getrandbits(64) - (1 << 63), rng.randint(1, 9)) for k in range(3) for _ in range(40)]
-    got = {r.k: r.fingerprint for r in D.simhash(spark.createDataFrame(rows, "k long, hash long, c long"), ["k"]).collect()}
-    for k in range(3):
-        mine = [(h & (1 << 64) - 1, c) for q, h, c in rows if q == k]
-        total = sum(c for _, c in mine)
-        want = sum(1 << b for b in range(64) if 2 * sum(c for h, c in mine if h >> b & 1) > total)
-        assert got[k] & (1 << 64) - 1 == want
-
-
 def test_empty(spark):
     assert D.leaks(empty(spark), items_of(spark, ["a b c d e f"])).count() == 0
     assert D.leaks(awkward(spark, ["a b c d e f"]), items_of(spark, [])).count() == 0
