@@ -50,7 +50,7 @@ SLICE = 64             # documents hashed at once, at most
 CHUNK = 1 << 20        # tokens counted at once
 OFTEN = 4              # times in a chunk that make a token worth reporting
 HEAVY = 1 << 17        # tokens whose counts order the sets; the order decides cost, not results
-LIST = 256             # sets of a list that may be paired
+LIST = 32              # sets of a list that may be paired
 LEVELS = 2             # differences of differences
 MINUS = np.uint64(0x9E3779B97F4A7C15)   # marks tokens of the centre that a set lacks
 
