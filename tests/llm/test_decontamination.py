@@ -147,3 +147,60 @@ def test_reordered_parts_against_every_window(spark):
     assert near <= set(got) and len(near) >= 0.9 * len(got)
     assert set(got) == brute([(r.doc_id, r.text) for r in df.collect()], items)
     assert got[0, 0].start_word == 150 and abs(got[0, 0].similarity - 92 / 100) < 1e-9
+
+
+def test_possible_windows_lose_no_leak_and_are_few(spark):
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(60)]
+    items = [" ".join(rng.choice(vocab) for _ in range(n)) for n in (5, 9, 14, 14, 30)] + ["rep " * 9]
+    docs = []
+    for n in range(40):
+        x = words(items[n % 6])
+        if n % 3 == 0 and len(x) > 20:
+            x[rng.randrange(len(x))] = "changed"
+        around = [rng.choice(vocab) for _ in range(n % 4 * 6)]
+        docs.append(" ".join(around + x * (1 + n % 2) + around)[:None if n % 5 else 70])
+    docs += ["rep " * 30, "w1 w2"]
+    raw = spark.createDataFrame(list(enumerate(docs)), "key long, text string")
+    bags = []
+    for i, t in enumerate(items):
+        df = D.with_shingles(spark.createDataFrame([(t,)], "text string"), 5).collect()[0]
+        count = Counter(df.shingles)
+        bags += [(5, i, h, c, sum(count.values())) for h, c in count.items()]
+    got = {(r.key, r["size"], r.start): r.total for r in
+           D.possible_windows(raw, spark.createDataFrame(bags, "m int, item long, hash long, c long, size long"), 5).collect()}
+    shingles = {r.key: r.shingles for r in D.with_shingles(raw, 5).collect()}
+    for size in {b[4] for b in bags}:
+        known = {b[2] for b in bags if b[4] == size}
+        for key, s in shingles.items():
+            for start in range(max(1, len(s) - size + 1)):
+                part = s[start:start + size]
+                enough = part and 9 * sum(h in known for h in part) >= 4 * (size + len(part))
+                assert got.get((key, size, start)) == (len(part) if enough else None)
+
+
+def test_blocks_find_all_within_the_radius(spark):
+    rng = random.Random(5)
+    signed = [rng.getrandbits(64) - (1 << 63) for _ in range(30)]
+    prints = [(5, i, 7 + i % 2, f) for i, f in enumerate(signed)]
+    windows = []
+    for n in range(300):
+        f = signed[n % 30] & (1 << 64) - 1
+        for bit in rng.sample(range(64), n % (D.RADIUS + 3)):
+            f ^= 1 << bit
+        windows.append((5, n, 7 + n % 30 % 2, f - (1 << 64) if f >> 63 else f))
+    got = D.within_radius(spark.createDataFrame(windows, "m int, key long, size int, fingerprint long"),
+                          spark.createDataFrame(prints, "m int, item long, total long, fingerprint long")).collect()
+    assert {(r.key, r._item) for r in got} == {
+        (k, i) for _, k, size, f in windows for _, i, total, own in prints
+        if size == total and ((f ^ own) & (1 << 64) - 1).bit_count() <= D.RADIUS}
+
+
+def test_no_python_on_the_executors(spark, monkeypatch):
+    plans, store = [], D.written
+    monkeypatch.setattr(D, "written", lambda df, name: (plans.append((name, df._jdf.queryExecution().toString())), store(df, name))[1])
+    found = D.leaks(awkward(spark, ["x a b c d e f y", None]), items_of(spark, ["a b c d e f"]))
+    plans.append(("leaks", found._jdf.queryExecution().toString()))
+    assert {"fingerprints", "windows", "candidates", "leaks"} <= {name for name, _ in plans}
+    assert not [name for name, plan in plans if "Python" in plan or "Arrow" in plan]
+    assert [r.item_id for r in found.collect()] == [0]
