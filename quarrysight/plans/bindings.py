@@ -147,8 +147,22 @@ def li_flagged(spark, sf_dir) -> DataFrame:
     return CL.flag_quality(CL.passing_records(li_raw(spark, sf_dir), LI_SPEC), LI_RULES)
 
 
-def li_silver(spark, sf_dir) -> DataFrame:
+# rows of a task that goes by unit: the buffers of the KPI and health aggregates take about
+# 2 KB a row, many times the shuffled bytes by which tasks are sized otherwise
+TASK_ROWS = 1 << 17
+
+
+def by_unit(deduped: DataFrame, source: DataFrame) -> DataFrame:
+    """``deduped`` dealt by unit to tasks of about ``TASK_ROWS`` rows of ``source``; the
+    registry join, the aggregates and the trend keep this dealing."""
+    tasks = -(-source.count() // TASK_ROWS)
+    return deduped.repartition(max(tasks, deduped.sparkSession.sparkContext.defaultParallelism), "equipment_id")
+
+
+def li_silver(spark, sf_dir, dealt: bool = False) -> DataFrame:
     deduped = _li_dedup(li_flagged(spark, sf_dir))
+    if dealt:
+        deduped = by_unit(deduped, table(spark, sf_dir, "lineitem"))
     return EN.enrich_with_registry(deduped, li_registry(spark, sf_dir), as_of(),
                                    registry_cols=("model", "site_location"), limit_cols=("max_engine_temp_c",))
 
@@ -158,7 +172,7 @@ def li_events(spark, sf_dir) -> DataFrame:
 
 
 def li_kpis(spark, sf_dir) -> DataFrame:
-    return KP.hourly_kpis(li_silver(spark, sf_dir), LI_MEASURES, LI_STATUS, grain="day", derived={})
+    return KP.hourly_kpis(li_silver(spark, sf_dir, dealt=True), LI_MEASURES, LI_STATUS, grain="day", derived={})
 
 
 # ============================================================ events fleet
@@ -224,13 +238,15 @@ def _ev_dedup(df: DataFrame) -> DataFrame:
     return CL.dedup_keep_best(df, ["equipment_id", CL.PARSED], EV_SPEC, ties=("ingestion_timestamp", "event_id"))
 
 
-def ev_silver(spark, sf_dir) -> DataFrame:
-    flagged = CL.flag_quality(CL.passing_records(ev_raw(spark, sf_dir), EV_SPEC), EV_RULES)
-    return EN.enrich_with_registry(_ev_dedup(flagged), ev_registry(spark, sf_dir), as_of())
+def ev_silver(spark, sf_dir, dealt: bool = False) -> DataFrame:
+    deduped = _ev_dedup(CL.flag_quality(CL.passing_records(ev_raw(spark, sf_dir), EV_SPEC), EV_RULES))
+    if dealt:
+        deduped = by_unit(deduped, table(spark, sf_dir, "events"))
+    return EN.enrich_with_registry(deduped, ev_registry(spark, sf_dir), as_of())
 
 
 def ev_kpis(spark, sf_dir) -> DataFrame:
-    return KP.hourly_kpis(ev_silver(spark, sf_dir), EV_MEASURES, EV_STATUS, keys=EV_KPI_KEYS, derived={})
+    return KP.hourly_kpis(ev_silver(spark, sf_dir, dealt=True), EV_MEASURES, EV_STATUS, keys=EV_KPI_KEYS, derived={})
 
 
 def ev_daily(spark, sf_dir) -> DataFrame:
