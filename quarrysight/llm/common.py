@@ -13,6 +13,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# else shuffle files stay until the driver collects garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,10 +44,20 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored as a table in the shared folder and read back: cuts the
-    lineage, survives lost executors, keeps column pruning and statistics."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, survives lost executors, keeps column pruning and statistics. The
+    shuffles made for it, which nothing reads again, go at once."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    was = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(path)      # planned anew, under this setting
+    finally:
+        if was is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

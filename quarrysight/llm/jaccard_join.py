@@ -254,7 +254,8 @@ class _Join:
     def compare(self, pairs: DataFrame) -> DataFrame:
         """``compared``; a set's text is that of its row, found by doc_id and digest."""
         some = pairs.select(F.col("u").alias("_x")).union(pairs.select("v")).distinct()
-        wanted = self.named.join(some, F.col("x") == F.col("_x"), "left_semi")
+        # stored, so that its size is known and a small one goes to the documents
+        wanted = written(self.named.join(some, F.col("x") == F.col("_x"), "left_semi"), "wanted")
         texts = (
             self.docs.join(wanted, F.col("doc_id") == F.col("_doc")).where(F.unhex(F.md5("text")) == F.col("_digest"))
             .select("x", "text").dropDuplicates(["x"]))      # rows may repeat both
