@@ -60,6 +60,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` stored and that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).getParent()
+            if folder.getName().startswith("llm-"):
+                folder.getFileSystem(conf).delete(folder, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint; unlike ``written`` it fixes partitions and row order."""
     shared_dir(df.sparkSession)

@@ -9,10 +9,16 @@ listed by token with the set's size and the token's position. A list's entries s
 blocks of equal size and position; two blocks are skipped whole if what follows their
 positions, or their sizes, cannot make a link with this as their first common token.
 
+Parity maps. A set's map has a bit for each value of the lowest bits of its tokens, set
+if an odd number of them have it; at least as many bits as tokens. Tokens in both of two
+sets cancel out, so their maps differ in at most D bits: two sets whose maps differ in
+more than a link allows are not compared, and no link is lost. A long map is folded to
+the length of a short one by xor.
+
 Answers from a similar set's. A list never gives all its pairs. Its smallest set, the
 centre, is compared with the others on full sets. Sets that this joins need no more
-comparing; of a short list what is still apart is paired block by block. In a long one
-each set x is replaced by its difference from the centre R, D_x = x xor R, which is
+comparing; of a list of up to LIST sets what is still apart is paired by the maps. In a
+longer one each set x is replaced by its difference from the centre R, D_x = x xor R, which is
 short where x is like R, and:
 
 * the distance of x and y is at most |D_x| + |D_y|, so with the centre's answers alone
@@ -22,8 +28,8 @@ short where x is like R, and:
   first tokens are listed as before, and these lists go the same way.
 
 So answers are derived from the centre's by the tokens that differ. After LEVELS such
-steps the lists that are left are paired in blocks, whatever their length, so no link is
-missed. Equal sets are one set throughout. Full sets decide every link but the known.
+steps the lists that are left are paired in blocks of LIST sets, whatever their length, so
+no link is missed. Equal sets are one set throughout. Full sets decide every link but the known.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text of fewer
 words than a shingle is one shingle, an empty or null text has none and is linked with
@@ -42,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import removed, text_or_empty, written
 from .components import components
 from .minhash_dedup import shingle_sets
 
@@ -50,7 +56,9 @@ SLICE = 64             # documents hashed at once, at most
 CHUNK = 1 << 20        # tokens counted at once
 OFTEN = 4              # times in a chunk that make a token worth reporting
 HEAVY = 1 << 17        # tokens whose counts order the sets; the order decides cost, not results
-LIST = 32              # sets of a list that may be paired
+LIST = 1024            # sets of a list that may be paired
+MAP = 1 << 10          # words of 64 bits that a map may have; a set of more tokens has a less telling one
+PAIRS = 1 << 14        # pairs whose maps are compared at once
 LEVELS = 2             # differences of differences
 MINUS = np.uint64(0x9E3779B97F4A7C15)   # marks tokens of the centre that a set lacks
 
@@ -91,12 +99,38 @@ def ordered(tokens: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> np.ndar
     return tokens[np.lexsort((tokens, np.where(known[at] == tokens, n[at], 0)))]
 
 
-ROWS = "doc_id long, n int, digest binary, text_digest binary, first array<long>"
+def parity_map(tokens: np.ndarray) -> bytes:
+    """Parity map of a set, a power of two words long."""
+    words = min(1 << max(0, (len(tokens) - 1) // 64).bit_length(), MAP)
+    odd = np.bincount((tokens & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart_at_least(maps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which ``maps[i]`` and ``maps[j]`` differ: at most the tokens in only one of
+    the two sets."""
+    words = np.array([len(m) // 8 for m in maps.tolist()], np.int64)
+    least, out = np.minimum(words[i], words[j]), np.zeros(len(i), np.int64)
+    for w in np.unique(least).tolist():
+        at = np.flatnonzero(least == w)
+        used, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        dense = np.empty((len(used), w), np.uint64)
+        for wide in np.unique(words[used]).tolist():
+            mine = np.flatnonzero(words[used] == wide)
+            whole = np.frombuffer(b"".join(maps[used[mine]].tolist()), np.uint64).reshape(len(mine), wide // w, w)
+            dense[mine] = np.bitwise_xor.reduce(whole, axis=1)
+        for lo in range(0, len(at), PAIRS):
+            p, q = place[lo:min(lo + PAIRS, len(at))], place[len(at) + lo:len(at) + min(lo + PAIRS, len(at))]
+            out[at[lo:lo + PAIRS]] = np.bitwise_count(dense[p] ^ dense[q]).sum(1, dtype=np.int64)
+    return out
+
+
+ROWS = "doc_id long, n int, digest binary, text_digest binary, map binary, first array<long>"
 
 
 def sketches(docs: DataFrame, words: int, percent: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Per row: set size, 128-bit digests of the set and of the text, and the first
-    tokens; the last three null for an empty set. No shuffle."""
+    """Per row: set size, 128-bit digests of the set and of the text, parity map, and the
+    first tokens; the last four null for an empty set. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,6 +144,7 @@ def sketches(docs: DataFrame, words: int, percent: int, heavy: tuple[np.ndarray,
                     "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                                        pa.binary()),
                     "text_digest": pa.array([hashlib.md5(t).digest() if len(s) else None for t, s in zip(texts, sets)], pa.binary()),
+                    "map": pa.array([parity_map(s) if len(s) else None for s in sets], pa.binary()),
                     "first": pa.array([None if f is None else f.view(np.int64) for f in first], pa.list_(pa.int64()))})
 
     return docs.select("doc_id", "text").mapInArrow(sketch, ROWS)
@@ -165,58 +200,86 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, heavy
     return both.select("u", "v", "hot", "text_u", "text_v").mapInArrow(look, COMPARED)
 
 
-def paired(entries: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+def near(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (u, v, hot) without those, but hot ones, that ``maps`` (x, n, map) show apart."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy().astype(np.int64) for k in (3, 4))
+            both = np.array(batch.column(5).to_pylist() + batch.column(6).to_pylist(), object)
+            at = np.arange(len(n))
+            keep = batch.column(2).to_numpy(zero_copy_only=False) | (apart_at_least(both, at, at + len(n)) <= _apart(n, m, percent))
+            yield batch.select([0, 1, 2]).filter(pa.array(keep))
+
+    one, two = (maps.select(F.col("x").alias(f"_{k}"), F.col("n").alias(f"n_{k}"), F.col("map").alias(f"map_{k}")) for k in "uv")
+    both = pairs.join(two, F.col("v") == F.col("_v")).join(one, F.col("u") == F.col("_u"))
+    return both.select("u", "v", "hot", "n_u", "n_v", "map_u", "map_v").mapInArrow(look, "u long, v long, hot boolean")
+
+
+def paired(entries: DataFrame, lists: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that ``lists`` (g, token, m) may make of ``entries`` (g,
-    token, x, n, d, pos, component): a list goes out as pairs of blocks of LIST sets."""
+    token, x, n, d, pos, component) and ``maps`` (x, n, map): a list goes out as pairs of
+    blocks of LIST sets."""
     blocks = F.ceil(F.col("m") / LIST).cast("int")
     dealt = (
         entries.join(lists.select(F.col("g").alias("_g"), F.col("token").alias("_token"), blocks.alias("blocks"), "centre"),
                      (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")))
         .where(F.col("x") != F.col("centre"))
+        .join(maps.select(F.col("x").alias("_x"), "map"), F.col("x") == F.col("_x"))
         .withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("g", "token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                "own", "x", "component", "n", "d", "pos")
-        .repartition("g", "token", "lo", "hi").sortWithinPartitions("g", "token", "lo", "hi", "n", "d", "pos"))
-
-    def of_list(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        own, x, component = rows[:, 4], rows[:, 5], rows[:, 6]
-        blocks, at = np.unique(rows[:, 7:], axis=0, return_inverse=True)
-        n, d, pos = blocks.T
-        fits = _may_link((n[:, None], d[:, None], pos[:, None]), (n[None], d[None], pos[None]), percent)
-        at = at.ravel()
-        two = rows[0, 2] != rows[0, 3]
-        out_u, out_v = [], []
-        for p in range(len(blocks)):
-            mine = np.flatnonzero(at == p)
-            near = np.flatnonzero(fits[p][at])
-            i, j = np.repeat(mine, len(near)), np.tile(near, len(mine))
-            keep = (x[i] < x[j]) & (component[i] != component[j]) & ((own[i] != own[j]) if two else True)
-            out_u.append(x[i[keep]])
-            out_v.append(x[j[keep]])
-        return np.concatenate(out_u), np.concatenate(out_v)
+                "own", "x", "component", "n", "d", "pos", "map")
+        .repartition("g", "token", "lo", "hi").sortWithinPartitions("g", "token", "lo", "hi", "n"))
+
+    def of_lists(rows: np.ndarray, maps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of whole lists: each row with the next, the one after that, and so on, while
+        that is of its list and not too large."""
+        of = np.cumsum(np.concatenate([[False], (rows[1:, :4] != rows[:-1, :4]).any(1)]))
+        two = rows[:, 2] != rows[:, 3]
+        own, x, component, n, d, pos = rows[:, 4:].T
+        i, step = np.arange(len(rows)), 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(i):
+            step += 1
+            i = i[i + step < len(rows)]
+            i = i[(of[i] == of[i + step]) & (percent * n[i + step] <= 100 * n[i])]
+            j = i + step
+            keep = ((component[i] != component[j]) & (~two[i] | (own[i] != own[j]))
+                    & _may_link((n[i], d[i], pos[i]), (n[j], d[j], pos[j]), percent))
+            held.append((i[keep], j[keep]))
+            if not len(i) or sum(len(p) for p, _ in held) > CHUNK:
+                p, q = (np.concatenate(k) for k in zip(*held))
+                held.clear()
+                fits = apart_at_least(maps, p, q) <= _apart(n[p], n[q], percent)
+                p, q = p[fits], q[fits]
+                yield np.minimum(x[p], x[q]), np.maximum(x[p], x[q])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            if len(rows) > 1 and (rows[:, 6] != rows[0, 6]).any():
-                u, v = of_list(rows)
+        def out(rows: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for u, v in of_lists(rows, maps):
                 yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-        open_rows = np.empty((0, 10), np.int64)
+        open_rows, open_maps = np.empty((0, 10), np.int64), np.empty(0, object)
         for batch in batches:
-            rows = np.concatenate([open_rows, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], 1)])
-            if not len(rows):
-                continue
+            rows = np.concatenate([open_rows, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns[:10]], 1)])
+            maps = np.concatenate([open_maps, np.array(batch.column(10).to_pylist(), object)])
             cut = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(1)) + 1
-            parts = np.split(rows, cut)
-            for part in parts[:-1]:
-                yield from out(part)
-            open_rows = parts[-1]
-        yield from out(open_rows)
+            last = cut[-1] if len(cut) else 0       # the last list may go on
+            yield from out(rows[:last], maps[:last])
+            open_rows, open_maps = rows[last:], maps[last:]
+        yield from out(open_rows, open_maps)
 
     return dealt.mapInArrow(scan, "u long, v long").distinct()
 
 
+def _shared(entries: DataFrame) -> DataFrame:
+    """``entries`` (g, token, ...) of lists with more than one."""
+    shared = (entries.groupBy(F.col("g").alias("_g"), F.col("token").alias("_token")).agg(F.count("*").alias("m"))
+              .where("m > 1").select("_g", "_token"))
+    return entries.join(shared, (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")), "left_semi")
+
+
 def _lists(entries: DataFrame) -> DataFrame:
     """(g, token, m, first: the centre's n, x, d, pos) of lists that hold sets apart."""
     return (
@@ -229,19 +292,23 @@ def _lists(entries: DataFrame) -> DataFrame:
 class _Join:
     """The state of one join: sets, links so far, and what they join."""
 
-    def __init__(self, docs: DataFrame, named: DataFrame, tied: DataFrame, words: int, percent: int, heavy: tuple) -> None:
-        self.docs, self.named, self.words, self.percent, self.heavy = docs, named, words, percent, heavy
+    def __init__(self, docs: DataFrame, named: DataFrame, maps: DataFrame, tied: DataFrame, words: int, percent: int,
+                 heavy: tuple) -> None:
+        self.docs, self.named, self.maps, self.words, self.percent, self.heavy = docs, named, maps, words, percent, heavy
         self.placed: DataFrame | None = None
         self.add(tied)
 
     def add(self, links: DataFrame) -> bool:
         """More links (u, v); whether there were any."""
-        links = written(links, "links")
-        if links.isEmpty():
+        more = written(links, "links")
+        if more.isEmpty():
+            removed(more)
             return False
+        links = more
         if self.placed is not None:
             links = links.unionByName(self.placed.select(F.col("node").alias("u"), F.col("component").alias("v")))
         self.placed = components(links)
+        removed(more)
         return True
 
     def with_components(self, entries: DataFrame) -> DataFrame:
@@ -252,26 +319,31 @@ class _Join:
             "component", F.coalesce("component", "x")).drop("node")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """``compared``; a set's text is that of its row, found by doc_id and digest."""
+        """``compared``; a set's text is that of its row, found by doc_id and digest.
+        ``pairs`` is a stored table, removed when it is done."""
         some = pairs.select(F.col("u").alias("_x")).union(pairs.select("v")).distinct()
         # stored, so that its size is known and a small one goes to the documents
         wanted = written(self.named.join(some, F.col("x") == F.col("_x"), "left_semi"), "wanted")
         texts = (
             self.docs.join(wanted, F.col("doc_id") == F.col("_doc")).where(F.unhex(F.md5("text")) == F.col("_digest"))
             .select("x", "text").dropDuplicates(["x"]))      # rows may repeat both
-        return written(compared(pairs, written(texts, "texts"), self.words, self.percent, self.heavy), "compared")
+        texts = written(texts, "texts")
+        out = written(compared(pairs, texts, self.words, self.percent, self.heavy), "compared")
+        removed(wanted, texts, pairs)
+        return out
 
     def stars(self, entries: DataFrame) -> DataFrame:
-        """Compare the centres of the lists with the other sets; what long lists' centres gave."""
+        """Compare the centres of the lists with the other sets; a stored table, of which what
+        long lists' centres gave has a tail."""
         lists = _lists(self.with_components(entries))
         fits = _may_link((F.col("n"), F.col("d"), F.col("pos")),
                          (F.col("first.n"), F.col("first.d"), F.col("first.pos")), self.percent)
-        pairs = written(
+        pairs = (
             entries.join(lists.select(F.col("g").alias("_g"), F.col("token").alias("_token"), "m", "first", "centre"),
                          (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")))
             .where((F.col("x") != F.col("centre")) & ((F.col("m") > LIST) | fits))
-            .groupBy(F.col("centre").alias("u"), F.col("x").alias("v")).agg(F.max(F.col("m") > LIST).alias("hot")), "stars")
-        out = self.compare(pairs)
+            .groupBy(F.col("centre").alias("u"), F.col("x").alias("v")).agg(F.max(F.col("m") > LIST).alias("hot")))
+        out = self.compare(written(near(pairs, self.maps, self.percent), "stars"))
         hot = out.where("tail is not null")
         known = F.lit(100 - self.percent).cast("long")
         score = (100 + self.percent) * F.col("d").cast("long") - known * F.col("n")
@@ -281,15 +353,21 @@ class _Join:
         sure = (hot.join(best, F.col("u") == F.col("_u")).where((score + F.col("best.s") <= 0) & (F.col("v") != F.col("best.x")))
                 .select(F.col("best.x").alias("u"), "v"))
         self.add(out.where("linked").select("u", "v").unionByName(sure))
-        return hot
+        return out
 
     def pairs(self, entries: DataFrame, longest: int | None) -> None:
         """Compare what is still apart in lists of at most ``longest`` sets (None: in all)."""
         entries = written(self.with_components(entries), "entries")
         lists = _lists(entries).where("m > 2")
-        pairs = written(paired(entries, lists if longest is None else lists.where(F.col("m") <= longest), self.percent), "pairs")
+        lists = lists if longest is None else lists.where(F.col("m") <= longest)
+        pairs = written(paired(entries, lists, self.maps, self.percent).withColumn("hot", F.lit(False)), "pairs")
+        removed(entries)
         if not pairs.isEmpty():
-            self.add(self.compare(pairs.withColumn("hot", F.lit(False))).where("linked").select("u", "v"))
+            out = self.compare(pairs)
+            self.add(out.where("linked").select("u", "v"))
+            removed(out)
+        else:
+            removed(pairs)
 
     def differences(self, hot: DataFrame) -> DataFrame:
         """Entries of the next step: the first tokens of the differences from centres that
@@ -301,10 +379,10 @@ class _Join:
             .where("low < high").select("_g", "least", "most"))
         apart = F.floor(_apart(F.col("n"), F.least(F.floor(100 * F.col("n") / self.percent), F.col("most")), self.percent))
         share = F.greatest(F.lit(1), F.col("d") - apart, F.ceil((F.col("d") + F.col("least") - apart) / 2))
-        return written(
+        return written(_shared(
             members.join(mixed, F.col("g") == F.col("_g")).withColumn("share", share)
             .select("g", "x", "n", "d", "share", F.posexplode("tail").alias("pos", "token"))
-            .where(F.col("pos") <= F.col("d") - F.col("share")).select("g", "token", "x", "n", "d", "pos"), "differences")
+            .where(F.col("pos") <= F.col("d") - F.col("share")).select("g", "token", "x", "n", "d", "pos")), "differences")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -316,8 +394,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     usable = rows.where("n > 0 and doc_id is not null")
     classes = written(
         usable.groupBy("digest").agg(
-            F.min(F.struct("doc_id", "row", "text_digest")).alias("r"), F.first("n").alias("n"), F.first("first").alias("first"))
-        .select("digest", F.col("r.row").alias("x"), F.col("r.doc_id").alias("doc_id"), "r.text_digest", "n", "first"), "classes")
+            F.min(F.struct("doc_id", "row", "text_digest")).alias("r"), F.first("n").alias("n"), F.first("map").alias("map"),
+            F.first("first").alias("first"))
+        .select("digest", F.col("r.row").alias("x"), F.col("r.doc_id").alias("doc_id"), "r.text_digest", "n", "map", "first"),
+        "classes")
 
     # one document with several texts holds their classes together
     several = (
@@ -331,16 +411,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     named = classes.select("x", F.col("doc_id").alias("_doc"), F.col("text_digest").alias("_digest"))
     index = classes.select(F.lit(0).cast("long").alias("g"), "x", "n", F.col("n").alias("d"),
                            F.posexplode("first").alias("pos", "token"))
-    shared = index.groupBy(F.col("token").alias("_token")).agg(F.count("*").alias("m")).where("m > 1").select("_token")
-    entries = written(
-        index.join(shared, F.col("token") == F.col("_token"), "left_semi").select("g", "token", "x", "n", "d", "pos"), "entries")
-    join = _Join(docs, named, tied, words, percent, heavy)
+    entries = written(_shared(index).select("g", "token", "x", "n", "d", "pos"), "entries")
+    join = _Join(docs, named, classes.select("x", "n", "map"), tied, words, percent, heavy)
     for level in range(LEVELS + 1):
         if entries.isEmpty():
             break
-        hot = join.stars(entries)
+        centres = join.stars(entries)
         join.pairs(entries, LIST if level < LEVELS else None)
-        entries = join.differences(hot)
+        hot, last = centres.where("tail is not null"), entries
+        entries = join.differences(hot) if level < LEVELS else entries.limit(0)
+        removed(centres, last)
 
     placed = join.with_components(classes.select("digest", "doc_id", "x"))
     smallest = placed.groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("component_id"))

@@ -1,4 +1,6 @@
+import os
 import random
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pytest
@@ -79,6 +81,63 @@ def test_a_hot_list_makes_no_square_of_pairs(spark, monkeypatch):
     assert sum(compared) < 8 * len(rows)
 
 
+def test_maps_never_hide_a_link(monkeypatch):
+    """Maps differ in at most the tokens of only one set, at any sizes; of unlike sets in many."""
+    rng = np.random.default_rng(4)
+    for most in (J.MAP, 2):
+        monkeypatch.setattr(J, "MAP", most)
+        sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for n in (1, 2, 63, 64, 65, 66, 300, 300, 1100)]
+        sets += [np.concatenate([s[len(s) // 9:], rng.integers(0, 1 << 64, 3, np.uint64)]) for s in sets]
+        maps = np.array([J.parity_map(s) for s in sets], object)
+        i, j = (k.ravel() for k in np.indices((len(sets),) * 2))
+        got = J.apart_at_least(maps, i, j)
+        for k, p, q in zip(got.tolist(), i.tolist(), j.tolist()):
+            assert k <= len(np.setxor1d(sets[p], sets[q]))
+        if most > 2:
+            assert got[6 * len(sets) + 7] > J._apart(300, 300, 85) * 3
+
+
+def test_unlike_sets_of_a_list_are_not_compared(spark, monkeypatch):
+    """Rare words that many unlike texts share put these into common lists: neither the
+    lists' centres nor pairs of the others are looked up in the texts."""
+    compared = []
+    plain = J.compared
+
+    def spy(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(J, "compared", spy)
+    rows = [(k, "one rare line here " + " ".join(f"u{k}-{i}" for i in range(60))) for k in range(300)]
+    assert len(J.jaccard_components(awkward(spark, rows), 4, 85).where("component_id = doc_id").collect()) == 300
+    assert sum(compared) == 0
+
+
+def test_differences_list_shared_tokens_only_and_steps_leave_no_tables(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    alone, stored = [], []
+    plain, written = J._Join.differences, J.written
+
+    def spy(self, hot):
+        out = plain(self, hot)
+        alone.append(out.groupBy("g", "token").agg(F.count("*").alias("m")).where("m = 1").count())
+        return out
+
+    def kept(df, name):
+        out = written(df, name)
+        stored.append((name, out.inputFiles()[0]))
+        return out
+
+    monkeypatch.setattr(J, "LIST", 4)
+    monkeypatch.setattr(J._Join, "differences", spy)
+    monkeypatch.setattr(J, "written", kept)
+    rows = list(enumerate(family(1, 40, 120, 9)))
+    assert got(awkward(spark, rows), 4, 85) == brute(rows, 4, 85)
+    assert alone and not any(alone)
+    left = {name for name, file in stored if os.path.exists(unquote(urlparse(file).path))}
+    assert left <= {"sketches", "classes"}, left
+
+
 def test_known_links_are_links():
     rng = np.random.default_rng(2)
     for _ in range(300):
