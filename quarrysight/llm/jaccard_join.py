@@ -15,11 +15,16 @@ sets cancel out, so their maps differ in at most D bits: two sets whose maps dif
 more than a link allows are not compared, and no link is lost. A long map is folded to
 the length of a short one by xor.
 
-Answers from a similar set's. A list never gives all its pairs. Its smallest set, the
-centre, is compared with the others on full sets. Sets that this joins need no more
-comparing; of a list of up to LIST sets what is still apart is paired by the maps. In a
-longer one each set x is replaced by its difference from the centre R, D_x = x xor R, which is
-short where x is like R, and:
+Candidates. A list of up to LIST sets is scanned once: what sizes, positions and maps do
+not show apart is joined to groups, of which a list gives each set once, not its pairs.
+Groups that share a set are one group in the end, so linked sets are always in one.
+
+Links. A group's texts go out as pairs of blocks, each a bounded task that compares full
+sets across components only and returns no more links than it has texts.
+
+Answers from a similar set's. In a list of more than LIST sets the smallest, the centre R,
+is compared with the others on full sets, and each set x is replaced by its difference from
+it, D_x = x xor R, which is short where x is like R, and:
 
 * the distance of x and y is at most |D_x| + |D_y|, so with the centre's answers alone
   some are known to be linked: s = (100 + P)|D| - (100 - P) n adds up to 0 or less. The
@@ -27,9 +32,9 @@ short where x is like R, and:
 * for all others |D_x & D_y| must be (|D_x| + |D_y| - D) / 2 >= 1, so the differences'
   first tokens are listed as before, and these lists go the same way.
 
-So answers are derived from the centre's by the tokens that differ. After LEVELS such
-steps the lists that are left are paired in blocks of LIST sets, whatever their length, so
-no link is missed. Equal sets are one set throughout. Full sets decide every link but the known.
+After LEVELS such steps the lists that are left are scanned in blocks of LIST sets, whatever
+their length, so no link is missed. Equal sets are one set throughout. Full sets decide every
+link but the known.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text of fewer
 words than a shingle is one shingle, an empty or null text has none and is linked with
@@ -42,6 +47,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +56,15 @@ from pyspark.sql import functions as F
 
 from .common import removed, text_or_empty, written
 from .components import components
-from .minhash_dedup import shingle_sets
+from .minhash_dedup import _links_across, shingle_sets
 
 SLICE = 64             # documents hashed at once, at most
 CHUNK = 1 << 20        # tokens counted at once
 OFTEN = 4              # times in a chunk that make a token worth reporting
 HEAVY = 1 << 17        # tokens whose counts order the sets; the order decides cost, not results
-LIST = 1024            # sets of a list that may be paired
+LIST = 4096            # sets of a list that is scanned whole
+BLOCK = 512            # texts of a group compared at once,
+TOKENS = 1 << 19       # or so many tokens
 MAP = 1 << 10          # words of 64 bits that a map may have; a set of more tokens has a less telling one
 PAIRS = 1 << 14        # pairs whose maps are compared at once
 LEVELS = 2             # differences of differences
@@ -169,25 +177,23 @@ COMPARED = "u long, v long, n int, n_u int, d int, linked boolean, tail array<lo
 
 
 def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``pairs`` (u, v, hot) of sets on full sets: sizes, number d of tokens in only one,
-    whether they are linked, and for hot ones the first tokens of v's difference from u."""
+    """``pairs`` (u, v) of sets on full sets: sizes, number d of tokens in only one, whether
+    they are linked, and the first tokens of v's difference from u."""
     shared = pairs.sparkSession.sparkContext.broadcast(heavy)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
-                left, right = piece.column(3).to_pylist(), piece.column(4).to_pylist()
+                left, right = piece.column(2).to_pylist(), piece.column(3).to_pylist()
                 some = list(dict.fromkeys(left + right))
                 sets = dict(zip(some, shingle_sets([t.encode() for t in some], words)))
                 out = []
-                for x, y, hot in zip(left, right, piece.column(2).to_pylist()):
+                for x, y in zip(left, right):
                     p, q = sets[x], sets[y]
                     plus, minus = np.setdiff1d(q, p, assume_unique=True), np.setdiff1d(p, q, assume_unique=True)
                     d, n = len(plus) + len(minus), len(p) + len(q)
-                    tail = None
-                    if hot:
-                        far = (100 - percent) * (len(q) + 100 * len(q) // percent) // (100 + percent)
-                        tail = np.concatenate([ordered(plus, shared.value), np.sort(minus ^ MINUS)])[:far + 1].view(np.int64)
+                    far = (100 - percent) * (len(q) + 100 * len(q) // percent) // (100 + percent)
+                    tail = np.concatenate([ordered(plus, shared.value), np.sort(minus ^ MINUS)])[:far + 1].view(np.int64)
                     out.append((len(q), len(p), d, (100 + percent) * d <= (100 - percent) * n, tail))
                 n, n_u, d, linked, tail = zip(*out)
                 yield pa.record_batch({
@@ -197,47 +203,41 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, heavy
     one = texts.select(F.col("x").alias("_p"), F.col("text").alias("text_u"))
     two = texts.select(F.col("x").alias("_q"), F.col("text").alias("text_v"))
     both = pairs.join(two, F.col("v") == F.col("_q")).join(one, F.col("u") == F.col("_p"))
-    return both.select("u", "v", "hot", "text_u", "text_v").mapInArrow(look, COMPARED)
+    return both.select("u", "v", "text_u", "text_v").mapInArrow(look, COMPARED)
 
 
-def near(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (u, v, hot) without those, but hot ones, that ``maps`` (x, n, map) show apart."""
+def _joined(label: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Join the groups of rows ``p`` and ``q``: ``label`` has the first row of each row's."""
+    while len(p):
+        low = np.minimum(label[p], label[q])
+        np.minimum.at(label, label[p], low)
+        np.minimum.at(label, label[q], low)
+        while (label[label] != label).any():
+            label[:] = label[label]
+        apart = label[p] != label[q]
+        p, q = p[apart], q[apart]
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = (batch.column(k).to_numpy().astype(np.int64) for k in (3, 4))
-            both = np.array(batch.column(5).to_pylist() + batch.column(6).to_pylist(), object)
-            at = np.arange(len(n))
-            keep = batch.column(2).to_numpy(zero_copy_only=False) | (apart_at_least(both, at, at + len(n)) <= _apart(n, m, percent))
-            yield batch.select([0, 1, 2]).filter(pa.array(keep))
-
-    one, two = (maps.select(F.col("x").alias(f"_{k}"), F.col("n").alias(f"n_{k}"), F.col("map").alias(f"map_{k}")) for k in "uv")
-    both = pairs.join(two, F.col("v") == F.col("_v")).join(one, F.col("u") == F.col("_u"))
-    return both.select("u", "v", "hot", "n_u", "n_v", "map_u", "map_v").mapInArrow(look, "u long, v long, hot boolean")
-
-
-def paired(entries: DataFrame, lists: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components that ``lists`` (g, token, m) may make of ``entries`` (g,
-    token, x, n, d, pos, component) and ``maps`` (x, n, map): a list goes out as pairs of
-    blocks of LIST sets."""
-    blocks = F.ceil(F.col("m") / LIST).cast("int")
+
+def candidates(entries: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Sets that may be linked across components by lists of ``entries`` (g, token, x, n, d,
+    pos, m, component) and ``maps`` (x, map), as (u, v): the first set of a list's group and
+    another. A list goes out as pairs of blocks of LIST sets."""
     dealt = (
-        entries.join(lists.select(F.col("g").alias("_g"), F.col("token").alias("_token"), blocks.alias("blocks"), "centre"),
-                     (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")))
-        .where(F.col("x") != F.col("centre"))
-        .join(maps.select(F.col("x").alias("_x"), "map"), F.col("x") == F.col("_x"))
+        entries.join(maps.select(F.col("x").alias("_x"), "map"), F.col("x") == F.col("_x"))
+        .withColumn("blocks", F.ceil(F.col("m") / LIST).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("g", "token", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                 "own", "x", "component", "n", "d", "pos", "map")
         .repartition("g", "token", "lo", "hi").sortWithinPartitions("g", "token", "lo", "hi", "n"))
 
-    def of_lists(rows: np.ndarray, maps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of whole lists: each row with the next, the one after that, and so on, while
-        that is of its list and not too large."""
+    def of_lists(rows: np.ndarray, maps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Groups of whole lists: each row is held against the next, the one after that, and
+        so on, while that is of its list and not too large."""
         of = np.cumsum(np.concatenate([[False], (rows[1:, :4] != rows[:-1, :4]).any(1)]))
         two = rows[:, 2] != rows[:, 3]
         own, x, component, n, d, pos = rows[:, 4:].T
+        label = np.arange(len(rows))
         i, step = np.arange(len(rows)), 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
         while len(i):
@@ -245,19 +245,21 @@ def paired(entries: DataFrame, lists: DataFrame, maps: DataFrame, percent: int)
             i = i[i + step < len(rows)]
             i = i[(of[i] == of[i + step]) & (percent * n[i + step] <= 100 * n[i])]
             j = i + step
-            keep = ((component[i] != component[j]) & (~two[i] | (own[i] != own[j]))
+            keep = ((component[i] != component[j]) & (~two[i] | (own[i] != own[j])) & (label[i] != label[j])
                     & _may_link((n[i], d[i], pos[i]), (n[j], d[j], pos[j]), percent))
             held.append((i[keep], j[keep]))
-            if not len(i) or sum(len(p) for p, _ in held) > CHUNK:
+            if not len(i) or sum(len(p) for p, _ in held) > PAIRS:
                 p, q = (np.concatenate(k) for k in zip(*held))
                 held.clear()
                 fits = apart_at_least(maps, p, q) <= _apart(n[p], n[q], percent)
-                p, q = p[fits], q[fits]
-                yield np.minimum(x[p], x[q]), np.maximum(x[p], x[q])
+                _joined(label, p[fits], q[fits])
+        more = np.flatnonzero(label != np.arange(len(rows)))
+        return np.unique(np.stack([x[label[more]], x[more]]), axis=1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: np.ndarray, maps: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for u, v in of_lists(rows, maps):
+            if len(rows):
+                u, v = of_lists(rows, maps)
                 yield pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
         open_rows, open_maps = np.empty((0, 10), np.int64), np.empty(0, object)
@@ -273,20 +275,45 @@ def paired(entries: DataFrame, lists: DataFrame, maps: DataFrame, percent: int)
     return dealt.mapInArrow(scan, "u long, v long").distinct()
 
 
-def _shared(entries: DataFrame) -> DataFrame:
-    """``entries`` (g, token, ...) of lists with more than one."""
-    shared = (entries.groupBy(F.col("g").alias("_g"), F.col("token").alias("_token")).agg(F.count("*").alias("m"))
-              .where("m > 1").select("_g", "_token"))
-    return entries.join(shared, (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")), "left_semi")
+def linked(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (u, v) that join components among ``members`` (key, x, n, component) of a key, on
+    the full sets of ``texts`` (x, text): no more from a pair of blocks than it has texts."""
+    sizes = members.groupBy(F.col("key").alias("_key")).agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / TOKENS)).cast("int").alias("blocks"))
+    dealt = (
+        members.join(sizes, F.col("key") == F.col("_key"))
+        .join(texts.select(F.col("x").alias("_x"), "text"), F.col("x") == F.col("_x"))
+        .withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "x", "component", "own", "text")
+        .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
 
-def _lists(entries: DataFrame) -> DataFrame:
-    """(g, token, m, first: the centre's n, x, d, pos) of lists that hold sets apart."""
-    return (
-        entries.groupBy("g", "token").agg(
-            F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct("n", "x", "d", "pos")).alias("first"))
-        .where("low < high").select("g", "token", "m", "first", F.col("first.x").alias("centre")))
+        def links() -> Iterator[pa.RecordBatch]:
+            ids, comp, own, text = map(list, zip(*group)) if group else ([], [], [], [])
+            if len(set(comp)) > 1:
+                found = _links_across(ids, comp, own, text, words, percent)
+                yield pa.record_batch({"u": pa.array([p for p, _ in found], pa.int64()), "v": pa.array([q for _, q in found], pa.int64())})
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE):
+                for key, lo, hi, *row in zip(*(c.to_pylist() for c in batch.slice(i, SLICE).columns)):
+                    if (key, lo, hi) != at:
+                        yield from links()
+                        at, group = (key, lo, hi), []
+                    group.append(row)
+        yield from links()
+
+    return dealt.mapInArrow(scan, "u long, v long")
+
+
+def _shared(entries: DataFrame) -> DataFrame:
+    """``entries`` (g, token, ...) of lists with more than one, and their number m."""
+    shared = (entries.groupBy(F.col("g").alias("_g"), F.col("token").alias("_token")).agg(F.count("*").alias("m"))
+              .where("m > 1"))
+    return entries.join(shared, (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token"))).drop("_g", "_token")
 
 
 class _Join:
@@ -318,56 +345,60 @@ class _Join:
         return entries.join(self.placed, F.col("x") == F.col("node"), "left").withColumn(
             "component", F.coalesce("component", "x")).drop("node")
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """``compared``; a set's text is that of its row, found by doc_id and digest.
-        ``pairs`` is a stored table, removed when it is done."""
-        some = pairs.select(F.col("u").alias("_x")).union(pairs.select("v")).distinct()
+    def texts(self, sets: DataFrame) -> DataFrame:
+        """(x, text) of ``sets`` (x); a set's text is that of its row, found by doc_id and
+        digest. A stored table."""
+        some = sets.select(F.col("x").alias("_x")).distinct()
         # stored, so that its size is known and a small one goes to the documents
         wanted = written(self.named.join(some, F.col("x") == F.col("_x"), "left_semi"), "wanted")
         texts = (
             self.docs.join(wanted, F.col("doc_id") == F.col("_doc")).where(F.unhex(F.md5("text")) == F.col("_digest"))
             .select("x", "text").dropDuplicates(["x"]))      # rows may repeat both
-        texts = written(texts, "texts")
-        out = written(compared(pairs, texts, self.words, self.percent, self.heavy), "compared")
-        removed(wanted, texts, pairs)
+        out = written(texts, "texts")
+        removed(wanted)
         return out
 
     def stars(self, entries: DataFrame) -> DataFrame:
-        """Compare the centres of the lists with the other sets; a stored table, of which what
-        long lists' centres gave has a tail."""
-        lists = _lists(self.with_components(entries))
-        fits = _may_link((F.col("n"), F.col("d"), F.col("pos")),
-                         (F.col("first.n"), F.col("first.d"), F.col("first.pos")), self.percent)
-        pairs = (
-            entries.join(lists.select(F.col("g").alias("_g"), F.col("token").alias("_token"), "m", "first", "centre"),
-                         (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")))
-            .where((F.col("x") != F.col("centre")) & ((F.col("m") > LIST) | fits))
-            .groupBy(F.col("centre").alias("u"), F.col("x").alias("v")).agg(F.max(F.col("m") > LIST).alias("hot")))
-        out = self.compare(written(near(pairs, self.maps, self.percent), "stars"))
-        hot = out.where("tail is not null")
+        """Compare the centres of lists that hold sets apart with the other sets; a stored
+        table."""
+        lists = (
+            self.with_components(entries).groupBy(F.col("g").alias("_g"), F.col("token").alias("_token")).agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("n", "x")).alias("first"))
+            .where("low < high").select("_g", "_token", F.col("first.x").alias("u")))
+        pairs = written(
+            entries.join(lists, (F.col("g") == F.col("_g")) & (F.col("token") == F.col("_token")))
+            .where("x != u").select("u", F.col("x").alias("v")).distinct(), "stars")
+        texts = self.texts(pairs.select(F.col("u").alias("x")).union(pairs.select("v")))
+        out = written(compared(pairs, texts, self.words, self.percent, self.heavy), "compared")
+        removed(pairs, texts)
         known = F.lit(100 - self.percent).cast("long")
         score = (100 + self.percent) * F.col("d").cast("long") - known * F.col("n")
-        best = hot.groupBy(F.col("u").alias("_u")).agg(F.least(
+        best = out.groupBy(F.col("u").alias("_u")).agg(F.least(
             F.min(F.struct(score.alias("s"), F.col("v").alias("x"))),
             F.first(F.struct((F.lit(0) - known * F.col("n_u")).alias("s"), F.col("u").alias("x")))).alias("best"))
-        sure = (hot.join(best, F.col("u") == F.col("_u")).where((score + F.col("best.s") <= 0) & (F.col("v") != F.col("best.x")))
+        sure = (out.join(best, F.col("u") == F.col("_u")).where((score + F.col("best.s") <= 0) & (F.col("v") != F.col("best.x")))
                 .select(F.col("best.x").alias("u"), "v"))
         self.add(out.where("linked").select("u", "v").unionByName(sure))
         return out
 
-    def pairs(self, entries: DataFrame, longest: int | None) -> None:
-        """Compare what is still apart in lists of at most ``longest`` sets (None: in all)."""
-        entries = written(self.with_components(entries), "entries")
-        lists = _lists(entries).where("m > 2")
-        lists = lists if longest is None else lists.where(F.col("m") <= longest)
-        pairs = written(paired(entries, lists, self.maps, self.percent).withColumn("hot", F.lit(False)), "pairs")
-        removed(entries)
-        if not pairs.isEmpty():
-            out = self.compare(pairs)
-            self.add(out.where("linked").select("u", "v"))
-            removed(out)
-        else:
-            removed(pairs)
+    def candidates(self, entries: DataFrame) -> DataFrame:
+        """``candidates`` of what is still apart; a stored table."""
+        return written(candidates(self.with_components(entries), self.maps, self.percent).distinct(), "candidates")
+
+    def link(self, found: DataFrame) -> None:
+        """Compare what ``found`` (u, v), candidates, puts together."""
+        placed = components(found)
+        both = placed.select(F.col("component").alias("key"), F.col("node").alias("x"))
+        both = both.unionByName(both.select("key", F.col("key").alias("x")).distinct())
+        sizes = self.maps.select(F.col("x").alias("_x"), "n")
+        members = written(self.with_components(both.join(sizes, F.col("x") == F.col("_x")).select("key", "x", "n")), "members")
+        mixed = (
+            members.groupBy(F.col("key").alias("_key")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low < high").select("_key"))
+        apart = members.join(mixed, F.col("key") == F.col("_key"), "left_semi")
+        texts = self.texts(apart)
+        self.add(linked(apart, texts, self.words, self.percent))
+        removed(members, texts)
 
     def differences(self, hot: DataFrame) -> DataFrame:
         """Entries of the next step: the first tokens of the differences from centres that
@@ -411,16 +442,26 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     named = classes.select("x", F.col("doc_id").alias("_doc"), F.col("text_digest").alias("_digest"))
     index = classes.select(F.lit(0).cast("long").alias("g"), "x", "n", F.col("n").alias("d"),
                            F.posexplode("first").alias("pos", "token"))
-    entries = written(_shared(index).select("g", "token", "x", "n", "d", "pos"), "entries")
+    entries = written(_shared(index.select("g", "token", "x", "n", "d", "pos")), "entries")
     join = _Join(docs, named, classes.select("x", "n", "map"), tied, words, percent, heavy)
+    found = []
     for level in range(LEVELS + 1):
-        if entries.isEmpty():
+        lists, entries = entries, None
+        if lists.isEmpty():
+            removed(lists)
+            break
+        longer = lists.where(F.col("m") > LIST)
+        if level < LEVELS and not longer.isEmpty():
+            centres = join.stars(longer)
+            entries = join.differences(centres)
+            removed(centres)
+        found.append(join.candidates(lists.where(F.col("m") <= LIST) if level < LEVELS else lists))
+        removed(lists)
+        if entries is None:
             break
-        centres = join.stars(entries)
-        join.pairs(entries, LIST if level < LEVELS else None)
-        hot, last = centres.where("tail is not null"), entries
-        entries = join.differences(hot) if level < LEVELS else entries.limit(0)
-        removed(centres, last)
+    if any([not f.isEmpty() for f in found]):
+        join.link(reduce(DataFrame.unionByName, found))
+    removed(*found)
 
     placed = join.with_components(classes.select("digest", "doc_id", "x"))
     smallest = placed.groupBy(F.col("component").alias("_component")).agg(F.min("doc_id").alias("component_id"))

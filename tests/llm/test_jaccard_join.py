@@ -138,6 +138,45 @@ def test_differences_list_shared_tokens_only_and_steps_leave_no_tables(spark, mo
     assert left <= {"sketches", "classes"}, left
 
 
+def test_lists_and_groups_give_each_set_once(spark, monkeypatch):
+    """Sets that lists hold together come out as members of a group, not as pairs; a group's
+    texts, in blocks, give no more links than there are texts."""
+    passed = []
+    plain = J.linked
+    rng = np.random.default_rng(1)
+    tokens = rng.integers(0, 1 << 64, 100, np.uint64)
+    entries = spark.createDataFrame([(0, t, x, 100, 100, t, 60, x) for x in range(60) for t in range(3)],
+                                    "g long, token long, x long, n int, d int, pos int, m long, component long")
+    maps = spark.createDataFrame([(x, bytearray(J.parity_map(tokens))) for x in range(60)], "x long, map binary")
+    got_ = [(r.u, r.v) for r in J.candidates(entries, maps, 85).collect()]
+    assert len(got_) <= 3 * 59 and {v for _, v in got_} | {u for u, _ in got_} == set(range(60))
+
+    def spy(members, *rest):
+        out = plain(members, *rest)
+        passed.append((members.select("x").distinct().count(), members.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(J, "linked", spy)
+    monkeypatch.setattr(J, "BLOCK", 20)
+    rows = list(enumerate(family(1, 50, 120, 3) + family(2, 20, 60, 3)))
+    assert got(awkward(spark, rows).repartition(3), 4, 85) == brute(rows, 4, 85)
+    assert len(passed) == 1 and passed[0][0] == passed[0][1] > 40 and passed[0][2] < 4 * passed[0][1]
+
+
+def test_rows_are_joined_to_their_groups():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 30, 200):
+        p, q = rng.integers(0, n, (2, n // 2))
+        label = np.arange(n)
+        J._joined(label, p[:n // 4], q[:n // 4])
+        J._joined(label, p, q)
+        want = np.arange(n)
+        for _ in range(n):
+            for i, j in zip(p, q):
+                want[i] = want[j] = min(want[i], want[j])
+        assert label.tolist() == want.tolist()
+
+
 def test_known_links_are_links():
     rng = np.random.default_rng(2)
     for _ in range(300):
