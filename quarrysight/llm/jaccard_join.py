@@ -114,6 +114,15 @@ def parity_map(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(bits: bytes, n: int, percent: int) -> bytes:
+    """The parity map of a set of ``n`` tokens as its lists carry it: a long one is folded as
+    far as unlike sets of like size still differ in more bits than a link allows."""
+    least = max(8, 1 << max(0, 5 * (100 - percent) * n // (100 + percent) // 64).bit_length())
+    if len(bits) <= 8 * least:
+        return bits
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, least), axis=0).tobytes()
+
+
 def apart_at_least(maps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Bits in which ``maps[i]`` and ``maps[j]`` differ: at most the tokens in only one of
     the two sets."""
@@ -152,7 +161,7 @@ def sketches(docs: DataFrame, words: int, percent: int, heavy: tuple[np.ndarray,
                     "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                                        pa.binary()),
                     "text_digest": pa.array([hashlib.md5(t).digest() if len(s) else None for t, s in zip(texts, sets)], pa.binary()),
-                    "map": pa.array([parity_map(s) if len(s) else None for s in sets], pa.binary()),
+                    "map": pa.array([folded(parity_map(s), len(s), percent) if len(s) else None for s in sets], pa.binary()),
                     "first": pa.array([None if f is None else f.view(np.int64) for f in first], pa.list_(pa.int64()))})
 
     return docs.select("doc_id", "text").mapInArrow(sketch, ROWS)
@@ -429,6 +438,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
             F.first("first").alias("first"))
         .select("digest", F.col("r.row").alias("x"), F.col("r.doc_id").alias("doc_id"), "r.text_digest", "n", "map", "first"),
         "classes")
+    slim = written(rows.select("doc_id", "n", "digest"), "sketches")
+    removed(rows)
+    rows, usable = slim, slim.where("n > 0 and doc_id is not null")
 
     # one document with several texts holds their classes together
     several = (

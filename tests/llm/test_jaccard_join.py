@@ -97,6 +97,17 @@ def test_maps_never_hide_a_link(monkeypatch):
             assert got[6 * len(sets) + 7] > J._apart(300, 300, 85) * 3
 
 
+def test_folded_maps_are_short_and_tell_unlike_sets():
+    rng = np.random.default_rng(6)
+    for n in (5, 300, 1100, 2313, 9000):
+        sets = [rng.integers(0, 1 << 64, n, np.uint64) for _ in range(2)]
+        sets.append(np.concatenate([sets[0][n // 20:], sets[1][:n // 20]]))
+        maps = np.array([J.folded(J.parity_map(s), n, 85) for s in sets], object)
+        unlike, like = J.apart_at_least(maps, np.array([0, 0]), np.array([1, 2])).tolist()
+        assert like <= 2 * (n // 20) and 8 * len(maps[0]) <= max(512, n)
+        assert unlike > J._apart(n, n, 85)
+
+
 def test_unlike_sets_of_a_list_are_not_compared(spark, monkeypatch):
     """Rare words that many unlike texts share put these into common lists: neither the
     lists' centres nor pairs of the others are looked up in the texts."""
